@@ -45,7 +45,8 @@ from aerostrata.streaming.readings import (
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-ONE_HOUR = HourScope(2024, 1, 15, 10)
+ONE_DELIVERY = HourScope(2024, 1, 15, 12)
+HALF_DAY = 12 * 60 * 60
 SHUFFLE_PARTITIONS = "spark.sql.shuffle.partitions"
 ARRIVAL = ("year", "month", "day", "hour")
 PM25_SHIFT = 1000.0
@@ -103,8 +104,9 @@ def _order_hours(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _land(lines: DataFrame, path: str) -> None:
-    """Write lines below folders of the hour they arrived in."""
-    arrived = F.timestamp_seconds("ts")
+    """Write lines below folders of their arrival hour; gateways deliver at noon and midnight."""
+    delivery = F.floor(F.col("ts") / HALF_DAY) * HALF_DAY
+    arrived = F.timestamp_seconds(delivery)
     patterns = dict(zip(ARRIVAL, ("yyyy", "MM", "dd", "HH")))
     landed = lines.select(
         "value", *[F.date_format(arrived, p).alias(name) for name, p in patterns.items()]
@@ -121,7 +123,7 @@ def _landed(spark: SparkSession, folder: str, *kinds: Kind) -> str:
 
 def _message_stream(spark: SparkSession, folder: str) -> DataFrame:
     table = _events(spark, folder)
-    stream = spark.readStream.schema(table.schema).parquet(f"{folder}/events.parquet")
+    stream = spark.readStream.schema(table.schema).parquet(f"{folder}/{{events.parquet}}")
     return sample_tables.air_messages(stream)
 
 
@@ -150,28 +152,33 @@ def _stream_to_documents(spark: SparkSession, stream: DataFrame, id_field: str)
     path = working_path(spark, "documents")
     with _state_partitions(spark):
         start_documents(
-            stream, path, id_field, working_path(spark, "checkpoint"), available_now=True
+            stream, path, id_field, working_path(spark, "checkpoint"), True, jobs.DOCUMENT_DAY
         ).awaitTermination()
     return read_table(spark, path).select(*stream.columns)
 
 
+def _nullable_number(df: DataFrame) -> DataFrame:
+    """The index as a double, which frames of both engines can hold together with nulls."""
+    return df.withColumn("aqi", F.col("aqi").cast("double"))
+
+
 # --- sources --------------------------------------------------------------------------------
 
 
 def scan_raw_json(spark: SparkSession, folder: str) -> DataFrame:
-    return read_raw(spark, _landed(spark, folder, AIR), AIR)
+    return _nullable_number(read_raw(spark, _landed(spark, folder, AIR), AIR))
 
 
 def scan_hour_vs_full(spark: SparkSession, folder: str) -> DataFrame:
     root = _landed(spark, folder, WIND)
-    scopes = {"hour": ONE_HOUR, "full": None}
+    scopes = {"hour": ONE_DELIVERY, "full": None}
     parts = [
-        read_raw(spark, root, WIND, scope).withColumn("scope", F.lit(name))
+        scan.withColumn("scope", F.lit(name))
         for name, scope in scopes.items()
+        if (scan := read_raw(spark, root, WIND, scope)) is not None
     ]
     return (
-        parts[0]
-        .unionByName(parts[1])
+        reduce(DataFrame.unionByName, parts)
         .groupBy("scope", "city")
         .agg(F.count(F.lit(1)).alias("readings"), F.max("wind_speed").alias("max_wind"))
     )
@@ -180,7 +187,7 @@ def scan_hour_vs_full(spark: SparkSession, folder: str) -> DataFrame:
 def scan_clean_day(spark: SparkSession, folder: str) -> DataFrame:
     path = working_path(spark, "clean")
     append(_clean(spark, folder, AIR), path)
-    return read_day(spark, path, ONE_HOUR.year, ONE_HOUR.month, ONE_HOUR.day)
+    return read_day(spark, path, ONE_DELIVERY.year, ONE_DELIVERY.month, ONE_DELIVERY.day)
 
 
 def scan_two_months(spark: SparkSession, folder: str) -> DataFrame:
@@ -207,8 +214,7 @@ def split_weather(spark: SparkSession, folder: str) -> DataFrame:
 
 def stream_parse(spark: SparkSession, folder: str) -> DataFrame:
     parsed = decode(_message_stream(spark, folder))
-    text = parsed.withColumn("aqi", F.col("aqi").cast("string"))
-    return _stream_to_table(spark, text)
+    return _nullable_number(_stream_to_table(spark, parsed))
 
 
 # --- cleaning -------------------------------------------------------------------------------
@@ -436,7 +442,9 @@ def _delivered_in_turn(
         delivery.select(F.col("value").cast("string")).write.mode("append").text(inbox)
         stream = ten_minute_categories(spark.readStream.text(inbox))
         with _state_partitions(spark):
-            start_documents(stream, path, id_field, checkpoint, available_now=True).awaitTermination()
+            start_documents(
+                stream, path, id_field, checkpoint, True, jobs.DOCUMENT_DAY
+            ).awaitTermination()
     return read_table(spark, path).select(*stream.columns)
 
 
@@ -460,7 +468,7 @@ def land_raw(spark: SparkSession, folder: str) -> DataFrame:
     start_landing(
         _message_stream(spark, folder), AIR, root, working_path(spark, "checkpoint"), True
     ).awaitTermination()
-    return read_raw(spark, root, AIR)
+    return _nullable_number(read_raw(spark, root, AIR))
 
 
 # --- jobs -----------------------------------------------------------------------------------
@@ -484,7 +492,7 @@ def daily_run(spark: SparkSession, folder: str) -> DataFrame:
     layout = _storage(spark, folder)
     jobs.clean_job(spark, layout)
     jobs.hourly_job(spark, layout)
-    jobs.daily_run(spark, layout, ONE_HOUR.year, ONE_HOUR.month)
+    jobs.daily_run(spark, layout, ONE_DELIVERY.year, ONE_DELIVERY.month)
     return read_table(spark, layout.daily)
 
 

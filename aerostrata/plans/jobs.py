@@ -9,7 +9,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -22,7 +21,7 @@ from aerostrata.schemas import AIR, HUMIDITY, KINDS, PARTITION_KEYS, TEMPERATURE
 from aerostrata.sinks.keyed import insert_new, upsert
 from aerostrata.sinks.partitioned import append, overwrite_partitions
 from aerostrata.sources.raw import HourScope, read_raw
-from aerostrata.sources.tables import ABSENT, read_day, read_table, read_two_months
+from aerostrata.sources.tables import read_day, read_table, read_two_months
 from aerostrata.streaming.outputs import start_documents
 from aerostrata.streaming.readings import ten_minute_categories, ten_minute_statistics
 
@@ -84,12 +83,9 @@ def clean_kind(
     """
     if mode not in ("merge", "append"):
         raise ValueError(f"unknown mode {mode!r}")
-    try:
-        raw = read_raw(spark, layout.raw, kind, scope)
-    except AnalysisException as error:
-        if error.getCondition() in ABSENT:
-            return None
-        raise
+    raw = read_raw(spark, layout.raw, kind, scope)
+    if raw is None:
+        return None
     valid, seen = _counted(clean(raw, kind))
     if mode == "append":
         append(valid, layout.clean(kind))

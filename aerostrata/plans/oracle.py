@@ -262,7 +262,10 @@ def _quality(kind: str) -> str:
 
 
 def _raw_scan() -> str:
-    return _readings(f"SELECT city, aqi, {AIR_NUMBERS}, timestamp_utc, ts FROM air WHERE k NOT IN (41, 42)")
+    return _readings(
+        f"""SELECT city, CAST(aqi AS DOUBLE) AS aqi, {AIR_NUMBERS}, timestamp_utc, ts
+            FROM air WHERE k NOT IN (41, 42)"""
+    )
 
 
 def _clean_query(kind: str) -> str:
@@ -286,8 +289,8 @@ def oracle_queries() -> dict[str, str]:
             FROM (SELECT 'full' AS scope, * FROM weather
                   UNION ALL
                   SELECT 'hour' AS scope, * FROM weather
-                  WHERE epoch(TIMESTAMP '2024-01-15 10:00:00') <= ts
-                    AND ts < epoch(TIMESTAMP '2024-01-15 11:00:00'))
+                  WHERE epoch(TIMESTAMP '2024-01-15 12:00:00') <= ts
+                    AND ts < epoch(TIMESTAMP '2024-01-16 00:00:00'))
             WHERE k NOT IN (41, 42) GROUP BY ALL"""
         ),
         "scan_clean_day": _readings(
@@ -319,7 +322,7 @@ def oracle_queries() -> dict[str, str]:
             {"coded": COMMON["coded"]},
         ),
         "stream_parse": _readings(
-            f"""SELECT city, CAST(aqi AS VARCHAR) AS aqi, {AIR_NUMBERS}, timestamp_local,
+            f"""SELECT city, CAST(aqi AS DOUBLE) AS aqi, {AIR_NUMBERS}, timestamp_local,
                        {_text("time")} AS timestamp_utc
                 FROM message""",
             MESSAGES,

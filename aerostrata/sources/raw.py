@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from aerostrata.schemas import Kind
+from aerostrata.sources.tables import ABSENT
 
 CORRUPT = "_corrupt_record"
 
@@ -43,9 +45,17 @@ def raw_path(root: str, kind: Kind, scope: HourScope | None = None) -> str:
     return "/".join([root.rstrip("/"), kind.folder, *levels])
 
 
-def read_lines(spark: SparkSession, root: str, kind: Kind, scope: HourScope | None = None) -> DataFrame:
-    """Text lines of one kind in ``value``, blank lines left out."""
-    return spark.read.text(raw_path(root, kind, scope)).filter(F.trim("value") != "")
+def read_lines(
+    spark: SparkSession, root: str, kind: Kind, scope: HourScope | None = None
+) -> DataFrame | None:
+    """Text lines of one kind in ``value``, blank lines left out; None if nothing has landed."""
+    try:
+        lines = spark.read.text(raw_path(root, kind, scope))
+    except AnalysisException as error:
+        if error.getCondition() in ABSENT:
+            return None
+        raise
+    return lines.filter(F.trim("value") != "")
 
 
 def parsed_record(value: Column, schema: T.StructType) -> Column:
@@ -74,6 +84,9 @@ def well_formed(lines: DataFrame, schema: T.StructType) -> DataFrame:
     return lines.select(F.inline(fitting)).drop(CORRUPT)
 
 
-def read_raw(spark: SparkSession, root: str, kind: Kind, scope: HourScope | None = None) -> DataFrame:
-    """Well-formed records of one kind."""
-    return well_formed(read_lines(spark, root, kind, scope), kind.schema)
+def read_raw(
+    spark: SparkSession, root: str, kind: Kind, scope: HourScope | None = None
+) -> DataFrame | None:
+    """Well-formed records of one kind; None if nothing has landed in the scope."""
+    lines = read_lines(spark, root, kind, scope)
+    return None if lines is None else well_formed(lines, kind.schema)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
@@ -23,9 +23,9 @@ def _triggered(writer: DataStreamWriter, available_now: bool) -> DataStreamWrite
     return writer.trigger(processingTime=TRIGGER)
 
 
-def with_document_partition(df: DataFrame, time: str = "window_start") -> DataFrame:
-    """Add day and hour of a document. Late rows touch few hours, so merges stay small."""
-    return df.withColumns({"doc_day": F.to_date(time), "doc_hour": F.hour(time)})
+def document_part(name: str, time: str) -> Column:
+    """Day or hour of a document."""
+    return {"doc_day": F.to_date(time), "doc_hour": F.hour(time)}[name]
 
 
 def document_writer(
@@ -41,7 +41,7 @@ def document_writer(
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        placed = with_document_partition(batch, time)
+        placed = batch.withColumns({c: document_part(c, time) for c in partition_by})
         if id_field is None:
             append(placed, path, partition_by)
         else:
@@ -56,16 +56,17 @@ def start_documents(
     id_field: str | None,
     checkpoint: str,
     available_now: bool = False,
-    name: str | None = None,
+    partition_by: Sequence[str] = DOCUMENT_PARTITION,
 ) -> StreamingQuery:
-    """Start one update-mode query that keeps a document table current."""
+    """Start one update-mode query that keeps a document table current.
+
+    A live stream touches the last hours only; to replay months, partition by day.
+    """
     writer = (
         stream.writeStream.outputMode("update")
-        .foreachBatch(document_writer(path, id_field))
+        .foreachBatch(document_writer(path, id_field, partition_by))
         .option("checkpointLocation", checkpoint)
     )
-    if name is not None:
-        writer = writer.queryName(name)
     return _triggered(writer, available_now).start()
 
 

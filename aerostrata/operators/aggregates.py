@@ -7,9 +7,10 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from aerostrata.functions import aqi_category, day_key, document_id, round_half_up
+from aerostrata.functions import aqi_category, day_key, document_id
 from aerostrata.functions.classify import CATEGORIES
 from aerostrata.functions.identity import PIVOT
+from aerostrata.functions.numbers import rounded
 from aerostrata.operators.joins import MINUTE_KEY, enrich_static, with_minute
 from aerostrata.schemas import PARTITION_KEYS, WEATHER_METRICS
 
@@ -43,52 +44,47 @@ def hourly_means(
     the other sources. One shuffle carries all four sources, already combined by map tasks, so
     neither a busy minute nor a busy city loads a single task.
     """
-    sources = {"wind_speed": wind, "temperature": temperature, "humidity": humidity}
+    sources = dict(zip(WEATHER_METRICS, (wind, temperature, humidity)))
     parts = [with_minute(air).select(*MINUTE_KEY, F.lit("air").alias("source"), *AIR_METRICS)]
     for metric, source in sources.items():
         if source is not None:
-            narrow = with_minute(source).select(*MINUTE_KEY, F.lit(metric).alias("source"), metric)
-            parts.append(narrow.na.drop(subset=list(MINUTE_KEY)))
+            placed = with_minute(source).filter(F.col("city").isNotNull())
+            parts.append(placed.select(*MINUTE_KEY, F.lit(metric).alias("source"), metric))
     stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
     absent = [m for m in WEATHER_METRICS if sources[m] is None]
-    stacked = stacked.withColumns({m: F.lit(None).cast("double") for m in absent})
+    stacked = stacked.selectExpr("*", *[f"cast(null AS double) AS {m}" for m in absent])
 
     metrics = (*AIR_METRICS, *WEATHER_METRICS)
     per_minute = (
-        stacked.filter(F.col("join_time").isNotNull())
-        .groupBy(*MINUTE_KEY)
+        stacked.groupBy(*MINUTE_KEY)
         .agg(
-            *[F.count_if(F.col("source") == s).alias(f"rows_{s}") for s in ("air", *WEATHER_METRICS)],
-            *[F.sum(m).cast("double").alias(f"sum_{m}") for m in metrics],
-            *[F.count(m).alias(f"count_{m}") for m in metrics],
+            *[F.expr(f"count_if(source = '{s}') AS rows_{s}") for s in ("air", *WEATHER_METRICS)],
+            *[F.expr(f"cast(sum({m}) AS double) AS sum_{m}") for m in metrics],
+            *[F.expr(f"count({m}) AS count_{m}") for m in metrics],
         )
-        .filter(F.col("rows_air") > 0)
+        .filter("rows_air > 0 AND join_time IS NOT NULL")
     )
 
-    def copies(metric: str) -> Column:
+    def copies(metric: str) -> str:
         """How often the left join repeats a row of the minute because of the other sources."""
-        factors = [F.greatest(F.col(f"rows_{m}"), F.lit(1)).cast("double") for m in WEATHER_METRICS if m != metric]
-        if metric in WEATHER_METRICS:
-            factors.append(F.col("rows_air").cast("double"))
-        return reduce(lambda a, b: a * b, factors)
+        others = [f"greatest(rows_{m}, 1D)" for m in WEATHER_METRICS if m != metric]
+        return " * ".join(others if metric in AIR_METRICS else [*others, "rows_air"])
 
     means = [
-        F.try_divide(
-            F.sum(F.col(f"sum_{m}") * copies(m)), F.sum(F.col(f"count_{m}") * copies(m))
-        ).alias(HOURLY_NAMES[m])
-        for m in HOURLY_NAMES
+        F.expr(
+            f"try_divide(sum(sum_{m} * {copies(m)}), sum(count_{m} * {copies(m)})) AS {name}"
+        )
+        for m, name in HOURLY_NAMES.items()
     ]
-    hour = F.date_trunc("hour", "join_time").alias("hour_start")
-    start = F.col("hour_start")
     return (
-        per_minute.groupBy("city", hour)
+        per_minute.groupBy("city", F.date_trunc("hour", "join_time").alias("start"))
         .agg(*means)
-        .select(
+        .selectExpr(
             "city",
-            F.year(start).alias("year"),
-            F.month(start).alias("month"),
-            F.dayofmonth(start).alias("day"),
-            F.hour(start).alias("hour"),
+            "year(start) AS year",
+            "month(start) AS month",
+            "day(start) AS day",
+            "hour(start) AS hour",
             *HOURLY_NAMES.values(),
         )
     )
@@ -96,20 +92,16 @@ def hourly_means(
 
 def daily_rollup(hourly: DataFrame) -> DataFrame:
     """City-day means of hourly means, the highest hourly PM2.5 and the count of polluted hours."""
-    pm25 = F.col("pm25_mean")
-    return (
-        hourly.groupBy("city", *PARTITION_KEYS)
-        .agg(
-            round_half_up(F.avg(pm25), 2).alias("pm25_avg"),
-            round_half_up(F.avg("aqi_mean"), 0).alias("aqi_avg"),
-            round_half_up(F.avg("avg_temp"), 1).alias("temp_avg"),
-            round_half_up(F.avg("avg_hum"), 1).alias("hum_avg"),
-            round_half_up(F.avg("avg_wind"), 1).alias("wind_avg"),
-            round_half_up(F.max(pm25), 2).alias("pm25_peak_hour"),
-            F.count_if(pm25 > POLLUTED_PM25).alias("polluted_hours_count"),
-        )
-        .withColumn("date", day_key(F.col("year"), F.col("month"), F.col("day")))
+    means = hourly.groupBy("city", *PARTITION_KEYS).agg(
+        rounded("avg(pm25_mean)", 2).alias("pm25_avg"),
+        rounded("avg(aqi_mean)", 0).alias("aqi_avg"),
+        rounded("avg(avg_temp)", 1).alias("temp_avg"),
+        rounded("avg(avg_hum)", 1).alias("hum_avg"),
+        rounded("avg(avg_wind)", 1).alias("wind_avg"),
+        rounded("max(pm25_mean)", 2).alias("pm25_peak_hour"),
+        F.count_if(F.col("pm25_mean") > POLLUTED_PM25).alias("polluted_hours_count"),
     )
+    return means.withColumn("date", day_key(F.col("year"), F.col("month"), F.col("day")))
 
 
 def _per_window(readings: DataFrame, time: str):

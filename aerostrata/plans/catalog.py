@@ -17,9 +17,9 @@ from aerostrata.functions import (
     document_id,
     hour_timestamp,
     parse_event_time,
-    round_half_up,
 )
 from aerostrata.functions.identity import HOURLY, PIVOT, PM25, WEATHER_PAIRS
+from aerostrata.functions.numbers import rounded
 from aerostrata.operators import cleaning, documents
 from aerostrata.operators.aggregates import category_counts, daily_rollup, hourly_means, window_stats
 from aerostrata.operators.joins import enrich_static, join_minute_left, join_weather_chain, with_minute
@@ -56,12 +56,13 @@ def comparable(df: DataFrame) -> DataFrame:
     """Round doubles to six digits and write times and dates as text."""
     columns = []
     for f in df.schema.fields:
-        column, kind = F.col(f"`{f.name}`"), f.dataType.typeName()
+        kind = f.dataType.typeName()
         if kind == "double":
-            column = round_half_up(column, 6)
+            columns.append(rounded(f"`{f.name}`", 6).alias(f.name))
         elif kind in ("timestamp", "date"):
-            column = column.cast("string")
-        columns.append(column.alias(f.name))
+            columns.append(F.col(f"`{f.name}`").cast("string").alias(f.name))
+        else:
+            columns.append(F.col(f"`{f.name}`"))
     return df.select(*columns)
 
 
@@ -76,14 +77,20 @@ def _air(spark: SparkSession, folder: str) -> DataFrame:
     return sample_tables.air_readings(_events(spark, folder))
 
 
-def _clean(spark: SparkSession, folder: str, kind: Kind) -> DataFrame:
-    readings = sample_tables.READINGS[kind.name](_events(spark, folder))
+def _cleaned(events: DataFrame, kind: Kind) -> DataFrame:
+    readings = sample_tables.READINGS[kind.name](events)
     columns = [*kind.schema.fieldNames(), *PARTITION_KEYS]
     return cleaning.clean(readings, kind, ["event_id"]).select(*columns)
 
 
-def _weather(spark: SparkSession, folder: str) -> list[DataFrame]:
-    return [_clean(spark, folder, kind) for kind in (WIND, TEMPERATURE, HUMIDITY)]
+def _clean(spark: SparkSession, folder: str, kind: Kind) -> DataFrame:
+    return _cleaned(_events(spark, folder), kind)
+
+
+def _all_clean(spark: SparkSession, folder: str) -> list[DataFrame]:
+    """Air, wind, temperature and humidity."""
+    events = _events(spark, folder)
+    return [_cleaned(events, kind) for kind in (AIR, WIND, TEMPERATURE, HUMIDITY)]
 
 
 def _timed_air(spark: SparkSession, folder: str) -> DataFrame:
@@ -96,7 +103,7 @@ def _dimension(spark: SparkSession) -> DataFrame:
 
 
 def _hourly(spark: SparkSession, folder: str) -> DataFrame:
-    return hourly_means(_clean(spark, folder, AIR), *_weather(spark, folder))
+    return hourly_means(*_all_clean(spark, folder))
 
 
 def _order_hours(spark: SparkSession, folder: str) -> DataFrame:
@@ -270,7 +277,7 @@ def minute_join(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def weather_chain(spark: SparkSession, folder: str) -> DataFrame:
-    joined = join_weather_chain(_clean(spark, folder, AIR), *_weather(spark, folder))
+    joined = join_weather_chain(*_all_clean(spark, folder))
     return joined.select(
         "city", "join_time", "ts", "aqi", "pm25", "wind_speed", "temperature", "humidity"
     )

@@ -8,7 +8,7 @@ No row of either table is left out.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from aerostrata.functions.times import EVENT_TIME_PATTERN
@@ -23,77 +23,82 @@ LOCATIONS = (
 
 
 def with_fault_code(events: DataFrame) -> DataFrame:
-    """Events with ``k`` from the properties and their time as a zoned timestamp."""
-    return events.withColumns(
-        {
-            "k": F.get_json_object("props", "$.k").cast("int"),
-            "time": F.date_trunc("second", F.col("ts").cast("timestamp")),
-        }
+    """Events with ``k`` from the properties and their time, to the second, as a zoned timestamp."""
+    return events.selectExpr(
+        "event_id",
+        "event_type",
+        "value",
+        "cast(get_json_object(props, '$.k') AS int) AS k",
+        "date_trunc('second', cast(ts AS timestamp)) AS time",
     )
 
 
-def _time_text(time: Column) -> Column:
-    k = F.col("k")
-    return F.when(k == 23, "bad").otherwise(F.date_format(time, EVENT_TIME_PATTERN))
+CITY = "CASE WHEN k = 29 THEN null WHEN k < 25 THEN concat(' ', event_type, ' ') ELSE event_type END"
+
 
+def _time_text(time: str) -> str:
+    return f"CASE WHEN k = 23 THEN 'bad' ELSE date_format({time}, \"{EVENT_TIME_PATTERN}\") END"
 
-def _city() -> Column:
-    k, name = F.col("k"), F.col("event_type")
-    return F.when(k == 29, None).when(k < 25, F.concat(F.lit(" "), name, F.lit(" "))).otherwise(name)
 
+def _sent(events: DataFrame, columns: dict[str, str]) -> DataFrame:
+    """Readings with the given columns; fault codes from 98 on are sent twice.
 
-def _sent_twice(df: DataFrame) -> DataFrame:
-    copies = F.when(F.col("k") >= 98, 2).otherwise(1)
-    return df.withColumn("_copy", F.explode(F.sequence(F.lit(1), copies))).drop("_copy")
+    Making whole rows in one generator evaluates the fault code once per event.
+    """
+    fields = ", ".join(f"{sql} AS {name}" for name, sql in columns.items())
+    copies = "CASE WHEN k >= 98 THEN 2 ELSE 1 END"
+    return with_fault_code(events).selectExpr(f"inline(array_repeat(struct({fields}), {copies}))")
 
 
 def air_readings(events: DataFrame) -> DataFrame:
     """Air readings with ``event_id`` as tie break and ``timestamp_local`` beside the UTC text."""
-    k, value = F.col("k"), F.col("value")
-    aqi = (
-        F.when(k == 11, None).when(k == 97, 1001).when(k == 83, -1).otherwise(F.floor(value))
-    ).cast("int")
-    return _sent_twice(with_fault_code(events)).select(
-        "event_id",
-        "k",
-        _city().alias("city"),
-        aqi.alias("aqi"),
-        (k * 4.0).alias("co"),
-        (k * 0.5).alias("no2"),
-        (value * 0.5).alias("o3"),
-        (value + k).alias("pm10"),
-        value.alias("pm25"),
-        (k * 0.25).alias("so2"),
-        _time_text(F.col("time") + F.expr("interval 7 hours")).alias("timestamp_local"),
-        _time_text(F.col("time")).alias("timestamp_utc"),
-        F.unix_seconds("time").alias("ts"),
+    return _sent(
+        events,
+        {
+            "event_id": "event_id",
+            "k": "k",
+            "city": CITY,
+            "aqi": """cast(CASE WHEN k = 11 THEN null WHEN k = 97 THEN 1001 WHEN k = 83 THEN -1
+                           ELSE floor(value) END AS int)""",
+            "co": "k * 4D",
+            "no2": "k * 0.5D",
+            "o3": "value * 0.5D",
+            "pm10": "value + k",
+            "pm25": "value",
+            "so2": "k * 0.25D",
+            "timestamp_local": _time_text("time + interval 7 hours"),
+            "timestamp_utc": _time_text("time"),
+            "ts": "unix_seconds(time)",
+        },
     )
 
 
-def _weather(events: DataFrame, metric: str, value: Column) -> DataFrame:
+def _weather(events: DataFrame, metric: str, value: str) -> DataFrame:
     """Weather readings come ``k`` seconds after the air reading, so some minutes have no match."""
-    later = F.timestamp_seconds(F.unix_seconds("time") + F.col("k"))
-    timed = _sent_twice(with_fault_code(events)).withColumn("time", later)
-    return timed.select(
-        "event_id",
-        "k",
-        _city().alias("city"),
-        value.cast("double").alias(metric),
-        _time_text(F.col("time")).alias("timestamp_utc"),
-        F.unix_seconds("time").alias("ts"),
+    later = "timestamp_seconds(unix_seconds(time) + k)"
+    return _sent(
+        events,
+        {
+            "event_id": "event_id",
+            "k": "k",
+            "city": CITY,
+            metric: value,
+            "timestamp_utc": _time_text(later),
+            "ts": "unix_seconds(time) + k",
+        },
     )
 
 
 def wind_readings(events: DataFrame) -> DataFrame:
-    return _weather(events, "wind_speed", F.col("k") * 2.5)
+    return _weather(events, "wind_speed", "k * 2.5D")
 
 
 def temperature_readings(events: DataFrame) -> DataFrame:
-    return _weather(events, "temperature", F.col("k") * 1.25 - 61.25)
+    return _weather(events, "temperature", "k * 1.25D - 61.25D")
 
 
 def humidity_readings(events: DataFrame) -> DataFrame:
-    return _weather(events, "humidity", F.col("k") * 1.0625 - 2.0)
+    return _weather(events, "humidity", "k * 1.0625D - 2D")
 
 
 READINGS = {
@@ -106,15 +111,13 @@ READINGS = {
 
 def as_lines(readings: DataFrame, columns: list[str], metric: str) -> DataFrame:
     """Readings as JSON text; fault codes 41 and 42 give broken text and a wrong field type."""
-    k = F.col("k")
-    record = F.to_json(F.struct(*columns))
-    mistyped = F.to_json(
-        F.struct(*[F.lit("n/a").alias(c) if c == metric else F.col(c) for c in columns])
-    )
-    return readings.select(
+    record = f"to_json(struct({', '.join(columns)}))"
+    mistyped = ", ".join(f"'n/a' AS {c}" if c == metric else c for c in columns)
+    return readings.selectExpr(
         "event_id",
         "ts",
-        F.when(k == 41, F.concat(F.lit("{"), record)).when(k == 42, mistyped).otherwise(record).alias("value"),
+        f"""CASE WHEN k = 41 THEN concat('{{', {record})
+                 WHEN k = 42 THEN to_json(struct({mistyped})) ELSE {record} END AS value""",
     )
 
 
@@ -131,55 +134,43 @@ def air_messages(events: DataFrame) -> DataFrame:
 
 def payloads(events: DataFrame, weather: bool) -> DataFrame:
     """API answers: fault codes give a missing ``data``, an empty one, a missing field, a null."""
-    k, value = F.col("k"), F.col("value")
     if weather:
-        complete = F.struct(
-            (k * 2.5).alias("wind_spd"), (k * 1.25 - 61.25).alias("temp"), (k * 1.0625 - 2.0).alias("rh")
-        )
-        partial = F.struct((k * 2.5).alias("wind_spd"))
+        partial = "k * 2.5D AS wind_spd"
+        entry = f"{partial}, k * 1.25D - 61.25D AS temp, k * 1.0625D - 2D AS rh"
     else:
-        complete = F.struct(
-            F.floor(value).cast("int").alias("aqi"),
-            (k * 4.0).alias("co"),
-            (k * 0.5).alias("no2"),
-            (value * 0.5).alias("o3"),
-            (value + k).alias("pm10"),
-            F.when(k == 11, None).otherwise(value).alias("pm25"),
-            (k * 0.25).alias("so2"),
-        )
-        partial = F.struct(F.floor(value).cast("int").alias("aqi"))
-
-    def answer(entry: Column) -> Column:
-        return F.to_json(F.struct(F.array(entry).alias("data")), {"ignoreNullFields": "false"})
-
-    text = (
-        F.when(k == 5, '{"error":"quota"}')
-        .when(k == 6, '{"data":[]}')
-        .when(k == 7, answer(partial))
-        .otherwise(answer(complete))
-    )
-    return with_fault_code(events).select(
-        F.col("event_type").alias("city"), F.col("time").alias("received_at"), text.alias("payload")
+        partial = "cast(floor(value) AS int) AS aqi"
+        entry = f"""{partial}, k * 4D AS co, k * 0.5D AS no2, value * 0.5D AS o3, value + k AS pm10,
+                    CASE WHEN k <> 11 THEN value END AS pm25, k * 0.25D AS so2"""
+
+    def answer(fields: str) -> str:
+        body = f"named_struct('data', array(struct({fields})))"
+        return f"to_json({body}, map('ignoreNullFields', 'false'))"
+
+    return with_fault_code(events).selectExpr(
+        "event_type AS city",
+        "time AS received_at",
+        f"""CASE WHEN k = 5 THEN '{{"error":"quota"}}' WHEN k = 6 THEN '{{"data":[]}}'
+                 WHEN k = 7 THEN {answer(partial)} ELSE {answer(entry)} END AS payload""",
     )
 
 
 def hourly_from_orders(orders: DataFrame) -> DataFrame:
     """Hourly facts: priority as city, order date as day, customer number giving the hour."""
-    day = F.col("o_orderdate")
-    keys = [
-        F.col("o_orderpriority").alias("city"),
-        F.year(day).alias("year"),
-        F.month(day).alias("month"),
-        F.dayofmonth(day).alias("day"),
-        (F.col("o_custkey") % 24).cast("int").alias("hour"),
-    ]
-    price = F.col("o_totalprice")
-    return orders.groupBy(*keys).agg(
-        (F.max(price) / 2048).alias("aqi_mean"),
-        (F.min(price) / 4096).alias("pm25_mean"),
-        (F.max(price) / 16384).alias("avg_temp"),
-        (F.min(price) / 8192).alias("avg_hum"),
-        (F.max("o_custkey") / 64).alias("avg_wind"),
+    hours = orders.selectExpr(
+        "o_orderpriority AS city",
+        "year(o_orderdate) AS year",
+        "month(o_orderdate) AS month",
+        "day(o_orderdate) AS day",
+        "cast(o_custkey % 24 AS int) AS hour",
+        "o_totalprice",
+        "o_custkey",
+    )
+    return hours.groupBy("city", "year", "month", "day", "hour").agg(
+        F.expr("max(o_totalprice) / 2048D AS aqi_mean"),
+        F.expr("min(o_totalprice) / 4096D AS pm25_mean"),
+        F.expr("max(o_totalprice) / 16384D AS avg_temp"),
+        F.expr("min(o_totalprice) / 8192D AS avg_hum"),
+        F.expr("max(o_custkey) / 64D AS avg_wind"),
     )
 
 

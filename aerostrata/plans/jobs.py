@@ -139,7 +139,7 @@ def hourly_job(
     if mode == "append":
         append(counted, layout.hourly)
     else:
-        upsert(counted, layout.hourly, HOURLY_KEY)
+        upsert(counted, layout.hourly, HOURLY_KEY, unique=True)
     return Report("hourly", seen.get["rows"])
 
 

@@ -93,15 +93,17 @@ def upsert(
     keys: Sequence[str],
     partition_by: Sequence[str] = PARTITION_KEYS,
     order_by: Sequence[str | Column] | None = None,
+    unique: bool = False,
 ) -> None:
     """Update the rows whose key is stored and insert the others.
 
     Columns of the frame replace stored values, nulls included; stored columns the frame lacks
-    are kept. Among several rows of one key the first by ``order_by`` wins. Key and partition
+    are kept. Among several rows of one key the first by ``order_by`` wins; a caller whose rows
+    come from a grouping by the key says ``unique`` and saves that shuffle. Key and partition
     columns must not be null.
     """
     on = [*partition_by, *keys]
-    with _kept(first_per_key(df, on, order_by)) as incoming:
+    with _kept(df if unique else first_per_key(df, on, order_by)) as incoming:
         stored = read_table(df.sparkSession, path, merge_schema=True)
         if stored is None:
             append(incoming, path, partition_by)

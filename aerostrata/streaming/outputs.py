@@ -33,11 +33,12 @@ def document_writer(
     id_field: str | None = None,
     partition_by: Sequence[str] = DOCUMENT_PARTITION,
     time: str = "window_start",
+    unique: bool = True,
 ) -> Callable[[DataFrame, int], None]:
     """A ``foreachBatch`` function: merge by id, or append if there is none.
 
     A failed write raises, so the batch is not committed and runs again after a restart; merging
-    by id makes that repeat harmless.
+    by id makes that repeat harmless. Ids are unique within a batch unless ``unique`` is False.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -45,7 +46,7 @@ def document_writer(
         if id_field is None:
             append(placed, path, partition_by)
         else:
-            upsert(placed, path, [id_field], partition_by)
+            upsert(placed, path, [id_field], partition_by, unique=unique)
 
     return write
 

@@ -1,0 +1,32 @@
+import pytest
+from pyspark.sql import SparkSession
+
+from aerostrata.session import get_session
+
+
+@pytest.fixture(scope="session")
+def spark(tmp_path_factory) -> SparkSession:
+    session = (
+        SparkSession.builder.master("local[8]")
+        .config("spark.sql.shuffle.partitions", "4")
+        .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.driver.memory", "6g")
+        .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
+        .getOrCreate()
+    )
+    session.sparkContext.setLogLevel("OFF")
+    get_session("tests")
+    yield session
+    session.stop()
+
+
+@pytest.fixture
+def rows():
+    """Sorted plain tuples of a frame, for comparison."""
+
+    def collect(df, *columns):
+        picked = df.select(*columns) if columns else df
+        return sorted((tuple(r) for r in picked.collect()), key=lambda r: [(v is None, str(v)) for v in r])
+
+    return collect

@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -73,6 +74,18 @@ def _counted(df: DataFrame) -> tuple[DataFrame, Observation]:
     return df.observe(seen, F.count(F.lit(1)).alias("rows")), seen
 
 
+def _rows(seen: Observation) -> int:
+    """The observed count, once the write is done.
+
+    If an input turns out empty while the query runs, the optimizer replaces the plan, counter
+    included, by an empty one; the observation then has no row to read.
+    """
+    try:
+        return seen.get["rows"]
+    except Py4JJavaError:
+        return 0
+
+
 def clean_kind(
     spark: SparkSession, layout: Layout, kind: Kind, scope: HourScope | None = None, mode: str = "merge"
 ) -> int | None:
@@ -91,7 +104,7 @@ def clean_kind(
         append(valid, layout.clean(kind))
     else:
         insert_new(valid, layout.clean(kind), DEDUPE_KEY, prune=scope is not None)
-    return seen.get["rows"]
+    return _rows(seen)
 
 
 def clean_job(
@@ -140,7 +153,7 @@ def hourly_job(
         append(counted, layout.hourly)
     else:
         upsert(counted, layout.hourly, HOURLY_KEY, unique=True)
-    return Report("hourly", seen.get["rows"])
+    return Report("hourly", _rows(seen))
 
 
 def daily_facts(hourly: DataFrame) -> DataFrame:
@@ -160,7 +173,7 @@ def daily_job(
         return Report("daily")
     counted, seen = _counted(in_period(daily_facts(hourly), year, month, day))
     overwrite_partitions(counted, layout.daily)
-    return Report("daily", seen.get["rows"])
+    return Report("daily", _rows(seen))
 
 
 EXPORTS = {
@@ -189,7 +202,7 @@ def export_job(
     shape, time = EXPORTS[name]
     counted, seen = _counted(shape(hourly).withColumn("doc_day", F.to_date(time)))
     upsert(counted, layout.documents(name), DOCUMENT_KEY, DOCUMENT_DAY)
-    return Report(f"export {name}", seen.get["rows"])
+    return Report(f"export {name}", _rows(seen))
 
 
 def hourly_run(spark: SparkSession, layout: Layout, scope: HourScope | None = None) -> list[Report]:

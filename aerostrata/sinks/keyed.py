@@ -123,12 +123,12 @@ def _merge(stored: DataFrame, incoming: DataFrame, on: Sequence[str]) -> DataFra
     )
     new = incoming.withColumn("_is_new", F.lit(True))
     both = old.join(new, list(on), "full_outer")
-    values = []
-    for name in [c for c in incoming.columns if c not in on]:
-        value = F.col(f"`{name}`")
-        if name in stored.columns:
-            value = F.when(F.col("_is_new"), value).otherwise(F.col(f"`_old_{name}`"))
-        values.append(value.alias(name))
-    for name in [c for c in stored.columns if c not in types]:
-        values.append(F.col(f"`_old_{name}`").alias(name))
-    return both.select(*on, *values)
+    values = {c: F.col(c) for c in on}
+    for name in stored.columns:
+        if name not in on:
+            kept = F.col(f"`_old_{name}`")
+            if name in types:
+                kept = F.when(F.col("_is_new"), F.col(f"`{name}`")).otherwise(kept)
+            values[name] = kept.alias(name)
+    added = [F.col(f"`{c}`") for c in incoming.columns if c not in values]
+    return both.select(*[values[c] for c in stored.columns], *added)

@@ -1,0 +1,49 @@
+"""Every registered query against its SQL, on the smallest sample tables."""
+
+import os
+from pathlib import Path
+
+import duckdb
+import pytest
+
+import __spark_entry__ as entry_point
+
+FOLDER = Path(os.environ.get("SAMPLE_DIR", "/root/testdata/sf0.001"))
+QUERIES, SQL = entry_point.queries(), entry_point.oracle_sql()
+TYPES = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR"}
+
+pytestmark = pytest.mark.skipif(not FOLDER.is_dir(), reason="sample tables are not here")
+
+
+@pytest.fixture(scope="module")
+def database():
+    connection = duckdb.connect()
+    for file in FOLDER.glob("*.parquet"):
+        connection.execute(f"CREATE VIEW {file.stem} AS SELECT * FROM '{file}'")
+    return connection
+
+
+def canonical(columns, rows):
+    order = sorted(range(len(columns)), key=lambda i: columns[i])
+    return [columns[i] for i in order], sorted(repr(tuple(r[i] for i in order)) for r in rows)
+
+
+def test_every_query_has_sql():
+    assert QUERIES.keys() == SQL.keys()
+
+
+@pytest.mark.parametrize("name", QUERIES)
+def test_query_equals_sql(spark, database, name):
+    df = QUERIES[name](spark, str(FOLDER))
+    result = database.execute(SQL[name])
+    columns = [c[0] for c in result.description]
+    expected = canonical(columns, result.fetchall())
+    assert canonical(df.columns, [tuple(r) for r in df.collect()]) == expected
+    assert expected[1]
+    declared = dict(database.execute(f"SELECT column_name, column_type FROM (DESCRIBE {SQL[name]})").fetchall())
+    assert {n: TYPES[t] for n, t in df.dtypes} == declared
+
+
+def test_entry(spark):
+    df = entry_point.entry(spark)
+    assert df.columns[0] == "city" and df.count() > 0

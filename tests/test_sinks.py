@@ -1,0 +1,116 @@
+from pathlib import Path
+
+import pytest
+
+from aerostrata.sinks import keyed
+from aerostrata.sinks.keyed import insert_new, upsert
+from aerostrata.sinks.partitioned import append, overwrite_partitions
+from aerostrata.sources.tables import read_table
+
+PART = ["day"]
+
+
+def frame(spark, rows, schema="day int, id string, a int, b int"):
+    return spark.createDataFrame(rows, schema)
+
+
+def files(path):
+    return {p: p.read_bytes() for p in Path(path).rglob("*.parquet")}
+
+
+def stored(spark, path, rows, *columns):
+    return rows(read_table(spark, path), *(columns or ("day", "id", "a", "b")))
+
+
+def test_append_adds_rows_each_time(spark, tmp_path, rows):
+    path, df = str(tmp_path / "t"), frame(spark, [(1, "x", 1, 1)])
+    append(df, path, PART)
+    append(df, path, PART)
+    assert stored(spark, path, rows) == [(1, "x", 1, 1)] * 2
+
+
+def test_small_partitions_are_written_as_one_file(spark, tmp_path):
+    path = str(tmp_path / "t")
+    df = spark.range(1000).selectExpr("cast(id % 3 AS int) AS day", "id").repartition(8)
+    append(df, path, PART)
+    assert len(files(path)) == 3
+
+
+def test_large_partition_is_split_over_tasks(spark, tmp_path):
+    path = str(tmp_path / "t")
+    df = spark.range(400_000).selectExpr("cast(id % 100 > 50 AS int) AS day", "id", "uuid() AS u")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "1MB")
+    try:
+        append(df.repartition(8), path, PART)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    assert len(files(path + "/day=0")) > 1
+
+
+def test_dynamic_overwrite_leaves_other_partitions(spark, tmp_path, rows):
+    path = str(tmp_path / "t")
+    overwrite_partitions(frame(spark, [(1, "x", 1, 1), (2, "y", 2, 2)]), path, PART)
+    before = files(path + "/day=1")
+    overwrite_partitions(frame(spark, [(2, "z", 3, 3)]), path, PART)
+    assert stored(spark, path, rows) == [(1, "x", 1, 1), (2, "z", 3, 3)]
+    assert files(path + "/day=1") == before
+
+
+@pytest.mark.parametrize("prune", [True, False])
+def test_insert_new_is_repeatable(spark, tmp_path, rows, prune):
+    path = str(tmp_path / "t")
+    first = frame(spark, [(1, "x", 1, 1), (2, None, 2, 2)])
+    for _ in range(3):
+        insert_new(first, path, ["id"], PART, prune)
+    assert len(stored(spark, path, rows)) == 2
+    before = files(path)
+    insert_new(frame(spark, [(1, "x", 9, 9), (1, "n", 5, 5)]), path, ["id"], PART, prune)
+    assert stored(spark, path, rows) == [(1, "n", 5, 5), (1, "x", 1, 1), (2, None, 2, 2)]
+    assert before.items() <= files(path).items()
+    insert_new(frame(spark, []), path, ["id"], PART, prune)
+    assert len(stored(spark, path, rows)) == 3
+
+
+def test_upsert_updates_and_inserts(spark, tmp_path, rows):
+    path = str(tmp_path / "t")
+    upsert(frame(spark, [(1, "x", 1, 1), (1, "y", 2, 2), (2, "z", 3, 3)]), path, ["id"], PART)
+    before = files(path + "/day=2")
+    upsert(frame(spark, [(1, "x", 7, None), (1, "n", 8, 8)]), path, ["id"], PART)
+    expected = [(1, "n", 8, 8), (1, "x", 7, None), (1, "y", 2, 2), (2, "z", 3, 3)]
+    assert stored(spark, path, rows) == expected
+    assert files(path + "/day=2") == before
+    upsert(frame(spark, [(1, "x", 7, None), (1, "n", 8, 8)]), path, ["id"], PART)
+    assert stored(spark, path, rows) == expected
+    upsert(frame(spark, []), path, ["id"], PART)
+    assert stored(spark, path, rows) == expected
+
+
+def test_upsert_keeps_absent_columns_and_adds_new_ones(spark, tmp_path, rows):
+    path = str(tmp_path / "t")
+    upsert(frame(spark, [(1, "x", 1, 1), (2, "z", 3, 3)]), path, ["id"], PART)
+    upsert(frame(spark, [(1, "x", 5, 6)], "day int, id string, a int, c int"), path, ["id"], PART)
+    table = read_table(spark, path, merge_schema=True)
+    assert rows(table, "id", "a", "b", "c") == [("x", 5, 1, 6), ("z", 3, 3, None)]
+
+
+def test_upsert_takes_the_first_of_several(spark, tmp_path, rows):
+    path = str(tmp_path / "t")
+    upsert(frame(spark, [(1, "x", n, 0) for n in range(9)]), path, ["id"], PART, ["a"])
+    assert stored(spark, path, rows) == [(1, "x", 0, 0)]
+
+
+def test_too_many_partitions_to_list_merges_the_whole_table(spark, tmp_path, rows, monkeypatch):
+    path = str(tmp_path / "t")
+    upsert(frame(spark, [(d, f"k{d}", 1, 1) for d in range(6)]), path, ["id"], PART)
+    monkeypatch.setattr(keyed, "MAX_LISTED_PARTITIONS", 2)
+    upsert(frame(spark, [(d, f"k{d}", 2, 2) for d in range(4)]), path, ["id"], PART)
+    assert stored(spark, path, rows, "day", "a") == [(0, 2), (1, 2), (2, 2), (3, 2), (4, 1), (5, 1)]
+
+
+def test_merge_reads_touched_partitions_only(spark, tmp_path, capsys):
+    path = str(tmp_path / "t")
+    upsert(frame(spark, [(d, f"k{d}", 1, 1) for d in range(6)]), path, ["id"], PART)
+    keyed._only(read_table(spark, path), ["2"], PART).explain()
+    plan = capsys.readouterr().out
+    assert "PartitionFilters: [" in plan and "PartitionFilters: []" not in plan
+    assert keyed._only(read_table(spark, path), ["2"], PART).count() == 1

@@ -58,11 +58,14 @@ def hourly_means(
     per_minute = (
         stacked.groupBy(*MINUTE_KEY)
         .agg(
-            *[F.expr(f"count_if(source = '{s}') AS rows_{s}") for s in ("air", *WEATHER_METRICS)],
+            # counting only timed rows also removes the group without a time, and unlike a test
+            # of the key it is not pushed down to where it would parse every time text twice
+            F.expr("count_if(source = 'air' AND join_time IS NOT NULL) AS rows_air"),
+            *[F.expr(f"count_if(source = '{m}') AS rows_{m}") for m in WEATHER_METRICS],
             *[F.expr(f"cast(sum({m}) AS double) AS sum_{m}") for m in metrics],
             *[F.expr(f"count({m}) AS count_{m}") for m in metrics],
         )
-        .filter("rows_air > 0 AND join_time IS NOT NULL")
+        .filter("rows_air > 0")
     )
 
     def copies(metric: str) -> str:

@@ -103,11 +103,12 @@ def upsert(
     columns must not be null.
     """
     on = [*partition_by, *keys]
-    with _kept(df if unique else first_per_key(df, on, order_by)) as incoming:
-        stored = read_table(df.sparkSession, path, merge_schema=True)
-        if stored is None:
-            append(incoming, path, partition_by)
-            return
+    rows = df if unique else first_per_key(df, on, order_by)
+    stored = read_table(df.sparkSession, path, merge_schema=True)
+    if stored is None:
+        append(rows, path, partition_by)
+        return
+    with _kept(rows) as incoming:
         labels = _touched(incoming, partition_by)
         if labels == []:
             return

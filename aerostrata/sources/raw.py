@@ -4,13 +4,12 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from aerostrata.schemas import Kind
-from aerostrata.sources.tables import ABSENT
+from aerostrata.sources.tables import if_present
 
 CORRUPT = "_corrupt_record"
 
@@ -49,13 +48,8 @@ def read_lines(
     spark: SparkSession, root: str, kind: Kind, scope: HourScope | None = None
 ) -> DataFrame | None:
     """Text lines of one kind in ``value``, blank lines left out; None if nothing has landed."""
-    try:
-        lines = spark.read.text(raw_path(root, kind, scope))
-    except AnalysisException as error:
-        if error.getCondition() in ABSENT:
-            return None
-        raise
-    return lines.filter(F.trim("value") != "")
+    lines = if_present(lambda: spark.read.text(raw_path(root, kind, scope)))
+    return None if lines is None else lines.filter(F.trim("value") != "")
 
 
 def parsed_record(value: Column, schema: T.StructType) -> Column:

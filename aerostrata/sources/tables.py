@@ -2,23 +2,49 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+
 from pyspark.errors import AnalysisException
+from pyspark.logger import PySparkLogger
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 ABSENT = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
+QUERY_LOGGERS = ("DataFrameQueryContextLogger", "SQLQueryContextLogger")
 
 
-def read_table(spark: SparkSession, path: str, merge_schema: bool = False) -> DataFrame | None:
-    """The table, or None if nothing has been written there yet. Other errors are raised."""
+@contextmanager
+def _quiet() -> Iterator[None]:
+    """Keep Spark from logging the stack of a failed read; here absence is an ordinary answer."""
+    loggers = [PySparkLogger.getLogger(name) for name in QUERY_LOGGERS]
+    before = [logger.disabled for logger in loggers]
+    for logger in loggers:
+        logger.disabled = True
+    try:
+        yield
+    finally:
+        for logger, disabled in zip(loggers, before):
+            logger.disabled = disabled
+
+
+def if_present(read: Callable[[], DataFrame]) -> DataFrame | None:
+    """The frame of a read, or None if its path holds nothing. Other errors are raised."""
     try:
-        return spark.read.option("mergeSchema", str(merge_schema).lower()).parquet(path)
+        with _quiet():
+            return read()
     except AnalysisException as error:
         if error.getCondition() in ABSENT:
             return None
         raise
 
 
+def read_table(spark: SparkSession, path: str, merge_schema: bool = False) -> DataFrame | None:
+    """The table, or None if nothing has been written there yet."""
+    reader = spark.read.option("mergeSchema", str(merge_schema).lower())
+    return if_present(lambda: reader.parquet(path))
+
+
 def read_day(spark: SparkSession, path: str, year: int, month: int, day: int) -> DataFrame | None:
     """One day of a clean table. The predicate names partition keys only, so other days stay unread."""
     table = read_table(spark, path)

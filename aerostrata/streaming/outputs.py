@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from aerostrata.schemas import Kind
+from aerostrata.session import session_setting
 from aerostrata.sinks.keyed import upsert
 from aerostrata.sinks.partitioned import append
 
@@ -43,10 +44,13 @@ def document_writer(
 
     def write(batch: DataFrame, batch_id: int) -> None:
         placed = batch.withColumns({c: document_part(c, time) for c in partition_by})
-        if id_field is None:
-            append(placed, path, partition_by)
-        else:
-            upsert(placed, path, [id_field], partition_by, unique=unique)
+        # The stream's own session plans without adaptive execution, which its state needs; the
+        # write is a batch query and needs it to spread the few touched partitions over tasks.
+        with session_setting(batch.sparkSession, "spark.sql.adaptive.enabled", "true"):
+            if id_field is None:
+                append(placed, path, partition_by)
+            else:
+                upsert(placed, path, [id_field], partition_by, unique=unique)
 
     return write
 

@@ -1,6 +1,8 @@
 from datetime import datetime
 
 import pytest
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 
 from aerostrata.schemas import AIR, WIND
 from aerostrata.session import shared_folder
@@ -112,5 +114,13 @@ def test_absent_table_is_none(spark, tmp_path):
     assert read_two_months(spark, str(tmp_path / "no"), 2024, 1) is None
 
 
+def test_absence_is_not_logged_but_other_errors_are_raised(spark, tmp_path, capfd):
+    read_table(spark, str(tmp_path / "no"))
+    assert "PATH_NOT_FOUND" not in capfd.readouterr().err
+    (tmp_path / "broken.parquet").write_text("no parquet")
+    with pytest.raises((PySparkException, Py4JJavaError)):
+        read_table(spark, str(tmp_path / "broken.parquet"))
+
+
 def test_shared_folder_is_the_clusters(spark):
     assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")

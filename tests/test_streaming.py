@@ -189,3 +189,19 @@ def test_dedupe_state_is_bounded_by_the_watermark(spark, tmp_path):
     box.put(message("a", 90, 10))
     assert run()[-1] == 2
     assert spark.read.parquet(table).count() == 3
+
+
+def test_writes_are_adaptive_and_state_is_not(spark, tmp_path, monkeypatch):
+    box, seen = Inbox(spark, tmp_path), []
+    key = "spark.sql.adaptive.enabled"
+    real = outputs.upsert
+
+    def spy(batch, *args, **kwargs):
+        seen.append(batch.sparkSession.conf.get(key))
+        real(batch, *args, **kwargs)
+        box.session = batch.sparkSession
+
+    monkeypatch.setattr(outputs, "upsert", spy)
+    box.categories(message("a", 0, 10))
+    assert set(seen) == {"true"}
+    assert box.session.conf.get(key) == "false"

@@ -132,11 +132,8 @@ def hourly_facts(spark: SparkSession, layout: Layout, scope: HourScope | None) -
     if air is None:
         return None
     means = hourly_means(air, source(WIND), source(TEMPERATURE), source(HUMIDITY))
-    if scope is not None:
-        means = in_period(means, scope.year, scope.month, scope.day).filter(
-            F.col("hour") == scope.hour
-        )
-    return means
+    # the day is settled by the partitions read; the hour test is pushed below both shuffles
+    return means if scope is None else means.filter(F.col("hour") == scope.hour)
 
 
 def hourly_job(

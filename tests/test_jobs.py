@@ -62,6 +62,19 @@ def test_late_arrival_replaces_its_hour(spark, layout):
     assert read_table(spark, layout.documents("hourly")).first().aqi_mean == 30.0
 
 
+def test_hourly_plan_prunes_days_columns_and_hours(spark, layout, capsys):
+    jobs.clean_job(spark, layout, SCOPE)
+    jobs.hourly_facts(spark, layout, SCOPE).explain()
+    plan = capsys.readouterr().out
+    scans = [line for line in plan.splitlines() if "FileScan" in line]
+    assert len(scans) == 4
+    for scan in scans:
+        assert "PartitionFilters: [isnotnull(year" in scan
+    assert "ReadSchema: struct<city:string,aqi:int,pm25:double,timestamp_utc:string>" in scans[0]
+    below = plan[plan.rindex("Exchange"):]
+    assert below.count("hour(date_trunc") >= 4
+
+
 def test_append_mode_writes_again(spark, layout):
     for _ in range(2):
         jobs.clean_kind(spark, layout, AIR, SCOPE, "append")

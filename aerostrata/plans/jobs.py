@@ -35,6 +35,7 @@ DOCUMENT_DAY = ("doc_day",)
 class Layout:
     """Paths below the storage root."""
 
+    # Folder names below the root, so that stored data are found where they are.
     root: str
 
     @property

@@ -24,7 +24,7 @@ def land(layout, kind, scope, records):
 def reading(kind, value, minute, day=2, hour=3):
     time = f"2024-01-{day:02d}T{hour:02d}:{minute:02d}:00"
     ts = day * 86400 + hour * 3600 + minute * 60
-    record = {"city": " hanoi", kind.metric: value, "timestamp_utc": time, "ts": ts}
+    record = {"city": " oslo", kind.metric: value, "timestamp_utc": time, "ts": ts}
     return record | ({"pm25": 60.0 + minute} if kind is AIR else {})
 
 
@@ -41,7 +41,7 @@ def test_hourly_run_and_rerun(spark, layout, rows):
     assert [r.rows for r in reports] == [8, 1, 1, 1]
     assert reports[0].parts == {"air": 2, "wind": 2, "temperature": 2, "humidity": 2}
     hourly = read_table(spark, layout.hourly).first()
-    assert (hourly.city, hourly.hour, hourly.aqi_mean, hourly.pm25_mean) == ("HANOI", 3, 15.0, 60.5)
+    assert (hourly.city, hourly.hour, hourly.aqi_mean, hourly.pm25_mean) == ("OSLO", 3, 15.0, 60.5)
     assert (hourly.avg_temp, hourly.avg_hum, hourly.avg_wind) == (15.0, 15.0, 15.0)
 
     tables = [
@@ -160,14 +160,14 @@ def test_stream_command_line(spark, tmp_path):
     inbox = tmp_path / "inbox"
     inbox.mkdir()
     (inbox / "m.json").write_text(json.dumps(reading(AIR, 10, 0)) + "\n")
-    spark.sql("SELECT 'HANOI' city, 21.0D lat, 105.8D lon, 'Vietnam' country").write.parquet(
+    spark.sql("SELECT 'OSLO' city, 60.0D lat, 10.5D lon, 'Norway' country").write.parquet(
         str(tmp_path / "cities")
     )
     root = ["--root", str(tmp_path / "store"), "--files", str(inbox), "--available-now"]
     cli.run(spark, cli.build_parser().parse_args(["stream", "--dimension", str(tmp_path / "cities"), *root]))
     layout = Layout(str(tmp_path / "store"))
     row = read_table(spark, layout.documents("statistics")).first()
-    assert (row.city, row.avg_aqi, row.country) == ("HANOI", 10.0, "Vietnam")
+    assert (row.city, row.avg_aqi, row.country) == ("OSLO", 10.0, "Norway")
     assert read_table(spark, layout.documents("categories")).first().Good == 1
     cli.run(spark, cli.build_parser().parse_args(["land", "--kind", "air", *root]))
     assert jobs.clean_kind(spark, layout, AIR) == 1

@@ -47,7 +47,7 @@ def test_scope_needs_all_parts_or_none():
 def answers(spark, *texts):
     when = datetime(2024, 1, 1, 23, 30)
     return spark.createDataFrame(
-        [("Hanoi", when, t) for t in texts], "city string, received_at timestamp, payload string"
+        [("Oslo", when, t) for t in texts], "city string, received_at timestamp, payload string"
     )
 
 
@@ -58,7 +58,7 @@ def test_air_payloads(spark):
     ).collect()
     assert len(got) == 1
     row = got[0]
-    assert (row.city, row.aqi, row.no2, row.pm25, row.so2) == ("Hanoi", 60, 2.5, None, 6.0)
+    assert (row.city, row.aqi, row.no2, row.pm25, row.so2) == ("Oslo", 60, 2.5, None, 6.0)
     assert row.timestamp_utc == "2024-01-01T23:30:00"
     assert row.timestamp_local == "2024-01-02T06:30:00"
     assert row.ts == 1704151800
@@ -69,7 +69,7 @@ def test_weather_payloads(spark):
         answers(spark), answers(spark, '{"data":[{"wind_spd":1.5,"temp":20,"rh":80}]}', '{"data":[{"temp":1}]}')
     )
     assert frames["air"].count() == 0
-    assert [tuple(r) for r in frames["wind"].collect()] == [("Hanoi", 1.5, "2024-01-01T23:30:00", 1704151800)]
+    assert [tuple(r) for r in frames["wind"].collect()] == [("Oslo", 1.5, "2024-01-01T23:30:00", 1704151800)]
     assert frames["temperature"].first().temperature == 20.0
     assert frames["humidity"].first().humidity == 80.0
     assert frames["wind"].columns == WIND.schema.fieldNames()

@@ -36,7 +36,6 @@ from aerostrata.sources.raw import HourScope, read_raw
 from aerostrata.sources.tables import month_and_previous, read_day, read_table, read_two_months
 from aerostrata.streaming.outputs import start_documents, start_landing
 from aerostrata.streaming.readings import (
-    clean_readings,
     decode,
     dedupe,
     ten_minute_categories,
@@ -205,7 +204,6 @@ def scan_two_months(spark: SparkSession, folder: str) -> DataFrame:
 
 def shape_air(spark: SparkSession, folder: str) -> DataFrame:
     answers = sample_tables.payloads(_events(spark, folder), weather=False)
-    # a whole number only, so that the null of a missing index keeps the column comparable
     return payloads.shape_air(answers, "Asia/Bangkok")
 
 
@@ -569,6 +567,3 @@ def registered() -> dict[str, Query]:
 def flagship(spark: SparkSession, folder: str) -> DataFrame:
     """Which city-days worsened or improved: clean, join by minute, hourly, daily, trend."""
     return daily_trend(spark, folder)
-
-
-__all__ = ["QUERIES", "clean_readings", "comparable", "flagship", "registered"]

@@ -125,6 +125,3 @@ def main(argv: Sequence[str] | None = None) -> None:
 
 if __name__ == "__main__":
     main()
-
-
-__all__ = ["build_parser", "main", "run"]

@@ -18,7 +18,7 @@ from aerostrata.operators import documents
 from aerostrata.operators.aggregates import daily_rollup, hourly_means
 from aerostrata.operators.cleaning import DEDUPE_KEY, clean
 from aerostrata.operators.trends import in_period, with_trend
-from aerostrata.schemas import AIR, HUMIDITY, KINDS, PARTITION_KEYS, TEMPERATURE, WIND, Kind
+from aerostrata.schemas import AIR, HUMIDITY, KINDS, TEMPERATURE, WIND, Kind
 from aerostrata.sinks.keyed import insert_new, upsert
 from aerostrata.sinks.partitioned import append, overwrite_partitions
 from aerostrata.sources.raw import HourScope, read_raw
@@ -244,22 +244,3 @@ def stream_job(
             available_now,
         ),
     ]
-
-
-__all__ = [
-    "EXPORTS",
-    "HOURLY_KEY",
-    "Layout",
-    "PARTITION_KEYS",
-    "Report",
-    "clean_job",
-    "clean_kind",
-    "daily_facts",
-    "daily_job",
-    "daily_run",
-    "export_job",
-    "hourly_facts",
-    "hourly_job",
-    "hourly_run",
-    "stream_job",
-]

@@ -7,12 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from aerostrata.llm.exact_dedup import OP1_SQL, op1_exact_dedup
+from aerostrata.llm.language import op9_language_id
+from aerostrata.llm.packing import op4_packing
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def registered() -> dict[str, Query]:
-    return {"op1_exact_dedup": op1_exact_dedup}
+    return {
+        "op1_exact_dedup": op1_exact_dedup,
+        "op4_packing": op4_packing,
+        "op9_language_id": op9_language_id,
+    }
 
 
 def oracle_queries() -> dict[str, str]:

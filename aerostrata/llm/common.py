@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -47,7 +48,7 @@ def small_batches(batches: Iterator[pa.RecordBatch], column: int, size: int = 4
     for batch in batches:
         if not batch.num_rows:
             continue
-        lengths = np.asarray(pa.compute.fill_null(pa.compute.binary_length(batch.column(column)), 0))
+        lengths = np.asarray(pc.fill_null(pc.binary_length(batch.column(column)), 0))
         part = np.cumsum(lengths, dtype=np.int64) // size
         cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), batch.num_rows]
         for a, b in zip(cuts, cuts[1:]):

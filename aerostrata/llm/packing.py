@@ -14,7 +14,9 @@ null identifiers are kept as null; an empty table gives no piece; other columns
 
 from __future__ import annotations
 
+import json
 import os
+import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -29,14 +31,52 @@ from aerostrata.llm.common import kept_table, read, small_batches
 WINDOW = 2048
 END_ID = 1
 CACHE = 400_000
+WORD_END = "</w>"
+#: Fixed value: how the vocabulary's pre-tokenizer splits words.
+WORD = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+#: The same over lower-case ASCII and Latin-1 letters, which normal forms leave as they are.
+SIMPLE = re.compile("[!-~À-ÖØ-öø-ÿ]+")
+SIMPLE_WORD = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\sa-z0-9ß-öø-ÿ]+")
 PIECES = "id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint"
 
 
+def byte_symbols() -> dict[str, int]:
+    """The byte of each symbol of a byte-level vocabulary: printable Latin-1 stands for itself, others are moved up."""
+    plain = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 255 and b != 173]
+    others = [b for b in range(256) if b not in set(plain)]
+    return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(others)}
+
+
+def joins_are_unique(vocabulary: dict[str, int], merges: list[tuple[str, str]]) -> bool:
+    """Whether the order of ids alone gives the merges: every merged token comes from its own text by
+    earlier merges as the pair it is merged from, so no other pair with that text ever stands side by side."""
+    first = 2 * 256
+    if any(vocabulary.get(a + b) != first + i for i, (a, b) in enumerate(merges)):
+        return False
+    order = {pair: i for i, pair in enumerate(merges)}
+    for limit, (a, b) in enumerate(merges):
+        text = a + b
+        symbols = list(text.removesuffix(WORD_END))
+        if text.endswith(WORD_END):
+            symbols[-1] += WORD_END
+        while True:
+            rank, i = min((order.get(p, limit), i) for i, p in enumerate(zip(symbols, symbols[1:])))
+            if rank >= limit:
+                break
+            symbols[i : i + 2] = [symbols[i] + symbols[i + 1]]
+        if symbols != [a, b]:
+            return False
+    return True
+
+
 class ChunkEncoder:
     """Token ids of whole texts, from the ids of their chunks between ASCII white space.
 
     The vocabulary's pre-tokenizer never joins text across white space, so the ids of a text are those of
-    its chunks in order. ``CACHE`` chunks are remembered.
+    its chunks in order. ``CACHE`` chunks are remembered. New chunks of ASCII and Latin-1 letters are
+    merged together in one call by a byte-pair coder that holds the same merges (see
+    ``joins_are_unique``), a zero byte standing for the end of a word; all others, and all chunks of other
+    vocabularies, by the tokenizer itself.
     """
 
     def __init__(self, vocabulary: str):
@@ -45,17 +85,54 @@ class ChunkEncoder:
 
         self.tokenizer = Tokenizer.from_str(vocabulary)
         self.known: dict[bytes, bytes] = {}
+        self.coder, self.ends = _byte_pair_coder(json.loads(vocabulary))
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
         chunks = [t.split() for t in texts]
         if len(self.known) > CACHE:
             self.known = {}
-        new = list(set().union(*chunks) - self.known.keys())
-        coded = self.tokenizer.encode_batch_fast([c.decode() for c in new], add_special_tokens=False)
-        self.known.update((c, np.array(e.ids, "<u4").tobytes()) for c, e in zip(new, coded))
+        new = [c.decode() for c in set().union(*chunks) - self.known.keys()]
+        simple = [c for c in new if SIMPLE.fullmatch(c) and "<|" not in c] if self.coder else []
+        self._merge(simple)
+        others = [c for c in new if c.encode() not in self.known]
+        coded = self.tokenizer.encode_batch_fast(others, add_special_tokens=False)
+        self.known.update((c.encode(), np.array(e.ids, "<u4").tobytes()) for c, e in zip(others, coded))
         return [b"".join(map(self.known.__getitem__, c)) for c in chunks]
 
+    def _merge(self, chunks: list[str]) -> None:
+        if not chunks:
+            return
+        marked = SIMPLE_WORD.sub("\\g<0>\0", "\n".join(chunks).lower())
+        words = np.array([c.count("\0") for c in marked.split("\n")])
+        ids = np.array(self.coder.encode_ordinary(marked.replace("\n", "")), "<u4")
+        last = np.flatnonzero(self.ends[ids])[np.cumsum(words) - 1] + 1
+        coded = ids.tobytes()
+        for c, a, b in zip(chunks, [0, *last[:-1].tolist()], last.tolist()):
+            self.known[c.encode()] = coded[4 * a : 4 * b]
+
+
+def _byte_pair_coder(spec: dict):
+    """(coder, whether an id ends a word), or (None, None) for vocabularies of another form."""
+    import tiktoken
+
+    model = spec["model"]
+    merges = [tuple(m if isinstance(m, list) else m.split(" ")) for m in model["merges"]]
+    split = [p["pattern"].get("Regex") for p in spec["pre_tokenizer"].get("pretokenizers", []) if "pattern" in p]
+    if model["end_of_word_suffix"] != WORD_END or split != [WORD] or not joins_are_unique(model["vocab"], merges):
+        return None, None
+    special = {t["content"] for t in spec["added_tokens"]}
+    symbols = byte_symbols()
+    ranks = {}
+    for token, i in model["vocab"].items():
+        if token not in special:
+            stem = token.removesuffix(WORD_END)
+            ranks[bytes(map(symbols.__getitem__, stem)) + b"\0" * (stem != token)] = i
+    ends = np.zeros(max(ranks.values()) + 1, bool)
+    ends[[i for t, i in model["vocab"].items() if t not in special and t.endswith(WORD_END)]] = True
+    coder = tiktoken.Encoding("words", pat_str="[^\0]+\0", mergeable_ranks=ranks, special_tokens={})
+    return coder, ends
+
 
 @lru_cache(maxsize=2)
 def encoder(vocabulary: str) -> ChunkEncoder:

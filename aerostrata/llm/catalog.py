@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from aerostrata.llm.exact_dedup import OP1_SQL, op1_exact_dedup
 from aerostrata.llm.language import op9_language_id
 from aerostrata.llm.packing import op4_packing
+from aerostrata.llm.quality import op10_quality
+from aerostrata.llm.toxicity import op5_toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -17,7 +19,9 @@ def registered() -> dict[str, Query]:
     return {
         "op1_exact_dedup": op1_exact_dedup,
         "op4_packing": op4_packing,
+        "op5_toxicity": op5_toxicity,
         "op9_language_id": op9_language_id,
+        "op10_quality": op10_quality,
     }
 
 

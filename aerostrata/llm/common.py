@@ -3,20 +3,26 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from aerostrata.session import working_path
 
 FOLDS = 5
 
 
+def workers_import(spark: SparkSession) -> None:
+    """Let Python workers on this machine import the library; on a cluster it is shipped with the job."""
+    spark.sparkContext.environment.setdefault("PYTHONPATH", str(Path(__file__).resolve().parents[2]))
+
+
 def read(spark: SparkSession, folder: str, table: str) -> DataFrame:
+    workers_import(spark)
     return spark.read.parquet(f"{folder}/{table}.parquet")
 
 
@@ -55,11 +61,6 @@ def small_batches(batches: Iterator[pa.RecordBatch], column: int, size: int = 4
             yield batch.slice(a, b - a)
 
 
-def map_batches(df: DataFrame, f: Callable, schema: str | T.StructType) -> DataFrame:
-    """``f`` over Arrow batches; ``f`` maps an iterator of batches to an iterator of batches."""
-    return df.mapInArrow(f, schema)
-
-
 def filter_rows(docs: DataFrame, text_column: str, keep: Callable[[list[str]], np.ndarray]) -> DataFrame:
     """The rows of ``docs`` whose text ``keep`` accepts, with all their columns; no shuffle."""
     column = docs.columns.index(text_column)

@@ -260,7 +260,7 @@ def pack(pieces: DataFrame, window: int = WINDOW) -> DataFrame:
                 [*batch.columns[: len(columns)], *placed], [*columns, "sequence_id", "offset"]
             )
 
-    schema = pieces.schema.add("sequence_id", "bigint").add("offset", "bigint")
+    schema = pieces.schema.add("sequence_id", "long").add("offset", "long")
     return ranked.mapInArrow(run, schema)
 
 

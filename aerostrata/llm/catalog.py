@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from aerostrata.llm.embedding import op3_embedding_near_dedup
 from aerostrata.llm.exact_dedup import OP1_SQL, op1_exact_dedup
 from aerostrata.llm.language import op9_language_id
 from aerostrata.llm.packing import op4_packing
@@ -18,6 +19,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 def registered() -> dict[str, Query]:
     return {
         "op1_exact_dedup": op1_exact_dedup,
+        "op3_embedding_near_dedup": op3_embedding_near_dedup,
         "op4_packing": op4_packing,
         "op5_toxicity": op5_toxicity,
         "op9_language_id": op9_language_id,

@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from aerostrata.llm.embedding import op3_embedding_near_dedup
+from aerostrata.llm.embedding import OP3_SQL, op3_embedding_near_dedup
 from aerostrata.llm.exact_dedup import OP1_SQL, op1_exact_dedup
 from aerostrata.llm.language import op9_language_id
+from aerostrata.llm.near_dedup import OP6_SQL, op6_minhash_near_dedup
 from aerostrata.llm.packing import op4_packing
 from aerostrata.llm.quality import op10_quality
 from aerostrata.llm.toxicity import op5_toxicity
@@ -22,10 +23,11 @@ def registered() -> dict[str, Query]:
         "op3_embedding_near_dedup": op3_embedding_near_dedup,
         "op4_packing": op4_packing,
         "op5_toxicity": op5_toxicity,
+        "op6_minhash_near_dedup": op6_minhash_near_dedup,
         "op9_language_id": op9_language_id,
         "op10_quality": op10_quality,
     }
 
 
 def oracle_queries() -> dict[str, str]:
-    return {"op1_exact_dedup": OP1_SQL}
+    return {"op1_exact_dedup": OP1_SQL, "op3_embedding_near_dedup": OP3_SQL, "op6_minhash_near_dedup": OP6_SQL}

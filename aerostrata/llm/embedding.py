@@ -255,3 +255,23 @@ def near_vectors(
 
 def op3_embedding_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return near_vectors(read(spark, folder, "embeddings"))
+
+
+OP3_SQL = """
+WITH RECURSIVE whole AS (
+  SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings
+  WHERE label IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links AS (
+  SELECT a.vec_id AS x, b.vec_id AS y FROM whole a JOIN whole b
+    ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+  WHERE list_cosine_similarity(a.v, b.v) >= 0.98),
+counts AS (SELECT x, count(*) AS n FROM links GROUP BY x),
+reached AS (
+  SELECT vec_id AS id, vec_id AS other FROM embeddings
+  UNION SELECT r.id, l.y FROM reached r JOIN links l ON l.x = r.other),
+parts AS (SELECT id, min(other) AS component_id FROM reached GROUP BY id)
+SELECT vec_id, coalesce(n, 0) AS n_links, component_id, vec_id = component_id AS kept
+FROM embeddings JOIN parts ON id = vec_id LEFT JOIN counts ON x = vec_id
+"""

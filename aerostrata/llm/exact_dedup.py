@@ -34,16 +34,8 @@ STATE_SETTINGS = {
 
 def located(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
     """(id, text, at) with the place of each row; frames that are no file scan are written first."""
-    content = docs.select(F.col(f"`{id_column}`").alias("id"), F.col(f"`{text_column}`").alias("text"))
-    try:
-        return _with_place(docs, id_column, text_column)
-    except AnalysisException:  # no file metadata below this frame
-        return _with_place(kept_table(content, "content"), "id", "text")
-
-
-def _with_place(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
     place = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row"))
-    return docs.select(
+    return scanned(docs).select(
         F.col(f"`{id_column}`").cast("bigint").alias("id"),
         F.coalesce(F.col(f"`{text_column}`"), F.lit("")).alias("text"),
         place.alias("at"),
@@ -129,7 +121,7 @@ def decide(docs: DataFrame, id_column: str, text_column: str, digest_bits: int =
         "groups",
     )
     # Equal digests of unequal bytes (never seen with 256 bits) are told apart by the bytes' groups.
-    mixed = groups.groupBy("digest").count().where("count > 1").select("digest")
+    mixed = kept_table(groups.groupBy("digest").count().where("count > 1").select("digest"), "mixed")
     plain = groups.join(mixed, "digest", "left_anti").select("digest", "last", "copies")
     decided = feed.join(mixed, "digest", "left_anti").join(plain, "digest", "left")
     split = (
@@ -153,18 +145,28 @@ def exact_dedup(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
     )
 
 
-def keep_first_copies(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns."""
+def scanned(docs: DataFrame) -> DataFrame:
+    """``docs`` if its rows have a place in files, else a written copy that has."""
     try:
-        docs.select("_metadata.file_path")
-    except AnalysisException:
-        docs = kept_table(docs, "content")
-    gone = decide(docs, id_column, text_column).where("at <> keep_at").select("at")
+        docs.select("_metadata.row_index")
+    except AnalysisException:  # no file metadata below this frame
+        return kept_table(docs, "content")
+    return docs
+
+
+def without(docs: DataFrame, gone: DataFrame) -> DataFrame:
+    """The rows of scanned ``docs`` at other places than those of ``gone`` (at), with all their columns."""
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
     place = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row"))
     return docs.select(row, place.alias("at")).join(gone, "at", "left_anti").select("row.*")
 
 
+def keep_first_copies(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """The rows of ``docs`` that stay, with all their columns."""
+    docs = scanned(docs)
+    return without(docs, decide(docs, id_column, text_column).where("at <> keep_at").select("at"))
+
+
 def op1_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup(read(spark, folder, "documents"))
 

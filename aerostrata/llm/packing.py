@@ -239,7 +239,8 @@ def pack(pieces: DataFrame, window: int = WINDOW) -> DataFrame:
     counts = {r.length: r.n for r in sizes.groupBy("length").agg(F.sum("n").alias("n")).collect()}
     table = plan(counts, window)
     before = F.sum("n").over(Window.partitionBy("length").orderBy("salt")) - F.col("n")
-    bases = sizes.select("length", "salt", before.alias("base"))
+    # Grows with the salts, so it is no broadcast; ranking has dealt the pieces by the same keys.
+    bases = sizes.select("length", "salt", before.alias("base")).hint("merge")
     # Rows that tie on all of these are the same, so a repeated task deals them alike.
     order = Window.partitionBy("length", "salt").orderBy("id", "start", "ids_crc32", "doc_tokens")
     ranked = salted.withColumn("rank", F.row_number().over(order) - 1).join(bases, ["length", "salt"])

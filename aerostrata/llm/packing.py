@@ -92,10 +92,11 @@ class ChunkEncoder:
         chunks = [t.split() for t in texts]
         if len(self.known) > CACHE:
             self.known = {}
-        new = [c.decode() for c in set().union(*chunks) - self.known.keys()]
+        known = self.known
+        new = [c.decode() for c in set().union(*chunks) if c not in known]
         simple = [c for c in new if SIMPLE.fullmatch(c) and "<|" not in c] if self.coder else []
         self._merge(simple)
-        others = [c for c in new if c.encode() not in self.known]
+        others = [c for c in new if c.encode() not in known]
         coded = self.tokenizer.encode_batch_fast(others, add_special_tokens=False)
         self.known.update((c.encode(), np.array(e.ids, "<u4").tobytes()) for c, e in zip(others, coded))
         return [b"".join(map(self.known.__getitem__, c)) for c in chunks]

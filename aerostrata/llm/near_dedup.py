@@ -7,9 +7,9 @@ screened by the Jaccard estimate, corrected for chance agreement, and verified o
 
 Only connectivity is wanted, so the pairs of a bucket are not all tried. First every member is tried
 with its bucket's smallest. Then, in rounds, the buckets that still hold several components are compared
-by tasks that keep, for every two components, the best few candidates not yet refuted, twice as many each round; one that
-verifies joins them. Rounds go on until no two components have a candidate left, so no link is
-lost. Large buckets are dealt out as pairs of blocks; members of the bucket's largest component need not meet.
+by tasks that keep, for every two components, the best few candidates not yet refuted; one that verifies joins them.
+Buckets that had more are compared again, with eight times as many kept, until all have given
+all their candidates, so no link is lost. Large buckets are dealt out as pairs of blocks; members of the bucket's largest component need not meet.
 
 Defined cases: null text equals empty text; documents without words have an empty set and link with
 nothing; repeated rows and identifiers count as documents with the same text or not; null identifiers never
@@ -24,7 +24,7 @@ from hashlib import blake2b
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from aerostrata.llm.common import kept_table, read, small_batches
@@ -37,6 +37,8 @@ SHARE = 75
 #: Standard deviations the estimate may fall short of the threshold.
 MARGIN = 5.0
 BLOCK = 2048
+#: Candidates a task keeps for every two components in the first round.
+FIRST_CANDIDATES = 8
 
 
 def documents_of(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
@@ -177,65 +179,99 @@ def open_buckets(members: DataFrame, labels: DataFrame, classes: DataFrame, refu
     )
 
 
-def compare_blocks(group: pd.DataFrame, share: int, most: int) -> pd.DataFrame:
-    """(a, b, ca, cb, estimate): the best ``most`` candidates of every two components in one task's blocks."""
-    regs = np.frombuffer(b"".join(group["registers"]), np.uint16).reshape(-1, BUCKETS)
-    n, cls, comp, block = (group[c].to_numpy() for c in ("n_shingles", "cls", "comp", "block"))
-    i, j, p = (int(group[c].iloc[0]) for c in ("i", "j", "p"))
-    # A block of others meets itself once, in its task with the first block of the largest component.
-    inside = j == p
-    first = np.flatnonzero(block == i)
-    refuted = {(a, b) for a, r in zip(cls.tolist(), group["refuted"]) if r is not None for b in r}
-    best: dict[tuple[int, int], list[tuple[float, int, int]]] = {}
-    for u in first:
-        other = comp != comp[u]
-        if inside:
-            other &= (block == j) | (cls > cls[u])
-        else:
-            other &= block == j
-        v = np.flatnonzero(other)
-        if not len(v):
-            continue
-        estimate, good = passes(regs[u][None, :], regs[v], n[u], n[v], share)
-        for w, e in zip(v[good], estimate[good]):
-            pair = (int(min(cls[u], cls[w])), int(max(cls[u], cls[w])))
-            if pair in refuted:
-                continue
-            ends = (int(min(comp[u], comp[w])), int(max(comp[u], comp[w])))
-            kept = best.setdefault(ends, [])
-            kept.append((-float(e), *pair))
-            if len(kept) > 4 * most:
-                kept.sort()
-                del kept[most:]
-    rows = [(a, b, *ends, -e) for ends, kept in best.items() for e, a, b in sorted(kept)[:most]]
-    return pd.DataFrame(rows, columns=["a", "b", "ca", "cb", "estimate"])
+PAIRS = 1 << 17
+
+
+def pair_chunks(first: int, n: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The pairs of rows ``first`` to ``first + n - 1``, at most about ``PAIRS`` at a time."""
+    step = max(1, PAIRS // n)
+    for start in range(0, n - 1, step):
+        u = np.arange(start, min(start + step, n - 1))
+        count = n - 1 - u
+        left = np.repeat(u, count)
+        right = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count) + left + 1
+        yield first + left, first + right
+
+
+def best_candidates(found: list[tuple], most: int) -> tuple[np.ndarray, ...]:
+    """Of candidates (group, ca, cb, estimate, a, b) the best ``most`` for a group and two components, and the cut groups."""
+    group, ca, cb, estimate, a, b = (np.concatenate(x) for x in zip(*found))
+    order = np.lexsort((b, a, -estimate, cb, ca, group))
+    group, ca, cb, estimate, a, b = (x[order] for x in (group, ca, cb, estimate, a, b))
+    fresh = np.ones(len(group), bool)
+    fresh[1:] = (group[1:] != group[:-1]) | (ca[1:] != ca[:-1]) | (cb[1:] != cb[:-1])
+    start = np.maximum.accumulate(np.where(fresh, np.arange(len(group)), 0))
+    keep = np.arange(len(group)) - start < most
+    return np.unique(group[~keep]), *(x[keep] for x in (group, ca, cb, estimate, a, b))
+
+
+def compare_groups(frame: pd.DataFrame, cuts: list[int], share: int, most: int) -> pd.DataFrame:
+    """Candidates (a, b, ca, cb) of the groups between ``cuts``; a row with ``key`` alone tells that a bucket had more."""
+    regs = np.frombuffer(b"".join(frame["registers"]), np.uint16).reshape(-1, BUCKETS)
+    key, n, cls, comp, block, i, j, p = (
+        frame[c].to_numpy() for c in ("key", "n_shingles", "cls", "comp", "block", "i", "j", "p")
+    )
+    refuted = {c: set(r) for c, r in zip(cls.tolist(), frame["refuted"]) if r is not None}
+    found: list[tuple] = []
+    cut: list[np.ndarray] = []
+    waiting: list[tuple] = []
+
+    def weigh() -> None:
+        if not waiting:
+            return
+        u, v = (np.concatenate(x) for x in zip(*waiting))
+        waiting.clear()
+        # A block of others meets itself once, in its task with the first block of the largest component.
+        meet = (block[u] != block[v]) | ((block[u] == i[u]) & (j[u] == p[u]))
+        possible = 100 * np.minimum(n[u], n[v]) >= share * np.maximum(n[u], n[v])
+        ok = meet & possible & (comp[u] != comp[v])
+        u, v = u[ok], v[ok]
+        estimate, good = passes(regs[u], regs[v], n[u], n[v], share)
+        u, v, estimate = u[good], v[good], estimate[good]
+        a, b = np.minimum(cls[u], cls[v]), np.maximum(cls[u], cls[v])
+        new = np.array([y not in refuted.get(x, ()) for x, y in zip(a.tolist(), b.tolist())], bool)
+        ends = np.minimum(comp[u], comp[v]), np.maximum(comp[u], comp[v])
+        found.append(tuple(x[new] for x in (key[u], *ends, estimate, a, b)))
+        if sum(len(f[0]) for f in found) > PAIRS:
+            more, *kept = best_candidates(found, most)
+            cut.append(more)
+            found[:] = [tuple(kept)]
+
+    held = 0
+    for first, last in zip(cuts, cuts[1:]):
+        for u, v in pair_chunks(first, last - first):
+            waiting.append((u, v))
+            held += len(u)
+            if held > PAIRS:
+                weigh()
+                held = 0
+    weigh()
+    none = {c: np.zeros(0, np.int64) for c in ("a", "b", "ca", "cb", "key")}
+    if not found:
+        return pd.DataFrame(none)
+    more, _, ca, cb, _, a, b = best_candidates(found, most)
+    more = np.unique(np.concatenate([*cut, more]))
+    rows = pd.DataFrame({"a": a, "b": b, "ca": ca, "cb": cb}).astype("Int64")
+    return pd.concat([rows, pd.DataFrame({"key": more}).astype("Int64")], ignore_index=True)
 
 
 def candidates(tasks: DataFrame, share: int, most: int) -> DataFrame:
-    """Candidates (a, b, ca, cb) between components, at most ``most`` for every two."""
+    """Candidates (a, b, ca, cb), at most ``most`` of a task for every two components, and keys of buckets with more."""
     names = ["key", "i", "j"]
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rest = None
         for frame in frames:
             frame = frame if rest is None else pd.concat([rest, frame], ignore_index=True)
-            keys = frame[names].to_numpy()
-            cuts = [0, *(np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1).tolist()]
-            yield from _compared(frame, cuts)
-            rest = frame.iloc[cuts[-1] :]
+            ids = frame[names].to_numpy()
+            cuts = [0, *(np.flatnonzero((ids[1:] != ids[:-1]).any(axis=1)) + 1).tolist()]
+            yield compare_groups(frame, cuts, share, most)
+            rest = frame.iloc[cuts[-1] :].reset_index(drop=True)
         if rest is not None and len(rest):
-            yield compare_blocks(rest, share, most)
-
-    def _compared(frame: pd.DataFrame, cuts: list[int]) -> Iterator[pd.DataFrame]:
-        for a, b in zip(cuts, cuts[1:]):
-            found = compare_blocks(frame.iloc[a:b], share, most)
-            if len(found):
-                yield found
+            yield compare_groups(rest, [0, len(rest)], share, most)
 
     dealt = tasks.repartition(*names).sortWithinPartitions(*names, "cls")
-    found = dealt.mapInPandas(run, "a bigint, b bigint, ca bigint, cb bigint, estimate double").distinct()
-    best = Window.partitionBy("ca", "cb").orderBy(F.desc("estimate"), "a", "b")
-    return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= most).select("a", "b", "ca", "cb")
+    return dealt.mapInPandas(run, "a bigint, b bigint, ca bigint, cb bigint, key bigint").distinct()
 
 
 def decide(docs: DataFrame, share: int) -> DataFrame:
@@ -257,16 +293,20 @@ def decide(docs: DataFrame, share: int) -> DataFrame:
     tried = kept_table(verify(screen(stars, wanted, share), sets, share), "tried")
     refuted = tried.where("NOT linked").select("a", "b")
     labels = relabel(wanted.select("cls", F.col("cls").alias("comp")), tried.where("linked").select("a", "b"))
-    most = 1
+    most = FIRST_CANDIDATES
     while True:
         found = kept_table(candidates(open_buckets(members, labels, wanted, refuted), share, most), "candidates")
-        if found.isEmpty():
+        pairs = found.where("key IS NULL").drop("key")
+        tried = kept_table(verify(pairs.select("a", "b"), sets, share), "tried")
+        linked = pairs.join(tried.where("linked"), ["a", "b"]).select(F.col("ca").alias("a"), F.col("cb").alias("b"))
+        labels = relabel(labels, linked)
+        # Buckets that gave all their candidates are done; the others are compared again without those refuted.
+        more = found.where("key IS NOT NULL").select("key").distinct()
+        if more.isEmpty():
             break
-        tried = kept_table(verify(found.select("a", "b"), sets, share), "tried")
+        members = kept_table(members.join(more, "key", "left_semi"), "members")
         refuted = kept_table(refuted.union(tried.where("NOT linked").select("a", "b")), "refuted")
-        linked = found.join(tried.where("linked"), ["a", "b"]).select(F.col("ca").alias("a"), F.col("cb").alias("b"))
-        labels = relabel(labels, linked)
-        most *= 2
+        most *= 8
 
     named = classes.select("digest", "cls", "id").join(labels, "cls", "left").withColumn("comp", F.coalesce("comp", "cls"))
     least = named.groupBy("comp").agg(F.min("id").alias("component_id"))

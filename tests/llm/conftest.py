@@ -1,0 +1,22 @@
+import pytest
+
+from aerostrata.llm.common import workers_import
+
+
+@pytest.fixture(autouse=True)
+def importable(spark):
+    workers_import(spark)
+
+
+DOCUMENTS = "doc_id bigint, text string, lang string, source string, n_chars bigint, digest string, id string, at string"
+
+
+@pytest.fixture
+def documents(spark):
+    """Documents with further columns whose names the operators also use."""
+
+    def make(*rows):
+        full = [(i, t, lang[0] if lang else "en", "s", 0, "x", "y", "z") for i, t, *lang in rows]
+        return spark.createDataFrame(full, DOCUMENTS)
+
+    return make

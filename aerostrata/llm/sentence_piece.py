@@ -250,7 +250,7 @@ def encode_documents(docs: DataFrame, model_path: str, id_column: str = "doc_id"
 def decode_documents(encoded: DataFrame, model_path: str, ids_column: str = "ids") -> DataFrame:
     """``encoded`` with the text its ids stand for, as decoded."""
     model = _model(encoded.sparkSession, model_path)
-    at = encoded.columns.index(ids_column)
+    names, at = encoded.columns, encoded.columns.index(ids_column)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         decode = coder(model.value).decode
@@ -259,7 +259,7 @@ def decode_documents(encoded: DataFrame, model_path: str, ids_column: str = "ids
             ends, flat = column.offsets.to_numpy(), column.values.to_numpy(zero_copy_only=False)
             texts = decode([flat[a:b] for a, b in zip(ends, ends[1:])])
             texts = [t if ok else None for t, ok in zip(texts, column.is_valid().to_pylist())]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], [*encoded.columns, "decoded"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], [*names, "decoded"])
 
     return encoded.mapInArrow(run, T.StructType([*encoded.schema.fields, T.StructField("decoded", T.StringType())]))
 
@@ -272,7 +272,7 @@ def model_path() -> str:
 
 def with_digest(encoded: DataFrame, ids_column: str = "ids") -> DataFrame:
     """``encoded`` with n_ids and ids_crc32, of the ids as little-endian unsigned 32-bit numbers."""
-    at = encoded.columns.index(ids_column)
+    names, at = encoded.columns, encoded.columns.index(ids_column)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -283,7 +283,7 @@ def with_digest(encoded: DataFrame, ids_column: str = "ids") -> DataFrame:
             size = [b - a for a, b in zip(ends, ends[1:])]
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(size, pa.int64()), pa.array(crc, pa.int64())],
-                [*encoded.columns, "n_ids", "ids_crc32"],
+                [*names, "n_ids", "ids_crc32"],
             )
 
     more = [T.StructField(n, T.LongType()) for n in ("n_ids", "ids_crc32")]

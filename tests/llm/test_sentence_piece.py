@@ -1,0 +1,72 @@
+"""Ids against the model's own encoder, and exact round trips."""
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from aerostrata.llm import sentence_piece as op
+
+TEXTS = [
+    None, "", " ", "  a  b\tc\n\nd ", "ﬁ é 你 😀 ▁", "the" * 400, "a" * 700, "ab" * 200 + "é" * 50, "word " * 30_000,
+    "ationaltionsinging" * 40, "<s> </s> <0x41> <unk>", "²." * 3 + "x²y",
+]
+
+
+@pytest.fixture(scope="module")
+def coder():
+    with open(op.model_path(), "rb") as file:
+        return op.Coder(file.read())
+
+
+def samples():
+    rng = random.Random(1)
+    letters = "abcdetinsz'.,!<|/w>0129 ÉéßÀ÷×_-\"ABC\n  你好😀²"
+    texts = ["".join(rng.choices(letters, k=rng.randint(1, 60))) for _ in range(2500)]
+    syllables = ["th", "er", "in", "ation", "s", "the", "al", "ly", "ing", " "]
+    return texts + ["".join(rng.choices(syllables, k=200)) for _ in range(150)]
+
+
+def test_ids_equal_the_encoder(coder):
+    texts = [t for t in TEXTS if t is not None] + samples()
+    plain = coder.pieces.processor.encode(texts)
+    assert [x.tolist() for x in coder.encode(texts)] == plain
+    assert coder.decode([x for x in coder.encode(texts)]) == coder.pieces.processor.decode(plain)
+
+
+def test_long_words_need_a_small_window(coder):
+    word = "".join(random.Random(2).choices(["th", "er", "in", "ation", "ing"], k=30_000))
+    stream = op.StreamingViterbi(coder.pieces)
+    ids = list(stream.ids(coder.pieces.processor.normalize(word)))
+    assert ids == coder.pieces.processor.encode(word)
+    assert stream.widest <= 6 * coder.pieces.longest
+
+
+def test_ids_are_committed_before_the_text_ends(coder):
+    given = []
+
+    def characters():
+        for c in "▁" + "thering" * 200:
+            given.append(c)
+            yield c
+
+    next(op.StreamingViterbi(coder.pieces).ids(characters()))
+    assert len(given) <= 6 * coder.pieces.longest
+
+
+def test_documents_round_trip(documents, coder):
+    rows = list(enumerate(TEXTS)) + [(3, TEXTS[3]), (None, "nobody")]
+    path = op.model_path()
+    found = op.decode_documents(op.with_digest(op.encode_documents(documents(*rows), path)), path).collect()
+    plain = {i: coder.pieces.processor.encode(t or "") for i, t in rows}
+    for r in found:
+        assert list(r.ids) == plain[r.doc_id] and r.n_ids == len(r.ids)
+        assert r.decoded == r.text or "▁" in r.text
+    assert len(found) == len(rows)
+
+
+def test_null_ids_and_empty_table(spark, documents):
+    encoded = op.encode_documents(documents((1, "a")), op.model_path())
+    nulls = encoded.withColumn("ids", F.when(F.lit(False), F.col("ids")))
+    assert op.decode_documents(nulls, op.model_path()).first().decoded is None
+    assert op.encode_documents(documents((1, "a")).limit(0), op.model_path()).count() == 0

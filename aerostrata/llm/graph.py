@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from aerostrata.llm.common import kept_table
@@ -14,36 +14,35 @@ def components(links: DataFrame) -> DataFrame:
     Alternates two rewritings of the links until they no longer change: every node links its larger
     neighbours to its smallest one, then every node links its smaller neighbours and itself to the
     smallest. A node with very many links only ever sends them on one by one; minima are combined
-    before the shuffle. Each round is written to the shared folder.
+    before the shuffle. Each round is written to the shared folder, with a checksum that tells
+    whether the links have changed.
     """
-    edges = kept_table(
-        links.select(F.least("a", "b").alias("low"), F.greatest("a", "b").alias("high")).where("low < high").distinct(),
-        "links",
-    )
-    while True:
-        both = edges.select("low", "high").union(edges.select(F.col("high").alias("low"), F.col("low").alias("high")))
-        lowest = both.groupBy("low").agg(F.min("high").alias("m")).select(
-            F.col("low").alias("node"), F.least("low", "m").alias("m")
-        )
+    low, high = F.least("a", "b").alias("low"), F.greatest("a", "b").alias("high")
+    edges, before = _checked(links.select(low, high).where("low < high").distinct())
+    while before[0]:
+        both = edges.union(edges.select(F.col("high").alias("low"), F.col("low").alias("high")))
+        lowest = both.groupBy(F.col("low").alias("node")).agg(F.min("high").alias("m"))
+        lowest = lowest.select("node", F.least("node", "m").alias("m"))
         # Larger neighbours of each node go to the smallest of the node and its neighbours.
-        large = (
-            edges.join(lowest, edges.low == lowest.node).select(F.col("m").alias("low"), "high").where("low < high")
-            .distinct()
-        )
+        large = kept_table(
+            edges.join(lowest, edges.low == lowest.node).select(F.col("m").alias("low"), "high").where("low < high"), "links"
+        )
         # Smaller neighbours of each node, and the node itself, go to the smallest of them.
-        large = kept_table(large, "links")
-        least = large.groupBy("high").agg(F.min("low").alias("m")).withColumnRenamed("high", "node")
-        small = (
-            large.join(least, large.high == least.node).select(F.col("m").alias("low"), F.col("low").alias("high"))
-            .where("low < high").union(least.select(F.col("m").alias("low"), F.col("node").alias("high"))).distinct()
-        )
-        small = kept_table(small, "links")
-        change = small.join(edges, ["low", "high"], "left_anti").limit(1).count()
-        done = not change and small.count() == edges.count()
-        edges = small
-        if done:
+        least = large.groupBy(F.col("high").alias("node")).agg(F.min("low").alias("m"))
+        small = large.join(least, large.high == least.node).select(F.col("m").alias("low"), F.col("low").alias("high"))
+        small = small.where("low < high").union(least.select(F.col("m").alias("low"), F.col("node").alias("high")))
+        edges, after = _checked(small.distinct())
+        if after == before:
             break
-    # At the fixed point every link leads from a node to its component's smallest.
-    found = edges.groupBy("high").agg(F.min("low").alias("component")).withColumnRenamed("high", "id")
-    roots = edges.select(F.col("low").alias("id")).distinct().withColumn("component", F.col("id"))
-    return found.union(roots)
+        before = after
+    # At the fixed point every link leads from a component's smallest to another of its nodes.
+    found = edges.select(F.col("high").alias("id"), F.col("low").alias("component"))
+    return found.union(edges.select(F.col("low").alias("id"), F.col("low").alias("component")).distinct())
+
+
+def _checked(edges: DataFrame) -> tuple[DataFrame, tuple]:
+    """Distinct links, written, and their number and checksums."""
+    seen = Observation()
+    sums = [F.bit_xor(F.xxhash64(F.lit(i), "low", "high")).alias(f"sum{i}") for i in range(2)]
+    table = kept_table(edges.observe(seen, F.count(F.lit(1)).alias("n"), *sums), "links")
+    return table, (seen.get["n"], seen.get["sum0"], seen.get["sum1"])

@@ -6,10 +6,11 @@ classes to band buckets; bands without any shingle deal nothing. Candidates from
 screened by the Jaccard estimate, corrected for chance agreement, and verified on their full sets.
 
 Only connectivity is wanted, so the pairs of a bucket are not all tried. First every member is tried
-with its bucket's smallest. Then, in rounds, the buckets that still hold several components are compared
-by tasks that keep, for every two components, the best few candidates not yet refuted; one that verifies joins them.
-Buckets that had more are compared again, with eight times as many kept, until all have given
-all their candidates, so no link is lost. Large buckets are dealt out as pairs of blocks; members of the bucket's largest component need not meet.
+with its bucket's smallest. Then the buckets that still hold several components are compared by tasks, each pair in
+its first common bucket: for every two components the best few candidates are kept and verified. Buckets that had more
+candidates than that are compared again by tasks that hold the full sets, verify every candidate of components not
+joined yet, and send on the links alone. So no link is lost, and no task sends the pairs of a large group.
+Large buckets are dealt out as pairs of blocks; members of the bucket's largest component need not meet.
 
 Defined cases: null text equals empty text; documents without words have an empty set and link with
 nothing; repeated rows and identifiers count as documents with the same text or not; null identifiers never
@@ -37,8 +38,10 @@ SHARE = 75
 #: Standard deviations the estimate may fall short of the threshold.
 MARGIN = 5.0
 BLOCK = 2048
-#: Candidates a task keeps for every two components in the first round.
-FIRST_CANDIDATES = 8
+#: Members of a block that travel with their full sets.
+SET_BLOCK = 512
+#: Candidates a task keeps for every two components.
+CANDIDATES = 16
 
 
 def documents_of(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
@@ -110,57 +113,52 @@ def screen(pairs: DataFrame, classes: DataFrame, share: int) -> DataFrame:
 
 
 def verify(pairs: DataFrame, sets: DataFrame, share: int) -> DataFrame:
-    """(a, b, linked): whether the full sets have ``share`` hundredths of their union in common."""
+    """The pairs (a, b) whose full sets have ``share`` hundredths of their union in common."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            linked = []
-            for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                common = len(np.intersect1d(x, y, assume_unique=True))
-                linked.append(100 * common >= share * (len(x) + len(y) - common))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(linked, pa.bool_())], ["a", "b", "linked"]
-            )
+            pairs = zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())
+            same = [linked(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), share) for x, y in pairs]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(same, pa.bool_()))
 
     left, right = sets.toDF("a", "left"), sets.toDF("b", "right")
     return pairs.join(left, "a").join(right, "b").select("a", "b", "left", "right").mapInArrow(
-        run, "a bigint, b bigint, linked boolean"
+        run, "a bigint, b bigint"
     )
 
 
 def band_rows(classes: DataFrame) -> DataFrame:
-    """(key, cls): the classes in their band buckets."""
+    """(key, band, cls): the classes in their band buckets."""
     width = 2 * ROWS
-    band = F.expr(f"substring(registers, band * {width} + 1, {width})")
+    part = F.expr(f"substring(registers, band * {width} + 1, {width})")
     return (
         classes.select("cls", "registers", F.explode(F.sequence(F.lit(0), F.lit(BUCKETS // ROWS - 1))).alias("band"))
-        .select("cls", "band", band.alias("part")).where(F.col("part") != F.lit(bytes(width)))
-        .select(F.xxhash64("band", "part").alias("key"), "cls")
+        .select("cls", "band", part.alias("part")).where(F.col("part") != F.lit(bytes(width)))
+        .select(F.xxhash64("band", "part").alias("key"), "band", "cls")
     )
 
 
 def bucket_members(classes: DataFrame) -> DataFrame:
-    """(key, cls) of the buckets with two members or more; of buckets with the same members one."""
+    """(key, cls, band, least) of the buckets with two members or more; of buckets with the same members the first."""
     bands = band_rows(classes)
-    sums = [F.sum(F.shiftright(F.xxhash64("cls", F.lit(i)), 24)).alias(f"sum{i}") for i in range(2)]
+    marks = [F.bit_xor(F.xxhash64("cls", F.lit(i))).alias(f"mark{i}") for i in range(2)]
     buckets = (
-        bands.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("cls").alias("least"), *sums).where("n > 1")
-        .groupBy("n", "sum0", "sum1").agg(F.min(F.struct("key", "least")).alias("kept")).select("kept.key", "kept.least")
+        bands.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("band").alias("band"), F.min("cls").alias("least"), *marks)
+        .where("n > 1").groupBy("n", "mark0", "mark1").agg(F.min(F.struct("band", "key", "least")).alias("kept")).select("kept.*")
     )
-    return kept_table(bands.join(buckets, "key"), "members")
+    return kept_table(bands.select("key", "cls").join(buckets, "key"), "members")
 
 
-def open_buckets(members: DataFrame, labels: DataFrame, classes: DataFrame, refuted: DataFrame) -> DataFrame:
-    """The members of buckets with several components, dealt to tasks (key, i, j) as pairs of blocks."""
-    named = members.select("key", "cls").join(labels, "cls")
+def open_buckets(members: DataFrame, labels: DataFrame, details: DataFrame, size: int) -> DataFrame:
+    """The members of buckets with several components, dealt to tasks (key, i, j) as pairs of blocks of about ``size``."""
+    named = members.select("key", "band", "cls").join(labels, "cls")
     parts = named.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("n"))
     buckets = (
         parts.groupBy("key").agg(F.count(F.lit(1)).alias("parts"), F.sum("n").alias("n"), F.max(F.struct("n", "comp")).alias("major"))
         .where("parts > 1").select(
             "key", F.col("major.comp").alias("major"),
-            F.ceil((F.col("n") - F.col("major.n")) / BLOCK).cast("int").alias("p"),
-            F.ceil(F.col("major.n") / BLOCK).cast("int").alias("q"),
+            F.ceil((F.col("n") - F.col("major.n")) / size).cast("int").alias("p"),
+            F.ceil(F.col("major.n") / size).cast("int").alias("q"),
         )
     )
     # Blocks 0 to p-1 hold the others, p to p+q-1 the largest component.
@@ -169,12 +167,11 @@ def open_buckets(members: DataFrame, labels: DataFrame, classes: DataFrame, refu
     partners = F.when(F.col("block") < F.col("p"), F.sequence(F.lit(0), F.col("p") + F.col("q") - 1)).otherwise(
         F.sequence(F.lit(0), F.col("p") - 1)
     )
-    failures = refuted.groupBy("a").agg(F.collect_set("b").alias("refuted")).withColumnRenamed("a", "cls")
-    details = classes.select("cls", "registers", "n_shingles").join(failures, "cls", "left")
     return (
         named.join(buckets, "key").withColumn("block", block.cast("int"))
         .withColumn("partner", F.explode(partners)).where("block <> partner")
-        .select("key", F.least("block", "partner").alias("i"), F.greatest("block", "partner").alias("j"), "block", "p", "cls", "comp")
+        .select("key", F.least("block", "partner").alias("i"), F.greatest("block", "partner").alias("j"),
+                "band", "block", "p", "cls", "comp")
         .join(details, "cls")
     )
 
@@ -194,33 +191,25 @@ def pair_chunks(first: int, n: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
 
 
 def best_candidates(found: list[tuple], most: int) -> tuple[np.ndarray, ...]:
-    """Of candidates (group, ca, cb, estimate, a, b) the best ``most`` for a group and two components, and the cut groups."""
-    group, ca, cb, estimate, a, b = (np.concatenate(x) for x in zip(*found))
-    order = np.lexsort((b, a, -estimate, cb, ca, group))
-    group, ca, cb, estimate, a, b = (x[order] for x in (group, ca, cb, estimate, a, b))
+    """Of candidates (group, ca, cb, estimate, u, v) the best ``most`` for a group and two components, and the cut groups."""
+    group, ca, cb, estimate, u, v = (np.concatenate(x) for x in zip(*found))
+    order = np.lexsort((v, u, -estimate, cb, ca, group))
+    group, ca, cb, estimate, u, v = (x[order] for x in (group, ca, cb, estimate, u, v))
     fresh = np.ones(len(group), bool)
     fresh[1:] = (group[1:] != group[:-1]) | (ca[1:] != ca[:-1]) | (cb[1:] != cb[:-1])
     start = np.maximum.accumulate(np.where(fresh, np.arange(len(group)), 0))
     keep = np.arange(len(group)) - start < most
-    return np.unique(group[~keep]), *(x[keep] for x in (group, ca, cb, estimate, a, b))
+    return np.unique(group[~keep]), *(x[keep] for x in (group, ca, cb, estimate, u, v))
 
 
-def compare_groups(frame: pd.DataFrame, cuts: list[int], share: int, most: int) -> pd.DataFrame:
-    """Candidates (a, b, ca, cb) of the groups between ``cuts``; a row with ``key`` alone tells that a bucket had more."""
+def group_candidates(frame: pd.DataFrame, cuts: list[int], share: int) -> Iterator[tuple[np.ndarray, ...]]:
+    """Candidates (key, ca, cb, estimate, u, v) of the groups between ``cuts``, u and v being rows of ``frame``."""
     regs = np.frombuffer(b"".join(frame["registers"]), np.uint16).reshape(-1, BUCKETS)
-    key, n, cls, comp, block, i, j, p = (
-        frame[c].to_numpy() for c in ("key", "n_shingles", "cls", "comp", "block", "i", "j", "p")
+    key, band, n, comp, block, i, j, p = (
+        frame[c].to_numpy() for c in ("key", "band", "n_shingles", "comp", "block", "i", "j", "p")
     )
-    refuted = {c: set(r) for c, r in zip(cls.tolist(), frame["refuted"]) if r is not None}
-    found: list[tuple] = []
-    cut: list[np.ndarray] = []
-    waiting: list[tuple] = []
-
-    def weigh() -> None:
-        if not waiting:
-            return
-        u, v = (np.concatenate(x) for x in zip(*waiting))
-        waiting.clear()
+
+    def weigh(u: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, ...]:
         # A block of others meets itself once, in its task with the first block of the largest component.
         meet = (block[u] != block[v]) | ((block[u] == i[u]) & (j[u] == p[u]))
         possible = 100 * np.minimum(n[u], n[v]) >= share * np.maximum(n[u], n[v])
@@ -228,35 +217,72 @@ def compare_groups(frame: pd.DataFrame, cuts: list[int], share: int, most: int)
         u, v = u[ok], v[ok]
         estimate, good = passes(regs[u], regs[v], n[u], n[v], share)
         u, v, estimate = u[good], v[good], estimate[good]
-        a, b = np.minimum(cls[u], cls[v]), np.maximum(cls[u], cls[v])
-        new = np.array([y not in refuted.get(x, ()) for x, y in zip(a.tolist(), b.tolist())], bool)
-        ends = np.minimum(comp[u], comp[v]), np.maximum(comp[u], comp[v])
-        found.append(tuple(x[new] for x in (key[u], *ends, estimate, a, b)))
+        common = ((regs[u] == regs[v]).reshape(-1, BUCKETS // ROWS, ROWS).all(axis=2)) & (
+            regs[u].reshape(-1, BUCKETS // ROWS, ROWS) > 0
+        ).any(axis=2)
+        first = common.argmax(axis=1) == band[u]
+        u, v, estimate = u[first], v[first], estimate[first]
+        return key[u], np.minimum(comp[u], comp[v]), np.maximum(comp[u], comp[v]), estimate, u, v
+
+    waiting: list[tuple[np.ndarray, np.ndarray]] = []
+    for first, last in zip(cuts, cuts[1:]):
+        for pair in pair_chunks(first, last - first):
+            waiting.append(pair)
+            if sum(len(u) for u, _ in waiting[-64:]) > PAIRS or len(waiting) >= 4096:
+                yield weigh(*(np.concatenate(x) for x in zip(*waiting)))
+                waiting = []
+    if waiting:
+        yield weigh(*(np.concatenate(x) for x in zip(*waiting)))
+
+
+def few_candidates(frame: pd.DataFrame, cuts: list[int], share: int, most: int) -> pd.DataFrame:
+    """(a, b, ca, cb), at most ``most`` of a group for two components; a row with ``key`` alone tells that a group had more."""
+    found: list[tuple] = []
+    cut = [np.zeros(0, np.int64)]
+    for part in group_candidates(frame, cuts, share):
+        found.append(part)
         if sum(len(f[0]) for f in found) > PAIRS:
             more, *kept = best_candidates(found, most)
             cut.append(more)
-            found[:] = [tuple(kept)]
-
-    held = 0
-    for first, last in zip(cuts, cuts[1:]):
-        for u, v in pair_chunks(first, last - first):
-            waiting.append((u, v))
-            held += len(u)
-            if held > PAIRS:
-                weigh()
-                held = 0
-    weigh()
-    none = {c: np.zeros(0, np.int64) for c in ("a", "b", "ca", "cb", "key")}
+            found = [tuple(kept)]
     if not found:
-        return pd.DataFrame(none)
-    more, _, ca, cb, _, a, b = best_candidates(found, most)
-    more = np.unique(np.concatenate([*cut, more]))
-    rows = pd.DataFrame({"a": a, "b": b, "ca": ca, "cb": cb}).astype("Int64")
-    return pd.concat([rows, pd.DataFrame({"key": more}).astype("Int64")], ignore_index=True)
-
-
-def candidates(tasks: DataFrame, share: int, most: int) -> DataFrame:
-    """Candidates (a, b, ca, cb), at most ``most`` of a task for every two components, and keys of buckets with more."""
+        return pd.DataFrame({c: np.zeros(0, np.int64) for c in ("a", "b", "ca", "cb", "key")})
+    more, _, ca, cb, _, u, v = best_candidates(found, most)
+    cls = frame["cls"].to_numpy()
+    rows = pd.DataFrame({"a": np.minimum(cls[u], cls[v]), "b": np.maximum(cls[u], cls[v]), "ca": ca, "cb": cb}).astype("Int64")
+    keys = pd.DataFrame({"key": np.unique(np.concatenate([*cut, more]))}).astype("Int64")
+    return pd.concat([rows, keys], ignore_index=True)
+
+
+def verified_links(frame: pd.DataFrame, cuts: list[int], share: int) -> pd.DataFrame:
+    """(a, b): links between components, those of a forest; candidates are verified on the full sets in ``hashes``."""
+    sets = [np.frombuffer(h, np.uint64) for h in frame["hashes"]]
+    root: dict[int, int] = {}
+
+    def find(c: int) -> int:
+        while root.get(c, c) != c:
+            c = root[c]
+        return c
+
+    links = []
+    for _, ca, cb, estimate, u, v in group_candidates(frame, cuts, share):
+        for k in np.argsort(-estimate, kind="stable").tolist():
+            a, b = find(int(ca[k])), find(int(cb[k]))
+            if a != b and linked(sets[u[k]], sets[v[k]], share):
+                root[max(a, b)] = min(a, b)
+                links.append((int(ca[k]), int(cb[k])))
+    return pd.DataFrame(links, columns=["a", "b"], dtype=np.int64)
+
+
+def linked(x: np.ndarray, y: np.ndarray, share: int) -> bool:
+    """Whether two sorted sets have ``share`` hundredths of their union in common."""
+    at = np.searchsorted(y, x)
+    common = int((y[np.minimum(at, len(y) - 1)] == x).sum())
+    return 100 * common >= share * (len(x) + len(y) - common)
+
+
+def by_group(tasks: DataFrame, f, schema: str) -> DataFrame:
+    """``f(frame, cuts)`` on the groups (key, i, j) of ``tasks``; a task streams those dealt to it."""
     names = ["key", "i", "j"]
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -265,13 +291,13 @@ def candidates(tasks: DataFrame, share: int, most: int) -> DataFrame:
             frame = frame if rest is None else pd.concat([rest, frame], ignore_index=True)
             ids = frame[names].to_numpy()
             cuts = [0, *(np.flatnonzero((ids[1:] != ids[:-1]).any(axis=1)) + 1).tolist()]
-            yield compare_groups(frame, cuts, share, most)
+            if len(cuts) > 1:
+                yield f(frame, cuts)
             rest = frame.iloc[cuts[-1] :].reset_index(drop=True)
         if rest is not None and len(rest):
-            yield compare_groups(rest, [0, len(rest)], share, most)
+            yield f(rest, [0, len(rest)])
 
-    dealt = tasks.repartition(*names).sortWithinPartitions(*names, "cls")
-    return dealt.mapInPandas(run, "a bigint, b bigint, ca bigint, cb bigint, key bigint").distinct()
+    return tasks.repartition(*names).sortWithinPartitions(*names, "cls").mapInPandas(run, schema)
 
 
 def decide(docs: DataFrame, share: int) -> DataFrame:
@@ -290,23 +316,20 @@ def decide(docs: DataFrame, share: int) -> DataFrame:
 
     # First every member with its bucket's smallest.
     stars = members.where("cls <> least").select(F.col("least").alias("a"), F.col("cls").alias("b")).distinct()
-    tried = kept_table(verify(screen(stars, wanted, share), sets, share), "tried")
-    refuted = tried.where("NOT linked").select("a", "b")
-    labels = relabel(wanted.select("cls", F.col("cls").alias("comp")), tried.where("linked").select("a", "b"))
-    most = FIRST_CANDIDATES
-    while True:
-        found = kept_table(candidates(open_buckets(members, labels, wanted, refuted), share, most), "candidates")
-        pairs = found.where("key IS NULL").drop("key")
-        tried = kept_table(verify(pairs.select("a", "b"), sets, share), "tried")
-        linked = pairs.join(tried.where("linked"), ["a", "b"]).select(F.col("ca").alias("a"), F.col("cb").alias("b"))
-        labels = relabel(labels, linked)
-        # Buckets that gave all their candidates are done; the others are compared again without those refuted.
-        more = found.where("key IS NOT NULL").select("key").distinct()
-        if more.isEmpty():
-            break
-        members = kept_table(members.join(more, "key", "left_semi"), "members")
-        refuted = kept_table(refuted.union(tried.where("NOT linked").select("a", "b")), "refuted")
-        most *= 8
+    labels = wanted.select("cls", F.col("cls").alias("comp"))
+    labels = relabel(labels, verify(screen(stars, wanted, share), sets, share))
+    # Then a few candidates for every two components of a bucket.
+    tasks = open_buckets(members, labels, wanted, BLOCK)
+    schema = "a bigint, b bigint, ca bigint, cb bigint, key bigint"
+    found = kept_table(by_group(tasks, lambda frame, cuts: few_candidates(frame, cuts, share, CANDIDATES), schema), "candidates")
+    pairs = found.where("key IS NULL").drop("key")
+    links = pairs.join(verify(pairs.select("a", "b"), sets, share), ["a", "b"])
+    labels = relabel(labels, links.select(F.col("ca").alias("a"), F.col("cb").alias("b")))
+    # Then all candidates of the buckets that had more.
+    crowded = members.join(found.where("key IS NOT NULL").select("key").distinct(), "key", "left_semi")
+    tasks = open_buckets(crowded, labels, wanted.join(sets, "cls"), SET_BLOCK)
+    links = by_group(tasks, lambda frame, cuts: verified_links(frame, cuts, share), "a bigint, b bigint")
+    labels = relabel(labels, links)
 
     named = classes.select("digest", "cls", "id").join(labels, "cls", "left").withColumn("comp", F.coalesce("comp", "cls"))
     least = named.groupBy("comp").agg(F.min("id").alias("component_id"))

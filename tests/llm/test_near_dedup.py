@@ -63,7 +63,8 @@ def test_components(documents, corpus):
 
 def test_blocks_and_rounds_lose_nothing(documents, corpus, monkeypatch):
     monkeypatch.setattr(op, "BLOCK", 3)
-    monkeypatch.setattr(op, "FIRST_CANDIDATES", 1)
+    monkeypatch.setattr(op, "SET_BLOCK", 2)
+    monkeypatch.setattr(op, "CANDIDATES", 0)
     found = op.near_components(documents(*corpus)).collect()
     assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in found) == plain_components(corpus)
 

@@ -124,11 +124,12 @@ def decide(docs: DataFrame, id_column: str, text_column: str, digest_bits: int =
     mixed = kept_table(groups.groupBy("digest").count().where("count > 1").select("digest"), "mixed")
     plain = groups.join(mixed, "digest", "left_anti").select("digest", "last", "copies")
     decided = feed.join(mixed, "digest", "left_anti").join(plain, "digest", "left")
-    split = (
-        texts.join(mixed, "digest", "left_semi").select("digest", "id", "at", F.sha2("text", 512).alias("full"))
-        .join(groups, ["digest", "full"]).select("digest", "id", "at", "last", "copies")
-    )
-    return decided.select("digest", "id", "at", "last", "copies").unionByName(split).select(
+    decided = decided.select("digest", "id", "at", "last", "copies")
+    if not mixed.isEmpty():
+        split = texts.join(mixed, "digest", "left_semi").select("digest", "id", "at", F.sha2("text", 512).alias("full"))
+        split = split.join(groups, ["digest", "full"]).select("digest", "id", "at", "last", "copies")
+        decided = decided.unionByName(split)
+    return decided.select(
         "id", "at",
         F.when(F.col("copies").isNull(), F.col("id")).otherwise(F.col("last.id")).alias("keep_id"),
         F.coalesce("last.at", "at").alias("keep_at"),

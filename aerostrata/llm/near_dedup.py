@@ -7,9 +7,8 @@ screened by the Jaccard estimate, corrected for chance agreement, and verified o
 
 Only connectivity is wanted, so the pairs of a bucket are not all tried. First every member is tried
 with its bucket's smallest. Then the buckets that still hold several components are compared by tasks, each pair in
-its first common bucket: for every two components the best few candidates are kept and verified. Buckets that had more
-candidates than that are compared again by tasks that hold the full sets, verify every candidate of components not
-joined yet, and send on the links alone. So no link is lost, and no task sends the pairs of a large group.
+its first common bucket: the candidates of buckets with few of them are verified. The other buckets are compared
+again by tasks that hold the full sets, verify every candidate of components not joined yet, and send on the links alone. So no link is lost, and no task sends the pairs of a large group.
 Large buckets are dealt out as pairs of blocks; members of the bucket's largest component need not meet.
 
 Defined cases: null text equals empty text; documents without words have an empty set and link with
@@ -40,8 +39,8 @@ MARGIN = 5.0
 BLOCK = 2048
 #: Members of a block that travel with their full sets.
 SET_BLOCK = 512
-#: Candidates a task keeps for every two components.
-CANDIDATES = 16
+#: Candidates for each member above which a bucket is crowded.
+CANDIDATES = 4
 
 
 def documents_of(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
@@ -190,18 +189,6 @@ def pair_chunks(first: int, n: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         yield first + left, first + right
 
 
-def best_candidates(found: list[tuple], most: int) -> tuple[np.ndarray, ...]:
-    """Of candidates (group, ca, cb, estimate, u, v) the best ``most`` for a group and two components, and the cut groups."""
-    group, ca, cb, estimate, u, v = (np.concatenate(x) for x in zip(*found))
-    order = np.lexsort((v, u, -estimate, cb, ca, group))
-    group, ca, cb, estimate, u, v = (x[order] for x in (group, ca, cb, estimate, u, v))
-    fresh = np.ones(len(group), bool)
-    fresh[1:] = (group[1:] != group[:-1]) | (ca[1:] != ca[:-1]) | (cb[1:] != cb[:-1])
-    start = np.maximum.accumulate(np.where(fresh, np.arange(len(group)), 0))
-    keep = np.arange(len(group)) - start < most
-    return np.unique(group[~keep]), *(x[keep] for x in (group, ca, cb, estimate, u, v))
-
-
 def group_candidates(frame: pd.DataFrame, cuts: list[int], share: int) -> Iterator[tuple[np.ndarray, ...]]:
     """Candidates (key, ca, cb, estimate, u, v) of the groups between ``cuts``, u and v being rows of ``frame``."""
     regs = np.frombuffer(b"".join(frame["registers"]), np.uint16).reshape(-1, BUCKETS)
@@ -236,22 +223,23 @@ def group_candidates(frame: pd.DataFrame, cuts: list[int], share: int) -> Iterat
 
 
 def few_candidates(frame: pd.DataFrame, cuts: list[int], share: int, most: int) -> pd.DataFrame:
-    """(a, b, ca, cb), at most ``most`` of a group for two components; a row with ``key`` alone tells that a group had more."""
-    found: list[tuple] = []
-    cut = [np.zeros(0, np.int64)]
+    """(a, b, ca, cb) of buckets with at most ``most`` candidates for each member; of the others a row with ``key`` alone."""
+    key, cls = frame["key"].to_numpy(), frame["cls"].to_numpy()
+    keys, members = np.unique(key, return_counts=True)
+    count = np.zeros(len(keys), np.int64)
+    found = []
     for part in group_candidates(frame, cuts, share):
-        found.append(part)
-        if sum(len(f[0]) for f in found) > PAIRS:
-            more, *kept = best_candidates(found, most)
-            cut.append(more)
-            found = [tuple(kept)]
-    if not found:
-        return pd.DataFrame({c: np.zeros(0, np.int64) for c in ("a", "b", "ca", "cb", "key")})
-    more, _, ca, cb, _, u, v = best_candidates(found, most)
-    cls = frame["cls"].to_numpy()
-    rows = pd.DataFrame({"a": np.minimum(cls[u], cls[v]), "b": np.maximum(cls[u], cls[v]), "ca": ca, "cb": cb}).astype("Int64")
-    keys = pd.DataFrame({"key": np.unique(np.concatenate([*cut, more]))}).astype("Int64")
-    return pd.concat([rows, keys], ignore_index=True)
+        at = np.searchsorted(keys, part[0])
+        count += np.bincount(at, minlength=len(keys))
+        few = count[at] <= most * members[at]
+        found.append(tuple(x[few] for x in (at, part[1], part[2], part[4], part[5])))
+    crowded = count > most * members
+    at, ca, cb, u, v = (np.concatenate(x) for x in zip(*found)) if found else [np.zeros(0, np.int64)] * 5
+    few = ~crowded[at]
+    u, v = u[few], v[few]
+    pairs = {"a": np.minimum(cls[u], cls[v]), "b": np.maximum(cls[u], cls[v]), "ca": ca[few], "cb": cb[few]}
+    rows = [pd.DataFrame(pairs), pd.DataFrame({"key": keys[crowded]})]
+    return pd.concat([r.astype("Int64") for r in rows], ignore_index=True)
 
 
 def verified_links(frame: pd.DataFrame, cuts: list[int], share: int) -> pd.DataFrame:
@@ -318,14 +306,14 @@ def decide(docs: DataFrame, share: int) -> DataFrame:
     stars = members.where("cls <> least").select(F.col("least").alias("a"), F.col("cls").alias("b")).distinct()
     labels = wanted.select("cls", F.col("cls").alias("comp"))
     labels = relabel(labels, verify(screen(stars, wanted, share), sets, share))
-    # Then a few candidates for every two components of a bucket.
+    # Then the candidates of the buckets with few.
     tasks = open_buckets(members, labels, wanted, BLOCK)
     schema = "a bigint, b bigint, ca bigint, cb bigint, key bigint"
     found = kept_table(by_group(tasks, lambda frame, cuts: few_candidates(frame, cuts, share, CANDIDATES), schema), "candidates")
     pairs = found.where("key IS NULL").drop("key")
     links = pairs.join(verify(pairs.select("a", "b"), sets, share), ["a", "b"])
     labels = relabel(labels, links.select(F.col("ca").alias("a"), F.col("cb").alias("b")))
-    # Then all candidates of the buckets that had more.
+    # Then those of the crowded buckets, inside their tasks.
     crowded = members.join(found.where("key IS NOT NULL").select("key").distinct(), "key", "left_semi")
     tasks = open_buckets(crowded, labels, wanted.join(sets, "cls"), SET_BLOCK)
     links = by_group(tasks, lambda frame, cuts: verified_links(frame, cuts, share), "a bigint, b bigint")

@@ -18,6 +18,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -27,9 +28,11 @@ from pyspark.sql import functions as F
 from aerostrata.llm.common import filter_rows, held_out, read, small_batches, texts_of
 from aerostrata.llm.logistic import fit_logistic, labelled_sample, sigmoid
 
-SAMPLE = 4000
+SAMPLE = 3000
 FEATURES = 800
-LEAST_TEXTS = 3
+LEAST_TEXTS = 5
+#: Hashes features are counted by at first.
+HASHES = 1 << 20
 PENALTY = 10.0
 THRESHOLD = 0.5
 MEMO = 300_000
@@ -71,16 +74,32 @@ def swaps(words: set[str], groups: tuple[tuple[str, ...], ...]) -> list[set[str]
     ]
 
 
-def select_features(rows: list[set[str]], y: np.ndarray, most: int) -> list[str]:
-    """The features whose share differs most between the classes, by chi-square; those of few texts are left out."""
-    counts = [Counter(f for r, v in zip(rows, y) if v == k for f in r) for k in (0, 1)]
-    n0, n1 = (y == 0).sum(), (y == 1).sum()
-    names = sorted(f for f in counts[0].keys() | counts[1].keys() if counts[0][f] + counts[1][f] >= LEAST_TEXTS)
-    a = np.array([counts[1][f] for f in names], float)
-    b = np.array([counts[0][f] for f in names], float)
+def chi_square(a: np.ndarray, b: np.ndarray, n1: int, n0: int) -> np.ndarray:
+    """By counts of texts with a feature of either class; 0 where fewer than ``LEAST_TEXTS`` have it."""
+    a, b = a.astype(float), b.astype(float)
     n, with_it = n0 + n1, a + b
-    chi = n * (a * (n0 - b) - b * (n1 - a)) ** 2 / (with_it * (n - with_it + 1e-9) * n0 * n1)
-    order = np.lexsort((np.arange(len(names)), -chi))
+    value = n * (a * (n0 - b) - b * (n1 - a)) ** 2 / ((with_it + 1e-9) * (n - with_it + 1e-9) * n0 * n1)
+    return np.where(with_it >= LEAST_TEXTS, value, 0)
+
+
+def select_features(texts: list[str], y: np.ndarray, most: int) -> list[str]:
+    """The features whose share differs most between the classes, by chi-square; those of few texts are left out.
+
+    Features are first counted by hash, so that memory does not grow with their number; those of the best
+    hashes are then counted themselves.
+    """
+    n1, n0 = int((y == 1).sum()), int((y == 0).sum())
+    counts = np.zeros((2, HASHES), np.int32)
+    for text, v in zip(texts, y.astype(int)):
+        counts[v, list({crc32(f.encode()) % HASHES for f in text_features(words_of(text))})] += 1
+    chi = chi_square(counts[1], counts[0], n1, n0)
+    best = set(np.argsort(-chi, kind="stable")[: 2 * most].tolist())
+    exact = [Counter(), Counter()]
+    for text, v in zip(texts, y.astype(int)):
+        exact[v].update(f for f in text_features(words_of(text)) if crc32(f.encode()) % HASHES in best)
+    names = sorted(exact[0].keys() | exact[1].keys())
+    chi = chi_square(*(np.array([exact[k][f] for f in names]) for k in (1, 0)), n1, n0)
+    order = [i for i in np.lexsort((np.arange(len(names)), -chi)) if chi[i] > 0]
     return [names[i] for i in order[:most]]
 
 
@@ -116,24 +135,21 @@ def fit(
     if len(set(y.tolist())) < 2:
         base = float(np.clip(share, 1e-6, 1 - 1e-6))
         return ToxicityModel({}, float(np.log(base / (1 - base))))
-    words = [words_of(t) for t in texts]
-    rows = [text_features(w) for w in words]
-    terms = {f for g in groups for t in g for f in word_features(t)}
-    names = select_features(rows, y, most)
-    names += sorted((terms & set().union(*rows)) - set(names))
+    names = select_features(texts, y, most)
+    terms = {t for g in groups for t in g}
+    named = [(i, w) for i, t in enumerate(texts) if (w := words_of(t)) & terms]
+    present = {f for _, w in named for t in w & terms for f in word_features(t)}
+    names += sorted(present - set(names))
     column = {f: i for i, f in enumerate(names)}
 
-    def matrix(sets: list[set[str]]) -> np.ndarray:
-        x = np.zeros((len(sets), len(names)), np.float32)
-        for i, s in enumerate(sets):
-            x[i, [column[f] for f in s if f in column]] = 1
+    def row(words: set[str]) -> np.ndarray:
+        x = np.zeros(len(names), np.float32)
+        x[[column[f] for f in text_features(words) if f in column]] = 1
         return x
 
-    x = matrix(rows)
-    changes = [
-        matrix([text_features(s)]) - x[i] for i, w in enumerate(words) for s in swaps(w, groups)
-    ]
-    changed = np.concatenate(changes) if changes else None
+    x = np.array([row(words_of(t)) for t in texts])
+    changes = [row(s) - x[i] for i, w in named for s in swaps(w, groups)]
+    changed = np.array(changes) if changes else None
     weight = np.where(y == 1, share / y.mean(), (1 - share) / (1 - y.mean()))
     w = fit_logistic(x, y, weight, changed=changed, penalty=penalty)
     return ToxicityModel({f: float(v) for f, v in zip(names, w)}, float(w[-1]))

@@ -1,6 +1,5 @@
 from aerostrata.functions.classify import aqi_category, aqi_risk_score, register_sql_functions
 from aerostrata.functions.identity import document_id
-from aerostrata.functions.numbers import round_half_up
 from aerostrata.functions.times import day_key, hour_timestamp, parse_event_time
 
 __all__ = [
@@ -11,5 +10,4 @@ __all__ = [
     "hour_timestamp",
     "parse_event_time",
     "register_sql_functions",
-    "round_half_up",
 ]

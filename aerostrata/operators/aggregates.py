@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 from aerostrata.functions import aqi_category, day_key, document_id
 from aerostrata.functions.classify import CATEGORIES
 from aerostrata.functions.identity import PIVOT
-from aerostrata.functions.numbers import rounded
 from aerostrata.operators.joins import MINUTE_KEY, enrich_static, with_minute
 from aerostrata.schemas import PARTITION_KEYS, WEATHER_METRICS
+from aerostrata.sources.dimension import unique_cities
 
 # Window length, percentile, and the hourly mean above which an hour is polluted.
 WINDOW_LENGTH = "10 minutes"
@@ -96,12 +96,12 @@ def hourly_means(
 def daily_rollup(hourly: DataFrame) -> DataFrame:
     """City-day means of hourly means, the highest hourly PM2.5 and the count of polluted hours."""
     means = hourly.groupBy("city", *PARTITION_KEYS).agg(
-        rounded("avg(pm25_mean)", 2).alias("pm25_avg"),
-        rounded("avg(aqi_mean)", 0).alias("aqi_avg"),
-        rounded("avg(avg_temp)", 1).alias("temp_avg"),
-        rounded("avg(avg_hum)", 1).alias("hum_avg"),
-        rounded("avg(avg_wind)", 1).alias("wind_avg"),
-        rounded("max(pm25_mean)", 2).alias("pm25_peak_hour"),
+        F.round(F.avg("pm25_mean"), 2).alias("pm25_avg"),
+        F.round(F.avg("aqi_mean"), 0).alias("aqi_avg"),
+        F.round(F.avg("avg_temp"), 1).alias("temp_avg"),
+        F.round(F.avg("avg_hum"), 1).alias("hum_avg"),
+        F.round(F.avg("avg_wind"), 1).alias("wind_avg"),
+        F.round(F.max("pm25_mean"), 2).alias("pm25_peak_hour"),
         F.count_if(F.col("pm25_mean") > POLLUTED_PM25).alias("polluted_hours_count"),
     )
     return means.withColumn("date", day_key(F.col("year"), F.col("month"), F.col("day")))
@@ -120,12 +120,13 @@ def _flat_window() -> list[Column]:
 
 
 def window_stats(
-    readings: DataFrame, dimension: DataFrame | None = None, time: str = "timestamp_utc"
+    readings: DataFrame, dimension: DataFrame | None = None, time: str = "timestamp_utc", small: bool = False
 ) -> DataFrame:
     """Ten-minute statistics per city, for batch and stream.
 
-    The dimension holds one row per city and is joined to the window rows rather than to the
-    readings, which is the same result with far fewer probes and smaller state.
+    The dimension is reduced to one row per city and joined to the window rows rather than to the
+    readings, which is the same result with far fewer probes and smaller state. ``small`` says that
+    the caller has measured it and it may be broadcast.
     """
     stats = _per_window(readings, time).agg(
         F.avg("aqi").alias("avg_aqi"),
@@ -146,7 +147,7 @@ def window_stats(
             }
         )
     else:
-        flat = enrich_static(flat, dimension)
+        flat = enrich_static(flat, unique_cities(dimension), small)
     return flat.select(
         "window_start",
         "window_end",

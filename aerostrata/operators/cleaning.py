@@ -8,10 +8,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from aerostrata.functions import parse_event_time
+from aerostrata.functions.times import EVENT_TIME_PATTERN
 from aerostrata.schemas import Kind
 
 EVENT_TIME = "event_time"
-DEDUPE_KEY = ("city", "ts")
+#: Second of a reading: its own, or that of its event time where it has none.
+SECOND = f"coalesce(ts, unix_seconds(try_to_timestamp(timestamp_utc, \"{EVENT_TIME_PATTERN}\")))"
+#: What two readings of one moment share, as SQL expressions.
+DEDUPE_KEY = ("city", SECOND)
 
 
 def with_event_time(df: DataFrame, text: str = "timestamp_utc", name: str = EVENT_TIME) -> DataFrame:
@@ -50,7 +54,7 @@ def range_filter(
 def first_per_key(
     df: DataFrame, keys: Sequence[str], order_by: Sequence[str | Column] | None = None
 ) -> DataFrame:
-    """One row per key: the first by ``order_by``, or by all other columns ascending.
+    """One row per key, of columns or SQL expressions: the first by ``order_by``, or by all other columns ascending.
 
     The survivor is the same on every run and after any task retry. Spark turns the rank test
     into a group limit ahead of the shuffle, so each map task ships at most one row per key and a
@@ -59,7 +63,8 @@ def first_per_key(
     order = list(order_by) if order_by else [F.col(c) for c in df.columns if c not in keys]
     if not order:
         return df.dropDuplicates(list(keys))
-    ranked = df.withColumn("_rank", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
+    by = [F.col(f"`{k}`") if k in df.columns else F.expr(k) for k in keys]
+    ranked = df.withColumn("_rank", F.row_number().over(Window.partitionBy(*by).orderBy(*order)))
     return ranked.filter(F.col("_rank") == 1).drop("_rank")
 
 
@@ -77,12 +82,19 @@ def clean(df: DataFrame, kind: Kind, order_by: Sequence[str | Column] | None = N
     Duplicates are resolved before the range test, so an invalid first reading also removes its
     valid twin. Rows whose time text cannot be read are rejected.
     """
+    columns = kind.schema.fieldNames()
+    # One generated row carries the parsed time, so that no filter repeats the parsing.
+    timed = df.select(F.inline(F.array(F.struct(
+        *[F.col(c) for c in df.columns], parse_event_time(F.col("timestamp_utc")).alias(EVENT_TIME)
+    ))))
+    order = list(order_by) if order_by else [c for c in columns if c not in ("city", "ts")]
     return (
-        df.transform(with_event_time)
-        .transform(drop_required_nulls, kind.required)
+        timed.transform(drop_required_nulls, kind.required)
         .filter(F.col(EVENT_TIME).isNotNull())
         .transform(normalize_city)
-        .transform(first_per_key, DEDUPE_KEY, order_by)
+        .withColumn("_second", F.coalesce("ts", F.unix_seconds(EVENT_TIME)))
+        .transform(first_per_key, ("city", "_second"), [*order, "ts"])
+        .drop("_second")
         .transform(range_filter, kind.metric, kind.low, kind.high)
         .transform(partition_keys)
     )

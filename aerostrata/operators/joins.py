@@ -29,10 +29,16 @@ def join_minute_left(readings: DataFrame, source: DataFrame | None, metric: str)
     tables a side has one row per (city, second), hence at most 60 per key. Averages over the
     joined rows do not need them built: see ``aggregates.hourly_means``.
     """
+    return _joined(readings, source, metric, [*MINUTE_KEY])
+
+
+def _joined(readings: DataFrame, source: DataFrame | None, metric: str, on: list[str], parts: int = 1) -> DataFrame:
     if source is None:
         return readings.withColumn(metric, F.lit(None).cast("double"))
     narrow = with_minute(source).select(*MINUTE_KEY, metric)
-    return readings.join(narrow, list(MINUTE_KEY), "left")
+    if parts > 1:
+        narrow = narrow.withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
+    return readings.join(narrow, on, "left")
 
 
 def join_weather_chain(
@@ -40,15 +46,22 @@ def join_weather_chain(
     wind: DataFrame | None = None,
     temperature: DataFrame | None = None,
     humidity: DataFrame | None = None,
+    parts: int = 1,
 ) -> DataFrame:
     """Air readings with up to three weather metrics of the same city and minute.
 
-    All joins share one key, so the rows joined so far are shuffled once, not once per source.
+    The input is clean, with one row per city and second; every row of a minute meets every other, so
+    a minute with more rows is as many times larger. All joins share one key, so the rows joined so
+    far are shuffled once. ``parts`` splits each minute's air rows over so many keys and
+    repeats the weather rows for each, for input with hot minutes; the result is the same.
     """
-    joined = with_minute(air)
+    joined, on = with_minute(air), [*MINUTE_KEY]
+    if parts > 1:
+        spread = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in air.columns]), F.lit(parts)).cast("int")
+        joined, on = joined.withColumn("_part", spread), [*on, "_part"]
     for source, metric in zip((wind, temperature, humidity), WEATHER_METRICS):
-        joined = join_minute_left(joined, source, metric)
-    return joined
+        joined = _joined(joined, source, metric, on, parts)
+    return joined.drop("_part")
 
 
 def measured_bytes(df: DataFrame) -> int:
@@ -61,13 +74,15 @@ def measured_bytes(df: DataFrame) -> int:
     return df.agg(F.coalesce(F.sum(width), F.lit(0))).first()[0]
 
 
-def enrich_static(
-    df: DataFrame, dimension: DataFrame, limit: int = BROADCAST_LIMIT
-) -> DataFrame:
-    """Left join with the city dimension, broadcast if its measured size allows.
+def is_small(df: DataFrame, limit: int = BROADCAST_LIMIT) -> bool:
+    """Whether a frame may be copied to every executor; runs one aggregation."""
+    return measured_bytes(df) <= limit
+
+
+def enrich_static(df: DataFrame, dimension: DataFrame, small: bool = False) -> DataFrame:
+    """Left join with the city dimension, which is broadcast if the caller has measured it to be ``small``.
 
-    A larger dimension is shuffled by city instead; adaptive execution then splits large cities.
+    Otherwise a batch query leaves the choice to adaptive execution. A stream, whose plans run without it, shuffles
+    both sides by city; there the left side is the window rows, one per city and window.
     """
-    if measured_bytes(dimension) <= limit:
-        dimension = F.broadcast(dimension)
-    return df.join(dimension, "city", "left")
+    return df.join(F.broadcast(dimension) if small else dimension, "city", "left")

@@ -28,7 +28,7 @@ def dq_report(lines: DataFrame, kind: Kind) -> DataFrame:
         if kind.schema[column].dataType.typeName() == "double":
             missing = missing | F.isnan(column)
     columns = kind.schema.fieldNames()
-    others = [c for c in columns if c not in ("city", "ts")]
+    others = [*[c for c in columns if c not in ("city", "ts")], "ts"]
 
     judged = parse_lines(lines, kind.schema).withColumn("event_time", event_time)
     judged = judged.withColumn(
@@ -42,7 +42,7 @@ def dq_report(lines: DataFrame, kind: Kind) -> DataFrame:
         "reason",
         F.when(~passed, F.to_date("event_time")).alias("reject_day"),
         F.when(passed, city_name(F.col("city"))).alias("key_city"),
-        F.when(passed, F.col("ts")).alias("key_ts"),
+        F.when(passed, F.coalesce("ts", F.unix_seconds("event_time"))).alias("key_ts"),
         F.when(passed, F.struct(*others, F.to_date("event_time").alias("day"))).alias("row"),
     )
     folded = keyed.groupBy("reason", "reject_day", "key_city", "key_ts").agg(

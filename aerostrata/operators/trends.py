@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from aerostrata.functions import round_half_up
-
 # Growth in percent beyond which a day counts as changed, and the status names.
 CHANGE_PERCENT = 10
 WORSENING, IMPROVING, STABLE = "WORSENING", "IMPROVING", "STABLE"
@@ -23,7 +21,7 @@ def with_previous_day(daily: DataFrame) -> DataFrame:
 
 def growth_percent(now: Column, before: Column) -> Column:
     """Change in percent, null without a previous value or if that value is zero."""
-    return round_half_up(F.try_divide(now - before, before) * 100, 2)
+    return F.round(F.try_divide(now - before, before) * 100, 2)
 
 
 def trend_status(growth: Column) -> Column:

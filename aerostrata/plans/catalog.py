@@ -8,7 +8,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from aerostrata.functions import (
@@ -28,7 +28,7 @@ from aerostrata.operators.trends import in_period, with_previous_day, with_trend
 from aerostrata.plans import jobs
 from aerostrata.schemas import AIR, HUMIDITY, KINDS, PARTITION_KEYS, TEMPERATURE, WIND, Kind
 from aerostrata.session import pin_time_zone, session_setting, working_path
-from aerostrata.sinks.keyed import upsert
+from aerostrata.sinks.keyed import read_keyed, upsert
 from aerostrata.sinks.partitioned import append, balanced, overwrite_partitions
 from aerostrata.sources import payloads, sample_tables
 from aerostrata.sources.dimension import city_dimension
@@ -46,6 +46,9 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 ONE_DELIVERY = HourScope(2024, 1, 15, 12)
 HALF_DAY = 12 * 60 * 60
+AFTER_THE_MONTH = "2024-02-10 00:00:00"
+LATE_DELIVERIES = (HourScope(2024, 2, 10, 0), HourScope(2024, 2, 10, 1))
+BUSY_HOUR = HourScope(2024, 1, 9, 19)
 SHUFFLE_PARTITIONS = "spark.sql.shuffle.partitions"
 ARRIVAL = ("year", "month", "day", "hour")
 PM25_SHIFT = 1000.0
@@ -109,10 +112,18 @@ def _order_hours(spark: SparkSession, folder: str) -> DataFrame:
     return sample_tables.hourly_from_orders(sample_tables.orders_table(pin_time_zone(spark), folder))
 
 
-def _land(lines: DataFrame, path: str) -> None:
-    """Write lines below folders of their arrival hour; gateways deliver at noon and midnight."""
-    delivery = F.floor(F.col("ts") / HALF_DAY) * HALF_DAY
-    arrived = F.timestamp_seconds(delivery)
+def _at_noon_and_midnight(sent: Column) -> Column:
+    return F.floor(sent / HALF_DAY) * HALF_DAY
+
+
+def _in_two_parts(sent: Column) -> Column:
+    """After the month, readings of even seconds arrive in one hour and those of odd seconds in the next."""
+    return F.unix_seconds(F.lit(AFTER_THE_MONTH).cast("timestamp")) + sent % 2 * 60 * 60
+
+
+def _land(lines: DataFrame, path: str, arrival: Callable[[Column], Column] = _at_noon_and_midnight) -> None:
+    """Write lines below folders of their arrival hour."""
+    arrived = F.timestamp_seconds(arrival(F.col("sent")))
     patterns = dict(zip(ARRIVAL, ("yyyy", "MM", "dd", "HH")))
     landed = lines.select(
         "value", *[F.date_format(arrived, p).alias(name) for name, p in patterns.items()]
@@ -160,7 +171,7 @@ def _stream_to_documents(spark: SparkSession, stream: DataFrame, id_field: str)
         start_documents(
             stream, path, id_field, working_path(spark, "checkpoint"), True, jobs.DOCUMENT_DAY
         ).awaitTermination()
-    return read_table(spark, path).select(*stream.columns)
+    return read_keyed(spark, path).select(*stream.columns)
 
 
 def _nullable_number(df: DataFrame) -> DataFrame:
@@ -209,12 +220,7 @@ def shape_air(spark: SparkSession, folder: str) -> DataFrame:
 
 def split_weather(spark: SparkSession, folder: str) -> DataFrame:
     answers = sample_tables.payloads(_events(spark, folder), weather=True)
-    kinds = payloads.split_weather(answers)
-    parts = [
-        df.select("city", F.lit(name).alias("metric"), F.col(name).alias("value"), "timestamp_utc", "ts")
-        for name, df in kinds.items()
-    ]
-    return reduce(DataFrame.unionByName, parts)
+    return payloads.weather_metrics(answers)
 
 
 def stream_parse(spark: SparkSession, folder: str) -> DataFrame:
@@ -409,7 +415,7 @@ def sink_upsert(spark: SparkSession, folder: str) -> DataFrame:
     keys, parts = ["city", "day", "hour"], ["year", "month"]
     upsert(hours, path, keys, parts)
     upsert(_shifted(hours).drop("avg_temp", "avg_hum", "avg_wind"), path, keys, parts)
-    return read_table(spark, path)
+    return read_keyed(spark, path)
 
 
 # --- streams --------------------------------------------------------------------------------
@@ -450,7 +456,7 @@ def _delivered_in_turn(
             start_documents(
                 stream, path, id_field, checkpoint, True, jobs.DOCUMENT_DAY
             ).awaitTermination()
-    return read_table(spark, path).select(*stream.columns)
+    return read_keyed(spark, path).select(*stream.columns)
 
 
 def stream_late(spark: SparkSession, folder: str) -> DataFrame:
@@ -479,18 +485,37 @@ def land_raw(spark: SparkSession, folder: str) -> DataFrame:
 # --- jobs -----------------------------------------------------------------------------------
 
 
-def _storage(spark: SparkSession, folder: str) -> jobs.Layout:
+def _storage(
+    spark: SparkSession, folder: str, arrival: Callable[[Column], Column] = _at_noon_and_midnight
+) -> jobs.Layout:
     """A storage root with all four kinds landed."""
     layout = jobs.Layout(working_path(spark, "storage"))
     for kind in KINDS.values():
-        _land(sample_tables.raw_lines(_events(spark, folder), kind), f"{layout.raw}/{kind.folder}")
+        lines = sample_tables.raw_lines(_events(spark, folder), kind)
+        _land(lines, f"{layout.raw}/{kind.folder}", arrival)
     return layout
 
 
 def hourly_run(spark: SparkSession, folder: str) -> DataFrame:
     layout = _storage(spark, folder)
     jobs.hourly_run(spark, layout)
-    return read_table(spark, layout.documents("hourly")).drop("doc_day")
+    return read_keyed(spark, layout.documents("hourly")).drop("doc_day")
+
+
+def hourly_run_scoped(spark: SparkSession, folder: str) -> DataFrame:
+    """The documents after a run for each of two arrival hours, both of which bring readings of all hours before."""
+    layout = _storage(spark, folder, _in_two_parts)
+    for scope in LATE_DELIVERIES:
+        jobs.hourly_run(spark, layout, scope)
+    return read_keyed(spark, layout.documents("hourly")).drop("doc_day")
+
+
+def hourly_hour(spark: SparkSession, folder: str) -> DataFrame:
+    """Hourly means of one hour, read from the clean tables by its day and its time text."""
+    layout = jobs.Layout(working_path(spark, "storage"))
+    for kind, df in zip((AIR, WIND, TEMPERATURE, HUMIDITY), _all_clean(spark, folder)):
+        append(df, layout.clean(kind), sort_by=jobs.CLEAN_ORDER)
+    return jobs.hourly_facts(spark, layout, [BUSY_HOUR])
 
 
 def daily_run(spark: SparkSession, folder: str) -> DataFrame:
@@ -551,6 +576,8 @@ QUERIES: dict[str, Query] = {
     "stream_late": stream_late,
     "stream_upsert": stream_upsert,
     "hourly_run": hourly_run,
+    "hourly_run_scoped": hourly_run_scoped,
+    "hourly_hour": hourly_hour,
     "daily_run": daily_run,
 }
 

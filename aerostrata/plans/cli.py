@@ -11,7 +11,6 @@ from pyspark.sql import SparkSession
 from aerostrata.plans import jobs
 from aerostrata.schemas import KINDS
 from aerostrata.session import get_session
-from aerostrata.sources.dimension import unique_cities
 from aerostrata.sources.messages import read_message_files, read_topic
 from aerostrata.sources.raw import HourScope
 from aerostrata.streaming.outputs import run_until_any_ends, start_landing
@@ -41,7 +40,13 @@ def build_parser() -> argparse.ArgumentParser:
     command("export", "hourly means to documents", PERIOD[:3]).add_argument(
         "--name", choices=sorted(jobs.EXPORTS), required=True
     )
-    command("hourly-run", "clean, hourly and both hourly exports", PERIOD)
+    command("hourly-run", "clean, hourly and both hourly exports; the current UTC hour by default", PERIOD).add_argument(
+        "--all", action="store_true", help="everything that has landed"
+    )
+    command("dq", "quality report of the raw lines; one arrival hour, or everything", PERIOD)
+    shape = command("shape", "API payloads (Parquet: city, received_at, payload) to raw JSON lines")
+    shape.add_argument("--air", required=True, help="air-quality payloads")
+    shape.add_argument("--weather", required=True, help="weather payloads")
     command("daily-run", "daily, then the PM2.5 export", PERIOD[:3])
 
     stream = command("stream", "ten-minute statistics and category counts")
@@ -96,13 +101,18 @@ def run(spark: SparkSession, args: argparse.Namespace) -> list[jobs.Report]:
     if args.job == "export":
         return [jobs.export_job(spark, layout, args.name, args.year, args.month, args.day)]
     if args.job == "hourly-run":
-        return jobs.hourly_run(spark, layout, hour_of(args))
+        scope = None if args.all else hour_of(args) or this_hour()
+        return jobs.hourly_run(spark, layout, scope)
+    if args.job == "dq":
+        return [jobs.quality_job(spark, layout, hour_of(args))]
+    if args.job == "shape":
+        return [jobs.shape_job(layout, spark.read.parquet(args.air), spark.read.parquet(args.weather))]
     if args.job == "daily-run":
         return jobs.daily_run(spark, layout, *month_of(args))
 
     messages = _messages(spark, args)
     if args.job == "stream":
-        dimension = unique_cities(spark.read.parquet(args.dimension))
+        dimension = spark.read.parquet(args.dimension)
         queries = jobs.stream_job(messages, dimension, layout, args.available_now)
     else:
         kind = KINDS[args.kind]

@@ -6,29 +6,38 @@ clean tables, ``batch/hourly`` and ``batch/daily`` the facts, ``documents/<name>
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from py4j.protocol import Py4JJavaError
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from aerostrata.functions.times import EVENT_TIME_PATTERN
 from aerostrata.operators import documents
 from aerostrata.operators.aggregates import daily_rollup, hourly_means
 from aerostrata.operators.cleaning import DEDUPE_KEY, clean
+from aerostrata.operators.joins import is_small
+from aerostrata.operators.quality import dq_report
 from aerostrata.operators.trends import in_period, with_trend
 from aerostrata.schemas import AIR, HUMIDITY, KINDS, TEMPERATURE, WIND, Kind
-from aerostrata.sinks.keyed import insert_new, upsert
-from aerostrata.sinks.partitioned import append, overwrite_partitions
-from aerostrata.sources.raw import HourScope, read_raw
-from aerostrata.sources.tables import read_day, read_table, read_two_months
+from aerostrata.sinks.keyed import kept, new_rows, read_keyed, upsert
+from aerostrata.sinks.partitioned import append, balanced, overwrite_partitions
+from aerostrata.sources.payloads import metric_records, shape_air, weather_metrics
+from aerostrata.sources.raw import HourScope, read_lines, read_raw
+from aerostrata.sources.tables import day_folder, existing, month_folders, read_folders, read_table
 from aerostrata.streaming.outputs import start_documents
 from aerostrata.streaming.readings import ten_minute_categories, ten_minute_statistics
 
 HOURLY_KEY = ("city", "hour")
 DOCUMENT_KEY = ("doc_id",)
 DOCUMENT_DAY = ("doc_day",)
+CLEAN_ORDER = ("timestamp_utc",)
+#: What reading an observation of a plan that was replaced by an empty one raises.
+NO_OBSERVED_ROW = ("java.util.NoSuchElementException",)
 
 
 @dataclass(frozen=True)
@@ -53,6 +62,10 @@ class Layout:
     def daily(self) -> str:
         return f"{self.root}/batch/daily"
 
+    @property
+    def quality(self) -> str:
+        return f"{self.root}/quality"
+
     def documents(self, name: str) -> str:
         return f"{self.root}/documents/{name}"
 
@@ -79,33 +92,73 @@ def _rows(seen: Observation) -> int:
     """The observed count, once the write is done.
 
     If an input turns out empty while the query runs, the optimizer replaces the plan, counter
-    included, by an empty one; the observation then has no row to read.
+    included, by an empty one; the observation then has no row to read. Any other error is raised.
     """
     try:
         return seen.get["rows"]
-    except Py4JJavaError:
-        return 0
+    except Py4JJavaError as error:
+        if error.java_exception.getClass().getName() in NO_OBSERVED_ROW:
+            return 0
+        raise
+
+
+@dataclass(frozen=True)
+class Cleaned:
+    """Valid rows of a kind, and the event hours of those that were stored now."""
+
+    rows: int
+    hours: frozenset[HourScope] = frozenset()
+
+
+def _event_hours(df: DataFrame) -> frozenset[HourScope]:
+    """Event hours in a clean frame; the calendar bounds their number."""
+    hour = F.substring("timestamp_utc", 12, 2).cast("int").alias("hour")
+    found = df.select("year", "month", "day", hour).distinct().toLocalIterator()
+    return frozenset(HourScope(r.year, r.month, r.day, r.hour) for r in found)
 
 
 def clean_kind(
     spark: SparkSession, layout: Layout, kind: Kind, scope: HourScope | None = None, mode: str = "merge"
-) -> int | None:
-    """Clean one kind; returns the number of valid rows, None if nothing has landed.
+) -> Cleaned | None:
+    """Clean one kind; None if nothing has landed.
 
     ``mode="append"`` writes all valid rows again on a re-run, ``"merge"`` only those whose
-    (city, ts) is not stored.
+    city and second are not stored.
     """
     if mode not in ("merge", "append"):
         raise ValueError(f"unknown mode {mode!r}")
     raw = read_raw(spark, layout.raw, kind, scope)
     if raw is None:
         return None
-    valid, seen = _counted(clean(raw, kind))
-    if mode == "append":
-        append(valid, layout.clean(kind))
-    else:
-        insert_new(valid, layout.clean(kind), DEDUPE_KEY, prune=scope is not None)
-    return _rows(seen)
+    path, valid = layout.clean(kind), clean(raw, kind)
+    if scope is None:
+        counted, seen = _counted(valid)
+        fresh = counted if mode == "append" else new_rows(counted, path, DEDUPE_KEY, prune=False)
+        append(fresh, path, sort_by=CLEAN_ORDER)
+        return Cleaned(_rows(seen))
+    with kept(valid) as once:
+        fresh = once if mode == "append" else new_rows(once, path, DEDUPE_KEY)
+        hours = _event_hours(fresh)
+        append(fresh, path, sort_by=CLEAN_ORDER)
+        return Cleaned(once.count(), hours)
+
+
+def _side_by_side(spark: SparkSession, *tasks: Callable[[], object]) -> list:
+    """Run independent jobs at a time; the cluster shares its cores among them."""
+    with ThreadPoolExecutor(max_workers=len(tasks)) as pool:
+        return [f.result() for f in [pool.submit(inheritable_thread_target(spark)(t)) for t in tasks]]
+
+
+def _clean_all(
+    spark: SparkSession, layout: Layout, scope: HourScope | None, kinds: Sequence[Kind], mode: str
+) -> dict[str, Cleaned | None]:
+    done = _side_by_side(spark, *[lambda k=k: clean_kind(spark, layout, k, scope, mode) for k in kinds])
+    return {kind.name: cleaned for kind, cleaned in zip(kinds, done)}
+
+
+def _clean_report(done: dict[str, Cleaned | None]) -> Report:
+    counts = {name: None if c is None else c.rows for name, c in done.items()}
+    return Report("clean", sum(n or 0 for n in counts.values()), counts)
 
 
 def clean_job(
@@ -115,35 +168,54 @@ def clean_job(
     kinds: Sequence[Kind] = tuple(KINDS.values()),
     mode: str = "merge",
 ) -> Report:
-    """Clean every kind. A kind that has not landed is skipped, the others still run."""
-    counts = {kind.name: clean_kind(spark, layout, kind, scope, mode) for kind in kinds}
-    return Report("clean", sum(n or 0 for n in counts.values()), counts)
+    """Clean every kind, side by side. A kind that has not landed is skipped, the others still run."""
+    return _clean_report(_clean_all(spark, layout, scope, kinds, mode))
+
+
+def _hour_text(scope: HourScope) -> str:
+    return f"{scope.year:04d}-{scope.month:02d}-{scope.day:02d}T{scope.hour:02d}"
+
+
+def _of_hours(table: DataFrame, hours: Sequence[HourScope]) -> DataFrame:
+    """Rows of some hours; the bounds on the time text let the scan skip parts of the files."""
+    texts = sorted(map(_hour_text, hours))
+    time = F.col("timestamp_utc")
+    inside = (time >= texts[0]) & (time < texts[-1] + ":~")
+    return table.filter(inside & F.substring(time, 1, 13).isin(texts))
 
 
-def hourly_facts(spark: SparkSession, layout: Layout, scope: HourScope | None) -> DataFrame | None:
-    """Hourly means of one hour, or of everything; None without air readings."""
+def hourly_facts(
+    spark: SparkSession, layout: Layout, hours: Sequence[HourScope] | None
+) -> DataFrame | None:
+    """Hourly means of some hours, or of everything; None without air readings."""
 
     def source(kind: Kind) -> DataFrame | None:
         path = layout.clean(kind)
-        if scope is None:
+        if hours is None:
             return read_table(spark, path)
-        return read_day(spark, path, scope.year, scope.month, scope.day)
+        days = sorted({day_folder(h.year, h.month, h.day) for h in hours})
+        table = read_folders(spark, path, days)
+        return None if table is None else _of_hours(table, hours)
 
     air = source(AIR)
     if air is None:
         return None
-    means = hourly_means(air, source(WIND), source(TEMPERATURE), source(HUMIDITY))
-    # the day is settled by the partitions read; the hour test is pushed below both shuffles
-    return means if scope is None else means.filter(F.col("hour") == scope.hour)
+    # readings meet within a minute, so the hours can be picked ahead of the joins
+    return hourly_means(air, source(WIND), source(TEMPERATURE), source(HUMIDITY))
 
 
 def hourly_job(
-    spark: SparkSession, layout: Layout, scope: HourScope | None = None, mode: str = "merge"
+    spark: SparkSession,
+    layout: Layout,
+    scope: HourScope | None = None,
+    mode: str = "merge",
+    hours: Sequence[HourScope] | None = None,
 ) -> Report:
-    """Write hourly means; a re-run replaces the rows of its hour unless ``mode="append"``."""
+    """Write hourly means of an hour, of some ``hours``, or of everything; a re-run replaces their rows unless ``mode="append"``."""
     if mode not in ("merge", "append"):
         raise ValueError(f"unknown mode {mode!r}")
-    facts = hourly_facts(spark, layout, scope)
+    picked = hours if hours is not None else None if scope is None else [scope]
+    facts = hourly_facts(spark, layout, picked)
     if facts is None:
         return Report("hourly")
     counted, seen = _counted(facts)
@@ -166,7 +238,7 @@ def daily_job(
 
     Two months are read, so that the first day of the month has its predecessor.
     """
-    hourly = read_two_months(spark, layout.hourly, year, month)
+    hourly = read_keyed(spark, layout.hourly, month_folders(year, month))
     if hourly is None:
         return Report("daily")
     counted, seen = _counted(in_period(daily_facts(hourly), year, month, day))
@@ -188,30 +260,80 @@ def export_job(
     year: int | None = None,
     month: int | None = None,
     day: int | None = None,
+    days: Sequence[tuple[int, int, int]] | None = None,
 ) -> Report:
-    """Merge the hourly table, or one month or day of it, into a document table."""
-    hourly = read_table(spark, layout.hourly)
-    if hourly is None:
-        return Report(f"export {name}")
-    if year is not None and month is not None:
-        hourly = in_period(hourly, year, month, day)
-    elif (year, month, day) != (None, None, None):
+    """Merge the hourly table, one month or day of it, or some days, into a document table."""
+    if days is not None:
+        folders = [day_folder(*d) for d in days]
+    elif year is not None and month is not None:
+        folders = [f"year={year}/month={month}" + ("" if day is None else f"/day={day}")]
+    elif (year, month, day) == (None, None, None):
+        folders = None
+    else:
         raise ValueError("give year and month, and optionally day, or none of them")
+    hourly = read_keyed(spark, layout.hourly, folders)
+    if hourly is None:
+        return Report(f"export {name}", 0 if existing(spark, layout.hourly) else None)
     shape, time = EXPORTS[name]
     counted, seen = _counted(shape(hourly).withColumn("doc_day", F.to_date(time)))
-    upsert(counted, layout.documents(name), DOCUMENT_KEY, DOCUMENT_DAY)
+    # an hourly row gives one document, and the id follows from its key
+    upsert(counted, layout.documents(name), DOCUMENT_KEY, DOCUMENT_DAY, unique=True)
     return Report(f"export {name}", _rows(seen))
 
 
 def hourly_run(spark: SparkSession, layout: Layout, scope: HourScope | None = None) -> list[Report]:
-    """Clean, then hourly means, then the two hourly exports."""
-    period = () if scope is None else (scope.year, scope.month, scope.day)
-    return [
-        clean_job(spark, layout, scope),
-        hourly_job(spark, layout, scope),
-        export_job(spark, layout, "hourly", *period),
-        export_job(spark, layout, "weather_pairs", *period),
-    ]
+    """Clean, then hourly means, then the two hourly exports.
+
+    A given hour is that of arrival. Readings may belong to earlier hours, so the hours of all
+    readings that were stored are computed again, with the given one.
+    """
+    done = _clean_all(spark, layout, scope, tuple(KINDS.values()), "merge")
+    hours = days = None
+    if scope is not None:
+        hours = sorted({scope, *[h for c in done.values() if c is not None for h in c.hours]}, key=_hour_text)
+        days = sorted({(h.year, h.month, h.day) for h in hours})
+    hourly = hourly_job(spark, layout, hours=hours)
+    exports = _side_by_side(
+        spark, *[lambda n=n: export_job(spark, layout, n, days=days) for n in ("hourly", "weather_pairs")]
+    )
+    return [_clean_report(done), hourly, *exports]
+
+
+def quality_job(spark: SparkSession, layout: Layout, scope: HourScope | None = None) -> Report:
+    """Store the quality report of every landed kind: of everything, or of an arrival hour."""
+    counts: dict[str, int | None] = {}
+    for kind in KINDS.values():
+        lines = read_lines(spark, layout.raw, kind, scope)
+        counts[kind.name] = None
+        if lines is None:
+            continue
+        counted, seen = _counted(dq_report(lines, kind))
+        folder = "all" if scope is None else _hour_text(scope)
+        counted.write.mode("overwrite").parquet(f"{layout.quality}/kind={kind.name}/scope={folder}")
+        counts[kind.name] = _rows(seen)
+    return Report("quality", sum(n or 0 for n in counts.values()), counts)
+
+
+def _land_records(layout: Layout, kind: Kind, records: DataFrame) -> int:
+    """Append records as JSON lines by hour of receipt; returns their number."""
+    received = F.to_timestamp("timestamp_utc", EVENT_TIME_PATTERN)
+    patterns = {"year": "yyyy", "month": "MM", "day": "dd", "hour": "HH"}
+    counted, seen = _counted(records)
+    lines = counted.select(
+        F.to_json(F.struct(*records.columns)).alias("value"),
+        *[F.date_format(received, p).alias(c) for c, p in patterns.items()],
+    )
+    balanced(lines, tuple(patterns)).write.mode("append").partitionBy(*patterns).text(f"{layout.raw}/{kind.folder}")
+    return _rows(seen)
+
+
+def shape_job(layout: Layout, air: DataFrame, weather: DataFrame, local_zone: str = "UTC") -> Report:
+    """Land the records of API payloads (city, received_at, payload) as raw JSON lines; weather payloads are parsed once."""
+    counts = {AIR.name: _land_records(layout, AIR, shape_air(air, local_zone))}
+    with kept(weather_metrics(weather)) as metrics:
+        for kind in (WIND, TEMPERATURE, HUMIDITY):
+            counts[kind.name] = _land_records(layout, kind, metric_records(metrics, kind.metric))
+    return Report("shape", sum(counts.values()), counts)
 
 
 def daily_run(
@@ -227,10 +349,13 @@ def daily_run(
 def stream_job(
     messages: DataFrame, dimension: DataFrame, layout: Layout, available_now: bool = False
 ) -> list[StreamingQuery]:
-    """Start the statistics and the category query over one message stream."""
+    """Start the statistics and the category query over one message stream.
+
+    The dimension is measured once, before the stream starts; its files are fixed then, too.
+    """
     return [
         start_documents(
-            ten_minute_statistics(messages, dimension),
+            ten_minute_statistics(messages, dimension, is_small(dimension)),
             layout.documents("statistics"),
             "doc_id",
             layout.checkpoint("statistics"),

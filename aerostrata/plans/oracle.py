@@ -7,7 +7,7 @@ from __future__ import annotations
 
 COMMON = {
     "coded": """
-        SELECT event_id, event_type, value, date_trunc('second', ts) AS time,
+        SELECT event_id, event_type, floor(value * 16) / 16 AS value, date_trunc('second', ts) AS time,
                CAST(regexp_extract(props, '"k": *([0-9]+)', 1) AS INTEGER) AS k
         FROM events""",
     "sent": """
@@ -28,7 +28,8 @@ COMMON = {
                END AS timestamp_local,
                CASE WHEN k = 23 THEN 'bad' ELSE strftime(time, '%Y-%m-%dT%H:%M:%S')
                END AS timestamp_utc,
-               CAST(epoch(time) AS BIGINT) AS ts
+               CASE WHEN k NOT IN (31, 99) THEN CAST(epoch(time) AS BIGINT) END AS ts,
+               CAST(epoch(time) AS BIGINT) AS sent
         FROM named""",
     "later": """
         SELECT event_id, k, city, time + to_seconds(k) AS time FROM named""",
@@ -37,7 +38,8 @@ COMMON = {
                k * 1.0625e0 - 2e0 AS humidity, CASE WHEN k <> 23 THEN time END AS time,
                CASE WHEN k = 23 THEN 'bad' ELSE strftime(time, '%Y-%m-%dT%H:%M:%S')
                END AS timestamp_utc,
-               CAST(epoch(time) AS BIGINT) AS ts
+               CASE WHEN k NOT IN (31, 99) THEN CAST(epoch(time) AS BIGINT) END AS ts,
+               CAST(epoch(time) AS BIGINT) AS sent
         FROM later""",
 }
 
@@ -63,7 +65,7 @@ def _clean(kind: str, raw: bool) -> dict[str, str]:
     return {
         f"first_{kind}": f"""
         SELECT * REPLACE (trim(upper(city)) AS city),
-               row_number() OVER (PARTITION BY trim(upper(city)), ts ORDER BY {order}) AS place
+               row_number() OVER (PARTITION BY trim(upper(city)), sent ORDER BY {order}) AS place
         FROM {table}
         WHERE {readable} AND city IS NOT NULL AND {metric} IS NOT NULL AND time IS NOT NULL""",
         f"clean_{kind}": f"""
@@ -100,8 +102,8 @@ ORDER_HOURS = {
                CAST(month(o_orderdate) AS INTEGER) AS month,
                CAST(day(o_orderdate) AS INTEGER) AS day,
                CAST(o_custkey % 24 AS INTEGER) AS hour,
-               max(o_totalprice) / 2048e0 AS aqi_mean, min(o_totalprice) / 4096e0 AS pm25_mean,
-               max(o_totalprice) / 16384e0 AS avg_temp, min(o_totalprice) / 8192e0 AS avg_hum,
+               floor(max(o_totalprice)) / 2048e0 AS aqi_mean, floor(min(o_totalprice)) / 4096e0 AS pm25_mean,
+               floor(max(o_totalprice)) / 16384e0 AS avg_temp, floor(min(o_totalprice)) / 8192e0 AS avg_hum,
                max(o_custkey) / 64e0 AS avg_wind
         FROM orders GROUP BY ALL"""
 }
@@ -122,13 +124,18 @@ def _text(moment: str) -> str:
     return f"strftime({moment}, '%Y-%m-%d %H:%M:%S')"
 
 
+def _nearest(value: str, digits: int) -> str:
+    """A double rounded half up by its shortest decimal text."""
+    return f"CAST(round(CAST(CAST({value} AS VARCHAR) AS DECIMAL(38,18)), {digits}) AS DOUBLE)"
+
+
 def _daily(source: str = "hourly", where: str = "true") -> dict[str, str]:
     return {
         "daily": f"""
-        SELECT city, year, month, day, {_rounded("avg(pm25_mean)", 2)} AS pm25_avg,
-               {_rounded("avg(aqi_mean)", 0)} AS aqi_avg, {_rounded("avg(avg_temp)", 1)} AS temp_avg,
-               {_rounded("avg(avg_hum)", 1)} AS hum_avg, {_rounded("avg(avg_wind)", 1)} AS wind_avg,
-               {_rounded("max(pm25_mean)", 2)} AS pm25_peak_hour,
+        SELECT city, year, month, day, {_nearest("avg(pm25_mean)", 2)} AS pm25_avg,
+               {_nearest("avg(aqi_mean)", 0)} AS aqi_avg, {_nearest("avg(avg_temp)", 1)} AS temp_avg,
+               {_nearest("avg(avg_hum)", 1)} AS hum_avg, {_nearest("avg(avg_wind)", 1)} AS wind_avg,
+               {_nearest("max(pm25_mean)", 2)} AS pm25_peak_hour,
                count(*) FILTER (pm25_mean > 50) AS polluted_hours_count,
                CAST(make_date(year, month, day) AS VARCHAR) AS date
         FROM {source} WHERE {where} GROUP BY city, year, month, day""",
@@ -137,7 +144,7 @@ def _daily(source: str = "hourly", where: str = "true") -> dict[str, str]:
         FROM daily""",
         "grown": f"""
         SELECT * EXCLUDE (prev_day_pm25),
-               {_rounded("(pm25_avg - prev_day_pm25) / nullif(prev_day_pm25, 0) * 100", 2)}
+               {_nearest("(pm25_avg - prev_day_pm25) / nullif(prev_day_pm25, 0) * 100", 2)}
                AS growth_pct
         FROM lagged""",
         "trend": """
@@ -253,7 +260,7 @@ def _quality(kind: str) -> str:
              AS valid
     FROM (
       SELECT fault, {metric} AS metric, CASE WHEN fault <> 'malformed' OR k = 42 THEN time END AS day,
-             row_number() OVER (PARTITION BY fault, trim(upper(city)), ts ORDER BY {order}) AS place
+             row_number() OVER (PARTITION BY fault, trim(upper(city)), sent ORDER BY {order}) AS place
       FROM (SELECT *, CASE WHEN k IN (41, 42) THEN 'malformed'
                            WHEN city IS NULL OR {metric} IS NULL THEN 'required_null'
                            WHEN time IS NULL THEN 'bad_time' ELSE 'passed' END AS fault
@@ -289,8 +296,8 @@ def oracle_queries() -> dict[str, str]:
             FROM (SELECT 'full' AS scope, * FROM weather
                   UNION ALL
                   SELECT 'hour' AS scope, * FROM weather
-                  WHERE epoch(TIMESTAMP '2024-01-15 12:00:00') <= ts
-                    AND ts < epoch(TIMESTAMP '2024-01-16 00:00:00'))
+                  WHERE epoch(TIMESTAMP '2024-01-15 12:00:00') <= sent
+                    AND sent < epoch(TIMESTAMP '2024-01-16 00:00:00'))
             WHERE k NOT IN (41, 42) GROUP BY ALL"""
         ),
         "scan_clean_day": _readings(
@@ -340,7 +347,7 @@ def oracle_queries() -> dict[str, str]:
         "dedupe_batch": _readings(
             """SELECT event_id, city, ts, pm25 FROM (
                  SELECT event_id, trim(upper(city)) AS city, ts, pm25,
-                        row_number() OVER (PARTITION BY trim(upper(city)), ts ORDER BY event_id) AS place
+                        row_number() OVER (PARTITION BY trim(upper(city)), sent ORDER BY event_id) AS place
                  FROM air) WHERE place = 1"""
         ),
         **{f"clean_{kind}": _clean_query(kind) for kind in METRICS},
@@ -464,4 +471,8 @@ def oracle_queries() -> dict[str, str]:
         ),
         "daily_run": _readings("SELECT * FROM trend", joined_raw, _daily()),
     }
+    sql["hourly_run_scoped"] = sql["hourly_run"]
+    sql["hourly_hour"] = _readings(
+        f"SELECT {hour_columns} FROM hourly WHERE year = 2024 AND month = 1 AND day = 9 AND hour = 19", joined
+    )
     return sql

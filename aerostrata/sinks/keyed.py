@@ -1,28 +1,38 @@
-"""Merges by key into partitioned Parquet tables. One writer per table at a time.
+"""Keyed Parquet tables: inserts of new keys, and upserts kept as versions. One writer per table at a time.
 
-A key must determine its partition, so that a merge needs only the partitions it touches.
+An upsert appends its rows under a version and reads nothing that is stored, so its cost follows its
+input, untouched files stay as they are, and a batch that runs twice, or a job that dies half-way and runs again, leaves the
+same read. Readers take the newest version per key. ``compact`` puts the versions of a period into one; it deletes the old
+files only once the new ones are in place.
+
+A key must determine its partition.
 """
 
 from __future__ import annotations
 
+import hashlib
+import json
+import time
 from collections.abc import Iterator, Sequence
-from contextlib import contextmanager
+from contextlib import contextmanager, nullcontext
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from aerostrata.operators.cleaning import first_per_key
 from aerostrata.schemas import PARTITION_KEYS
-from aerostrata.sinks.partitioned import append, overwrite_partitions
-from aerostrata.sources.tables import read_table
+from aerostrata.sinks.partitioned import append
+from aerostrata.sources.tables import absent_as_none, existing, read_folders, read_table
 
-#: Above this many touched partitions a merge reads the whole table.
-MAX_LISTED_PARTITIONS = 4096
+VERSION, SHAPE = "_version", "_shape"
+#: Folder of a table for the shapes of its upserts; readers of the data pass over such names.
+SHAPES = "_shapes"
 
 
 @contextmanager
-def _kept(df: DataFrame) -> Iterator[DataFrame]:
+def kept(df: DataFrame) -> Iterator[DataFrame]:
     """Keep a frame for two passes. A lost block is recomputed from its source."""
     df.persist(StorageLevel.MEMORY_AND_DISK)
     try:
@@ -31,20 +41,14 @@ def _kept(df: DataFrame) -> Iterator[DataFrame]:
         df.unpersist()
 
 
-def _partition_label(columns: Sequence[str]) -> Column:
-    return F.concat_ws("/", *[F.col(c).cast("string") for c in columns])
-
-
-def _touched(df: DataFrame, partition_by: Sequence[str]) -> list[str] | None:
-    """Labels of the partitions in a frame; None if there are too many to list."""
-    labels = df.select(_partition_label(partition_by).alias("label")).distinct()
-    found = [row.label for row in labels.limit(MAX_LISTED_PARTITIONS + 1).collect()]
-    return None if len(found) > MAX_LISTED_PARTITIONS else found
-
+def touched_folders(df: DataFrame, partition_by: Sequence[str]) -> list[str]:
+    """Relative folders of the partitions in a frame, as Spark names them.
 
-def _only(df: DataFrame, labels: list[str] | None, partition_by: Sequence[str]) -> DataFrame:
-    """The listed partitions of a table; the test reads partition values, not files."""
-    return df if labels is None else df.filter(_partition_label(partition_by).isin(labels))
+    The driver lists them, as Spark does for any read of the table; days and hours are bounded by the calendar.
+    """
+    escape = df.sparkSession._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.getPartitionPathString
+    found = df.select(*[F.col(c).cast("string").alias(c) for c in partition_by]).distinct()
+    return ["/".join(escape(c, row[c]) for c in partition_by) for row in found.toLocalIterator()]
 
 
 def insert_new(
@@ -57,34 +61,49 @@ def insert_new(
     """Append the rows whose key the table does not hold yet.
 
     A re-run appends nothing, and one that was cut short appends what is missing. Stored files
-    are never rewritten, and only the key columns of the touched partitions are read. With
-    ``prune=False`` (a load of everything) the input is not kept for a second pass.
+    are never rewritten, and of the touched partitions only the columns of the key are read. ``prune=False``
+    (a load of everything) compares with the whole table.
     """
-    stored = read_table(df.sparkSession, path)
-    if stored is None:
-        append(df, path, partition_by)
-        return
-    if not prune:
-        _append_missing(df, stored, path, keys, partition_by)
-        return
-    with _kept(df) as incoming:
-        labels = _touched(incoming, partition_by)
-        if labels == []:
-            return
-        _append_missing(incoming, _only(stored, labels, partition_by), path, keys, partition_by)
+    with kept(df) if prune else nullcontext(df) as incoming:
+        append(new_rows(incoming, path, keys, partition_by, prune), path, partition_by)
 
 
-def _append_missing(
-    incoming: DataFrame,
-    stored: DataFrame,
+def new_rows(
+    df: DataFrame,
     path: str,
     keys: Sequence[str],
-    partition_by: Sequence[str],
-) -> None:
-    on = [*partition_by, *keys]
-    known = stored.select(*[F.col(c).alias(f"_known_{c}") for c in on])
-    same = [F.col(c).eqNullSafe(F.col(f"_known_{c}")) for c in on]
-    append(incoming.join(known, same, "left_anti"), path, partition_by)
+    partition_by: Sequence[str] = PARTITION_KEYS,
+    prune: bool = True,
+) -> DataFrame:
+    """The rows of ``df`` whose key, a list of SQL expressions over its columns, the table does not hold yet."""
+    spark = df.sparkSession
+    if not existing(spark, path):
+        return df
+    if prune:
+        stored = read_folders(spark, path, touched_folders(df, partition_by), df.schema)
+    else:
+        stored = absent_as_none(lambda: spark.read.schema(df.schema).parquet(path))
+    if stored is None:
+        return df
+    on = [f"`{c}`" for c in partition_by] + list(keys)
+    known = stored.select(*[F.expr(k).alias(f"_known{i}") for i, k in enumerate(on)])
+    keyed = df.withColumns({f"_key{i}": F.expr(k) for i, k in enumerate(on)})
+    same = [F.col(f"_key{i}").eqNullSafe(F.col(f"_known{i}")) for i in range(len(on))]
+    return keyed.join(known, same, "left_anti").select(*[F.col(f"`{c}`") for c in df.columns])
+
+
+def _shape(df: DataFrame, keys: Sequence[str], partition_by: Sequence[str]) -> tuple[str, str]:
+    """(name, text) of what an upsert writes."""
+    fields = [json.loads(f.json()) for f in df.schema.fields]
+    text = json.dumps({"keys": list(keys), "partition_by": list(partition_by), "fields": fields}, sort_keys=True)
+    return hashlib.md5(text.encode()).hexdigest(), text
+
+
+def _register(spark: SparkSession, path: str, name: str, text: str) -> None:
+    """Keep a shape beside the data; a table has as many as its upserts have different columns."""
+    folder = f"{path}/{SHAPES}/{name}"
+    if not existing(spark, f"{folder}/_SUCCESS"):
+        spark.range(1).select(F.lit(text).alias("value")).write.mode("overwrite").text(folder)
 
 
 def upsert(
@@ -95,7 +114,7 @@ def upsert(
     order_by: Sequence[str | Column] | None = None,
     unique: bool = False,
 ) -> None:
-    """Update the rows whose key is stored and insert the others.
+    """Update the rows whose key is stored and insert the others, as a new version of them.
 
     Columns of the frame replace stored values, nulls included; stored columns the frame lacks
     are kept. Among several rows of one key the first by ``order_by`` wins; a caller whose rows
@@ -104,32 +123,97 @@ def upsert(
     """
     on = [*partition_by, *keys]
     rows = df if unique else first_per_key(df, on, order_by)
-    stored = read_table(df.sparkSession, path, merge_schema=True)
-    if stored is None:
-        append(rows, path, partition_by)
+    name, text = _shape(df, keys, partition_by)
+    _register(df.sparkSession, path, name, text)
+    stamped = rows.withColumns({VERSION: F.lit(time.time_ns()), SHAPE: F.lit(name)})
+    append(stamped, path, partition_by)
+
+
+def _shapes(spark: SparkSession, path: str) -> dict[str, dict]:
+    """Shapes by name, oldest first where files tell."""
+    lines = spark.read.text(f"{path}/{SHAPES}/*").select("value", "_metadata.file_modification_time", "_metadata.file_path")
+    found = sorted(lines.collect(), key=lambda r: (r.file_modification_time, r.file_path))
+    return {hashlib.md5(r.value.encode()).hexdigest(): json.loads(r.value) for r in found}
+
+
+def _fields(shapes: dict[str, dict]) -> list[T.StructField]:
+    """All columns the shapes know; the latest type counts."""
+    fields: dict[str, T.StructField] = {}
+    for shape in shapes.values():
+        for f in shape["fields"]:
+            fields[f["name"]] = T.StructField.fromJson({**f, "nullable": True})
+    return list(fields.values())
+
+
+def read_keyed(spark: SparkSession, path: str, folders: Sequence[str] | None = None) -> DataFrame | None:
+    """The newest values of every key, or None if nothing is stored; ``folders`` limits the partitions read."""
+    newest = read_versions(spark, path, folders)
+    return None if newest is None else newest.drop(VERSION)
+
+
+def read_versions(spark: SparkSession, path: str, folders: Sequence[str] | None = None) -> DataFrame | None:
+    """As ``read_keyed``, with the version the newest values are from."""
+    if not existing(spark, f"{path}/{SHAPES}"):
+        return read_table(spark, path)  # rows that were only ever appended
+    shapes = _shapes(spark, path)
+    last = list(shapes.values())[-1]
+    on = [*last["partition_by"], *last["keys"]]
+    fields = _fields(shapes)
+    schema = T.StructType([*fields, T.StructField(VERSION, T.LongType()), T.StructField(SHAPE, T.StringType())])
+    if folders is None:
+        rows = absent_as_none(lambda: spark.read.schema(schema).option("basePath", path).parquet(path))
+    else:
+        rows = read_folders(spark, path, folders, schema)
+    if rows is None:
+        return None
+    # Rows that were appended without a version come first.
+    names = list(shapes)
+    rows = rows.withColumns({VERSION: F.coalesce(VERSION, F.lit(0)), SHAPE: F.coalesce(SHAPE, F.lit(names[-1]))})
+    # Columns that the same shapes hold are taken together from the newest row of those shapes.
+    owners: dict[tuple[str, ...], list[str]] = {}
+    for f in fields:
+        if f.name not in on:
+            holding = tuple(n for n, s in shapes.items() if any(g["name"] == f.name for g in s["fields"]))
+            owners.setdefault(holding, []).append(f.name)
+    parts = {}
+    for i, (holding, names) in enumerate(owners.items()):
+        value = F.struct(*[F.col(f"`{n}`") for n in names])
+        if len(holding) < len(shapes):
+            value = F.when(F.col(SHAPE).isin(*holding), value)
+        parts[f"_part{i}"] = F.max_by(value, F.when(value.isNotNull(), F.col(VERSION))).alias(f"_part{i}")
+    newest = rows.groupBy(*on).agg(F.max(VERSION).alias(VERSION), *parts.values())
+    place = {n: f"`_part{i}`.`{n}`" for i, names in enumerate(owners.values()) for n in names}
+    return newest.select(*[F.col(place.get(f.name, f"`{f.name}`")).alias(f.name) for f in fields], VERSION)
+
+
+def compact(spark: SparkSession, path: str, folders: Sequence[str]) -> None:
+    """Replace the versions in some partition folders by the newest one of each key.
+
+    The newest rows are written first, under the version they have; old files go only after that, so
+    a crash at any moment leaves rows that read the same.
+    """
+    shapes = _shapes(spark, path)
+    last = list(shapes.values())[-1]
+    newest = read_versions(spark, path, folders)
+    if newest is None:
         return
-    with _kept(rows) as incoming:
-        labels = _touched(incoming, partition_by)
-        if labels == []:
-            return
-        merged = _merge(_only(stored, labels, partition_by), incoming, on)
-        overwrite_partitions(merged, path, partition_by)
-
-
-def _merge(stored: DataFrame, incoming: DataFrame, on: Sequence[str]) -> DataFrame:
-    types = {f.name: f.dataType for f in incoming.schema.fields}
-    old = stored.select(
-        *[F.col(c).cast(types[c]) for c in on],
-        *[F.col(c).alias(f"_old_{c}") for c in stored.columns if c not in on],
-    )
-    new = incoming.withColumn("_is_new", F.lit(True))
-    both = old.join(new, list(on), "full_outer")
-    values = {c: F.col(c) for c in on}
-    for name in stored.columns:
-        if name not in on:
-            kept = F.col(f"`_old_{name}`")
-            if name in types:
-                kept = F.when(F.col("_is_new"), F.col(f"`{name}`")).otherwise(kept)
-            values[name] = kept.alias(name)
-    added = [F.col(f"`{c}`") for c in incoming.columns if c not in values]
-    return both.select(*[values[c] for c in stored.columns], *added)
+    old = [f for folder in folders for f in _files(spark, f"{path}/{folder}")]
+    name, text = _shape(newest.drop(VERSION), last["keys"], last["partition_by"])
+    _register(spark, path, name, text)
+    append(newest.withColumn(SHAPE, F.lit(name)), path, last["partition_by"])
+    for file in old:
+        _system(spark, file).delete(_hadoop_path(spark, file), False)
+
+
+def _hadoop_path(spark: SparkSession, path: str):
+    return spark._jvm.org.apache.hadoop.fs.Path(path)
+
+
+def _system(spark: SparkSession, path: str):
+    return _hadoop_path(spark, path).getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def _files(spark: SparkSession, folder: str) -> list[str]:
+    if not existing(spark, folder):
+        return []
+    return [str(s.getPath()) for s in _system(spark, folder).listStatus(_hadoop_path(spark, folder)) if s.isFile()]

@@ -18,9 +18,14 @@ def balanced(df: DataFrame, by: Sequence[str]) -> DataFrame:
     return df.hint("rebalance", *by)
 
 
-def append(df: DataFrame, path: str, partition_by: Sequence[str] = PARTITION_KEYS) -> None:
-    """Plain append; running it twice writes the rows twice."""
-    balanced(df, partition_by).write.mode("append").partitionBy(*partition_by).parquet(path)
+def append(
+    df: DataFrame, path: str, partition_by: Sequence[str] = PARTITION_KEYS, sort_by: Sequence[str] = ()
+) -> None:
+    """Plain append; running it twice writes the rows twice. Files sorted by a column let readers skip parts of them."""
+    rows = balanced(df, partition_by)
+    if sort_by:
+        rows = rows.sortWithinPartitions(*partition_by, *sort_by)
+    rows.write.mode("append").partitionBy(*partition_by).parquet(path)
 
 
 def overwrite_partitions(

@@ -56,29 +56,21 @@ def shape_air(payloads: DataFrame, local_zone: str = "UTC") -> DataFrame:
     )
 
 
-def split_weather(payloads: DataFrame) -> dict[str, DataFrame]:
-    """Three narrow frames, keyed by metric, from the weather payloads that have an entry."""
+def weather_metrics(payloads: DataFrame) -> DataFrame:
+    """(city, metric, value, timestamp_utc, ts): three rows for each weather payload that has an entry, parsed once."""
     received = F.col("received_at")
-    parsed = _first_entry(payloads, WEATHER_FIELDS).select(
+    metrics = [
+        F.struct(F.lit(name).alias("metric"), _number(field, "double").alias("value"))
+        for field, name in WEATHER_FIELDS.items()
+    ]
+    return _first_entry(payloads, WEATHER_FIELDS).select(
         "city",
+        F.inline(F.array(*metrics)),
         _time_text(received).alias("timestamp_utc"),
         F.unix_seconds(received).alias("ts"),
-        *[_number(field, "double").alias(name) for field, name in WEATHER_FIELDS.items()],
     )
-    return {
-        name: parsed.select("city", name, "timestamp_utc", "ts")
-        for name in WEATHER_FIELDS.values()
-    }
-
-
-def shape_payloads(
-    air: DataFrame, weather: DataFrame, local_zone: str = "UTC"
-) -> dict[str, DataFrame]:
-    """All four record kinds by kind name."""
-    metrics = split_weather(weather)
-    return {
-        "air": shape_air(air, local_zone),
-        "wind": metrics["wind_speed"],
-        "temperature": metrics["temperature"],
-        "humidity": metrics["humidity"],
-    }
+
+
+def metric_records(metrics: DataFrame, name: str) -> DataFrame:
+    """The records of one weather metric, the value under its name."""
+    return metrics.where(F.col("metric") == name).select("city", F.col("value").alias(name), "timestamp_utc", "ts")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from aerostrata.schemas import Kind
-from aerostrata.sources.tables import if_present
+from aerostrata.sources.tables import absent_as_none
 
 CORRUPT = "_corrupt_record"
 
@@ -48,7 +48,7 @@ def read_lines(
     spark: SparkSession, root: str, kind: Kind, scope: HourScope | None = None
 ) -> DataFrame | None:
     """Text lines of one kind in ``value``, blank lines left out; None if nothing has landed."""
-    lines = if_present(lambda: spark.read.text(raw_path(root, kind, scope)))
+    lines = absent_as_none(lambda: spark.read.text(raw_path(root, kind, scope)))
     return None if lines is None else lines.filter(F.trim("value") != "")
 
 
@@ -59,23 +59,30 @@ def parsed_record(value: Column, schema: T.StructType) -> Column:
     return F.from_json(value, extended, options)
 
 
+def record_texts(lines: DataFrame) -> DataFrame:
+    """The text of each record: a line is one, or a JSON array of several; a broken array is one broken record."""
+    value = F.col("value")
+    several = F.coalesce(F.from_json(value, "array<string>"), F.array(value))
+    return lines.select(F.explode(F.when(F.ltrim(value).startswith("["), several).otherwise(F.array(value))).alias("value"))
+
+
 def parse_lines(lines: DataFrame, schema: T.StructType) -> DataFrame:
-    """Columns of the schema plus the corrupt text, one row per line.
+    """Columns of the schema plus the corrupt text, one row per record.
 
     Going through ``inline`` parses each line once. Selecting the fields of ``from_json`` directly
     would let filters on them be pushed below the projection and repeat the parsing there.
     """
-    return lines.select(F.inline(F.array(parsed_record(F.col("value"), schema))))
+    return record_texts(lines).select(F.inline(F.array(parsed_record(F.col("value"), schema))))
 
 
 def well_formed(lines: DataFrame, schema: T.StructType) -> DataFrame:
-    """Columns of the schema for the lines that fit it.
+    """Columns of the schema for the records that fit it.
 
     Every field is checked whatever the query selects, so a count and a projection agree.
     """
     record = parsed_record(F.col("value"), schema)
     fitting = F.filter(F.array(record), lambda r: r.isNotNull() & r[CORRUPT].isNull())
-    return lines.select(F.inline(fitting)).drop(CORRUPT)
+    return record_texts(lines).select(F.inline(fitting)).drop(CORRUPT)
 
 
 def read_raw(

@@ -23,11 +23,14 @@ LOCATIONS = (
 
 
 def with_fault_code(events: DataFrame) -> DataFrame:
-    """Events with ``k`` from the properties and their time, to the second, as a zoned timestamp."""
+    """Events with ``k`` from the properties and their time, to the second, as a zoned timestamp.
+
+    Values are cut to sixteenths, so that their sums do not depend on the order of summing.
+    """
     return events.selectExpr(
         "event_id",
         "event_type",
-        "value",
+        "floor(value * 16) / 16D AS value",
         "cast(get_json_object(props, '$.k') AS int) AS k",
         "date_trunc('second', cast(ts AS timestamp)) AS time",
     )
@@ -36,6 +39,10 @@ def with_fault_code(events: DataFrame) -> DataFrame:
 CITY = "CASE WHEN k = 29 THEN null WHEN k < 25 THEN concat(' ', event_type, ' ') ELSE event_type END"
 
 
+#: Readings without a second of their own; those of code 99 are sent twice.
+NO_SECOND = "k IN (31, 99)"
+
+
 def _time_text(time: str) -> str:
     return f"CASE WHEN k = 23 THEN 'bad' ELSE date_format({time}, \"{EVENT_TIME_PATTERN}\") END"
 
@@ -68,7 +75,8 @@ def air_readings(events: DataFrame) -> DataFrame:
             "so2": "k * 0.25D",
             "timestamp_local": _time_text("time + interval 7 hours"),
             "timestamp_utc": _time_text("time"),
-            "ts": "unix_seconds(time)",
+            "ts": f"CASE WHEN NOT {NO_SECOND} THEN unix_seconds(time) END",
+            "sent": "unix_seconds(time)",
         },
     )
 
@@ -84,7 +92,8 @@ def _weather(events: DataFrame, metric: str, value: str) -> DataFrame:
             "city": CITY,
             metric: value,
             "timestamp_utc": _time_text(later),
-            "ts": "unix_seconds(time) + k",
+            "ts": f"CASE WHEN NOT {NO_SECOND} THEN unix_seconds(time) + k END",
+            "sent": "unix_seconds(time) + k",
         },
     )
 
@@ -110,12 +119,12 @@ READINGS = {
 
 
 def as_lines(readings: DataFrame, columns: list[str], metric: str) -> DataFrame:
-    """Readings as JSON text; fault codes 41 and 42 give broken text and a wrong field type."""
+    """Readings as JSON text and the second they were sent; fault codes 41 and 42 give broken text and a wrong field type."""
     record = f"to_json(struct({', '.join(columns)}))"
     mistyped = ", ".join(f"'n/a' AS {c}" if c == metric else c for c in columns)
     return readings.selectExpr(
         "event_id",
-        "ts",
+        "sent",
         f"""CASE WHEN k = 41 THEN concat('{{', {record})
                  WHEN k = 42 THEN to_json(struct({mistyped})) ELSE {record} END AS value""",
     )
@@ -166,10 +175,10 @@ def hourly_from_orders(orders: DataFrame) -> DataFrame:
         "o_custkey",
     )
     return hours.groupBy("city", "year", "month", "day", "hour").agg(
-        F.expr("max(o_totalprice) / 2048D AS aqi_mean"),
-        F.expr("min(o_totalprice) / 4096D AS pm25_mean"),
-        F.expr("max(o_totalprice) / 16384D AS avg_temp"),
-        F.expr("min(o_totalprice) / 8192D AS avg_hum"),
+        F.expr("floor(max(o_totalprice)) / 2048D AS aqi_mean"),
+        F.expr("floor(min(o_totalprice)) / 4096D AS pm25_mean"),
+        F.expr("floor(max(o_totalprice)) / 16384D AS avg_temp"),
+        F.expr("floor(min(o_totalprice)) / 8192D AS avg_hum"),
         F.expr("max(o_custkey) / 64D AS avg_wind"),
     )
 

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 from contextlib import contextmanager
 
 from pyspark.errors import AnalysisException
 from pyspark.logger import PySparkLogger
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 ABSENT = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
 QUERY_LOGGERS = ("DataFrameQueryContextLogger", "SQLQueryContextLogger")
@@ -28,7 +29,7 @@ def _quiet() -> Iterator[None]:
             logger.disabled = disabled
 
 
-def if_present(read: Callable[[], DataFrame]) -> DataFrame | None:
+def absent_as_none(read: Callable[[], DataFrame]) -> DataFrame | None:
     """The frame of a read, or None if its path holds nothing. Other errors are raised."""
     try:
         with _quiet():
@@ -39,26 +40,48 @@ def if_present(read: Callable[[], DataFrame]) -> DataFrame | None:
         raise
 
 
-def read_table(spark: SparkSession, path: str, merge_schema: bool = False) -> DataFrame | None:
+def existing(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder is there."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+
+
+def read_table(spark: SparkSession, path: str) -> DataFrame | None:
     """The table, or None if nothing has been written there yet."""
-    reader = spark.read.option("mergeSchema", str(merge_schema).lower())
-    return if_present(lambda: reader.parquet(path))
+    return absent_as_none(lambda: spark.read.parquet(path))
 
 
-def read_day(spark: SparkSession, path: str, year: int, month: int, day: int) -> DataFrame | None:
-    """One day of a clean table. The predicate names partition keys only, so other days stay unread."""
-    table = read_table(spark, path)
-    if table is None:
+def read_folders(
+    spark: SparkSession, path: str, folders: Sequence[str], schema: T.StructType | None = None
+) -> DataFrame | None:
+    """Some partition folders of a table, or None if none of them is there; no other folder is listed."""
+    there = [f"{path}/{f}" for f in folders if existing(spark, f"{path}/{f}")]
+    if not there:
         return None
-    return table.filter(
-        (F.col("year") == year) & (F.col("month") == month) & (F.col("day") == day)
-    )
+    reader = spark.read.option("basePath", path)
+    if schema is not None:
+        reader = reader.schema(schema)
+    return absent_as_none(lambda: reader.parquet(*there))
+
+
+def day_folder(year: int, month: int, day: int) -> str:
+    return f"year={year}/month={month}/day={day}"
+
+
+def read_day(spark: SparkSession, path: str, year: int, month: int, day: int) -> DataFrame | None:
+    """One day of a table partitioned by day, or None if it holds none."""
+    return read_folders(spark, path, [day_folder(year, month, day)])
 
 
 def previous_month(year: int, month: int) -> tuple[int, int]:
     return (year, month - 1) if month > 1 else (year - 1, 12)
 
 
+def month_folders(year: int, month: int) -> list[str]:
+    """Folders of a month and of the one before it."""
+    return [f"year={y}/month={m}" for y, m in ((year, month), previous_month(year, month))]
+
+
 def month_and_previous(table: DataFrame, year: int, month: int) -> DataFrame:
     """Rows of a month and of the one before it; a month without rows adds none."""
     before_year, before_month = previous_month(year, month)
@@ -69,5 +92,5 @@ def month_and_previous(table: DataFrame, year: int, month: int) -> DataFrame:
 
 
 def read_two_months(spark: SparkSession, path: str, year: int, month: int) -> DataFrame | None:
-    table = read_table(spark, path)
-    return None if table is None else month_and_previous(table, year, month)
+    """A month and the one before it, or None if the table holds neither."""
+    return read_folders(spark, path, month_folders(year, month))

@@ -68,9 +68,9 @@ def clean_readings(readings: DataFrame, normalize_first: bool = False) -> DataFr
     )
 
 
-def ten_minute_statistics(messages: DataFrame, dimension: DataFrame) -> DataFrame:
-    """Messages to windowed statistics with location and document id."""
-    return window_stats(clean_readings(decode(messages)), dimension)
+def ten_minute_statistics(messages: DataFrame, dimension: DataFrame, small: bool = False) -> DataFrame:
+    """Messages to windowed statistics with location and document id; a ``small`` dimension is broadcast."""
+    return window_stats(clean_readings(decode(messages)), dimension, small=small)
 
 
 def ten_minute_categories(messages: DataFrame) -> DataFrame:

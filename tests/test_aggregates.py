@@ -6,10 +6,9 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from aerostrata.operators.aggregates import category_counts, daily_rollup, hourly_means, window_stats
-from aerostrata.operators.joins import enrich_static, join_minute_left, join_weather_chain, with_minute
+from aerostrata.operators.joins import enrich_static, is_small, join_minute_left, join_weather_chain, with_minute
 from aerostrata.operators.trends import in_period, with_trend
 from aerostrata.schemas import DIMENSION
-from aerostrata.sources.dimension import unique_cities
 
 AIR = "city string, timestamp_utc string, aqi int, pm25 double"
 
@@ -210,14 +209,15 @@ def test_category_counts(spark):
     assert (row.Good, row.Moderate, row.Unhealthy, row.Very_Unhealthy, row.Hazardous) == (2, 1, 1, 2, 2)
 
 
-def test_dimension_is_broadcast_only_within_the_limit(spark, capsys):
+def test_dimension_is_broadcast_only_where_it_is_measured_small(spark, capsys):
     dimension = spark.createDataFrame([("A", 1.0, 2.0, "X")], DIMENSION)
+    assert is_small(dimension) and not is_small(dimension, limit=10)
     df = readings(spark, [("A", 0, 1), ("B", 0, 2)])
-    enrich_static(df, dimension).explain()
-    assert "BroadcastHashJoin" in capsys.readouterr().out
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        wide = enrich_static(df, dimension, limit=10)
+        enrich_static(df, dimension, small=True).explain()
+        assert "BroadcastHashJoin" in capsys.readouterr().out
+        wide = enrich_static(df, dimension)
         wide.explain()
         assert "SortMergeJoin" in capsys.readouterr().out
         assert wide.filter("country IS NULL").count() == 1
@@ -225,10 +225,30 @@ def test_dimension_is_broadcast_only_within_the_limit(spark, capsys):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
-def test_repeated_cities_do_not_multiply_rows(spark):
+def test_repeated_cities_do_not_multiply_documents(spark):
     dimension = spark.createDataFrame([("A", 1.0, 2.0, "X"), ("A", 3.0, 1.0, "W")], DIMENSION)
-    row = unique_cities(dimension).collect()
-    assert [tuple(r) for r in row] == [("A", 3.0, 2.0, "X")]
+    found = window_stats(readings(spark, [("A", 0, 1), ("B", 0, 2)]), dimension).collect()
+    assert sorted((r.city, r.lat, r.lon, r.country) for r in found) == [("A", 3.0, 2.0, "X"), ("B", None, None, None)]
+    assert len({r.doc_id for r in found}) == 2
+
+
+def test_parts_of_the_chain_join_agree(spark, rows):
+    air, wind, temperature, humidity = (clean_source(spark, m) for m in ("aqi", "wind_speed", "temperature", "humidity"))
+    one = join_weather_chain(air, wind, temperature, humidity)
+    many = join_weather_chain(air, wind, temperature, None, parts=8)
+    assert rows(join_weather_chain(air, wind, temperature, humidity, parts=8)) == rows(one)
+    assert many.columns == one.columns and many.filter("humidity IS NOT NULL").count() == 0
+
+
+def clean_source(spark, metric):
+    data = [("A", f"2024-01-01T00:0{m}:0{s}", float(m + s)) for m in range(3) for s in range(5)]
+    return spark.createDataFrame(data, f"city string, timestamp_utc string, {metric} double")
+
+
+def test_means_are_rounded_once(spark):
+    hourly = "'A' city, 2024 year, 1 month, 1 day, {} hour, 52.12499999999D pm25_mean, 1D aqi_mean, 1D avg_temp, 1D avg_hum, 1D avg_wind"
+    df = spark.sql(f"SELECT {hourly.format(0)}")
+    assert daily_rollup(df).first().pm25_avg == 52.12
 
 
 def test_no_python_in_the_plans(spark, capsys):

@@ -14,7 +14,6 @@ from aerostrata.functions import (
     hour_timestamp,
     parse_event_time,
     register_sql_functions,
-    round_half_up,
 )
 
 EDGES = [0, 50, 51, 100, 101, 150, 151, 200, 201, 1000]
@@ -82,29 +81,3 @@ def test_document_id_is_the_digest_of_its_parts(spark):
     pivot = sha256(b"OSLO_2024-01-02 03:00:00_pivot").hexdigest()
     assert one(spark, document_id(city, moment)) == digest
     assert one(spark, document_id(city, moment, "pivot")) == pivot
-
-
-@pytest.mark.parametrize(
-    "value,digits,expected",
-    [
-        (52.125, 2, 52.13),
-        (52.12499999999999, 2, 52.13),
-        (-0.125, 2, -0.13),
-        (2.5, 0, 3.0),
-        (1e300, 2, 1e300),
-        (None, 2, None),
-    ],
-)
-def test_rounding(spark, value, digits, expected):
-    assert one(spark, round_half_up(F.lit(value).cast("double"), digits)) == expected
-
-
-@settings(max_examples=25, deadline=None, suppress_health_check=list(HealthCheck))
-@given(st.lists(st.integers(0, 100_000), min_size=1, max_size=40))
-def test_rounding_does_not_depend_on_summation_order(spark, cents):
-    values = [c / 100 for c in cents]
-    forward, backward = sum(values) / len(values), sum(reversed(values)) / len(values)
-    got = spark.range(1).select(
-        round_half_up(F.lit(forward), 2).alias("a"), round_half_up(F.lit(backward), 2).alias("b")
-    ).first()
-    assert got.a == got.b

@@ -1,11 +1,14 @@
 import json
+from datetime import datetime
 
 import pytest
 
+from aerostrata.operators.cleaning import clean
 from aerostrata.plans import cli, jobs
 from aerostrata.plans.jobs import Layout
 from aerostrata.schemas import AIR, HUMIDITY, KINDS
-from aerostrata.sources.raw import HourScope
+from aerostrata.sinks.keyed import read_keyed
+from aerostrata.sources.raw import HourScope, read_raw
 from aerostrata.sources.tables import read_table
 
 SCOPE = HourScope(2024, 1, 2, 3)
@@ -40,39 +43,101 @@ def test_hourly_run_and_rerun(spark, layout, rows):
     reports = jobs.hourly_run(spark, layout, SCOPE)
     assert [r.rows for r in reports] == [8, 1, 1, 1]
     assert reports[0].parts == {"air": 2, "wind": 2, "temperature": 2, "humidity": 2}
-    hourly = read_table(spark, layout.hourly).first()
+    hourly = read_keyed(spark, layout.hourly).first()
     assert (hourly.city, hourly.hour, hourly.aqi_mean, hourly.pm25_mean) == ("OSLO", 3, 15.0, 60.5)
     assert (hourly.avg_temp, hourly.avg_hum, hourly.avg_wind) == (15.0, 15.0, 15.0)
 
     tables = [
         layout.clean(AIR), layout.hourly, layout.documents("hourly"), layout.documents("weather_pairs")
     ]
-    before = [rows(read_table(spark, t)) for t in tables]
+    before = [rows(read_keyed(spark, t)) for t in tables]
     jobs.hourly_run(spark, layout, SCOPE)
-    assert [rows(read_table(spark, t)) for t in tables] == before
+    assert [rows(read_keyed(spark, t)) for t in tables] == before
 
 
 def test_late_arrival_replaces_its_hour(spark, layout):
     jobs.hourly_run(spark, layout, SCOPE)
     land(layout, AIR, SCOPE, [reading(AIR, 60, 5)])
     jobs.hourly_run(spark, layout, SCOPE)
-    table = read_table(spark, layout.hourly)
+    table = read_keyed(spark, layout.hourly)
     assert table.count() == 1
     assert table.first().aqi_mean == 30.0
-    assert read_table(spark, layout.documents("hourly")).first().aqi_mean == 30.0
+    assert read_keyed(spark, layout.documents("hourly")).first().aqi_mean == 30.0
 
 
-def test_hourly_plan_prunes_days_columns_and_hours(spark, layout, capsys):
+def test_late_readings_reach_the_hour_before(spark, tmp_path, rows):
+    layout = Layout(str(tmp_path))
+    land(layout, AIR, SCOPE, [reading(AIR, 10, 0, hour=2), reading(AIR, 40, 0, hour=3)])
+    jobs.hourly_run(spark, layout, SCOPE)
+    land(layout, AIR, HourScope(2024, 1, 2, 4), [reading(AIR, 30, 59, hour=2), reading(AIR, 50, 0, day=1, hour=23)])
+    reports = jobs.hourly_run(spark, layout, HourScope(2024, 1, 2, 4))
+    assert reports[1].rows == 2
+    hours = rows(read_keyed(spark, layout.hourly), "day", "hour", "aqi_mean")
+    assert hours == [(1, 23, 50.0), (2, 2, 20.0), (2, 3, 40.0)]
+    documents = rows(read_keyed(spark, layout.documents("hourly")), "day", "hour", "aqi_mean")
+    assert documents == hours
+
+
+def test_hourly_plan_skips_other_hours_and_columns(spark, layout, capsys):
     jobs.clean_job(spark, layout, SCOPE)
-    jobs.hourly_facts(spark, layout, SCOPE).explain()
+    jobs.hourly_facts(spark, layout, [SCOPE]).explain()
     plan = capsys.readouterr().out
     scans = [line for line in plan.splitlines() if "FileScan" in line]
     assert len(scans) == 4
     for scan in scans:
-        assert "PartitionFilters: [isnotnull(year" in scan
+        assert "LessThan(timestamp_u" in scan
     assert "ReadSchema: struct<city:string,aqi:int,pm25:double,timestamp_utc:string>" in scans[0]
-    below = plan[plan.rindex("Exchange"):]
-    assert below.count("hour(date_trunc") >= 4
+
+
+def test_readings_without_a_second_are_told_apart_by_their_time(spark, tmp_path, rows):
+    whole, hourly = Layout(str(tmp_path / "w")), Layout(str(tmp_path / "h"))
+    first, second = SCOPE, HourScope(2024, 1, 2, 4)
+    for layout in (whole, hourly):
+        records = [reading(AIR, 10, 0) | {"ts": None}, reading(AIR, 20, 1) | {"ts": None}]
+        land(layout, AIR, first, records)
+        land(layout, AIR, second, [reading(AIR, 30, 2) | {"ts": None}, records[0]])
+    jobs.clean_job(spark, whole)
+    for scope in (first, second):
+        jobs.clean_job(spark, hourly, scope)
+    found = rows(read_table(spark, whole.clean(AIR)), "aqi", "timestamp_utc", "ts")
+    assert [r[0] for r in found] == [10, 20, 30] and {r[2] for r in found} == {None}
+    assert rows(read_table(spark, hourly.clean(AIR)), "aqi", "timestamp_utc", "ts") == found
+
+
+def test_time_text_is_parsed_once(spark, layout, capsys):
+    clean(read_raw(spark, layout.raw, AIR), AIR).explain()
+    assert capsys.readouterr().out.count("gettimestamp") == 1
+
+
+def test_quality_report_is_stored(spark, layout, rows):
+    report = jobs.quality_job(spark, layout, SCOPE)
+    assert report.parts == {"air": 1, "wind": 1, "temperature": 1, "humidity": 1}
+    jobs.quality_job(spark, layout, SCOPE)
+    stored = read_table(spark, layout.quality)
+    assert rows(stored, "kind", "rows_seen", "out_of_range", "valid") == [
+        (k, 3, 1, 2) for k in ("air", "humidity", "temperature", "wind")
+    ]
+
+
+def test_payloads_land_as_raw_records(spark, tmp_path):
+    layout = Layout(str(tmp_path / "store"))
+    schema = "city string, received_at timestamp, payload string"
+    when = datetime(2024, 1, 2, 3, 30)
+    air = '{"data":[{"aqi":60,"co":1,"no2":2.5,"o3":3,"pm10":4,"pm25":5,"so2":6}]}'
+    weather = '{"data":[{"wind_spd":1.5,"temp":20,"rh":80}]}'
+    for name, text in (("air", air), ("weather", weather)):
+        spark.createDataFrame([("oslo", when, text)], schema).write.parquet(str(tmp_path / name))
+    args = ["shape", "--root", layout.root, "--air", str(tmp_path / "air"), "--weather", str(tmp_path / "weather")]
+    [report] = cli.run(spark, cli.build_parser().parse_args(args))
+    assert report.parts == {"air": 1, "wind": 1, "temperature": 1, "humidity": 1}
+    assert [r.rows for r in jobs.hourly_run(spark, layout, SCOPE)] == [4, 1, 1, 1]
+
+
+def test_absent_tables_log_no_error(spark, layout, capfd):
+    spark.sparkContext.setLogLevel("ERROR")
+    jobs.clean_job(spark, layout)
+    spark.sparkContext.setLogLevel("OFF")
+    assert "PATH_NOT_FOUND" not in capfd.readouterr().err
 
 
 def test_append_mode_writes_again(spark, layout):
@@ -96,14 +161,15 @@ def test_absent_kind_is_skipped_alone(spark, tmp_path):
 def test_no_valid_rows_write_nothing(spark, tmp_path):
     layout = Layout(str(tmp_path))
     land(layout, AIR, SCOPE, [reading(AIR, 5000, 0)])
-    assert jobs.clean_kind(spark, layout, AIR, SCOPE) == 0
+    assert jobs.clean_kind(spark, layout, AIR, SCOPE).rows == 0
+    assert jobs.clean_kind(spark, layout, AIR).rows == 0
 
 
 def test_hour_without_weather_has_null_means(spark, tmp_path):
     layout = Layout(str(tmp_path))
     land(layout, AIR, SCOPE, [reading(AIR, 10, 0)])
     jobs.hourly_run(spark, layout, SCOPE)
-    row = read_table(spark, layout.hourly).first()
+    row = read_keyed(spark, layout.hourly).first()
     assert (row.aqi_mean, row.avg_hum, row.avg_temp, row.avg_wind) == (10.0, None, None, None)
 
 
@@ -123,7 +189,7 @@ def test_daily_run(spark, tmp_path, rows):
     assert rows(daily, *columns) == expected
     jobs.daily_run(spark, layout, 2024, 1, 2)
     assert rows(read_table(spark, layout.daily), *columns) == expected
-    documents = read_table(spark, layout.documents("pm25"))
+    documents = read_keyed(spark, layout.documents("pm25"))
     assert documents.count() == 3
     assert set(documents.columns) == {
         "doc_id", "city", "timestamp", "pm25", "aqi_mean", "avg_temp", "avg_hum", "avg_wind", "doc_day"
@@ -149,6 +215,8 @@ def test_command_line(spark, layout):
     assert [r.rows for r in call("daily", *hour[:4])] == [1]
     assert [r.rows for r in call("export", "--name", "pm25")] == [1]
     assert [r.rows for r in call("hourly-run", *hour)] == [8, 1, 1, 1]
+    assert [r.rows for r in call("hourly-run")][1:] == [None, 0, 0]
+    assert [r.rows for r in call("dq", *hour)] == [4]
     assert [r.rows for r in call("daily-run", *hour[:6])] == [1, 1]
     with pytest.raises(ValueError):
         call("hourly", "--year", "2024")
@@ -166,8 +234,8 @@ def test_stream_command_line(spark, tmp_path):
     root = ["--root", str(tmp_path / "store"), "--files", str(inbox), "--available-now"]
     cli.run(spark, cli.build_parser().parse_args(["stream", "--dimension", str(tmp_path / "cities"), *root]))
     layout = Layout(str(tmp_path / "store"))
-    row = read_table(spark, layout.documents("statistics")).first()
+    row = read_keyed(spark, layout.documents("statistics")).first()
     assert (row.city, row.avg_aqi, row.country) == ("OSLO", 10.0, "Norway")
-    assert read_table(spark, layout.documents("categories")).first().Good == 1
+    assert read_keyed(spark, layout.documents("categories")).first().Good == 1
     cli.run(spark, cli.build_parser().parse_args(["land", "--kind", "air", *root]))
-    assert jobs.clean_kind(spark, layout, AIR) == 1
+    assert jobs.clean_kind(spark, layout, AIR).rows == 1

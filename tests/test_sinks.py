@@ -3,9 +3,9 @@ from pathlib import Path
 import pytest
 
 from aerostrata.sinks import keyed
-from aerostrata.sinks.keyed import insert_new, upsert
+from aerostrata.sinks.keyed import insert_new, read_keyed, upsert
 from aerostrata.sinks.partitioned import append, overwrite_partitions
-from aerostrata.sources.tables import read_table
+from aerostrata.sources.tables import read_folders, read_table
 
 PART = ["day"]
 
@@ -71,46 +71,92 @@ def test_insert_new_is_repeatable(spark, tmp_path, rows, prune):
     assert len(stored(spark, path, rows)) == 3
 
 
+def newest(spark, path, rows, *columns):
+    return rows(read_keyed(spark, path), *(columns or ("day", "id", "a", "b")))
+
+
 def test_upsert_updates_and_inserts(spark, tmp_path, rows):
     path = str(tmp_path / "t")
     upsert(frame(spark, [(1, "x", 1, 1), (1, "y", 2, 2), (2, "z", 3, 3)]), path, ["id"], PART)
-    before = files(path + "/day=2")
+    before = files(path)
     upsert(frame(spark, [(1, "x", 7, None), (1, "n", 8, 8)]), path, ["id"], PART)
     expected = [(1, "n", 8, 8), (1, "x", 7, None), (1, "y", 2, 2), (2, "z", 3, 3)]
-    assert stored(spark, path, rows) == expected
-    assert files(path + "/day=2") == before
+    assert newest(spark, path, rows) == expected
+    assert before.items() <= files(path).items()
     upsert(frame(spark, [(1, "x", 7, None), (1, "n", 8, 8)]), path, ["id"], PART)
-    assert stored(spark, path, rows) == expected
+    assert newest(spark, path, rows) == expected
     upsert(frame(spark, []), path, ["id"], PART)
-    assert stored(spark, path, rows) == expected
+    assert newest(spark, path, rows) == expected
+    assert read_keyed(spark, str(tmp_path / "no")) is None
 
 
 def test_upsert_keeps_absent_columns_and_adds_new_ones(spark, tmp_path, rows):
     path = str(tmp_path / "t")
     upsert(frame(spark, [(1, "x", 1, 1), (2, "z", 3, 3)]), path, ["id"], PART)
     upsert(frame(spark, [(1, "x", 5, 6)], "day int, id string, a int, c int"), path, ["id"], PART)
-    table = read_table(spark, path, merge_schema=True)
-    assert rows(table, "id", "a", "b", "c") == [("x", 5, 1, 6), ("z", 3, 3, None)]
+    assert newest(spark, path, rows, "id", "a", "b", "c") == [("x", 5, 1, 6), ("z", 3, 3, None)]
+    upsert(frame(spark, [(1, "x", 9)], "day int, id string, b int"), path, ["id"], PART)
+    assert newest(spark, path, rows, "id", "a", "b", "c") == [("x", 5, 9, 6), ("z", 3, 3, None)]
 
 
 def test_upsert_takes_the_first_of_several(spark, tmp_path, rows):
     path = str(tmp_path / "t")
     upsert(frame(spark, [(1, "x", n, 0) for n in range(9)]), path, ["id"], PART, ["a"])
-    assert stored(spark, path, rows) == [(1, "x", 0, 0)]
+    assert newest(spark, path, rows) == [(1, "x", 0, 0)]
 
 
-def test_too_many_partitions_to_list_merges_the_whole_table(spark, tmp_path, rows, monkeypatch):
+def test_upsert_and_insert_open_no_untouched_file(spark, tmp_path, rows):
     path = str(tmp_path / "t")
     upsert(frame(spark, [(d, f"k{d}", 1, 1) for d in range(6)]), path, ["id"], PART)
-    monkeypatch.setattr(keyed, "MAX_LISTED_PARTITIONS", 2)
-    upsert(frame(spark, [(d, f"k{d}", 2, 2) for d in range(4)]), path, ["id"], PART)
-    assert stored(spark, path, rows, "day", "a") == [(0, 2), (1, 2), (2, 2), (3, 2), (4, 1), (5, 1)]
+    for file in Path(path, "day=5").glob("*.parquet"):
+        file.write_bytes(b"no parquet")
+    upsert(frame(spark, [(1, "k1", 2, 2)]), path, ["id"], PART)
+    assert rows(read_keyed(spark, path, ["day=0", "day=1"]), "day", "a") == [(0, 1), (1, 2)]
+    plain = str(tmp_path / "p")
+    append(frame(spark, [(d, f"k{d}", 1, 1) for d in range(6)]), plain, PART)
+    for file in Path(plain, "day=5").glob("*.parquet"):
+        file.write_bytes(b"no parquet")
+    insert_new(frame(spark, [(1, "k1", 2, 2), (1, "n", 3, 3)]), plain, ["id"], PART)
+    assert rows(read_folders(spark, plain, ["day=1"]), "id", "a") == [("k1", 1), ("n", 3)]
+
+
+def test_many_touched_partitions(spark, tmp_path, rows):
+    path = str(tmp_path / "t")
+    upsert(frame(spark, [(d, f"k{d}", 1, 1) for d in range(300)]), path, ["id"], PART)
+    before = files(path)
+    upsert(frame(spark, [(d, f"k{d}", 2, 2) for d in range(0, 300, 2)]), path, ["id"], PART)
+    assert before.items() <= files(path).items()
+    assert newest(spark, path, rows, "day", "a") == sorted(
+        ((d, 2 - d % 2) for d in range(300)), key=lambda r: [(v is None, str(v)) for v in r]
+    )
 
 
-def test_merge_reads_touched_partitions_only(spark, tmp_path, capsys):
+def test_compaction_keeps_the_read_and_survives_a_crash(spark, tmp_path, rows, monkeypatch):
     path = str(tmp_path / "t")
-    upsert(frame(spark, [(d, f"k{d}", 1, 1) for d in range(6)]), path, ["id"], PART)
-    keyed._only(read_table(spark, path), ["2"], PART).explain()
-    plan = capsys.readouterr().out
-    assert "PartitionFilters: [" in plan and "PartitionFilters: []" not in plan
-    assert keyed._only(read_table(spark, path), ["2"], PART).count() == 1
+    for n in range(4):
+        upsert(frame(spark, [(1, "x", n, n), (1, f"y{n}", n, n), (2, "z", n, n)]), path, ["id"], PART)
+    upsert(frame(spark, [(1, "x", 50)], "day int, id string, a int"), path, ["id"], PART)
+    expected, untouched = newest(spark, path, rows), files(path + "/day=2")
+
+    def crash(*_):
+        raise RuntimeError("lost between the new files and the deletion of the old")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(keyed, "_system", lambda spark, p, real=keyed._system: crash() if p.endswith(".parquet") else real(spark, p))
+        with pytest.raises(RuntimeError):
+            keyed.compact(spark, path, ["day=1"])
+    assert newest(spark, path, rows) == expected
+    keyed.compact(spark, path, ["day=1"])
+    assert newest(spark, path, rows) == expected and files(path + "/day=2") == untouched
+    assert len(files(path + "/day=1")) == 1
+    upsert(frame(spark, [(1, "x", 60, 60)]), path, ["id"], PART)
+    assert (1, "x", 60, 60) in newest(spark, path, rows)
+    keyed.compact(spark, path, ["day=9"])
+
+
+def test_rows_appended_without_a_version_come_first(spark, tmp_path, rows):
+    path = str(tmp_path / "t")
+    append(frame(spark, [(1, "x", 1, 1), (1, "y", 1, 1)]), path, PART)
+    assert newest(spark, path, rows) == [(1, "x", 1, 1), (1, "y", 1, 1)]
+    upsert(frame(spark, [(1, "x", 2, 2)]), path, ["id"], PART)
+    assert newest(spark, path, rows) == [(1, "x", 2, 2), (1, "y", 1, 1)]

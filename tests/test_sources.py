@@ -1,4 +1,5 @@
 from datetime import datetime
+from pathlib import Path
 
 import pytest
 from py4j.protocol import Py4JJavaError
@@ -8,7 +9,8 @@ from aerostrata.schemas import AIR, WIND
 from aerostrata.session import shared_folder
 from aerostrata.sources import payloads
 from aerostrata.sources.messages import broker_options
-from aerostrata.sources.raw import HourScope, raw_path, read_raw
+from aerostrata.operators.quality import dq_report
+from aerostrata.sources.raw import HourScope, raw_path, read_lines, read_raw
 from aerostrata.sources.tables import previous_month, read_day, read_table, read_two_months
 
 LINE = '{"city":"a","wind_speed":%s,"timestamp_utc":"2024-01-01T00:00:00","ts":%d}'
@@ -64,15 +66,17 @@ def test_air_payloads(spark):
     assert row.ts == 1704151800
 
 
-def test_weather_payloads(spark):
-    frames = payloads.shape_payloads(
-        answers(spark), answers(spark, '{"data":[{"wind_spd":1.5,"temp":20,"rh":80}]}', '{"data":[{"temp":1}]}')
+def test_weather_payloads(spark, capsys):
+    metrics = payloads.weather_metrics(
+        answers(spark, '{"data":[{"wind_spd":1.5,"temp":20,"rh":80}]}', '{"data":[{"temp":1}]}')
     )
-    assert frames["air"].count() == 0
-    assert [tuple(r) for r in frames["wind"].collect()] == [("Oslo", 1.5, "2024-01-01T23:30:00", 1704151800)]
-    assert frames["temperature"].first().temperature == 20.0
-    assert frames["humidity"].first().humidity == 80.0
-    assert frames["wind"].columns == WIND.schema.fieldNames()
+    wind = payloads.metric_records(metrics, "wind_speed")
+    assert [tuple(r) for r in wind.collect()] == [("Oslo", 1.5, "2024-01-01T23:30:00", 1704151800)]
+    assert payloads.metric_records(metrics, "temperature").first().temperature == 20.0
+    assert payloads.metric_records(metrics, "humidity").first().humidity == 80.0
+    assert wind.columns == WIND.schema.fieldNames()
+    metrics.explain()
+    assert capsys.readouterr().out.count("from_json") == 1
 
 
 def test_broker_options():
@@ -91,21 +95,37 @@ def days(spark, tmp_path):
     return path
 
 
-def test_day_read_prunes_partitions(spark, days, capsys):
+def break_folder(path):
+    """A file no reader can open."""
+    for file in Path(path).rglob("*.parquet"):
+        file.write_bytes(b"no parquet")
+
+
+def test_day_read_opens_its_folder_only(spark, days):
+    break_folder(f"{days}/year=2024/month=2")
+    break_folder(f"{days}/year=2024/month=1/day=1")
     day = read_day(spark, days, 2024, 1, 2)
-    assert [r.n for r in day.collect()] == [2]
-    day.explain()
-    plan = capsys.readouterr().out
-    assert "PartitionFilters: [isnotnull(year" in plan and "Filter (" not in plan
+    assert [(r.n, r.year, r.month, r.day) for r in day.collect()] == [(2, 2024, 1, 2)]
+    assert all("day=2" in f for f in day.inputFiles())
+    assert read_day(spark, days, 2024, 1, 3) is None
 
 
-def test_two_months_cross_the_year(spark, days, capsys):
+def test_two_months_cross_the_year(spark, days):
     assert previous_month(2024, 1) == (2023, 12)
-    two = read_two_months(spark, days, 2024, 1)
-    assert sorted(r.n for r in two.collect()) == [0, 1, 2]
-    two.explain()
-    assert "PartitionFilters: [((" in capsys.readouterr().out
     assert sorted(r.n for r in read_two_months(spark, days, 2024, 3).collect()) == [3]
+    break_folder(f"{days}/year=2024/month=2")
+    assert sorted(r.n for r in read_two_months(spark, days, 2024, 1).collect()) == [0, 1, 2]
+
+
+def test_array_lines_hold_several_records(spark, tmp_path):
+    folder = tmp_path / AIR.folder / "2024/01/02/03"
+    folder.mkdir(parents=True)
+    one = '{"city":"a","aqi":1,"timestamp_utc":"2024-01-02T03:00:00","ts":%d}'
+    lines = [f"[{one % 1},{one % 2}]", one % 3, "[]", "[{", '[{"city":5,"aqi":"x"}]', f" [{one % 4}]"]
+    (folder / "a.json").write_text("\n".join(lines))
+    assert sorted(r.ts for r in read_raw(spark, str(tmp_path), AIR).collect()) == [1, 2, 3, 4]
+    report = dq_report(read_lines(spark, str(tmp_path), AIR), AIR).collect()
+    assert sum(r.rows_seen for r in report) == 6 and sum(r.malformed for r in report) == 2
 
 
 def test_absent_table_is_none(spark, tmp_path):

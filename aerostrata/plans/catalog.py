@@ -485,7 +485,7 @@ def land_raw(spark: SparkSession, folder: str) -> DataFrame:
 # --- jobs -----------------------------------------------------------------------------------
 
 
-def _storage(
+def sample_storage(
     spark: SparkSession, folder: str, arrival: Callable[[Column], Column] = _at_noon_and_midnight
 ) -> jobs.Layout:
     """A storage root with all four kinds landed."""
@@ -497,14 +497,14 @@ def _storage(
 
 
 def hourly_run(spark: SparkSession, folder: str) -> DataFrame:
-    layout = _storage(spark, folder)
+    layout = sample_storage(spark, folder)
     jobs.hourly_run(spark, layout)
     return read_keyed(spark, layout.documents("hourly")).drop("doc_day")
 
 
 def hourly_run_scoped(spark: SparkSession, folder: str) -> DataFrame:
     """The documents after a run for each of two arrival hours, both of which bring readings of all hours before."""
-    layout = _storage(spark, folder, _in_two_parts)
+    layout = sample_storage(spark, folder, _in_two_parts)
     for scope in LATE_DELIVERIES:
         jobs.hourly_run(spark, layout, scope)
     return read_keyed(spark, layout.documents("hourly")).drop("doc_day")
@@ -519,7 +519,7 @@ def hourly_hour(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def daily_run(spark: SparkSession, folder: str) -> DataFrame:
-    layout = _storage(spark, folder)
+    layout = sample_storage(spark, folder)
     jobs.clean_job(spark, layout)
     jobs.hourly_job(spark, layout)
     jobs.daily_run(spark, layout, ONE_DELIVERY.year, ONE_DELIVERY.month)

@@ -2,8 +2,6 @@ from datetime import date, datetime
 from hashlib import sha256
 
 import pytest
-from hypothesis import HealthCheck, given, settings
-from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from aerostrata.functions import (

@@ -35,11 +35,13 @@ def record(id_column: str, url_column: str, html_column: str) -> Column:
     )
 
 
-def archive(pages: DataFrame, id_column: str = "page_id", url_column: str = "url", html_column: str = "html") -> DataFrame:
-    """(id, file, pos, start, length, record): records in order of their identifier, and their byte offsets.
+def archive(
+    pages: DataFrame, id_column: str = "page_id", url_column: str = "url", html_column: str = "html"
+) -> tuple[DataFrame, DataFrame]:
+    """(id, file, pos, length, record) in order of the identifier, and (file, pos, start): the byte offsets.
 
     Sorted by Spark into ranges of about equal size, one file each. Records that tie are put in any order,
-    which is then written, so it does not change.
+    which is then written, so it does not change. Offsets come from lengths alone, without the records.
     """
     rows = pages.select(
         F.col(f"`{id_column}`").cast("bigint").alias("id"), record(id_column, url_column, html_column).alias("record")
@@ -54,30 +56,31 @@ def archive(pages: DataFrame, id_column: str = "page_id", url_column: str = "url
         ),
         "records",
     )
-    # One number per file, then places within files from numbers alone.
+    # One number per file, then places within files.
     files = records.groupBy("file").agg(F.sum("length").alias("bytes"))
     bases = files.select("file", (F.sum("bytes").over(Window.orderBy("file")) - F.col("bytes")).alias("base"))
     inside = F.sum("length").over(Window.partitionBy("file").orderBy("pos")) - F.col("length")
     places = records.select("file", "pos", inside.alias("inside")).join(bases, "file")
-    places = places.select("file", "pos", (F.col("base") + F.col("inside")).alias("start"))
-    return kept_table(
-        records.join(places, ["file", "pos"]).select("id", "file", "pos", "start", "length", "record"), "archive"
-    )
+    return records, kept_table(places.select("file", "pos", (F.col("base") + F.col("inside")).alias("start")), "places")
 
 
 class Layout:
     """How record places become tree positions: files in the high bits, places in the low ones."""
 
-    def __init__(self, manifest: DataFrame):
-        top = manifest.agg(F.max("pos").alias("pos"), F.max("file").alias("file")).first()
+    def __init__(self, places: DataFrame):
+        self.places = places
+        top = places.agg(F.max("pos").alias("pos"), F.max("file").alias("file")).first()
         self.inner = _levels((top.pos or 0) + 1)
         self.levels = self.inner + _levels((top.file or 0) + 1)
 
+    def node(self) -> Column:
+        return F.shiftleft(F.col("file").cast("bigint"), self.inner * FANOUT_BITS) + F.col("pos")
+
     def leaves(self, records: DataFrame) -> DataFrame:
-        """(node, start, end, digest) of the records, hashed."""
-        node = F.shiftleft(F.col("file").cast("bigint"), self.inner * FANOUT_BITS) + F.col("pos")
-        return records.select(
-            node.alias("node"), "start", (F.col("start") + F.col("length")).alias("end"), F.sha2("record", 256).alias("digest")
+        """(node, start, end, digest) of the records, which are hashed where they lie."""
+        hashed = records.select("file", "pos", "length", F.sha2("record", 256).alias("digest"))
+        return hashed.join(self.places, ["file", "pos"]).select(
+            self.node().alias("node"), "start", (F.col("start") + F.col("length")).alias("end"), "digest"
         )
 
 
@@ -135,13 +138,10 @@ def damaged(records: DataFrame) -> DataFrame:
 
 def op7_warc_fixity(spark: SparkSession, folder: str) -> DataFrame:
     """Damage found in a replica of the archive of all pages: where it is and what was there."""
-    records = archive(read(spark, folder, "pages"))
-    layout = Layout(records.select("file", "pos"))
+    records, places = archive(read(spark, folder, "pages"))
+    layout = Layout(places)
     found = audit(tree(records, layout), tree(damaged(records), layout))
-    place = records.select(
-        F.col("id").alias("page_id"),
-        (F.shiftleft(F.col("file").cast("bigint"), layout.inner * FANOUT_BITS) + F.col("pos")).alias("node"),
-    )
+    place = records.select(F.col("id").alias("page_id"), layout.node().alias("node"))
     return place.join(found, "node").select(
         "page_id", F.col("start").alias("record_start"), F.col("end").alias("record_end"),
         F.when(F.col("found").isNull(), "lost").otherwise("changed").alias("damage"),

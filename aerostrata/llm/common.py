@@ -49,7 +49,7 @@ def texts_of(batch: pa.RecordBatch, column: int) -> list[str]:
     return ["" if t is None else t for t in batch.column(column).to_pylist()]
 
 
-def small_batches(batches: Iterator[pa.RecordBatch], column: int, size: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+def small_batches(batches: Iterator[pa.RecordBatch], column: int, size: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """Slices of the batches whose texts hold about ``size`` bytes (one row at least), whatever the lengths are."""
     for batch in batches:
         if not batch.num_rows:

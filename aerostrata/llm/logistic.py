@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from aerostrata.llm.common import held_out
 
 #: Characters of sampled texts the driver takes at most, per class.
-SAMPLE_CHARS = 24 << 20
+SAMPLE_CHARS = 12 << 20
 
 
 def labelled_sample(

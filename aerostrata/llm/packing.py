@@ -30,7 +30,7 @@ from aerostrata.llm.common import kept_table, read, small_batches
 
 WINDOW = 2048
 END_ID = 1
-CACHE = 400_000
+CACHE = 250_000
 WORD_END = "</w>"
 #: Fixed value: how the vocabulary's pre-tokenizer splits words.
 WORD = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"

@@ -18,21 +18,17 @@ U = np.uint64
 _random = np.random.default_rng(SEED)
 BYTE_VALUES = _random.integers(1, 1 << 63, 256, dtype=U) | U(1)
 BASE = int(_random.integers(1 << 62, 1 << 63)) | 1
-BASE_INVERSE = pow(BASE, -1, 1 << 64)
 PLACES = _random.integers(1, 1 << 63, WORDS, dtype=U) | U(1)
 COUNTS = _random.integers(1, 1 << 63, WORDS + 1, dtype=U)
 IS_SPACE = np.zeros(256, bool)
 IS_SPACE[[32, *range(9, 14)]] = True
 
 
-@lru_cache(maxsize=2)
-def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
-    def series(base: int) -> np.ndarray:
-        x = np.full(size, base, U)
-        x[0] = 1
-        return np.cumprod(x, dtype=U)
-
-    return series(BASE), series(BASE_INVERSE)
+@lru_cache(maxsize=1)
+def _powers(size: int) -> np.ndarray:
+    x = np.full(size, BASE, U)
+    x[0] = 1
+    return np.cumprod(x, dtype=U)
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -55,9 +51,15 @@ def shingle_sets(texts: list[bytes]) -> list[np.ndarray]:
     space = IS_SPACE[data]
     edge = np.diff(np.concatenate([[True], space, [True]]).astype(np.int8))
     start, end = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
-    up, down = _powers(1 << int(len(data)).bit_length())
-    total = np.concatenate([np.zeros(1, U), np.cumsum(BYTE_VALUES[data] * up[: len(data)], dtype=U)])
-    words = mix((total[end] - total[start]) * down[start] + (end - start).astype(U))
+    size = end - start
+    if len(size):
+        begin = np.cumsum(size) - size
+        place = np.arange(size.sum()) - np.repeat(begin, size)
+        power = _powers(1 << int(size.max()).bit_length())
+        words = np.add.reduceat(BYTE_VALUES[data[~space]] * power[place], begin)
+        words = mix(words + size.astype(U))
+    else:
+        words = np.zeros(0, U)
     sizes = np.array([len(t) + 1 for t in texts])
     first = np.searchsorted(start, np.cumsum(sizes) - sizes)
     last = np.append(first[1:], len(words))

@@ -28,14 +28,14 @@ from pyspark.sql import functions as F
 from aerostrata.llm.common import filter_rows, held_out, read, small_batches, texts_of
 from aerostrata.llm.logistic import fit_logistic, labelled_sample, sigmoid
 
-SAMPLE = 3000
-FEATURES = 800
+SAMPLE = 2000
+FEATURES = 500
 LEAST_TEXTS = 5
 #: Hashes features are counted by at first.
 HASHES = 1 << 20
 PENALTY = 10.0
 THRESHOLD = 0.5
-MEMO = 300_000
+MEMO = 150_000
 WORD = re.compile(r"[^\W\d_]+")
 #: Terms that name groups of people; those of one line may stand for each other.
 IDENTITY_TERMS = (

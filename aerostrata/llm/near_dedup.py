@@ -6,10 +6,12 @@ classes to band buckets; bands without any shingle deal nothing. Candidates from
 screened by the Jaccard estimate, corrected for chance agreement, and verified on their full sets.
 
 Only connectivity is wanted, so the pairs of a bucket are not all tried. First every member is tried
-with its bucket's smallest. Then the buckets that still hold several components are compared by tasks, each pair in
-its first common bucket: the candidates of buckets with few of them are verified. The other buckets are compared
-again by tasks that hold the full sets, verify every candidate of components not joined yet, and send on the links alone. So no link is lost, and no task sends the pairs of a large group.
-Large buckets are dealt out as pairs of blocks; members of the bucket's largest component need not meet.
+with its bucket's smallest. Then the buckets that still hold several components are compared by
+tasks, each pair in its first common bucket: the candidates of buckets with few of them are
+verified. The other buckets are compared again by tasks that hold the full sets, verify every
+candidate of components not joined yet, and send on the links alone. So no link is lost, and no task
+sends the pairs of a large group. Large buckets are dealt out as pairs of blocks; members of the
+bucket's largest component need not meet.
 
 Defined cases: null text equals empty text; documents without words have an empty set and link with
 nothing; repeated rows and identifiers count as documents with the same text or not; null identifiers never
@@ -70,18 +72,24 @@ def signatures(docs: DataFrame) -> DataFrame:
 
 
 def full_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(cls, hashes) of the ``wanted`` classes (cls, id, digest), read again from their documents."""
+    """(cls, hashes) of the ``wanted`` classes (cls, id, digest), read again from their documents.
+
+    Classes without an identifier are found by the digest of their sets.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches, 1):
             sets = [s.tobytes() for s in shingle_sets([t or b"" for t in batch.column(1).to_pylist()])]
-            same = [blake2b(s, digest_size=16).digest() == d for s, d in zip(sets, batch.column(2).to_pylist())]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sets, pa.binary())], ["cls", "hashes"]
-            ).filter(pa.array(same))
-
-    rows = docs.join(wanted, "id").select("cls", "text", "digest")
-    return rows.mapInArrow(run, "cls bigint, hashes binary").groupBy("cls").agg(F.first("hashes").alias("hashes"))
+            found = [blake2b(s, digest_size=16).digest() for s in sets]
+            same = [w is None or f == w for f, w in zip(found, batch.column(2).to_pylist())]
+            columns = [batch.column(0), pa.array(found, pa.binary()), pa.array(sets, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["cls", "digest", "hashes"]).filter(pa.array(same, pa.bool_()))
+
+    schema = "cls bigint, digest binary, hashes binary"
+    named = docs.join(wanted, "id").select("cls", "text", "digest").mapInArrow(run, schema).drop("digest")
+    none = docs.where("id IS NULL").select(F.lit(None).cast("bigint"), "text", F.lit(None).cast("binary"))
+    found = none.mapInArrow(run, schema).drop("cls").join(wanted.where("id IS NULL").select("cls", "digest"), "digest")
+    return named.union(found.select("cls", "hashes")).groupBy("cls").agg(F.first("hashes").alias("hashes"))
 
 
 def passes(a: np.ndarray, b: np.ndarray, n: np.ndarray, m: np.ndarray, share: int) -> tuple[np.ndarray, np.ndarray]:

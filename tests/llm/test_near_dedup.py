@@ -78,9 +78,10 @@ def test_one_document_of_each_group_stays(documents, corpus):
 
 
 def test_null_identifiers_and_empty_table(documents):
-    rows = [(None, "a b c d e f g"), (4, "a b c d e f g"), (None, "x y"), (None, None)]
-    found = {(r.doc_id, r.component_id) for r in op.near_components(documents(*rows)).collect()}
-    assert found == {(None, 4), (4, 4), (None, None)}
+    long = " ".join(f"w{i}" for i in range(60))
+    rows = [(None, "a b c d e f g"), (4, "a b c d e f g"), (None, "x y"), (None, None), (9, long + " end"), (None, long)]
+    found = {(r.doc_id, r.n_shingles, r.component_id) for r in op.near_components(documents(*rows)).collect()}
+    assert found == {(None, 3, 4), (4, 3, 4), (None, 1, None), (None, 0, None), (9, 57, 9), (None, 56, 9)}
     assert op.near_components(documents((1, "a")).limit(0)).count() == 0
 
 

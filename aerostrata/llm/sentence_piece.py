@@ -18,8 +18,9 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from collections.abc import Iterable, Iterator
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -66,13 +67,7 @@ class Pieces:
         self.rank = {t: (-self.processor.get_score(i), i) for t, i in self.id.items()}
         self.longest = max(map(len, self.id))
         self.unit = unit_pattern(self.id)
-        # Pieces by their characters from the last to the first.
-        self.ends: dict = {}
-        for t, i in self.id.items():
-            node = self.ends
-            for c in reversed(t):
-                node = node.setdefault(c, {})
-            node[""] = i
+        self.single = {t for t in self.id if len(t) == 1}
         raw = [b""] * size
         for i, t in enumerate(self.text):
             if i not in hidden:
@@ -81,6 +76,17 @@ class Pieces:
             raw[i] = bytes([b])
         self.raw = raw
 
+    @cached_property
+    def ends(self) -> dict:
+        """Pieces by their characters from the last to the first."""
+        ends: dict = {}
+        for t, i in self.id.items():
+            node = ends
+            for c in reversed(t):
+                node = node.setdefault(c, {})
+            node[""] = i
+        return ends
+
 
 class StreamingViterbi:
     """Commits the ids of a stream of characters, keeping a window of boundaries."""
@@ -113,7 +119,7 @@ class StreamingViterbi:
     def unit(self, text: str) -> list[int]:
         """The ids of a text no piece crosses the ends of; a short one fits the window as a whole."""
         ends, beside = self.pieces.ends, self.beside
-        if len(text) > 4 * self.pieces.longest or not all(c in ends and "" in ends[c] for c in text):
+        if len(text) > 4 * self.pieces.longest or not self.pieces.single.issuperset(text):
             return list(self.ids(text))
         back = [-1]
         for end in range(1, len(text) + 1):
@@ -142,7 +148,7 @@ class StreamingViterbi:
         window: list[str] = []
         back: list[int] = [-1]
         for c in characters:
-            if c not in ends or "" not in ends[c]:
+            if c not in pieces.single:
                 yield from self._path(back, len(window))
                 yield from (pieces.byte[b] for b in c.encode("utf-8", "surrogatepass"))
                 window, back = [], [-1]
@@ -205,7 +211,7 @@ class Coder:
             known = self.known
             for u in set(units):
                 if u not in known:
-                    known[u] = np.array(self.viterbi.unit(u), "<u4").tobytes()
+                    known[u] = array("I", self.viterbi.unit(u)).tobytes()
             out.append(np.frombuffer(b"".join(map(known.__getitem__, units)), "<u4"))
         return out
 
@@ -230,21 +236,29 @@ def _model(spark: SparkSession, path: str):
 
 
 def encode_documents(docs: DataFrame, model_path: str, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """(id, text, ids) of every row; null text is empty."""
+    """(id, text, ids, n_ids, ids_crc32) of every row; null text is empty.
+
+    The checksum is that of the ids as little-endian unsigned 32-bit numbers.
+    """
     model = _model(docs.sparkSession, model_path)
+    names = [id_column, text_column, "ids", "n_ids", "ids_crc32"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = coder(model.value).encode
         for batch in small_batches(batches, 1):
             texts = texts_of(batch, 1)
             ids = encode(texts)
-            ends = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int32)
+            sizes = [len(x) for x in ids]
+            ends = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
             flat = np.concatenate([*ids, np.zeros(0, "<u4")]).astype(np.int32)
             lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts), lists], [id_column, text_column, "ids"])
+            crc = pa.array([zlib.crc32(x.tobytes()) for x in ids], pa.int64())
+            columns = [batch.column(0), pa.array(texts), lists, pa.array(sizes, pa.int64()), crc]
+            yield pa.RecordBatch.from_arrays(columns, names)
 
     rows = docs.select(F.col(f"`{id_column}`").cast("bigint"), F.col(f"`{text_column}`"))
-    return rows.mapInArrow(run, f"`{id_column}` bigint, `{text_column}` string, ids array<int>")
+    schema = f"`{id_column}` bigint, `{text_column}` string, ids array<int>, n_ids bigint, ids_crc32 bigint"
+    return rows.mapInArrow(run, schema)
 
 
 def decode_documents(encoded: DataFrame, model_path: str, ids_column: str = "ids") -> DataFrame:
@@ -270,29 +284,8 @@ def model_path() -> str:
     return public_tokenizers.path("piece_bpe_32k.model")
 
 
-def with_digest(encoded: DataFrame, ids_column: str = "ids") -> DataFrame:
-    """``encoded`` with n_ids and ids_crc32, of the ids as little-endian unsigned 32-bit numbers."""
-    names, at = encoded.columns, encoded.columns.index(ids_column)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            column = batch.column(at)
-            ends = column.offsets.to_numpy().tolist()
-            raw = column.values.to_numpy(zero_copy_only=False).astype("<u4").tobytes()
-            crc = [zlib.crc32(raw[4 * a : 4 * b]) for a, b in zip(ends, ends[1:])]
-            size = [b - a for a, b in zip(ends, ends[1:])]
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(size, pa.int64()), pa.array(crc, pa.int64())],
-                [*names, "n_ids", "ids_crc32"],
-            )
-
-    more = [T.StructField(n, T.LongType()) for n in ("n_ids", "ids_crc32")]
-    return encoded.mapInArrow(run, T.StructType([*encoded.schema.fields, *more]))
-
-
 def op8_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     """Ids of every document as digests, and whether decoding gives its text back."""
     path = model_path()
-    encoded = with_digest(encode_documents(read(spark, folder, "documents"), path))
-    decoded = decode_documents(encoded, path)
+    decoded = decode_documents(encode_documents(read(spark, folder, "documents"), path), path)
     return decoded.select("doc_id", "n_ids", "ids_crc32", (F.col("decoded") == F.col("text")).alias("round_trip"))

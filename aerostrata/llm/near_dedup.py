@@ -297,7 +297,11 @@ def by_group(tasks: DataFrame, f, schema: str) -> DataFrame:
 
 
 def decide(docs: DataFrame, share: int) -> DataFrame:
-    """(id, n_shingles, component_id) of (id, text) rows; a place (at) is passed on."""
+    """(id, n_shingles, component_id, comp) of (id, text) rows; a place (at) is passed on.
+
+    ``component_id`` is the smallest identifier of a component, which others may share; ``comp`` tells components
+    apart and is null for empty sets.
+    """
     signed = kept_table(signatures(docs), "signatures")
     # Rows of a digest hold the same registers, so the largest is any of them.
     classes = signed.where("digest IS NOT NULL").groupBy("digest").agg(
@@ -329,10 +333,10 @@ def decide(docs: DataFrame, share: int) -> DataFrame:
 
     named = classes.select("digest", "cls", "id").join(labels, "cls", "left").withColumn("comp", F.coalesce("comp", "cls"))
     least = named.groupBy("comp").agg(F.min("id").alias("component_id"))
-    named = kept_table(named.join(least, "comp").select("digest", "component_id"), "named")
+    named = kept_table(named.join(least, "comp").select("digest", "component_id", "comp"), "named")
     columns = [c for c in signed.columns if c in ("id", "n_shingles", "at")]
     return signed.drop("registers").join(named, "digest", "left").select(
-        *columns, F.coalesce("component_id", "id").alias("component_id")
+        *columns, F.coalesce("component_id", "id").alias("component_id"), "comp"
     )
 
 
@@ -345,13 +349,17 @@ def near_components(docs: DataFrame, id_column: str = "doc_id", text_column: str
 
 
 def keep_representatives(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", share: int = SHARE) -> DataFrame:
-    """One row of each component, that of the smallest identifier and place, and all rows of empty sets; all columns."""
+    """One row of each component, that of the smallest identifier and place, and all rows of empty sets; all columns.
+
+    Null identifiers come last.
+    """
     docs = scanned(docs)
     content = located(docs, id_column, text_column).select("id", F.col("text").cast("binary").alias("text"), "at")
-    decided = kept_table(decide(content, share).where("n_shingles > 0").drop("n_shingles"), "decided")
-    first = decided.groupBy("component_id").agg(F.min(F.struct("id", "at")).alias("first"), F.count(F.lit(1)).alias("n"))
-    first = first.where("n > 1").select("component_id", F.col("first.at").alias("stays"))
-    return without(docs, decided.join(first, "component_id").where("at <> stays").select("at"))
+    decided = kept_table(decide(content, share).where("n_shingles > 0").select("id", "at", "comp"), "decided")
+    order = F.struct(F.col("id").isNull().alias("unnamed"), "id", "at")
+    first = decided.groupBy("comp").agg(F.min(order).alias("first"), F.count(F.lit(1)).alias("n"))
+    first = first.where("n > 1").select("comp", F.col("first.at").alias("stays"))
+    return without(docs, decided.join(first, "comp").where("at <> stays").select("at"))
 
 
 def relabel(labels: DataFrame, links: DataFrame) -> DataFrame:

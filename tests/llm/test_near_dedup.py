@@ -85,6 +85,17 @@ def test_null_identifiers_and_empty_table(documents):
     assert op.near_components(documents((1, "a")).limit(0)).count() == 0
 
 
+def test_components_are_told_apart_without_their_identifiers(documents):
+    words = [[f"{k}w{i}" for i in range(60)] for k in range(5)]
+    text = [" ".join(w) for w in words]
+    rows = [(7, text[0]), (7, text[1]), (7, "lone words"), (7, "other words"), (8, text[0] + " end"), (8, text[1] + " end"),
+            (None, text[2]), (None, text[2] + " end"), (None, text[3]), (3, text[3] + " end"), (None, text[4]), (None, "")]
+    kept = [(r.doc_id, r.text) for r in op.keep_representatives(documents(*rows)).collect()]
+    assert sum(t in (text[2], text[2] + " end") for _, t in kept) == 1
+    kept = {r for r in kept if not r[1].startswith("2w")}
+    assert kept == {*rows[:4], rows[9], rows[10], rows[11]}
+
+
 def test_pair_chunks_cover_all_pairs():
     seen = [(a, b) for u, v in op.pair_chunks(3, 9) for a, b in zip(u.tolist(), v.tolist())]
     assert seen == [(a, b) for a in range(3, 12) for b in range(a + 1, 12)]

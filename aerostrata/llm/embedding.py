@@ -4,13 +4,14 @@ Vectors are scaled to one and rotated by a fixed random rotation, then cut into
 dimensions. Two vectors of cosine c differ by a squared distance of 2 - 2c, so in one block at
 least they differ by no more than that block's share of it. Each block is range-joined on a grid over its
 first coordinates: a vector stands at home in one cell and visits the later cells its range
-touches. A task compares the vectors of one cell, a stripe of the home vectors at a time, by block distance, and
+touches. A task compares the vectors of one cell by block distance, and
 verifies what is left on the original components in double precision. A pair counts in the first
 block whose budget it meets, so links are counted once and pairs are never emitted: tasks send link
 counts by vector and the links of a spanning forest.
 
-Equal vectors of a label are one class with a count. Cells with many home vectors are dealt to
-several tasks in stripes. The grid of a label is refined as its number of vectors grows.
+Equal vectors of a label are one class with a count. The vectors of a busy cell are dealt to stripes of bounded
+size and each pair of stripes is a task, so no task ever holds more than two of them; a cell of n vectors
+sends each of them about n / ``STRIPE`` times. The grid of a label is refined as its number of vectors grows.
 
 Defined cases: vectors that are null, zero, or hold null or non-finite components, vectors of another
 length than their label's others, and null labels link with nothing; repeated identifiers are rows of their own and count
@@ -35,8 +36,10 @@ from aerostrata.llm.graph import components
 COSINE = 0.98
 BLOCK_DIMENSIONS = 8
 SEED = 20029
-#: Home vectors a task compares at once, and vectors of a label per cell the grid aims at.
+#: Vectors of a stripe, and vectors of a label per cell the grid aims at.
 STRIPE = 2048
+#: Stored bytes of a stripe; long vectors have smaller stripes.
+STRIPE_BYTES = 4 << 20
 CELL_AIM = 512
 SLACK = 1e-9
 
@@ -131,32 +134,61 @@ def cells(classes: DataFrame, cosine: float) -> DataFrame:
     return classes.mapInPandas(run, schema)
 
 
+def dealt(placed: DataFrame) -> DataFrame:
+    """The vectors of cells, dealt to tasks (key, i, j) as pairs of stripes.
+
+    Stripes 0 to p-1 hold the home vectors, p and later ones the visitors. Stripe i of home vectors also meets itself
+    in task (i, p), which is there without visitors, too.
+    """
+    home = F.count(F.when(F.col("home"), 1))
+    n, size = F.count(F.lit(1)), F.sum(F.length("raw").cast("bigint"))
+    room = F.greatest(F.lit(1), F.least(F.lit(STRIPE), F.floor(F.col("n") * STRIPE_BYTES / F.col("bytes"))))
+    busy = (
+        placed.groupBy("key").agg(n.alias("n"), home.alias("at_home"), size.alias("bytes")).where("n > 1 AND at_home > 0")
+        .select(
+            "key", F.ceil(F.col("at_home") / room).cast("int").alias("p"),
+            F.greatest(F.lit(1), F.ceil((F.col("n") - F.col("at_home")) / room)).cast("int").alias("q"),
+        )
+    )
+    slot = F.xxhash64("cls")
+    stripe = F.when(F.col("home"), F.pmod(slot, F.col("p"))).otherwise(F.col("p") + F.pmod(slot, F.col("q")))
+    last = F.when(F.col("home"), F.col("p") + F.col("q") - 1).otherwise(F.col("p") - 1)
+    return (
+        placed.join(busy, "key").withColumn("stripe", stripe.cast("int"))
+        .withColumn("partner", F.explode(F.sequence(F.lit(0), last))).where("stripe <> partner")
+        .withColumn("i", F.least("stripe", "partner")).withColumn("j", F.greatest("stripe", "partner"))
+        .drop("q", "partner")
+    )
+
+
 def compare(cell: pd.DataFrame, cosine: float) -> pd.DataFrame:
-    """Rows (cls, links, other): link counts of each class in this cell, and a forest of its links."""
-    block = int(cell["block"].iloc[0])
-    cell = cell.sort_values(["home", "cls"], ascending=[False, True])
-    own = (cell["home"] & (cell["stripe"] == cell["own"])).values
+    """Rows (cls, links, other) of two stripes of a cell: link counts of each class in them, and a forest of their links."""
+    block, i, j, p = (int(cell[c].iloc[0]) for c in ("block", "i", "j", "p"))
+    cell = cell.sort_values(["stripe", "cls"])
+    mine = int((cell["stripe"] == i).sum())
+    if not mine:
+        return pd.DataFrame({"cls": [], "links": [], "other": []}).astype({"cls": "int64", "links": "int64", "other": "Int64"})
     x = unit(cell["raw"], bool(cell["wide"].iloc[0]))
     turned = x @ rotation(x.shape[1])
     edges = block_counts(x.shape[1])
     budget = (2 - 2 * cosine) * np.diff(edges) / x.shape[1] + SLACK
-    cls, copies, home = cell["cls"].values, cell["copies"].values, cell["home"].values
+    cls, copies = cell["cls"].values, cell["copies"].values
     links = np.zeros(len(cell), np.int64)
     forest = Forest(len(cell))
-    mine = np.flatnonzero(own)
-    a, b = edges[block], edges[block + 1]
-    part = turned[:, a:b]
+    part = turned[:, edges[block] : edges[block + 1]]
     squares = (part**2).sum(axis=1)
-    for start in range(0, len(mine), 256):
-        rows = mine[start : start + 256]
-        gap = squares[rows, None] + squares[None, :] - 2 * part[rows] @ part.T
-        near = gap <= budget[block] + 1e-6
-        # Home pairs once: the smaller class leads. Visitors meet every home vector.
-        near &= ~home[None, :] | (cls[rows, None] < cls[None, :])
-        i, j = np.nonzero(near)
-        i = rows[i]
-        for s in range(0, len(i), 65536):
-            u, v = i[s : s + 65536], j[s : s + 65536]
+    # The first stripe meets itself in its task with stripe p alone.
+    others = np.arange(0 if j == p else mine, len(cell))
+    step = max(1, (1 << 22) // x.shape[1])
+    for start in range(0, mine, 256):
+        rows = np.arange(start, min(start + 256, mine))
+        gap = squares[rows, None] + squares[None, others] - 2 * part[rows] @ part[others].T
+        # Rows of the first stripe lie in the order of their classes; of a pair the smaller class leads.
+        near = (gap <= budget[block] + 1e-6) & (rows[:, None] < others[None, :])
+        us, vs = np.nonzero(near)
+        us, vs = rows[us], others[vs]
+        for s in range(0, len(us), step):
+            u, v = us[s : s + step], vs[s : s + step]
             close = (x[u] * x[v]).sum(axis=1) >= cosine
             u, v = u[close], v[close]
             inside = np.add.reduceat((turned[u] - turned[v]) ** 2, edges[:-1], axis=1) <= budget
@@ -217,18 +249,8 @@ def near_vectors(
     )
     sizes = classes.groupBy("label", "size").agg(F.count(F.lit(1)).alias("rows"))
     placed = kept_table(cells(classes.join(sizes, ["label", "size"]), cosine), "cells")
-    # A cell with many home vectors is dealt out: stripes of its home vectors, each with all its vectors.
-    stripes = placed.where("home").groupBy("key").agg(
-        F.ceil(F.count(F.lit(1)) / STRIPE).cast("int").alias("stripes"), F.count(F.lit(1)).alias("at_home")
-    )
-    busy = placed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
-    dealt = (
-        placed.join(busy, "key", "left_semi").join(stripes, "key")
-        .withColumn("own", F.when(F.col("home"), F.pmod(F.xxhash64("cls"), F.col("stripes"))).cast("int"))
-        .withColumn("stripe", F.explode(F.sequence(F.lit(0), F.col("stripes") - 1)))
-    )
     found = kept_table(
-        dealt.groupBy("key", "stripe").applyInPandas(
+        dealt(placed).groupBy("key", "i", "j").applyInPandas(
             lambda cell: compare(cell, cosine), "cls bigint, links bigint, other bigint"
         ),
         "found",

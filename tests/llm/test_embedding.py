@@ -58,6 +58,22 @@ def test_links_and_components(spark, vectors, stripe, monkeypatch):
     assert all(r.kept == (r.vec_id == r.component_id) for r in found)
 
 
+def test_a_task_of_a_busy_cell_holds_two_stripes_at_most(spark, monkeypatch):
+    monkeypatch.setattr(op, "STRIPE", 16)
+    rng = np.random.default_rng(5)
+    base = rng.standard_normal(16)
+    rows = [(i, (base + 0.03 * rng.standard_normal(16)).tolist(), 0) for i in range(400)]
+    frame = spark.createDataFrame([(*r, 0, "k") for r in rows], SCHEMA)
+    classes = op.vector_rows(frame, "vec_id", "embedding", "label").selectExpr(
+        "label", "wide", "id AS cls", "raw", "1L AS copies", "length(raw) AS size", "400L AS rows"
+    )
+    placed = op.cells(classes, op.COSINE).cache()
+    assert max(r["count"] for r in placed.groupBy("key").count().collect()) > 300
+    assert max(r["count"] for r in op.dealt(placed).groupBy("key", "i", "j").count().collect()) <= 4 * op.STRIPE
+    found = op.near_vectors(frame).collect()
+    assert sorted((r.vec_id, r.n_links, r.component_id) for r in found) == plain(rows)
+
+
 def test_empty_table(spark):
     assert op.near_vectors(spark.createDataFrame([], SCHEMA)).count() == 0
 

@@ -2,8 +2,8 @@
 
 States are a role's first line and its further lines. A line is observed as its speaker marker, its length and whether it
 asks; the probabilities are counted, smoothed, on labelled conversations. Viterbi gives the likeliest
-states. Conversations are cut into chunks of source turns, so that a very long one is many
-tasks: every chunk gives the best score between any two states at its ends, these are chained per conversation, and
+states. Conversations are cut into chunks of source turns, and after every ``CHUNK_LINES`` lines whatever their
+identifiers and turns are, so that a very long one is many tasks: every chunk gives the best score between any two states at its ends, these are chained per conversation, and
 each chunk is then decoded between the states it begins and ends with.
 
 Defined cases: null text is an empty line; null turns come first; repeated rows are lines of their own;
@@ -18,6 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -26,6 +27,8 @@ from aerostrata.llm.common import held_out, kept_table, read
 ROLES = ("system", "user", "assistant")
 STATES = len(ROLES) * 2  # first lines of the roles, then further lines
 CHUNK_TURNS = 256
+#: Lines of a chunk at most.
+CHUNK_LINES = 4096
 #: Speaker markers and the role each stands for.
 MARKERS = {
     "system": "system", "instruction": "system", "user": "user", "human": "user", "question": "user",
@@ -97,18 +100,63 @@ def viterbi(model: Model, scores: np.ndarray, before: int | None, last: int | No
 
 
 def transcript_lines(turns: DataFrame, id_column: str, turn_column: str, text_column: str, *more: str) -> DataFrame:
-    """(conv, chunk, turn, line, text) of every line of the turns."""
+    """(conv, chunk, turn, line, text, at) of every line of the turns; ``at`` is its place in its conversation."""
     text = F.coalesce(F.col(f"`{text_column}`"), F.lit(""))
-    return turns.select(
-        F.col(f"`{id_column}`").cast("bigint").alias("conv"),
-        F.coalesce(F.floor(F.col(f"`{turn_column}`") / CHUNK_TURNS), F.lit(-1)).cast("bigint").alias("chunk"),
-        F.col(f"`{turn_column}`").cast("bigint").alias("turn"),
+    lines = turns.select(
+        F.col(f"`{id_column}`").cast("bigint").alias("conv"), F.col(f"`{turn_column}`").cast("bigint").alias("turn"),
         F.posexplode(F.split(text, "\n")).alias("line", "text"), *[F.col(f"`{c}`") for c in more],
     )
+    # Both parts only grow along a conversation, so their sum is another one where either is.
+    turns_before = F.greatest(F.coalesce(F.floor(F.col("turn") / CHUNK_TURNS), F.lit(-1)), F.lit(-1))
+    placed = numbered(lines).withColumn("chunk", (turns_before + F.floor(F.col("at") / CHUNK_LINES)).cast("bigint"))
+    return placed.select("conv", "chunk", "turn", "line", "text", "at", *more)
+
+
+def numbered(lines: DataFrame) -> DataFrame:
+    """``lines`` with their places (at) in their conversations, by turn (null first), line and text.
+
+    All lines are sorted over the tasks, so one conversation may lie in many; each task numbers its own part, and
+    the few conversations that go on from one task to the next get the counts of the tasks before.
+    """
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in lines.schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, seen, head = None, 0, True
+        for batch in batches:
+            n = batch.num_rows
+            if not n:
+                continue
+            none, conv = np.asarray(batch.column(0).is_null()), np.asarray(batch.column(0).fill_null(0))
+            change = np.ones(n, bool)
+            change[1:] = (conv[1:] != conv[:-1]) | (none[1:] != none[:-1])
+            change[0] = key is not None and key != (conv[0], none[0])
+            index = np.arange(n)
+            at = index - np.maximum.accumulate(np.where(change, index, -seen))
+            heads = head & (np.cumsum(change) == 0)
+            key, seen, head = (conv[-1], none[-1]), int(at[-1]) + 1, bool(heads[-1])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(at), pa.array(heads)], [*batch.schema.names, "at", "head"])
+
+    # Equal lines are told apart, so that they need not lie in one task.
+    ordered = lines.withColumn("tie", F.monotonically_increasing_id()).orderBy("conv", "turn", "line", "text", "tie").drop("tie")
+    parts = ordered.withColumn("part", F.spark_partition_id()).mapInArrow(run, schema + ", part int, at bigint, head boolean")
+    parts = kept_table(parts, "lines")
+    # One row at most for each task whose first conversation may go on from tasks before.
+    heads = parts.where("head").select("conv").distinct().withColumnRenamed("conv", "owner")
+    same = F.col("conv").eqNullSafe(F.col("owner"))
+    counts = parts.join(F.broadcast(heads), same, "left_semi").groupBy("conv", "part").agg(F.count(F.lit(1)).alias("n"))
+    earlier = Window.partitionBy("conv").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    before = counts.select("conv", "part", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
+    # A conversation that begins inside a task has nothing before it.
+    before = before.where("before > 0").select("part", "before")
+    return (
+        parts.join(F.broadcast(before), "part", "left")
+        .withColumn("at", F.col("at") + F.when(F.col("head"), F.coalesce("before", F.lit(0))).otherwise(0))
+        .drop("part", "head", "before")
+    )
 
 
 def learn(lines: DataFrame, role_column: str) -> Model:
-    """A model counted over labelled lines (conv, chunk, turn, line, text, role)."""
+    """A model counted over labelled lines (conv, chunk, turn, line, text, at, role)."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
@@ -122,10 +170,17 @@ def learn(lines: DataFrame, role_column: str) -> Model:
     for i, name in enumerate(ROLES):
         role = F.when(F.lower(F.col(f"`{role_column}`")) == name, i).otherwise(role)
     state = role + F.when(F.col("line") > 0, len(ROLES)).otherwise(0)
-    known = lines.select("conv", "chunk", "turn", "line", "text", state.alias("state")).where("state IS NOT NULL")
-    order = Window.partitionBy("conv", "chunk").orderBy("turn", "line")
-    # The line before the first of a chunk but the first counts for nothing; -1 opens a conversation.
-    before = F.coalesce(F.lag("state").over(order), F.when(F.coalesce("turn", F.lit(0)) <= 0, -1))
+    known = lines.select("conv", "chunk", "turn", "at", "text", state.alias("state")).where("state IS NOT NULL")
+    # The last line of a chunk goes before the first of the next; -1 opens a conversation.
+    after = F.lead("chunk").over(Window.partitionBy("conv").orderBy("chunk"))
+    last = known.groupBy("conv", "chunk").agg(F.max(F.struct("at", "state")).alias("last")).withColumn("chunk", after)
+    last = last.where("chunk IS NOT NULL").select(
+        "conv", "chunk", F.lit(None).cast("bigint").alias("turn"), "last.at", F.lit(None).cast("string").alias("text"), "last.state"
+    )
+    order = Window.partitionBy("conv", "chunk").orderBy("at")
+    opens = F.when(F.coalesce("turn", F.lit(0)) <= 0, -1)
+    known = known.union(last).withColumn("before", F.coalesce(F.lag("state").over(order), opens)).where("text IS NOT NULL")
+    before = F.col("before")
     rows = known.select("text", "state", before.cast("int").alias("before"))
     counts = rows.mapInPandas(run, "state int, before int, marker int, length int, asks int")
     # As many rows as there are combinations, whatever the corpus holds.
@@ -167,23 +222,22 @@ def parse(lines: DataFrame, model: Model) -> DataFrame:
     ``turn`` counts within its chunk; a turn that goes on from the chunk before is ``continued``. ``first_turn`` is the source
     turn of its first line.
     """
-    spark = lines.sparkSession
-    lines = kept_table(lines.select("conv", "chunk", "turn", "line", "text"), "lines")
-    first = lines.groupBy("conv").agg(F.min("chunk").alias("first"), F.max("chunk").alias("last"))
+    lines = lines.select("conv", "chunk", "turn", "line", "text", "at")
     same = F.col("conv").eqNullSafe(F.col("owner"))
-    lines = lines.join(first.withColumnRenamed("conv", "owner"), same, "left").drop("owner")
     order = ["conv", "chunk", "turn", "line", "text"]
-    cut = lines.where("first < last")
+    long = lines.groupBy("conv").agg(F.min("chunk").alias("first"), F.max("chunk").alias("last")).where("first < last")
+    long = long.select(F.col("conv").alias("owner"))
+    cut = lines.join(long, same, "left_semi")
 
     def ends(chunk: pd.DataFrame) -> pd.DataFrame:
         scores = model.scores([observe(t)[:3] for t in chunk["text"]])
         row = chunk.iloc[0]
-        matrix = chain(model, scores, bool(row["chunk"] == row["first"]))
-        return pd.DataFrame({"conv": [row["conv"]], "chunk": [row["chunk"]], "matrix": [matrix.ravel().tolist()]}).astype({"conv": "Int64"})
+        matrix = chain(model, scores, bool(row["at"] == 0))
+        return pd.DataFrame({"conv": [row["conv"]], "chunk": [row["chunk"]], "matrix": [matrix.tobytes()]}).astype({"conv": "Int64"})
 
     def link(conversation: pd.DataFrame) -> pd.DataFrame:
         chunks = conversation.sort_values("chunk")
-        matrices = [np.array(m).reshape(STATES, STATES) for m in chunks["matrix"]]
+        matrices = [np.frombuffer(m).reshape(STATES, STATES) for m in chunks["matrix"]]
         value, back = matrices[0][0], []
         for m in matrices[1:]:
             through = value[:, None] + m
@@ -195,7 +249,7 @@ def parse(lines: DataFrame, model: Model) -> DataFrame:
         last = last[::-1]
         return pd.DataFrame({"conv": chunks["conv"], "chunk": chunks["chunk"], "before": [-1, *last[:-1]], "end": last})
 
-    joints = by_chunk(order, ends, "conv bigint, chunk bigint, matrix array<double>", cut)
+    joints = by_chunk(order, ends, "conv bigint, chunk bigint, matrix binary", cut)
     joints = joints.groupBy("conv").applyInPandas(link, "conv bigint, chunk bigint, before int, end int")
     joints = kept_table(joints, "joints").toDF("owner", "part", "before", "end")
     whole = lines.join(joints, same & (F.col("chunk") == F.col("part")), "left").drop("owner", "part")

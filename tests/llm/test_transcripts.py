@@ -1,5 +1,6 @@
 """Viterbi against all state sequences, chunks against whole conversations, recovered roles against the given."""
 
+from collections import Counter
 from itertools import product
 
 import numpy as np
@@ -86,6 +87,23 @@ def test_chunks_do_not_change_the_turns(spark, monkeypatch):
     assert sorted((r.conv, r.first_turn, r.role) for r in cut if not r.continued) == whole
 
 
+def test_chunks_are_bounded_whatever_the_identifiers_and_turns(spark, monkeypatch):
+    monkeypatch.setattr(op, "CHUNK_LINES", 8)
+    turns = [(None, t % 3, "user", f"User: {t % 7}", "", "", "") for t in range(60)]
+    turns += [(1, None, "user", "same", "", "", "")] * 50 + [(1, -900, "user", "a\nb", "", "", ""), (2, 0, "user", "x\n" * 40, "", "", "")]
+    lines = op.transcript_lines(spark.createDataFrame(turns, SCHEMA), "conv_id", "turn", "text", "role")
+    rows = lines.collect()
+    for conv in (None, 1, 2):
+        mine = sorted((r for r in rows if r.conv == conv), key=lambda r: r["at"])
+        assert [r["at"] for r in mine] == list(range(len(mine))) and max(Counter(r.chunk for r in mine).values()) <= 8
+        assert [r.chunk for r in mine] == sorted(r.chunk for r in mine)
+        keys = [(r.turn is not None, r.turn or 0, r.line, r.text) for r in mine]
+        assert keys == sorted(keys)
+    assert len(rows) == 60 + 52 + 41
+    found = op.parse(lines.drop("role"), op.learn(lines, "role")).collect()
+    assert sum(r.n_lines for r in found) == len(rows) and max(r.n_lines for r in found) <= 8
+
+
 def test_odd_rows_and_empty_table(spark):
     rows = [(None, 0, "user", "User: hi", "", "", ""), (1, None, "user", None, "", "", ""), (1, 0, None, "Bot: a", "", "", ""),
             (1, 0, None, "Bot: a", "", "", ""), (2, 0, "judge", "word " * 50_000, "", "", "")]

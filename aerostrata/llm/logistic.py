@@ -9,7 +9,17 @@ from pyspark.sql import functions as F
 from aerostrata.llm.common import held_out
 
 #: Characters of sampled texts the driver takes at most, per class.
-SAMPLE_CHARS = 12 << 20
+SAMPLE_CHARS = 24 << 20
+
+
+def agreed_labels(labels: DataFrame, id_column: str, label_column: str) -> DataFrame:
+    """(id, label) of the ids whose labels agree."""
+    label = F.col(f"`{label_column}`").cast("int")
+    return (
+        labels.where(label.isin(0, 1)).groupBy(F.col(f"`{id_column}`").cast("bigint").alias("id"))
+        .agg(F.min(label).alias("low"), F.max(label).alias("high")).where("low = high AND id IS NOT NULL")
+        .select("id", F.col("low").alias("label"))
+    )
 
 
 def labelled_sample(
@@ -21,12 +31,7 @@ def labelled_sample(
     ``SAMPLE_CHARS`` characters, whole texts in hash order. Repeated labels of an id count once if they agree; ids with labels of
     both kinds are left out, as are null labels and ids.
     """
-    label = F.col(f"`{label_column}`").cast("int")
-    agreed = (
-        labels.where(label.isin(0, 1)).groupBy(F.col(f"`{id_column}`").cast("bigint").alias("id"))
-        .agg(F.min(label).alias("low"), F.max(label).alias("high")).where("low = high AND id IS NOT NULL")
-        .select("id", F.col("low").alias("label"))
-    )
+    agreed = agreed_labels(labels, id_column, label_column)
     text = F.coalesce(F.col(f"`{text_column}`"), F.lit(""))
     texts = docs.where(~held_out(id_column)).select(
         F.col(f"`{id_column}`").cast("bigint").alias("id"), F.xxhash64(text).alias("hash"), F.length(text).alias("chars")
@@ -85,3 +90,64 @@ def fit_logistic(
         if np.abs(step).max() < 1e-8:
             break
     return np.append(w[:-1] / scale, w[-1] - (w[:-1] * mean / scale).sum())
+
+
+def fit_sparse(
+    rows: list[np.ndarray], width: int, y: np.ndarray, weight: np.ndarray, ridge: float = 1e-3, steps: int = 60,
+    changed: list[tuple[np.ndarray, np.ndarray]] | None = None, penalty: float = 0.0,
+) -> np.ndarray:
+    """``fit_logistic`` of rows that name the columns they have, ``changed`` those they gain and lose.
+
+    Newton's steps are solved by conjugate gradients, so memory grows with the named columns alone.
+    """
+    n = len(rows)
+    have, at = _entries(rows)
+    mean = np.bincount(have, minlength=width) / n
+    scale = np.where(mean > 0, np.sqrt(mean * (1 - mean)) + 1e-6, 1.0)
+    gained, lost = (_entries([c[k] for c in changed or []]) for k in (0, 1))
+    m = len(changed or [])
+
+    def forth(w: np.ndarray) -> np.ndarray:
+        v = w[:-1] / scale
+        return np.bincount(at, v[have], n) - mean @ v + w[-1]
+
+    def back(r: np.ndarray) -> np.ndarray:
+        return np.append((np.bincount(have, r[at], width) - mean * r.sum()) / scale, r.sum())
+
+    def extra(w: np.ndarray) -> np.ndarray:
+        out = np.append(ridge * n * w[:-1], 1e-9 * w[-1])
+        if m:
+            v = w[:-1] / scale
+            d = np.bincount(gained[1], v[gained[0]], m) - np.bincount(lost[1], v[lost[0]], m)
+            spread = np.bincount(gained[0], d[gained[1]], width) - np.bincount(lost[0], d[lost[1]], width)
+            out[:-1] += penalty * n / m * spread / scale
+        return out
+
+    w = np.zeros(width + 1)
+    for _ in range(steps):
+        p = sigmoid(forth(w))
+        slope = back(weight * (p - y)) + extra(w)
+        curve = weight * p * (1 - p)
+        step, left = np.zeros_like(w), slope.copy()
+        way, size = left.copy(), left @ left
+        goal = size * 1e-8
+        for _ in range(300):
+            if size <= goal:
+                break
+            bent = back(curve * forth(way)) + extra(way) + 1e-9 * way
+            far = size / (way @ bent)
+            step += far * way
+            left -= far * bent
+            size, old = left @ left, size
+            way = left + size / old * way
+        w -= step * min(1.0, 5 / (np.abs(step).max() + 1e-12))
+        if np.abs(step).max() < 1e-5:
+            break
+    return np.append(w[:-1] / scale, w[-1] - (w[:-1] * mean / scale).sum())
+
+
+def _entries(rows: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """(column, row) of every entry."""
+    lengths = [len(r) for r in rows]
+    columns = np.concatenate(rows) if rows else np.zeros(0, np.int32)
+    return columns.astype(np.int32), np.repeat(np.arange(len(rows), dtype=np.int32), lengths)

@@ -5,8 +5,9 @@ tell toxic from other labelled texts. Naming a group of people is no sign of tox
 labelled text that names one the term is swapped for the others of its group, and the fit is charged for the square
 of the score's change. Terms that occur mostly in toxic texts thereby lose their weight.
 
-Selection and fit use at most ``SAMPLE`` labelled rows of each class, taken by the hash of their text;
-every text is scored whole and no row is shuffled.
+Features are chosen by their counts over all labelled rows outside the held-out fold, and all that tell the classes apart
+are kept. The fit uses at most ``SAMPLE`` labelled rows of each class, taken by the hash of their text, so a
+feature that none of them has weighs nothing. Every text is scored whole.
 
 Defined cases: null and empty texts get the score of a text without evidence; texts of any length
 are read whole; repeated rows get equal scores; without labels of both classes every score is
@@ -18,21 +19,21 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
-from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aerostrata.llm.common import filter_rows, held_out, read, small_batches, texts_of
-from aerostrata.llm.logistic import fit_logistic, labelled_sample, sigmoid
+from aerostrata.llm.common import filter_rows, held_out, kept_table, read, small_batches, texts_of
+from aerostrata.llm.logistic import agreed_labels, fit_sparse, labelled_sample, sigmoid
 
-SAMPLE = 2000
-FEATURES = 500
+SAMPLE = 3000
 LEAST_TEXTS = 5
-#: Hashes features are counted by at first.
-HASHES = 1 << 20
+#: Chi-square above which a feature is kept, that of a chance of one in a thousand.
+SIGNIFICANT = 10.83
+#: Features a task counts before it sends the counts on.
+COUNTED = 200_000
 PENALTY = 10.0
 THRESHOLD = 0.5
 MEMO = 150_000
@@ -82,25 +83,53 @@ def chi_square(a: np.ndarray, b: np.ndarray, n1: int, n0: int) -> np.ndarray:
     return np.where(with_it >= LEAST_TEXTS, value, 0)
 
 
-def select_features(texts: list[str], y: np.ndarray, most: int) -> list[str]:
-    """The features whose share differs most between the classes, by chi-square; those of few texts are left out.
-
-    Features are first counted by hash, so that memory does not grow with their number; those of the best
-    hashes are then counted themselves.
-    """
-    n1, n0 = int((y == 1).sum()), int((y == 0).sum())
-    counts = np.zeros((2, HASHES), np.int32)
-    for text, v in zip(texts, y.astype(int)):
-        counts[v, list({crc32(f.encode()) % HASHES for f in text_features(words_of(text))})] += 1
-    chi = chi_square(counts[1], counts[0], n1, n0)
-    best = set(np.argsort(-chi, kind="stable")[: 2 * most].tolist())
-    exact = [Counter(), Counter()]
+def select_features(texts: list[str], y: np.ndarray) -> list[str]:
+    """The features whose share differs between the classes, by chi-square; those of few texts are left out."""
+    counts = [Counter(), Counter()]
     for text, v in zip(texts, y.astype(int)):
-        exact[v].update(f for f in text_features(words_of(text)) if crc32(f.encode()) % HASHES in best)
-    names = sorted(exact[0].keys() | exact[1].keys())
-    chi = chi_square(*(np.array([exact[k][f] for f in names]) for k in (1, 0)), n1, n0)
-    order = [i for i in np.lexsort((np.arange(len(names)), -chi)) if chi[i] > 0]
-    return [names[i] for i in order[:most]]
+        counts[v].update(text_features(words_of(text)))
+    names = sorted(counts[0].keys() | counts[1].keys())
+    chi = chi_square(*(np.array([counts[k][f] for f in names]) for k in (1, 0)), int((y == 1).sum()), int((y == 0).sum()))
+    return [f for f, c in zip(names, chi) if c > SIGNIFICANT]
+
+
+def telling_features(docs: DataFrame, labels: DataFrame, id_column: str, text_column: str, label_column: str) -> list[str]:
+    """``select_features`` of all labelled rows outside the held-out fold, counted by the tasks."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts: dict[int, Counter] = {0: Counter(), 1: Counter()}
+
+        def sent() -> Iterator[pa.RecordBatch]:
+            for v, found in counts.items():
+                n = pa.array(found.values(), pa.int64())
+                none = pa.array(np.zeros(len(found), np.int64))
+                yield pa.RecordBatch.from_arrays([pa.array(found.keys(), pa.string()), *([none, n] if v else [n, none])], names)
+                found.clear()
+
+        for batch in batches:
+            for part in small_batches([batch], 0):
+                for text, v in zip(texts_of(part, 0), part.column(1).to_pylist()):
+                    counts[v].update(text_features(words_of(text)))
+                    counts[v][""] += 1  # texts of the class
+                    if len(counts[0]) + len(counts[1]) > COUNTED:
+                        yield from sent()
+        yield from sent()
+
+    names = ["feature", "n0", "n1"]
+    text = docs.where(~held_out(id_column)).select(F.col(f"`{id_column}`").cast("bigint").alias("id"), F.col(f"`{text_column}`").alias("text"))
+    known = text.join(agreed_labels(labels, id_column, label_column), "id").select("text", "label")
+    counts = kept_table(
+        known.mapInArrow(run, "feature string, n0 bigint, n1 bigint").groupBy("feature").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")),
+        "features",
+    )
+    total = counts.where("feature = ''").first()
+    if total is None or not total.n0 or not total.n1:
+        return []
+    a, b, n0, n1 = F.col("n1").cast("double"), F.col("n0").cast("double"), float(total.n0), float(total.n1)
+    n = n0 + n1
+    chi = n * F.pow(a * (n0 - b) - b * (n1 - a), F.lit(2)) / ((a + b + 1e-9) * (n - a - b + 1e-9) * n0 * n1)
+    kept = counts.where((F.col("feature") != "") & (a + b >= LEAST_TEXTS) & (chi > SIGNIFICANT))
+    return sorted(r.feature for r in kept.select("feature").collect())
 
 
 class ToxicityModel:
@@ -129,13 +158,13 @@ class ToxicityModel:
 
 def fit(
     texts: list[str], y: np.ndarray, share: float,
-    groups: tuple[tuple[str, ...], ...] = IDENTITY_TERMS, penalty: float = PENALTY, most: int = FEATURES,
+    groups: tuple[tuple[str, ...], ...] = IDENTITY_TERMS, penalty: float = PENALTY, names: list[str] | None = None,
 ) -> ToxicityModel:
-    """A model from labelled texts; ``share`` is the share of label 1 among all labelled rows."""
+    """A model from labelled texts by ``names``, their own features if None; ``share`` is the share of label 1 among all labelled rows."""
     if len(set(y.tolist())) < 2:
         base = float(np.clip(share, 1e-6, 1 - 1e-6))
         return ToxicityModel({}, float(np.log(base / (1 - base))))
-    names = select_features(texts, y, most)
+    names = select_features(texts, y) if names is None else list(names)
     terms = {t for g in groups for t in g}
     named = [(i, w) for i, t in enumerate(texts) if (w := words_of(t)) & terms]
     present = {f for _, w in named for t in w & terms for f in word_features(t)}
@@ -143,15 +172,12 @@ def fit(
     column = {f: i for i, f in enumerate(names)}
 
     def row(words: set[str]) -> np.ndarray:
-        x = np.zeros(len(names), np.float32)
-        x[[column[f] for f in text_features(words) if f in column]] = 1
-        return x
+        return np.array(sorted({column[f] for f in text_features(words) if f in column}), np.int32)
 
-    x = np.array([row(words_of(t)) for t in texts])
-    changes = [row(s) - x[i] for i, w in named for s in swaps(w, groups)]
-    changed = np.array(changes) if changes else None
+    x = [row(words_of(t)) for t in texts]
+    changes = [(np.setdiff1d(r, x[i]), np.setdiff1d(x[i], r)) for i, w in named for r in map(row, swaps(w, groups))]
     weight = np.where(y == 1, share / y.mean(), (1 - share) / (1 - y.mean()))
-    w = fit_logistic(x, y, weight, changed=changed, penalty=penalty)
+    w = fit_sparse(x, len(names), y, weight, changed=changes, penalty=penalty)
     return ToxicityModel({f: float(v) for f, v in zip(names, w)}, float(w[-1]))
 
 
@@ -161,7 +187,8 @@ def learn(
 ) -> ToxicityModel:
     """A model from labelled rows outside the held-out fold."""
     texts, y, share = labelled_sample(docs, labels, id_column, text_column, label_column, sample)
-    return fit([t.decode() for t in texts], y, share)
+    names = telling_features(docs, labels, id_column, text_column, label_column) if len(set(y.tolist())) == 2 else []
+    return fit([t.decode() for t in texts], y, share, names=names)
 
 
 def score(docs: DataFrame, model: ToxicityModel, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:

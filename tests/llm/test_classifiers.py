@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 
 from aerostrata.llm import language, quality, toxicity
-from aerostrata.llm.logistic import fit_logistic, sigmoid
+from aerostrata.llm.logistic import fit_logistic, fit_sparse, sigmoid
 
 WORDS = {
     "en": ["the", "thing", "with", "would", "there", "nation", "house", "being"],
@@ -168,3 +168,25 @@ def test_logistic_fit_finds_the_minimum():
     w = fit_logistic(x, y, np.ones(500), ridge=1e-6)
     p = sigmoid(x @ w[:-1] + w[-1])
     assert np.abs(x.T @ (p - y)).max() < 0.5 and abs((p - y).sum()) < 0.5
+
+
+def test_sparse_fit_equals_the_dense_one():
+    rng = np.random.default_rng(2)
+    x = (rng.random((300, 12)) < 0.3).astype(float)
+    y = (rng.random(300) < sigmoid(3 * x[:, 0] - 2 * x[:, 1])).astype(float)
+    changed = np.array([np.eye(12)[i % 3] - np.eye(12)[3 + i % 2] for i in range(20)])
+    pairs = [(np.flatnonzero(c > 0), np.flatnonzero(c < 0)) for c in changed]
+    dense = fit_logistic(x, y, np.ones(300), changed=changed, penalty=10.0)
+    sparse = fit_sparse([np.flatnonzero(r) for r in x], 12, y, np.ones(300), changed=pairs, penalty=10.0)
+    assert np.abs(dense - sparse).max() < 1e-3
+
+
+def test_features_are_counted_over_all_labelled_rows_and_not_capped(spark, documents):
+    rows = [(i, f"plain common house {'insult' + chr(97 + i // 10 % 26) * 9 if i % 2 else 'tree'}", i % 2) for i in range(1, 3000)]
+    docs, labels = documents(*[(i, t) for i, t, _ in rows]), labels_of(spark, [(i, 1, y, "") for i, _, y in rows])
+    known = [(t, y) for i, t, y in rows if not out(i)]
+    found = toxicity.telling_features(docs, labels, "doc_id", "text", "toxic")
+    assert found == toxicity.select_features([t for t, _ in known], np.array([y for _, y in known]))
+    assert {f"insult{chr(97 + k) * 9}" for k in range(26)} <= set(found)
+    model = toxicity.learn(docs, labels, sample=500)
+    assert model(["plain common house tree"])[0] < 0.5 and set(found) <= model.weights.keys()

@@ -22,6 +22,7 @@ from __future__ import annotations
 import math
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -39,8 +40,8 @@ LONGEST = 3
 LEAST_WORDS = 20
 SHARE = 5
 SEED = "42:"
-#: Bytes of a text that are looked at together.
-SLICE = 1 << 20
+#: Bytes of texts that are looked at together; tables of this size stay in a core's cache.
+SLICE = 1 << 18
 # The five primes of 64-bit xxhash.
 P1, P2, P3, P4, P5 = (
     np.uint64(p)
@@ -105,15 +106,18 @@ def same_bytes(data: np.ndarray, a: np.ndarray, b: np.ndarray, length: np.ndarra
 
 
 class GramTable:
-    """Distinct n-grams of a batch by open addressing: bucket and count by slot, and the slot of every occurrence."""
+    """Distinct n-grams of a batch by open addressing: bucket and count by slot, and the slot of every occurrence.
 
-    def __init__(self, data: np.ndarray, start: np.ndarray, length: np.ndarray):
+    ``crcs`` are those of the occurrences; without them the CRC of each distinct n-gram is computed from its bytes.
+    """
+
+    def __init__(self, data: np.ndarray, start: np.ndarray, length: np.ndarray, crcs: np.ndarray | None = None):
         keys = xxhash64(data, start, length)
         bits = max(4, int(2 * len(start)).bit_length())
         mask = (1 << bits) - 1
         owner = np.full(1 << bits, -1, np.int32)  # occurrence whose bytes a slot holds
-        at = (keys & np.uint64(mask)).astype(np.int64)
-        self.slots = np.zeros(len(start), np.int64)
+        at = (keys & np.uint64(mask)).astype(np.int32)
+        self.slots = np.zeros(len(start), np.int32)
         left = np.arange(len(start), dtype=np.int32)
         while len(left):
             slot = at[left]
@@ -126,20 +130,30 @@ class GramTable:
             self.slots[left[same]] = slot[same]
             left = left[~same]
             at[left] = (at[left] + 1) & mask
-        view = memoryview(data)
         used = np.flatnonzero(owner >= 0)
-        a = start[owner[used]]
-        ends = zip(a.tolist(), (a + length[owner[used]]).tolist())
-        self.buckets = np.zeros(1 << bits, np.int64)
-        self.buckets[used] = np.array([zlib.crc32(view[i:j]) for i, j in ends], np.int64) % BUCKETS
+        self.crcs = np.zeros(1 << bits, np.uint32)
+        if crcs is None:
+            view = memoryview(data)
+            a = start[owner[used]]
+            ends = zip(a.tolist(), (a + length[owner[used]]).tolist())
+            self.crcs[used] = np.array([zlib.crc32(view[i:j]) for i, j in ends], np.uint32)
+        else:
+            self.crcs[used] = crcs[owner[used]]
+        self.buckets = self.crcs % np.uint32(BUCKETS)
         self.counts = np.bincount(self.slots, minlength=1 << bits)
 
+    def without_first(self, n: int) -> GramTable:
+        """Do not count the first ``n`` occurrences."""
+        if n:
+            self.slots = self.slots[n:]
+            self.counts = np.bincount(self.slots, minlength=len(self.counts))
+        return self
+
 
-def word_runs(data: np.ndarray, bounds: np.ndarray, carried: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(bytes, start, length, document of each run of words; words of each document).
+def words_of(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(bytes, start, length, document of each word) of the documents that start at ``bounds``.
 
-    ``data`` holds the documents that start at ``bounds``. The bytes are their words, each followed by a space, so a run
-    of words is one range. Runs that end in the first ``carried`` words are left out, as are those words.
+    The bytes are the words, each followed by a space, so a run of words is one range; eight spare bytes end them.
     """
     inside = IN_WORD[data]
     first = inside.copy()
@@ -152,17 +166,52 @@ def word_runs(data: np.ndarray, bounds: np.ndarray, carried: int = 0) -> tuple[n
     size = np.bincount(word, minlength=len(doc))
     out = np.full(len(letters) + len(doc) + 8, ord(" "), np.uint8)
     out[np.arange(len(letters)) + word] = LOWER[letters]
-    begin = np.cumsum(size + 1) - size - 1
-    end = begin + size
-    starts, lengths, docs = [], [], []
-    for k in range(1, LONGEST + 1):
+    return out, np.cumsum(size + 1) - size - 1, size, doc
+
+
+@lru_cache(maxsize=1)
+def _shifts() -> np.ndarray:
+    """What each byte of a CRC adds once 0 to 63 zero bytes have followed; CRCs are linear in it."""
+    at = [[[zlib.crc32(bytes(n), b << 8 * k) ^ zlib.crc32(bytes(n)) for b in range(256)] for k in range(4)] for n in range(64)]
+    return np.array(at, np.uint32)
+
+
+def followed(crc: np.ndarray, by: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """The CRC of a text of CRC ``crc`` and one of CRC ``by`` and a length that follows it."""
+    shifts, crc, left = _shifts(), crc.copy(), length.copy()
+    on = np.arange(len(crc))
+    while len(on):
+        n, c = np.minimum(left[on], 63), crc[on]
+        crc[on] = shifts[n, 0, c & 255] ^ shifts[n, 1, c >> 8 & 255] ^ shifts[n, 2, c >> 16 & 255] ^ shifts[n, 3, c >> 24]
+        left[on] -= n
+        on = np.flatnonzero(left)
+    return crc ^ by
+
+
+def tables(data: np.ndarray, bounds: np.ndarray, carried: int = 0) -> Iterator[tuple[GramTable, np.ndarray, np.ndarray]]:
+    """(table, document of each occurrence, words of each document) for the words and then for the longer runs.
+
+    Runs that end in the first ``carried`` words are left out, as are those words.
+    """
+    out, start, size, doc = words_of(data, bounds)
+    words = GramTable(out, start, size)
+    crc = words.crcs[words.slots]
+    yield words.without_first(carried), doc[carried:], np.bincount(doc[carried:], minlength=len(bounds))
+    space = np.full(len(crc), zlib.crc32(b" "), np.uint32)
+    spaced = followed(space, crc, size)
+    starts, lengths, docs, crcs = [], [], [], []
+    for k in range(2, LONGEST + 1):
         last = np.arange(max(k - 1, carried), len(doc))
         last = last[doc[last] == doc[last - k + 1]]
-        starts.append(begin[last - k + 1])
-        lengths.append(end[last] - begin[last - k + 1])
+        run = crc[last - k + 1]
+        for j in range(k - 2, -1, -1):
+            run = followed(run, spaced[last - j], size[last - j] + 1)
+        starts.append(start[last - k + 1])
+        lengths.append(start[last] + size[last] - start[last - k + 1])
         docs.append(doc[last])
-    words = np.bincount(doc[carried:], minlength=len(bounds))
-    return out, np.concatenate(starts), np.concatenate(lengths), np.concatenate(docs), words
+        crcs.append(run)
+    runs = GramTable(out, np.concatenate(starts), np.concatenate(lengths), np.concatenate(crcs))
+    yield runs, np.concatenate(docs), np.zeros(len(bounds), np.int64)
 
 
 def slices(text: np.ndarray) -> Iterator[np.ndarray]:
@@ -187,7 +236,7 @@ def last_words(text: np.ndarray, before: np.ndarray) -> tuple[np.ndarray, int]:
 
 
 def interned(column: pa.Array) -> Iterator[tuple[GramTable, np.ndarray, np.ndarray]]:
-    """(table, document of each occurrence, words of each document) for a batch of texts, or for each slice of a long one."""
+    """``tables`` of a batch of texts, or of each slice of a long one."""
     texts = pc.fill_null(column, b"")
     n = len(texts)
     _, offsets, data = texts.buffers()
@@ -199,8 +248,7 @@ def interned(column: pa.Array) -> Iterator[tuple[GramTable, np.ndarray, np.ndarr
     else:
         parts = _with_words_before(content)
     for part, starts, carried in parts:
-        out, start, length, doc, words = word_runs(part, starts, carried)
-        yield GramTable(out, start, length), doc, words
+        yield from tables(part, starts, carried)
 
 
 def _with_words_before(content: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
@@ -215,7 +263,7 @@ def bucket_counts(texts: DataFrame, text_column: str = "text") -> np.ndarray:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(BUCKETS, np.int64)
-        for batch in small_batches(batches, 0):
+        for batch in small_batches(batches, 0, SLICE):
             for table, _, _ in interned(batch.column(0)):
                 counts += np.bincount(table.buckets, table.counts, BUCKETS).astype(np.int64)
         found = np.flatnonzero(counts)
@@ -240,7 +288,7 @@ def weighted(docs: DataFrame, gains: np.ndarray, id_column: str = "doc_id", text
     names = [id_column, "n_words", "n_features", "weight"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in small_batches(batches, 1):
+        for batch in small_batches(batches, 1, SLICE):
             words, features, weights = np.zeros((3, batch.num_rows), np.int64)
             for table, doc, found in interned(batch.column(1)):
                 words += found

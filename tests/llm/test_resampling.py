@@ -96,6 +96,14 @@ def test_ngrams_share_a_slot_only_if_their_bytes_are_equal(monkeypatch):
     assert len(set(by_word.values())) == len(by_word)
 
 
+def test_crc_of_texts_that_follow_each_other():
+    rng = np.random.default_rng(5)
+    pairs = [(rng.bytes(int(a)), rng.bytes(int(b))) for a, b in rng.integers(0, 300, (200, 2))]
+    crcs = [np.array([zlib.crc32(p[k]) for p in pairs], np.uint32) for k in (0, 1)]
+    found = op.followed(*crcs, np.array([len(b) for _, b in pairs]))
+    assert found.tolist() == [zlib.crc32(a + b) for a, b in pairs]
+
+
 @pytest.mark.parametrize("size", [1, 7, 50])
 def test_slices_of_a_long_text_give_what_it_gives_as_a_whole(monkeypatch, size):
     monkeypatch.setattr(op, "SLICE", size)

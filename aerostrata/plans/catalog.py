@@ -165,13 +165,17 @@ def _stream_to_table(spark: SparkSession, stream: DataFrame) -> DataFrame:
     return spark.read.schema(stream.schema).parquet(path)
 
 
+def _documents(spark: SparkSession, path: str, id_field: str) -> DataFrame:
+    return read_keyed(spark, path, [*jobs.DOCUMENT_DAY, id_field])
+
+
 def _stream_to_documents(spark: SparkSession, stream: DataFrame, id_field: str) -> DataFrame:
     path = working_path(spark, "documents")
     with _state_partitions(spark):
         start_documents(
             stream, path, id_field, working_path(spark, "checkpoint"), True, jobs.DOCUMENT_DAY
         ).awaitTermination()
-    return read_keyed(spark, path).select(*stream.columns)
+    return _documents(spark, path, id_field).select(*stream.columns)
 
 
 def _nullable_number(df: DataFrame) -> DataFrame:
@@ -415,7 +419,7 @@ def sink_upsert(spark: SparkSession, folder: str) -> DataFrame:
     keys, parts = ["city", "day", "hour"], ["year", "month"]
     upsert(hours, path, keys, parts)
     upsert(_shifted(hours).drop("avg_temp", "avg_hum", "avg_wind"), path, keys, parts)
-    return read_keyed(spark, path)
+    return read_keyed(spark, path, [*parts, *keys])
 
 
 # --- streams --------------------------------------------------------------------------------
@@ -456,7 +460,7 @@ def _delivered_in_turn(
             start_documents(
                 stream, path, id_field, checkpoint, True, jobs.DOCUMENT_DAY
             ).awaitTermination()
-    return read_keyed(spark, path).select(*stream.columns)
+    return _documents(spark, path, id_field).select(*stream.columns)
 
 
 def stream_late(spark: SparkSession, folder: str) -> DataFrame:
@@ -499,7 +503,7 @@ def sample_storage(
 def hourly_run(spark: SparkSession, folder: str) -> DataFrame:
     layout = sample_storage(spark, folder)
     jobs.hourly_run(spark, layout)
-    return read_keyed(spark, layout.documents("hourly")).drop("doc_day")
+    return jobs.read_documents(spark, layout, "hourly").drop("doc_day")
 
 
 def hourly_run_scoped(spark: SparkSession, folder: str) -> DataFrame:
@@ -507,7 +511,7 @@ def hourly_run_scoped(spark: SparkSession, folder: str) -> DataFrame:
     layout = sample_storage(spark, folder, _in_two_parts)
     for scope in LATE_DELIVERIES:
         jobs.hourly_run(spark, layout, scope)
-    return read_keyed(spark, layout.documents("hourly")).drop("doc_day")
+    return jobs.read_documents(spark, layout, "hourly").drop("doc_day")
 
 
 def hourly_hour(spark: SparkSession, folder: str) -> DataFrame:

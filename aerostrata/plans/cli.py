@@ -11,9 +11,10 @@ from pyspark.sql import SparkSession
 from aerostrata.plans import jobs
 from aerostrata.schemas import KINDS
 from aerostrata.session import get_session
+from aerostrata.sinks import keyed
 from aerostrata.sources.messages import read_message_files, read_topic
 from aerostrata.sources.raw import HourScope
-from aerostrata.streaming.outputs import run_until_any_ends, start_landing
+from aerostrata.streaming.outputs import start_landing, supervise
 
 PERIOD = ("year", "month", "day", "hour")
 
@@ -30,7 +31,7 @@ def build_parser() -> argparse.ArgumentParser:
         return sub
 
     for name, text in (
-        ("clean", "raw JSON to clean tables; one arrival hour, or everything"),
+        ("clean", "raw JSON to clean tables; one arrival hour, or all files not read before"),
         ("hourly", "clean tables to hourly means; the current UTC hour by default"),
     ):
         command(name, text, PERIOD).add_argument(
@@ -47,6 +48,9 @@ def build_parser() -> argparse.ArgumentParser:
     shape = command("shape", "API payloads (Parquet: city, received_at, payload) to raw JSON lines")
     shape.add_argument("--air", required=True, help="air-quality payloads")
     shape.add_argument("--weather", required=True, help="weather payloads")
+    upkeep = command("compact", "bound the history of the hourly and document tables")
+    upkeep.add_argument("--many", type=int, default=keyed.MANY_VERSIONS, help="versions of a partition that are put into one")
+    upkeep.add_argument("--grace", type=float, default=keyed.GRACE, help="seconds replaced files stay for reads under way")
     command("daily-run", "daily, then the PM2.5 export", PERIOD[:3])
 
     stream = command("stream", "ten-minute statistics and category counts")
@@ -107,6 +111,8 @@ def run(spark: SparkSession, args: argparse.Namespace) -> list[jobs.Report]:
         return [jobs.quality_job(spark, layout, hour_of(args))]
     if args.job == "shape":
         return [jobs.shape_job(layout, spark.read.parquet(args.air), spark.read.parquet(args.weather))]
+    if args.job == "compact":
+        return [jobs.compact_job(spark, layout, args.many, args.grace)]
     if args.job == "daily-run":
         return jobs.daily_run(spark, layout, *month_of(args))
 
@@ -118,11 +124,7 @@ def run(spark: SparkSession, args: argparse.Namespace) -> list[jobs.Report]:
         kind = KINDS[args.kind]
         checkpoint = layout.checkpoint(f"land-{kind.name}")
         queries = [start_landing(messages, kind, layout.raw, checkpoint, args.available_now)]
-    if args.available_now:
-        for query in queries:
-            query.awaitTermination()
-    else:
-        run_until_any_ends(spark)
+    supervise(spark, queries, until_all_end=args.available_now)
     return []
 
 

@@ -1,10 +1,11 @@
-"""Parquet writes partitioned by column."""
+"""Parquet writes partitioned by column. Each returns how many rows it wrote."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
+from pyspark.sql import functions as F
 
 from aerostrata.schemas import PARTITION_KEYS
 
@@ -18,24 +19,35 @@ def balanced(df: DataFrame, by: Sequence[str]) -> DataFrame:
     return df.hint("rebalance", *by)
 
 
+def counted_write(df: DataFrame, write: Callable[[DataFrame], None]) -> int:
+    """Write ``df`` and return its number of rows, counted on the way.
+
+    The count stands directly under the write: anywhere below, the optimizer may replace it together with a part of
+    the plan that turns out to be empty.
+    """
+    seen = Observation()
+    write(df.observe(seen, F.count(F.lit(1)).alias("rows")))
+    return seen.get["rows"]
+
+
 def append(
     df: DataFrame, path: str, partition_by: Sequence[str] = PARTITION_KEYS, sort_by: Sequence[str] = ()
-) -> None:
+) -> int:
     """Plain append; running it twice writes the rows twice. Files sorted by a column let readers skip parts of them."""
     rows = balanced(df, partition_by)
     if sort_by:
         rows = rows.sortWithinPartitions(*partition_by, *sort_by)
-    rows.write.mode("append").partitionBy(*partition_by).parquet(path)
+    return counted_write(rows, lambda r: r.write.mode("append").partitionBy(*partition_by).parquet(path))
 
 
 def overwrite_partitions(
     df: DataFrame, path: str, partition_by: Sequence[str] = PARTITION_KEYS
-) -> None:
+) -> int:
     """Replace the partitions that occur in the frame and leave all others as they are."""
-    (
-        balanced(df, partition_by)
-        .write.mode("overwrite")
+    return counted_write(
+        balanced(df, partition_by),
+        lambda r: r.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*partition_by)
-        .parquet(path)
+        .parquet(path),
     )

@@ -52,6 +52,17 @@ def read_lines(
     return None if lines is None else lines.filter(F.trim("value") != "")
 
 
+def arriving_lines(spark: SparkSession, root: str, kind: Kind, max_files: int | None = None) -> DataFrame:
+    """A stream of the text lines of one kind in ``value``; its checkpoint knows the files it has read.
+
+    Files of any age count, so that one landed late is read, too.
+    """
+    reader = spark.readStream.option("maxFileAge", "36500d")
+    if max_files is not None:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    return reader.text(raw_path(root, kind)).select("value").filter(F.trim("value") != "")
+
+
 def parsed_record(value: Column, schema: T.StructType) -> Column:
     """The record of a JSON text; text that does not fit the schema is kept in the corrupt field."""
     extended = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])

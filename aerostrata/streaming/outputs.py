@@ -16,6 +16,8 @@ from aerostrata.sinks.partitioned import append
 # Fixed value: how often a continuous query starts a micro-batch.
 TRIGGER = "120 seconds"
 DOCUMENT_PARTITION = ("doc_day", "doc_hour")
+#: Local property in which Spark keeps the identifier of the query whose batch is being run.
+QUERY_ID = "sql.streaming.queryId"
 
 
 def _triggered(writer: DataStreamWriter, available_now: bool) -> DataStreamWriter:
@@ -38,8 +40,9 @@ def document_writer(
 ) -> Callable[[DataFrame, int], None]:
     """A ``foreachBatch`` function: merge by id, or append if there is none.
 
-    A failed write raises, so the batch is not committed and runs again after a restart; merging
-    by id makes that repeat harmless. Ids are unique within a batch unless ``unique`` is False.
+    A failed write raises, so the batch is not committed and runs again after a restart. The query's own identifier, which
+    its checkpoint keeps, and the batch's number name the version, so a batch that had been written
+    before it was committed replaces its files. Ids are unique within a batch unless ``unique`` is False.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -50,7 +53,9 @@ def document_writer(
             if id_field is None:
                 append(placed, path, partition_by)
             else:
-                upsert(placed, path, [id_field], partition_by, unique=unique)
+                query = batch.sparkSession.sparkContext.getLocalProperty(QUERY_ID)
+                owner = (query, batch_id) if query else None
+                upsert(placed, path, [id_field], partition_by, unique=unique, owner=owner)
 
     return write
 
@@ -99,6 +104,24 @@ def start_landing(
     return _triggered(writer, available_now).start()
 
 
-def run_until_any_ends(spark: SparkSession) -> None:
-    """Block until one of the started queries ends; its failure, if any, is raised."""
-    spark.streams.awaitAnyTermination()
+def supervise(spark: SparkSession, queries: Sequence[StreamingQuery], until_all_end: bool = False) -> None:
+    """Block while the queries run; as soon as one ends, stop the others, latest first, and raise its failure if it has one.
+
+    Queries over all input there is end one by one: ``until_all_end`` waits for each that ends well.
+    """
+    running = list(queries)
+    try:
+        while running:
+            spark.streams.resetTerminated()
+            if all(q.isActive for q in running):
+                spark.streams.awaitAnyTermination()
+            ended = [q for q in running if not q.isActive]
+            for query in ended:
+                query.awaitTermination()  # raises what ended it
+            running = [q for q in running if q not in ended]
+            if ended and not until_all_end:
+                return
+    finally:
+        for query in reversed(queries):
+            if query.isActive:
+                query.stop()

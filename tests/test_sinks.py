@@ -1,3 +1,5 @@
+import time
+from concurrent.futures import ThreadPoolExecutor
 from pathlib import Path
 
 import pytest
@@ -8,6 +10,7 @@ from aerostrata.sinks.partitioned import append, overwrite_partitions
 from aerostrata.sources.tables import read_folders, read_table
 
 PART = ["day"]
+ON = ["day", "id"]
 
 
 def frame(spark, rows, schema="day int, id string, a int, b int"):
@@ -72,22 +75,22 @@ def test_insert_new_is_repeatable(spark, tmp_path, rows, prune):
 
 
 def newest(spark, path, rows, *columns):
-    return rows(read_keyed(spark, path), *(columns or ("day", "id", "a", "b")))
+    return rows(read_keyed(spark, path, ON), *(columns or ("day", "id", "a", "b")))
 
 
 def test_upsert_updates_and_inserts(spark, tmp_path, rows):
     path = str(tmp_path / "t")
     upsert(frame(spark, [(1, "x", 1, 1), (1, "y", 2, 2), (2, "z", 3, 3)]), path, ["id"], PART)
     before = files(path)
-    upsert(frame(spark, [(1, "x", 7, None), (1, "n", 8, 8)]), path, ["id"], PART)
+    assert upsert(frame(spark, [(1, "x", 7, None), (1, "n", 8, 8)]), path, ["id"], PART) == 2
     expected = [(1, "n", 8, 8), (1, "x", 7, None), (1, "y", 2, 2), (2, "z", 3, 3)]
     assert newest(spark, path, rows) == expected
     assert before.items() <= files(path).items()
     upsert(frame(spark, [(1, "x", 7, None), (1, "n", 8, 8)]), path, ["id"], PART)
     assert newest(spark, path, rows) == expected
-    upsert(frame(spark, []), path, ["id"], PART)
+    assert upsert(frame(spark, []), path, ["id"], PART) == 0
     assert newest(spark, path, rows) == expected
-    assert read_keyed(spark, str(tmp_path / "no")) is None
+    assert read_keyed(spark, str(tmp_path / "no"), ON) is None
 
 
 def test_upsert_keeps_absent_columns_and_adds_new_ones(spark, tmp_path, rows):
@@ -111,7 +114,7 @@ def test_upsert_and_insert_open_no_untouched_file(spark, tmp_path, rows):
     for file in Path(path, "day=5").glob("*.parquet"):
         file.write_bytes(b"no parquet")
     upsert(frame(spark, [(1, "k1", 2, 2)]), path, ["id"], PART)
-    assert rows(read_keyed(spark, path, ["day=0", "day=1"]), "day", "a") == [(0, 1), (1, 2)]
+    assert rows(read_keyed(spark, path, ON, ["day=0", "day=1"]), "day", "a") == [(0, 1), (1, 2)]
     plain = str(tmp_path / "p")
     append(frame(spark, [(d, f"k{d}", 1, 1) for d in range(6)]), plain, PART)
     for file in Path(plain, "day=5").glob("*.parquet"):
@@ -131,32 +134,89 @@ def test_many_touched_partitions(spark, tmp_path, rows):
     )
 
 
+def test_an_upsert_by_a_clock_behind_wins(spark, tmp_path, rows, monkeypatch):
+    path = str(tmp_path / "t")
+    upsert(frame(spark, [(1, "x", 1, 1)]), path, ["id"], PART)
+    monkeypatch.setattr(time, "time", lambda: 0.0)
+    monkeypatch.setattr(time, "time_ns", lambda: 0)
+    upsert(frame(spark, [(1, "x", 2, 2)]), path, ["id"], PART)
+    assert newest(spark, path, rows) == [(1, "x", 2, 2)]
+
+
+def test_a_number_is_given_once_and_old_ones_go(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    monkeypatch.setattr(keyed, "KEPT_NUMBERS", 3)
+    with ThreadPoolExecutor(4) as pool:
+        found = list(pool.map(lambda _: keyed.next_version(spark, path), range(8)))
+    assert len(set(found)) == 8 and all(n % 2 == 0 for n in found)
+    last = [keyed.next_version(spark, path) for _ in range(10)]
+    assert last == sorted(last) and last[0] > max(found)
+    assert len(list(Path(path, "_sequence").glob("[0-9]*"))) <= 5
+
+
+def test_a_repeated_batch_replaces_its_version(spark, tmp_path, rows):
+    path = str(tmp_path / "t")
+    write = lambda batch, a: upsert(frame(spark, [(1, "x", a, a), (2, "y", a, a)]), path, ["id"], PART, owner=("q", batch))
+    write(0, 1)
+    write(1, 2)
+    names = {str(p.parent) for p in Path(path).rglob("*.parquet")}
+    write(1, 2)
+    assert {str(p.parent) for p in Path(path).rglob("*.parquet")} == names
+    assert len(files(path)) == 4
+    write(11, 3)
+    assert newest(spark, path, rows, "a") == [(3,), (3,)]
+
+
 def test_compaction_keeps_the_read_and_survives_a_crash(spark, tmp_path, rows, monkeypatch):
     path = str(tmp_path / "t")
     for n in range(4):
         upsert(frame(spark, [(1, "x", n, n), (1, f"y{n}", n, n), (2, "z", n, n)]), path, ["id"], PART)
     upsert(frame(spark, [(1, "x", 50)], "day int, id string, a int"), path, ["id"], PART)
     expected, untouched = newest(spark, path, rows), files(path + "/day=2")
+    reader = read_keyed(spark, path, ON)  # lists its files now
 
     def crash(*_):
-        raise RuntimeError("lost between the new files and the deletion of the old")
+        raise RuntimeError("stopped")
+
+    def compact(grace=0, folders=("day=1",)):
+        return keyed.compact(spark, path, ON, PART, folders, many=3, grace=grace)
 
     with monkeypatch.context() as patch:
-        patch.setattr(keyed, "_system", lambda spark, p, real=keyed._system: crash() if p.endswith(".parquet") else real(spark, p))
+        patch.setattr(keyed, "overwrite_partitions", crash)
+        with pytest.raises(RuntimeError):
+            compact()
+    assert newest(spark, path, rows) == expected
+    assert compact() == 1
+    assert newest(spark, path, rows) == expected and rows(reader, "day", "id", "a", "b") == expected
+    assert compact(grace=3600) == 0 and len(list(Path(path, "day=1").iterdir())) == 6
+    with monkeypatch.context() as patch:
+        removed = []
+        patch.setattr(keyed, "remove", lambda spark, p, real=keyed.remove: crash() if removed else (removed.append(p), real(spark, p)))
         with pytest.raises(RuntimeError):
-            keyed.compact(spark, path, ["day=1"])
+            compact()
     assert newest(spark, path, rows) == expected
-    keyed.compact(spark, path, ["day=1"])
+    assert compact() == 0
     assert newest(spark, path, rows) == expected and files(path + "/day=2") == untouched
     assert len(files(path + "/day=1")) == 1
     upsert(frame(spark, [(1, "x", 60, 60)]), path, ["id"], PART)
     assert (1, "x", 60, 60) in newest(spark, path, rows)
-    keyed.compact(spark, path, ["day=9"])
+    assert compact(folders=("day=9",)) == 0
+    assert compact(folders=None) == 1
+    assert keyed.compact(spark, str(tmp_path / "no"), ON, PART) == 0
 
 
-def test_rows_appended_without_a_version_come_first(spark, tmp_path, rows):
+def test_a_write_under_way_wins_over_a_compaction(spark, tmp_path, rows):
+    path = str(tmp_path / "t")
+    for n in range(3):
+        upsert(frame(spark, [(1, "x", n, n)]), path, ["id"], PART)
+    number = keyed.next_version(spark, path)
+    assert keyed.compact(spark, path, ON, PART, many=2) == 1
+    keyed._write_version(frame(spark, [(1, "x", 9, 9)]), path, PART, number)
+    assert newest(spark, path, rows) == [(1, "x", 9, 9)]
+
+
+def test_a_table_without_versions_is_read_as_it_is(spark, tmp_path, rows):
     path = str(tmp_path / "t")
     append(frame(spark, [(1, "x", 1, 1), (1, "y", 1, 1)]), path, PART)
     assert newest(spark, path, rows) == [(1, "x", 1, 1), (1, "y", 1, 1)]
-    upsert(frame(spark, [(1, "x", 2, 2)]), path, ["id"], PART)
-    assert newest(spark, path, rows) == [(1, "x", 2, 2), (1, "y", 1, 1)]
+    assert keyed.compact(spark, path, ON, PART) == 0

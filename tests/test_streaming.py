@@ -1,11 +1,12 @@
 import json
 from datetime import datetime
+from pathlib import Path
 
 import pytest
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
-from aerostrata.plans.jobs import Layout, clean_kind, stream_job
+from aerostrata.plans.jobs import Layout, clean_kind, read_documents, stream_job
 from aerostrata.schemas import AIR, DIMENSION
 from aerostrata.sinks.keyed import read_keyed
 from aerostrata.sources.messages import read_message_files
@@ -19,6 +20,7 @@ from aerostrata.streaming.readings import (
     ten_minute_statistics,
 )
 
+ON = ["doc_day", "doc_hour", "pivot_doc_id"]
 BANDS = ["Good", "Moderate", "Unhealthy", "Very_Unhealthy", "Hazardous"]
 
 
@@ -38,6 +40,8 @@ class Inbox:
         self.files = 0
 
     def put(self, *lines):
+        if not lines:
+            return
         (self.folder / f"m{self.files:03d}.json").write_text("\n".join(lines) + "\n")
         self.files += 1
 
@@ -49,7 +53,7 @@ class Inbox:
         outputs.start_documents(
             ten_minute_categories(self.stream()), self.table, "pivot_doc_id", self.checkpoint, True
         ).awaitTermination()
-        rows = read_keyed(self.spark, self.table).collect()
+        rows = read_keyed(self.spark, self.table, ON).collect()
         return {(r.city, r.window_start.hour, r.window_start.minute): [r[b] for b in BANDS] for r in rows}
 
 
@@ -108,7 +112,7 @@ def test_restart_without_new_messages_changes_nothing(inbox):
     outputs.start_documents(
         ten_minute_categories(inbox.stream()), inbox.table, "pivot_doc_id", inbox.checkpoint, True
     ).awaitTermination()
-    assert read_keyed(inbox.spark, inbox.table).count() == len(before)
+    assert read_keyed(inbox.spark, inbox.table, ON).count() == len(before)
 
 
 def test_batch_equals_stream(spark, tmp_path, rows):
@@ -129,7 +133,7 @@ def test_batch_equals_stream(spark, tmp_path, rows):
     ):
         doubles = {f.name for f in expected.schema.fields if f.dataType.typeName() == "double"}
         columns = [F.round(c, 9).alias(c) if c in doubles else c for c in expected.columns]
-        assert rows(read_keyed(spark, layout.documents(name)), *columns) == rows(expected, *columns)
+        assert rows(read_documents(spark, layout, name), *columns) == rows(expected, *columns)
 
 
 def test_plain_inserts_without_an_id(spark, tmp_path):
@@ -139,7 +143,7 @@ def test_plain_inserts_without_an_id(spark, tmp_path):
         outputs.start_documents(
             ten_minute_categories(box.stream()), box.table, None, box.checkpoint, True
         ).awaitTermination()
-    assert sorted(r.Good for r in read_keyed(spark, box.table).collect()) == [1, 2]
+    assert sorted(r.Good for r in read_keyed(spark, box.table, ON).collect()) == [1, 2]
 
 
 def test_failed_write_stops_the_query_and_repeats_after_restart(spark, tmp_path, monkeypatch):
@@ -167,7 +171,7 @@ def test_landing_writes_by_arrival_hour_and_is_scanned_as_raw(spark, tmp_path):
     outputs.start_landing(
         box.stream(), AIR, layout.raw, str(tmp_path / "second"), True
     ).awaitTermination()
-    assert clean_kind(spark, layout, AIR).rows == 2
+    assert clean_kind(spark, layout, AIR) == 2
 
 
 def test_dedupe_state_is_bounded_by_the_watermark(spark, tmp_path):
@@ -207,3 +211,63 @@ def test_writes_are_adaptive_and_state_is_not(spark, tmp_path, monkeypatch):
     box.categories(message("a", 0, 10))
     assert set(seen) == {"true"}
     assert box.session.conf.get(key) == "false"
+
+
+def test_a_batch_written_before_it_was_committed_is_replaced(spark, tmp_path, monkeypatch):
+    """Stop between the write and the commit: the repeated batch leaves the same files and rows, no second version."""
+    box, real = Inbox(spark, tmp_path), outputs.upsert
+    box.categories(message("a", 0, 10))
+
+    def stop_after(*args, **kwargs):
+        real(*args, **kwargs)
+        raise OSError("lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(outputs, "upsert", stop_after)
+        with pytest.raises(StreamingQueryException):
+            box.categories(message("a", 1, 60))
+    folders = lambda: sorted(str(p.parent) for p in Path(box.table).rglob("*.parquet"))
+    before = folders()
+    assert box.categories() == {("A", 10, 0): [1, 1, 0, 0, 0]}
+    assert folders() == before
+
+
+def test_state_after_a_restart_holds_no_expired_key(spark, tmp_path):
+    box = Inbox(spark, tmp_path)
+    box.categories(message("a", 0, 10), message("b", 1, 10))
+    box.categories(message("a", 60, 10), message("a", 61, 20), message("a", 61, 20))
+
+    def keys(operator):
+        state = spark.read.format("statestore").option("operatorId", operator).load(box.checkpoint)
+        return sorted(str(r.key.timestamp_utc) for r in state.select("key").collect())
+
+    # the watermark is 10:51: of the dedupe keys the live ones stay, once each
+    live = ["2024-01-01 11:00:00", "2024-01-01 11:01:00"]
+    found = sorted(n for n in range(3) if "timestamp_utc" in spark.read.format("statestore").option("operatorId", n).load(box.checkpoint).select("key.*").columns)
+    assert len(found) == 2
+    assert [keys(n) for n in found] == [live, live]
+    assert box.categories(message("a", 60, 10), message("a", 20, 10)) == {
+        ("A", 10, 0): [1, 0, 0, 0, 0], ("B", 10, 0): [1, 0, 0, 0, 0], ("A", 11, 0): [2, 0, 0, 0, 0]
+    }
+
+
+def test_a_query_that_fails_takes_the_other_with_it(spark, tmp_path):
+    box = Inbox(spark, tmp_path)
+    box.put(message("a", 0, 10))
+    ended = []
+
+    def fail(batch, batch_id):
+        raise OSError("no space")
+
+    def start(name, write, **trigger):
+        writer = decode(box.stream()).writeStream.queryName(name).foreachBatch(write)
+        return writer.option("checkpointLocation", str(tmp_path / name)).trigger(**trigger).start()
+
+    healthy = start("healthy", lambda batch, batch_id: ended.append(batch_id), processingTime="1 second")
+    failing = start("failing", fail, processingTime="1 second")
+    with pytest.raises(StreamingQueryException, match="no space"):
+        outputs.supervise(spark, [healthy, failing])
+    assert not healthy.isActive and healthy.exception() is None
+    fine = [start(f"fine{n}", lambda batch, batch_id: ended.append(batch_id), availableNow=True) for n in range(2)]
+    outputs.supervise(spark, fine, until_all_end=True)
+    assert not any(q.isActive for q in fine)

@@ -6,7 +6,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from aerostrata.llm.common import held_out
+from aerostrata.llm.common import held_out, kept_table
 
 #: Characters of sampled texts the driver takes at most, per class.
 SAMPLE_CHARS = 24 << 20
@@ -27,33 +27,28 @@ def labelled_sample(
 ) -> tuple[list[bytes], np.ndarray, float]:
     """(texts, labels, share of label 1 among all labelled rows) outside the held-out fold.
 
-    At most ``rows`` texts of each class, those whose hashes are smallest, and of those at most
-    ``SAMPLE_CHARS`` characters, whole texts in hash order. Repeated labels of an id count once if they agree; ids with labels of
-    both kinds are left out, as are null labels and ids.
+    At most ``rows`` different texts of each class and ``SAMPLE_CHARS`` characters, whole texts in the order of their hashes;
+    one that no longer fits is passed over. The first ``4 * rows`` texts of a class are looked at. Equal texts of a class
+    count once. Repeated labels of an id count once if they agree; ids with labels of both kinds are left out, as are null labels and ids.
     """
-    agreed = agreed_labels(labels, id_column, label_column)
     text = F.coalesce(F.col(f"`{text_column}`"), F.lit(""))
-    texts = docs.where(~held_out(id_column)).select(
-        F.col(f"`{id_column}`").cast("bigint").alias("id"), F.xxhash64(text).alias("hash"), F.length(text).alias("chars")
-    )
-    known = texts.join(agreed, "id")
-    # Two rows: how many labelled texts each class has and where its sample ends.
-    counts = {r.label: r.n for r in known.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
+    texts = docs.where(~held_out(id_column)).select(F.col(f"`{id_column}`").cast("bigint").alias("id"), text.alias("text"))
+    numbers = texts.select("id", F.xxhash64("text").alias("hash"), F.length("text").alias("chars"))
+    known = kept_table(labelled(numbers, agreed_labels(labels, id_column, label_column)), "labelled")
+    counts = {r.label: r.n for r in known.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}  # two rows
     picked: list[tuple[int, int]] = []
     for value in (0, 1):
-        left = SAMPLE_CHARS
-        for r in known.where(F.col("label") == value).orderBy("hash", "id").limit(rows).select("id", "chars").collect():
-            left -= r.chars
-            if left < 0:
-                break
-            picked.append((r.id, value))
+        different = known.where(F.col("label") == value).groupBy("hash", "chars").agg(F.min("id").alias("id"))
+        left, most = SAMPLE_CHARS, len(picked) + rows
+        for r in different.orderBy("hash", "id").limit(4 * rows).select("id", "chars").collect():
+            if r.chars <= left and len(picked) < most:
+                left -= r.chars
+                picked.append((r.id, value))
     if not picked:
         return [], np.zeros(0), 0.5
-    spark = docs.sparkSession
-    chosen = F.broadcast(spark.createDataFrame(picked, "id bigint, label int"))  # at most 2 * rows rows
+    chosen = F.broadcast(docs.sparkSession.createDataFrame(picked, "id bigint, label int"))  # at most 2 * rows rows
     found = (
-        docs.where(~held_out(id_column)).select(F.col(f"`{id_column}`").cast("bigint").alias("id"), text.alias("text"))
-        .join(chosen, "id").groupBy("id", "label").agg(F.min("text").alias("text"))
+        texts.join(chosen, "id").groupBy("id", "label").agg(F.min("text").alias("text"))
         .select(F.xxhash64("text").alias("hash"), "id", "label", F.col("text").cast("binary").alias("text")).collect()
     )
     found.sort(key=lambda r: (r.hash, r.id))
@@ -61,6 +56,11 @@ def labelled_sample(
     return [bytes(r.text) for r in found], np.array([r.label for r in found]), share
 
 
+def labelled(rows: DataFrame, agreed: DataFrame) -> DataFrame:
+    """Narrow ``rows`` (id, ...) with their label. Both sides are merged by id at every size, so costs grow evenly."""
+    return rows.join(agreed.hint("merge"), "id")
+
+
 def sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 

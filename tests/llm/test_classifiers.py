@@ -182,11 +182,70 @@ def test_sparse_fit_equals_the_dense_one():
 
 
 def test_features_are_counted_over_all_labelled_rows_and_not_capped(spark, documents):
-    rows = [(i, f"plain common house {'insult' + chr(97 + i // 10 % 26) * 9 if i % 2 else 'tree'}", i % 2) for i in range(1, 3000)]
+    own = lambda i: "".join(chr(97 + int(d)) for d in str(i))  # a word that makes every text another one
+    rows = [(i, f"plain common house {own(i)} {'insult' + chr(97 + i // 10 % 26) * 9 if i % 2 else 'tree'}", i % 2) for i in range(1, 3000)]
     docs, labels = documents(*[(i, t) for i, t, _ in rows]), labels_of(spark, [(i, 1, y, "") for i, _, y in rows])
     known = [(t, y) for i, t, y in rows if not out(i)]
-    found = toxicity.telling_features(docs, labels, "doc_id", "text", "toxic")
-    assert found == toxicity.select_features([t for t, _ in known], np.array([y for _, y in known]))
+    texts, y = [t for t, _ in known], np.array([y for _, y in known])
+    candidates = toxicity.select_features(texts, y, toxicity.LEAST_SAMPLED, toxicity.LEANING)
+    found = toxicity.telling_features(docs, labels, candidates, "doc_id", "text", "toxic")
+    assert found == toxicity.select_features(texts, y)
     assert {f"insult{chr(97 + k) * 9}" for k in range(26)} <= set(found)
     model = toxicity.learn(docs, labels, sample=500)
     assert model(["plain common house tree"])[0] < 0.5 and set(found) <= model.weights.keys()
+
+
+def test_toxicity_scores_equal_a_plain_version(spark, documents, rng):
+    """Features, weights and scores of all documents again, by dense rows and loops."""
+    rows = [(i, f"{t} {rng.choice(['muslims', 'christians', 'nobody'])}", y) for i, t, y in toxic_rows(rng)]
+    docs = documents(*[(i, t) for i, t, _ in rows], (5000, None), (5001, "stupid"))
+    labels = labels_of(spark, [(i, 1, y, "") for i, _, y in rows])
+    found = {r.doc_id: r.score for r in toxicity.score(docs, toxicity.learn(docs, labels)).collect()}
+
+    def of(text):
+        words = {w for w in "".join(c if c.isalpha() else " " for c in (text or "").lower()).split()}
+        ends = [w[:n] + "*" for w in words for n in (4, 5, 6) if len(w) >= n] + ["*" + w[-5:] for w in words if len(w) >= 5]
+        return words | set(ends)
+
+    known = list({(t, y) for i, t, y in rows if not out(i)})
+    n = [sum(y == v for _, y in known) for v in (0, 1)]
+    labelled = [(t, y) for i, t, y in rows if not out(i)]
+    total = [sum(y == v for _, y in labelled) for v in (0, 1)]
+    features = []
+    for f in sorted(set().union(*[of(t) for t, _ in known])):
+        def square(texts, n, least):
+            a, b = (sum(f in of(t) for t, y in texts if y == v) for v in (1, 0))
+            both, all_of = a + b, n[0] + n[1]
+            return 0 if both < least else all_of * (a * (n[0] - b) - b * (n[1] - a)) ** 2 / (both * (all_of - both + 1e-9) * n[0] * n[1])
+        if square(known, n, 3) > 2.71 and square(labelled, total, 5) > 10.83:
+            features.append(f)
+    terms = {t for g in toxicity.IDENTITY_TERMS for t in g}
+    named = [t for t, _ in known if of(t) & terms]
+    features += sorted({f for t in named for w in of(t) & terms for f in of(w)} - set(features))
+    row = lambda words: np.array([float(f in words) for f in features])
+    x, y = np.array([row(of(t)) for t, _ in known]), np.array([y for _, y in known])
+    changed = []
+    for t in named:
+        words = {w for w in of(t) if "*" not in w}
+        for group in toxicity.IDENTITY_TERMS:
+            for term in words & set(group):
+                changed += [row(of(" ".join(words - {term} | {other}))) - row(of(t)) for other in group if other != term]
+    share = total[1] / sum(total)
+    weight = np.where(y == 1, share / y.mean(), (1 - share) / (1 - y.mean()))
+    w = fit_logistic(x, y, weight, changed=np.array(changed), penalty=toxicity.PENALTY)
+    for i, t in [(i, t) for i, t, _ in rows] + [(5000, None), (5001, "stupid")]:
+        assert abs(found[i] - sigmoid(row(of(t)) @ w[:-1] + w[-1])) < 1e-3
+
+
+def test_a_text_that_does_not_fit_ends_no_sample(spark, documents, monkeypatch):
+    from aerostrata.llm import logistic
+
+    monkeypatch.setattr(logistic, "SAMPLE_CHARS", 2000)
+    rows = [(i, f"x{i} " * (2000 if i % 3 == 0 else 5)) for i in range(1, 90)] + [(1000 + i, "copy") for i in range(60)]
+    labels = labels_of(spark, [(i, 1, i % 2, "") for i, _ in rows])
+    texts, y, share = logistic.labelled_sample(documents(*rows), labels, "doc_id", "text", "toxic", 30)
+    short = {t.encode() for i, t in rows if not out(i) and len(t) < 100}
+    for v in (0, 1):
+        of = [t for t, label in zip(texts, y) if label == v]
+        assert len(of) == len(set(of)) and sum(map(len, of)) <= 2000
+        assert {t for t in short if t in {t.encode() for i, t in rows if i % 2 == v and not out(i)}} == set(of)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from aerostrata.functions import parse_event_time
@@ -10,6 +10,12 @@ from aerostrata.schemas import WEATHER_METRICS
 
 MINUTE_KEY = ("city", "join_time")
 
+MINUTE_HASH = "xxhash64(city, join_time)"
+#: Rows of one key that a task joins without help; heavy keys that are looked for, and keys a sketch keeps.
+HEAVY_ROWS = 100_000
+HEAVIEST = 100
+SKETCHED = 10_000
+
 #: Largest right side, in bytes, that may be copied to every executor.
 BROADCAST_LIMIT = 64 * 1024 * 1024
 
@@ -32,35 +38,53 @@ def join_minute_left(readings: DataFrame, source: DataFrame | None, metric: str)
     return _joined(readings, source, metric, [*MINUTE_KEY])
 
 
-def _joined(readings: DataFrame, source: DataFrame | None, metric: str, on: list[str], parts: int = 1) -> DataFrame:
+def _joined(
+    readings: DataFrame, source: DataFrame | None, metric: str, on: list[str], parts: int = 1, heavy: Column | None = None
+) -> DataFrame:
     if source is None:
         return readings.withColumn(metric, F.lit(None).cast("double"))
     narrow = with_minute(source).select(*MINUTE_KEY, metric)
-    if parts > 1:
-        narrow = narrow.withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
+    if heavy is not None:
+        every = F.when(heavy, F.sequence(F.lit(0), F.lit(parts - 1))).otherwise(F.array(F.lit(0)))
+        narrow = narrow.withColumn("_part", F.explode(every))
     return readings.join(narrow, on, "left")
 
 
+def heavy_minutes(readings: DataFrame, most: int = HEAVY_ROWS) -> list[int]:
+    """Hashes of the (city, minute) keys that hold more than ``most`` rows, as far as a sketch of frequent items tells.
+
+    One aggregation, whose sketches the tasks send instead of rows. At most ``HEAVIEST`` keys; one that is missed, or whose
+    hash another key shares, changes how rows are dealt to tasks and nothing else.
+    """
+    top = F.expr(f"approx_top_k({MINUTE_HASH}, {HEAVIEST}, {SKETCHED})")
+    found = with_minute(readings).agg(top.alias("top")).select(F.inline("top")).collect()
+    return [r["item"] for r in found if r["count"] > most and r["item"] is not None]
+
+
 def join_weather_chain(
     air: DataFrame,
     wind: DataFrame | None = None,
     temperature: DataFrame | None = None,
     humidity: DataFrame | None = None,
     parts: int = 1,
+    most: int = HEAVY_ROWS,
 ) -> DataFrame:
     """Air readings with up to three weather metrics of the same city and minute.
 
     The input is clean, with one row per city and second; every row of a minute meets every other, so
     a minute with more rows is as many times larger. All joins share one key, so the rows joined so
-    far are shuffled once. ``parts`` splits each minute's air rows over so many keys and
-    repeats the weather rows for each, for input with hot minutes; the result is the same.
+    far are shuffled once. For input with hot minutes ``parts`` splits the air rows of those that hold more than ``most`` of
+    them (see ``heavy_minutes``) over so many keys and repeats their weather rows for each; all other rows are
+    shuffled as they are. The result is the same.
     """
-    joined, on = with_minute(air), [*MINUTE_KEY]
-    if parts > 1:
+    joined, on, heavy = with_minute(air), [*MINUTE_KEY], None
+    keys = heavy_minutes(air, most) if parts > 1 else []
+    if keys:
+        heavy = F.expr(MINUTE_HASH).isin(keys)
         spread = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in air.columns]), F.lit(parts)).cast("int")
-        joined, on = joined.withColumn("_part", spread), [*on, "_part"]
+        joined, on = joined.withColumn("_part", F.when(heavy, spread).otherwise(0)), [*on, "_part"]
     for source, metric in zip((wind, temperature, humidity), WEATHER_METRICS):
-        joined = _joined(joined, source, metric, on, parts)
+        joined = _joined(joined, source, metric, on, parts, heavy)
     return joined.drop("_part")
 
 

@@ -8,7 +8,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from aerostrata.functions import (
@@ -34,6 +34,7 @@ from aerostrata.sources import payloads, sample_tables
 from aerostrata.sources.dimension import city_dimension
 from aerostrata.sources.raw import HourScope, read_raw
 from aerostrata.sources.tables import month_and_previous, read_day, read_table, read_two_months
+from aerostrata.streaming.losses import LossRecorder
 from aerostrata.streaming.outputs import start_documents, start_landing
 from aerostrata.streaming.readings import (
     decode,
@@ -448,7 +449,7 @@ def _late_messages(spark: SparkSession, folder: str) -> list[DataFrame]:
 
 
 def _delivered_in_turn(
-    spark: SparkSession, deliveries: list[DataFrame], id_field: str
+    spark: SparkSession, deliveries: list[DataFrame], id_field: str, recorder: LossRecorder | None = None
 ) -> DataFrame:
     """Category counts after each delivery is landed and processed by a restarted query."""
     inbox, path = working_path(spark, "inbox"), working_path(spark, "documents")
@@ -457,9 +458,10 @@ def _delivered_in_turn(
         delivery.select(F.col("value").cast("string")).write.mode("append").text(inbox)
         stream = ten_minute_categories(spark.readStream.text(inbox))
         with _state_partitions(spark):
-            start_documents(
-                stream, path, id_field, checkpoint, True, jobs.DOCUMENT_DAY
-            ).awaitTermination()
+            query = start_documents(stream, path, id_field, checkpoint, True, jobs.DOCUMENT_DAY)
+            query.awaitTermination()
+        if recorder is not None:
+            recorder.wait(query)
     return _documents(spark, path, id_field).select(*stream.columns)
 
 
@@ -471,6 +473,21 @@ def stream_late(spark: SparkSession, folder: str) -> DataFrame:
     return counts.groupBy("city").agg(F.sum(total).alias("readings"))
 
 
+def stream_losses(spark: SparkSession, folder: str) -> DataFrame:
+    """What the watermark and each rule drop from either delivery of ``stream_late``."""
+    path = working_path(spark, "losses")
+    recorder = LossRecorder(spark, path)
+    spark.streams.addListener(recorder)
+    try:
+        _delivered_in_turn(spark, _late_messages(spark, folder), "pivot_doc_id", recorder)
+    finally:
+        spark.streams.removeListener(recorder)
+    # One row for each of the two deliveries.
+    stored = spark.read.parquet(path)
+    delivery = F.row_number().over(Window.orderBy("batch")).alias("delivery")
+    return stored.select(delivery, "rows_read", "no_time", "late", "duplicate", "incomplete", "out_of_range", "valid")
+
+
 def stream_upsert(spark: SparkSession, folder: str) -> DataFrame:
     """The window documents after two deliveries, the second repeating the first as a whole."""
     messages = sample_tables.air_messages(_events(spark, folder))
@@ -578,6 +595,7 @@ QUERIES: dict[str, Query] = {
     "stream_10min": stream_10min,
     "stream_pivot": stream_pivot,
     "stream_late": stream_late,
+    "stream_losses": stream_losses,
     "stream_upsert": stream_upsert,
     "hourly_run": hourly_run,
     "hourly_run_scoped": hourly_run_scoped,

@@ -14,6 +14,7 @@ from aerostrata.session import get_session
 from aerostrata.sinks import keyed
 from aerostrata.sources.messages import read_message_files, read_topic
 from aerostrata.sources.raw import HourScope
+from aerostrata.streaming.losses import LossRecorder
 from aerostrata.streaming.outputs import start_landing, supervise
 
 PERIOD = ("year", "month", "day", "hour")
@@ -117,14 +118,23 @@ def run(spark: SparkSession, args: argparse.Namespace) -> list[jobs.Report]:
         return jobs.daily_run(spark, layout, *month_of(args))
 
     messages = _messages(spark, args)
+    recorder = LossRecorder(spark, layout.losses)
     if args.job == "stream":
+        spark.streams.addListener(recorder)
         dimension = spark.read.parquet(args.dimension)
         queries = jobs.stream_job(messages, dimension, layout, args.available_now)
     else:
         kind = KINDS[args.kind]
         checkpoint = layout.checkpoint(f"land-{kind.name}")
         queries = [start_landing(messages, kind, layout.raw, checkpoint, args.available_now)]
-    supervise(spark, queries, until_all_end=args.available_now)
+    try:
+        supervise(spark, queries, until_all_end=args.available_now)
+        if args.job == "stream":
+            for query in queries:
+                recorder.wait(query)
+    finally:
+        if args.job == "stream":
+            spark.streams.removeListener(recorder)
     return []
 
 

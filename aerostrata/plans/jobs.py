@@ -81,6 +81,11 @@ class Layout:
     def quality(self) -> str:
         return f"{self.root}/quality"
 
+    @property
+    def losses(self) -> str:
+        """What the streams dropped, by query and micro-batch."""
+        return f"{self.root}/losses"
+
     def documents(self, name: str) -> str:
         return f"{self.root}/documents/{name}"
 
@@ -401,6 +406,7 @@ def stream_job(
             "doc_id",
             layout.checkpoint("statistics"),
             available_now,
+            name="statistics",
         ),
         start_documents(
             ten_minute_categories(messages),
@@ -408,5 +414,6 @@ def stream_job(
             "pivot_doc_id",
             layout.checkpoint("categories"),
             available_now,
+            name="categories",
         ),
     ]

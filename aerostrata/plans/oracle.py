@@ -464,6 +464,25 @@ def oracle_queries() -> dict[str, str]:
                 """(k < 60 OR time > (SELECT max(time) - INTERVAL 10 MINUTE FROM message WHERE k < 60))"""
             ),
         ),
+        "stream_losses": _readings(
+            """SELECT delivery::INT AS delivery, count(*) AS rows_read, count(*) FILTER (time IS NULL) AS no_time,
+                      count(*) FILTER (late) AS late, count(*) FILTER (place > 1) AS duplicate,
+                      count(*) FILTER (place = 1 AND (city IS NULL OR aqi IS NULL)) AS incomplete,
+                      count(*) FILTER (place = 1 AND city IS NOT NULL AND aqi NOT BETWEEN 0 AND 1000) AS out_of_range,
+                      count(*) FILTER (place = 1 AND city IS NOT NULL AND aqi BETWEEN 0 AND 1000) AS valid
+               FROM judged GROUP BY delivery""",
+            MESSAGES,
+            {
+                "delivered": """
+        SELECT *, CASE WHEN k < 60 THEN 1 ELSE 2 END AS delivery,
+               k >= 60 AND time <= (SELECT max(time) - INTERVAL 10 MINUTE FROM message WHERE k < 60) AS late
+        FROM message""",
+                "judged": """
+        SELECT *, CASE WHEN time IS NOT NULL AND NOT late THEN row_number() OVER (
+                      PARTITION BY city, time, time IS NULL OR late ORDER BY delivery, event_id) END AS place
+        FROM delivered""",
+            },
+        ),
         "hourly_run": _readings(
             f"""SELECT {hour_columns}, {HOUR_TEXT} AS "@timestamp", {_document_id("hourly")} AS doc_id
                 FROM hourly""",

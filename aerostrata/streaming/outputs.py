@@ -67,6 +67,7 @@ def start_documents(
     checkpoint: str,
     available_now: bool = False,
     partition_by: Sequence[str] = DOCUMENT_PARTITION,
+    name: str | None = None,
 ) -> StreamingQuery:
     """Start one update-mode query that keeps a document table current.
 
@@ -77,7 +78,7 @@ def start_documents(
         .foreachBatch(document_writer(path, id_field, partition_by))
         .option("checkpointLocation", checkpoint)
     )
-    return _triggered(writer, available_now).start()
+    return _triggered(writer if name is None else writer.queryName(name), available_now).start()
 
 
 def start_landing(

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -14,6 +16,7 @@ from aerostrata.operators.cleaning import (
     with_event_time,
 )
 from aerostrata.schemas import AIR, AIR_MESSAGE
+from aerostrata.streaming.losses import COMPLETE, DEDUPED, READ, VALID, observed
 
 # How late a message may come, the dedupe key and the columns that must be filled.
 WATERMARK = "10 minutes"
@@ -51,14 +54,22 @@ def clean_readings(readings: DataFrame, normalize_first: bool = False) -> DataFr
 
     Duplicates go first: differently written names of a city both stay, and a reading without
     an index removes a later complete one of the same key. ``normalize_first`` changes both.
+    The rows that reach each step are counted, see ``losses``.
     """
+    no_time, lacking = F.col("timestamp_utc").isNull(), F.lit(False)
+    if normalize_first:
+        lacking = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in REQUIRED])
+    readings = observed(readings, READ, no_time=no_time & ~lacking, lacking=lacking)
     if normalize_first:
         readings = drop_required_nulls(readings, REQUIRED).transform(normalize_city)
     return (
         dedupe(readings)
+        .transform(observed, DEDUPED)
         .transform(drop_required_nulls, REQUIRED)
         .transform(normalize_city)
+        .transform(observed, COMPLETE)
         .transform(range_filter, AIR.metric, AIR.low, AIR.high)
+        .transform(observed, VALID)
         .withColumns(
             {
                 "aqi_category": aqi_category(F.col("aqi")),

@@ -6,7 +6,14 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from aerostrata.operators.aggregates import category_counts, daily_rollup, hourly_means, window_stats
-from aerostrata.operators.joins import enrich_static, is_small, join_minute_left, join_weather_chain, with_minute
+from aerostrata.operators.joins import (
+    enrich_static,
+    heavy_minutes,
+    is_small,
+    join_minute_left,
+    join_weather_chain,
+    with_minute,
+)
 from aerostrata.operators.trends import in_period, with_trend
 from aerostrata.schemas import DIMENSION
 
@@ -235,11 +242,29 @@ def test_repeated_cities_do_not_multiply_documents(spark):
 def test_parts_of_the_chain_join_agree(spark, rows):
     air, wind, temperature, humidity = (clean_source(spark, m) for m in ("aqi", "wind_speed", "temperature", "humidity"))
     one = join_weather_chain(air, wind, temperature, humidity)
-    many = join_weather_chain(air, wind, temperature, None, parts=8)
-    assert rows(join_weather_chain(air, wind, temperature, humidity, parts=8)) == rows(one)
+    many = join_weather_chain(air, wind, temperature, None, parts=8, most=1)
+    assert rows(join_weather_chain(air, wind, temperature, humidity, parts=8, most=1)) == rows(one)
     assert many.columns == one.columns and many.filter("humidity IS NOT NULL").count() == 0
 
 
+def test_only_hot_minutes_are_split(spark, rows):
+    """One minute holds a third of all rows; its rows are dealt over the parts, all others stay on their key."""
+    def side(metric, n):
+        times = [f"2024-01-01T{k // 60 % 24:02d}:{k % 60 if k % 3 else 0:02d}:{k % 60:02d}" for k in range(n)]
+        data = [("A", "2024-01-01T05:00:00" if k % 3 == 0 else t, float(k)) for k, t in enumerate(times)]
+        return spark.createDataFrame(data, f"city string, timestamp_utc string, {metric} double")
+
+    air, wind = side("aqi", 600), side("wind_speed", 90)
+    keys = heavy_minutes(air, 100)
+    assert len(keys) == 1 and heavy_minutes(air, 1000) == [] and heavy_minutes(air.limit(0), 1) == []
+    split = join_weather_chain(air, wind, parts=8, most=100)
+    assert rows(split) == rows(join_weather_chain(air, wind))
+    # the rows of one key of the split join: no key holds the hot minute's 200 x 30 rows
+    dealt = F.pmod(F.xxhash64(*[F.col(c) for c in ("city", "timestamp_utc", "aqi")]), F.lit(8))
+    hot = split.where("join_time = timestamp '2024-01-01 05:00:00'")
+    assert hot.groupBy(dealt).count().agg(F.max("count")).first()[0] < 200 * 30 / 4
+
+
 def clean_source(spark, metric):
     data = [("A", f"2024-01-01T00:0{m}:0{s}", float(m + s)) for m in range(3) for s in range(5)]
     return spark.createDataFrame(data, f"city string, timestamp_utc string, {metric} double")

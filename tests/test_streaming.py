@@ -12,6 +12,7 @@ from aerostrata.sinks.keyed import read_keyed
 from aerostrata.sources.messages import read_message_files
 from aerostrata.sources.raw import read_raw
 from aerostrata.streaming import outputs
+from aerostrata.streaming.losses import LossRecorder
 from aerostrata.streaming.readings import (
     clean_readings,
     decode,
@@ -271,3 +272,30 @@ def test_a_query_that_fails_takes_the_other_with_it(spark, tmp_path):
     fine = [start(f"fine{n}", lambda batch, batch_id: ended.append(batch_id), availableNow=True) for n in range(2)]
     outputs.supervise(spark, fine, until_all_end=True)
     assert not any(q.isActive for q in fine)
+
+
+def test_losses_are_stored_by_micro_batch(spark, tmp_path, rows):
+    box, path = Inbox(spark, tmp_path), str(tmp_path / "losses")
+    recorder = LossRecorder(spark, path)
+    spark.streams.addListener(recorder)
+
+    def run(*lines, name="counts", normalize_first=False):
+        box.put(*lines)
+        stream = clean_readings(decode(box.stream()), normalize_first)
+        writer = stream.writeStream.queryName(name).foreachBatch(lambda batch, _: batch.count())
+        query = writer.option("checkpointLocation", str(tmp_path / name)).trigger(availableNow=True).start()
+        query.awaitTermination()
+        recorder.wait(query)
+
+    copies = [message("a", 30, 10)] * 3
+    try:
+        run(*copies, message("a", 31, None), message("a", 32, 5000), message("b", 33, 7), "{bad")
+        run(message("a", 5, 10), message("a", 6, None), message("a", 30, 10), message("a", 50, 1))
+        run(message("a", 59, 10), name="other", normalize_first=True)
+    finally:
+        spark.streams.removeListener(recorder)
+    columns = ("query", "rows_read", "no_time", "late", "duplicate", "incomplete", "out_of_range", "valid")
+    found = rows(spark.read.parquet(path), *columns)
+    assert found == [
+        ("counts", 4, 0, 2, 1, 0, 0, 1), ("counts", 7, 1, 0, 2, 1, 1, 2), ("other", 12, 0, 0, 3, 3, 1, 5)
+    ]

@@ -1,27 +1,32 @@
 """Merkle fixity audit of WARC archives.
 
-Pages become WARC records, archives are files of records in order with their offsets. Hashes of
-records are hashed by ranges of ``FANOUT`` in order, and so on to one root, as one table per level. Two
-replicas are compared from the root down, and below it only the children of nodes that differ are read, so a
-replica that is whole costs one comparison and a corruption is found in as many steps as the tree has levels.
+Pages become WARC records; records lie in files by ranges of ``PER_FILE`` identifiers, in the order of identifier and hash, and each
+replica has its own offsets. A leaf is the hash of a record's hash and of its offset range in its file; leaves are hashed by
+ranges of ``FANOUT`` in order together with the range of bytes they cover, up to one digest per file, and files likewise
+up to the roots, as one table per level. Two replicas are compared from the roots down, and below them only the children
+of nodes that differ are read, so a replica that is whole costs one comparison. The records of the identifiers found there are matched
+by identifier and number: a record is changed, lost, added, or moved if only its offsets differ, as those behind a loss in its file do.
 
-Only DataFrame functions are used; a group never has more than ``FANOUT`` rows.
+Only hashes, lengths and identifiers are shuffled, never records; a group of the tree never has more than ``FANOUT`` rows.
 
-Defined cases: null url and html are empty; null identifiers come first; repeated rows are records
-of their own; other columns are ignored; two empty archives agree.
+Defined cases: null url and html are empty; null identifiers come first, in a file of their own; repeated rows are records
+of their own, matched in order; other columns are ignored; two empty archives agree.
 """
 
 from __future__ import annotations
 
 from math import ceil, log
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from aerostrata.llm.common import kept_table, read
+from aerostrata.llm.ranking import numbered
 
 FANOUT = 64
 FANOUT_BITS = 6
+#: Identifiers a file holds the records of.
+PER_FILE = 64
 
 
 def record(id_column: str, url_column: str, html_column: str) -> Column:
@@ -35,97 +40,118 @@ def record(id_column: str, url_column: str, html_column: str) -> Column:
     )
 
 
-def archive(
+def records_of(
     pages: DataFrame, id_column: str = "page_id", url_column: str = "url", html_column: str = "html"
-) -> tuple[DataFrame, DataFrame]:
-    """(id, file, pos, length, record) in order of the identifier, and (file, pos, start): the byte offsets.
+) -> DataFrame:
+    """(id, record) of every page."""
+    return pages.select(
+        F.col(f"`{id_column}`").cast("bigint").alias("id"), record(id_column, url_column, html_column).alias("record")
+    )
+
 
-    Sorted by Spark into ranges of about equal size, one file each. Records that tie are put in any order,
-    which is then written, so it does not change. Offsets come from lengths alone, without the records.
+def index(records: DataFrame, per_file: int = PER_FILE) -> DataFrame:
+    """(id, file, n, start, end, digest, copy) of every record: its file, place and byte range there, and its number among those of its id.
+
+    Records are hashed where they lie. Places and offsets come from ranges of the order, so a file or an identifier that holds a
+    third of all records is no single group.
     """
-    rows = pages.select(
-        F.col(f"`{id_column}`").cast("bigint").alias("id"), record(id_column, url_column, html_column).alias("record")
-    ).withColumn("tie", F.xxhash64("record"))
-    spread = rows.withColumn("tie2", F.monotonically_increasing_id()).repartitionByRange("id", "tie", "tie2")
-    spread = spread.sortWithinPartitions("id", "tie", "tie2")
-    # The number grows within a file in the order of its rows.
-    records = kept_table(
-        spread.select(
-            "id", F.spark_partition_id().alias("file"), F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1).alias("pos"),
-            F.octet_length("record").cast("bigint").alias("length"), "record",
+    file = F.floor(F.col("id") / per_file) - F.when(F.col("id") < 0, 1).otherwise(0)
+    hashed = records.select(
+        "id", F.coalesce(file, F.lit(-1)).cast("bigint").alias("file"),
+        F.octet_length("record").cast("bigint").alias("length"), F.sha2("record", 256).alias("digest"),
+    )
+    order = [F.col("file"), F.col("id").asc_nulls_first(), F.col("digest"), F.col("length")]
+    placed = kept_table(numbered(kept_table(hashed, "hashes"), order, sum_of="length"), "places")
+    files = placed.groupBy("file").agg(F.min("place").alias("first"), F.min("before").alias("base"))
+    ids = placed.groupBy(F.col("id").alias("id2")).agg(F.min("place").alias("first_copy"))
+    found = placed.join(files, "file").join(ids, F.col("id").eqNullSafe(F.col("id2")))
+    start = F.col("before") - F.col("base")
+    return kept_table(
+        found.select(
+            "id", "file", (F.col("place") - F.col("first")).alias("n"), start.alias("start"), (start + F.col("length")).alias("end"),
+            "digest", (F.col("place") - F.col("first_copy")).alias("copy"),
         ),
-        "records",
+        "index",
     )
-    # One number per file, then places within files.
-    files = records.groupBy("file").agg(F.sum("length").alias("bytes"))
-    bases = files.select("file", (F.sum("bytes").over(Window.orderBy("file")) - F.col("bytes")).alias("base"))
-    inside = F.sum("length").over(Window.partitionBy("file").orderBy("pos")) - F.col("length")
-    places = records.select("file", "pos", inside.alias("inside")).join(bases, "file")
-    return records, kept_table(places.select("file", "pos", (F.col("base") + F.col("inside")).alias("start")), "places")
-
-
-class Layout:
-    """How record places become tree positions: files in the high bits, places in the low ones."""
-
-    def __init__(self, places: DataFrame):
-        self.places = places
-        top = places.agg(F.max("pos").alias("pos"), F.max("file").alias("file")).first()
-        self.inner = _levels((top.pos or 0) + 1)
-        self.levels = self.inner + _levels((top.file or 0) + 1)
-
-    def node(self) -> Column:
-        return F.shiftleft(F.col("file").cast("bigint"), self.inner * FANOUT_BITS) + F.col("pos")
-
-    def leaves(self, records: DataFrame) -> DataFrame:
-        """(node, start, end, digest) of the records, which are hashed where they lie."""
-        hashed = records.select("file", "pos", "length", F.sha2("record", 256).alias("digest"))
-        return hashed.join(self.places, ["file", "pos"]).select(
-            self.node().alias("node"), "start", (F.col("start") + F.col("length")).alias("end"), "digest"
-        )
+
+
+def depth(*indexes: DataFrame) -> tuple[int, int]:
+    """(levels within files, levels above them) of the larger replica."""
+    tops = [i.agg(F.max("n").alias("n"), F.max(F.abs("file")).alias("file")).first() for i in indexes]
+    return _levels(max(t.n or 0 for t in tops) + 1), _levels(max(t.file or 0 for t in tops) + 1)
 
 
 def _levels(n: int) -> int:
     return max(1, ceil(log(max(2, n), FANOUT) - 1e-9))
 
 
-def tree(records: DataFrame, layout: Layout) -> list[DataFrame]:
-    """Tables (node, start, end, digest) from the records' hashes up to one root."""
-    levels = [kept_table(layout.leaves(records), "leaves")]
-    for _ in range(layout.levels):
-        children = levels[-1].withColumn("parent", F.shiftright("node", FANOUT_BITS))
-        ordered = F.sort_array(F.collect_list(F.struct("node", "digest")))
-        parents = children.groupBy("parent").agg(
+def tree(records: DataFrame, levels: tuple[int, int]) -> list[DataFrame]:
+    """Tables (file, n, start, end, digest) from the leaves up to the roots; above files ``file`` is a group of them."""
+    leaf = F.sha2(F.concat_ws("|", *[F.col(c).cast("string") for c in ("start", "end", "digest")]), 256)
+    tables = [kept_table(records.select("file", "n", "start", "end", leaf.alias("digest")), "leaves")]
+    for level in range(sum(levels)):
+        ordered = F.sort_array(F.collect_list(F.struct("file", "n", "start", "end", "digest")))
+        parents = tables[-1].groupBy(*_parent(level, levels)).agg(
             F.min("start").alias("start"), F.max("end").alias("end"), ordered.alias("children")
         )
-        parts = F.transform("children", lambda c: F.concat_ws("=", c["node"].cast("string"), c["digest"]))
-        digest = F.sha2(F.concat_ws(";", parts), 256)
-        levels.append(
-            kept_table(parents.select(F.col("parent").alias("node"), "start", "end", digest.alias("digest")), "nodes")
-        )
-    return levels
-
-
-def audit(primary: list[DataFrame], replica: list[DataFrame]) -> DataFrame:
-    """(node, start, end, digest, found) of the records on which the replicas differ; null where one lacks it."""
-    differing = None
-    for ours, theirs in zip(reversed(primary), reversed(replica)):
-        if differing is not None:
-            parent = F.shiftright("node", FANOUT_BITS)
-            ours, theirs = (x.join(differing, parent == F.col("branch"), "left_semi") for x in (ours, theirs))
-        other = theirs.select("node", F.col("start").alias("start2"), F.col("end").alias("end2"), F.col("digest").alias("found"))
-        joined = ours.join(other, "node", "full_outer").where(~F.col("digest").eqNullSafe(F.col("found")))
-        found = kept_table(
-            joined.select(
-                "node", F.coalesce("start", "start2").alias("start"), F.coalesce("end", "end2").alias("end"), "digest", "found"
-            ),
-            "differing",
-        )
-        differing = found.select(F.col("node").alias("branch"))
+        parts = F.transform("children", lambda c: F.concat_ws("|", *[c[x].cast("string") for x in ("file", "n", "start", "end", "digest")]))
+        tables.append(kept_table(parents.select("file", "n", "start", "end", F.sha2(F.concat_ws(";", parts), 256).alias("digest")), "nodes"))
+    return tables
+
+
+def _parent(level: int, levels: tuple[int, int]) -> tuple[Column, Column]:
+    """File and number of a node's parent."""
+    if level < levels[0]:
+        return F.col("file").alias("file"), F.shiftright("n", FANOUT_BITS).alias("n")
+    return F.shiftright("file", FANOUT_BITS).alias("file"), F.lit(0).cast("bigint").alias("n")
+
+
+def differing_leaves(primary: list[DataFrame], replica: list[DataFrame], levels: tuple[int, int]) -> DataFrame:
+    """(file, n) of the leaves on which two trees of equal depth differ."""
+    found = None
+    for level in range(sum(levels), -1, -1):
+        sides = []
+        for tables, digest in ((primary, "ours"), (replica, "theirs")):
+            nodes = tables[level]
+            if found is not None:
+                above = nodes.select("*", *[c.alias(f"up_{x}") for c, x in zip(_parent(level, levels), ("file", "n"))])
+                nodes = above.join(found.toDF("up_file", "up_n"), ["up_file", "up_n"], "left_semi")
+            sides.append(nodes.select("file", "n", F.col("digest").alias(digest)))
+        both = sides[0].join(sides[1], ["file", "n"], "full_outer")
+        found = kept_table(both.where(~F.col("ours").eqNullSafe(F.col("theirs"))).select("file", "n"), "differing")
     return found
 
 
+def audit(primary: DataFrame, replica: DataFrame) -> DataFrame:
+    """What differs between two replicas' indexes: (id, copy, damage, start, end, digest, found_start, found_end, found).
+
+    ``damage`` is changed, moved, lost (only the primary has the record) or added (only the replica has it).
+    """
+    levels = depth(primary, replica)
+    leaves = differing_leaves(tree(primary, levels), tree(replica, levels), levels)
+    # All records of the identifiers found there, as one of several equal records may stand where another one stood.
+    ids = [i.join(leaves, ["file", "n"], "left_semi").select(F.col("id").alias("there")) for i in (primary, replica)]
+    ids = ids[0].union(ids[1]).distinct()
+    ours, theirs = (i.join(ids, F.col("id").eqNullSafe(F.col("there")), "left_semi") for i in (primary, replica))
+    ours = ours.select("id", "copy", "start", "end", "digest", F.lit(True).alias("here"))
+    theirs = theirs.select(
+        F.col("id").alias("id2"), F.col("copy").alias("copy2"), F.col("start").alias("found_start"),
+        F.col("end").alias("found_end"), F.col("digest").alias("found"), F.lit(True).alias("there"),
+    )
+    both = ours.join(theirs, F.col("id").eqNullSafe(F.col("id2")) & (F.col("copy") == F.col("copy2")), "full_outer")
+    damage = (
+        F.when(F.col("there").isNull(), "lost").when(F.col("here").isNull(), "added")
+        .when(F.col("digest") != F.col("found"), "changed").otherwise("moved")
+    )
+    moved = (F.col("start") != F.col("found_start")) | (F.col("end") != F.col("found_end"))
+    return both.where((damage != "moved") | moved).select(
+        F.coalesce("id", "id2").alias("id"), F.coalesce("copy", "copy2").alias("copy"), damage.alias("damage"), "start", "end",
+        "digest", "found_start", "found_end", "found",
+    )
+
+
 def damaged(records: DataFrame) -> DataFrame:
-    """A replica of an archive with damage that depends on the identifiers alone: a changed character, a lost half, a lost record."""
+    """Records of a replica with damage that depends on the identifiers alone: a changed character, a lost half, a lost record, a repeated one."""
     bucket = F.substring(F.md5(F.coalesce(F.col("id").cast("string"), F.lit("")).cast("binary")), 1, 2)
     middle = (F.length("record") / 2).cast("int") + 1
     there = F.substring("record", middle, F.lit(1))
@@ -133,19 +159,17 @@ def damaged(records: DataFrame) -> DataFrame:
         F.substring("record", F.lit(1), middle - 1), F.when(there == "~", "!").otherwise("~"), F.substring("record", middle + 1, F.length("record"))
     )
     text = F.when(bucket == "00", changed).when(bucket == "01", F.substring("record", F.lit(1), middle - 1)).otherwise(F.col("record"))
-    return records.where(bucket != "02").withColumn("record", text)
+    times = F.explode(F.array_repeat(F.lit(0), F.when(bucket == "03", 2).otherwise(1))).alias("time")
+    return records.where(bucket != "02").select("id", text.alias("record"), times).drop("time")
 
 
 def op7_warc_fixity(spark: SparkSession, folder: str) -> DataFrame:
     """Damage found in a replica of the archive of all pages: where it is and what was there."""
-    records, places = archive(read(spark, folder, "pages"))
-    layout = Layout(places)
-    found = audit(tree(records, layout), tree(damaged(records), layout))
-    place = records.select(F.col("id").alias("page_id"), layout.node().alias("node"))
-    return place.join(found, "node").select(
-        "page_id", F.col("start").alias("record_start"), F.col("end").alias("record_end"),
-        F.when(F.col("found").isNull(), "lost").otherwise("changed").alias("damage"),
-        F.col("digest").alias("sha256"), F.col("found").alias("found_sha256"),
+    records = records_of(read(spark, folder, "pages"))
+    found = audit(index(records), index(damaged(records)))
+    return found.select(
+        F.col("id").alias("page_id"), "damage", F.col("start").alias("record_start"), F.col("end").alias("record_end"),
+        F.col("digest").alias("sha256"), "found_start", "found_end", F.col("found").alias("found_sha256"),
     )
 
 
@@ -155,18 +179,30 @@ WITH records AS (
     || 'WARC-Record-ID: <urn:page:' || coalesce(page_id::VARCHAR, '') || '>' || chr(13) || chr(10)
     || 'WARC-Target-URI: ' || coalesce(url, '') || chr(13) || chr(10) || 'Content-Type: text/html' || chr(13) || chr(10)
     || 'Content-Length: ' || strlen(coalesce(html, '')) || chr(13) || chr(10) || chr(13) || chr(10)
-    || coalesce(html, '') || chr(13) || chr(10) || chr(13) || chr(10) AS record
+    || coalesce(html, '') || chr(13) || chr(10) || chr(13) || chr(10) AS record,
+    substr(md5(page_id::VARCHAR), 1, 2) AS bucket
   FROM pages),
-placed AS (
-  SELECT page_id, record, (sum(strlen(record)) OVER (ORDER BY page_id))::BIGINT AS record_end,
-    length(record) // 2 + 1 AS m, substr(md5(page_id::VARCHAR), 1, 2) AS bucket FROM records),
 copies AS (
-  SELECT page_id, record_end - strlen(record) AS record_start, record_end, sha256(record) AS sha256,
-    CASE bucket
+  SELECT page_id, bucket, record, length(record) // 2 + 1 AS m, unnest(CASE bucket WHEN '02' THEN [] WHEN '03' THEN [1, 2] ELSE [1] END)
+  FROM records),
+replica AS (
+  SELECT page_id, CASE bucket
       WHEN '00' THEN substr(record, 1, m - 1) || CASE substr(record, m, 1) WHEN '~' THEN '!' ELSE '~' END || substr(record, m + 1)
-      WHEN '01' THEN substr(record, 1, m - 1) END AS copy
-  FROM placed WHERE bucket IN ('00', '01', '02'))
-SELECT page_id, record_start, record_end, CASE WHEN copy IS NULL THEN 'lost' ELSE 'changed' END AS damage,
-  sha256, sha256(copy) AS found_sha256
-FROM copies
+      WHEN '01' THEN substr(record, 1, m - 1) ELSE record END AS record
+  FROM copies),
+hashed AS (
+  SELECT 1 AS side, page_id, strlen(record) AS bytes, sha256(record) AS digest FROM records
+  UNION ALL SELECT 2, page_id, strlen(record), sha256(record) FROM replica),
+numbered AS (SELECT *, row_number() OVER (PARTITION BY side, page_id ORDER BY digest) AS copy FROM hashed),
+placed AS (
+  SELECT side, page_id, digest, copy, bytes,
+    (sum(bytes) OVER (PARTITION BY side, page_id // 64 ORDER BY page_id, copy ROWS UNBOUNDED PRECEDING))::BIGINT AS stop
+  FROM numbered),
+ours AS (SELECT page_id, copy, (stop - bytes)::BIGINT AS record_start, stop AS record_end, digest AS sha256 FROM placed WHERE side = 1),
+theirs AS (SELECT page_id, copy, (stop - bytes)::BIGINT AS found_start, stop AS found_end, digest AS found_sha256 FROM placed WHERE side = 2)
+SELECT coalesce(ours.page_id, theirs.page_id) AS page_id,
+  CASE WHEN found_sha256 IS NULL THEN 'lost' WHEN sha256 IS NULL THEN 'added' WHEN sha256 <> found_sha256 THEN 'changed' ELSE 'moved' END AS damage,
+  record_start, record_end, sha256, found_start, found_end, found_sha256
+FROM ours FULL OUTER JOIN theirs ON ours.page_id = theirs.page_id AND ours.copy = theirs.copy
+WHERE (record_start, record_end, sha256) IS DISTINCT FROM (found_start, found_end, found_sha256)
 """

@@ -2,9 +2,11 @@
 
 States are a role's first line and its further lines. A line is observed as its speaker marker, its length and whether it
 asks; the probabilities are counted, smoothed, on labelled conversations. Viterbi gives the likeliest
-states. Conversations are cut into chunks of source turns, and after every ``CHUNK_LINES`` lines whatever their
-identifiers and turns are, so that a very long one is many tasks: every chunk gives the best score between any two states at its ends, these are chained per conversation, and
-each chunk is then decoded between the states it begins and ends with.
+states. Conversations are cut after every ``CHUNK_LINES`` lines whatever their identifiers and turns are, so that a very long
+one is many tasks: every chunk gives the best score between any two states at its ends. Such tables are multiplied (the best sum over
+the state between two) by ranges of ``FAN`` chunks, and the products again, up to one for the conversation. Its last state
+is known then, and on the way down every range gets the states it begins and ends with, at last every chunk,
+which is decoded between them. No group holds more than ``FAN`` tables, however long a conversation is.
 
 Defined cases: null text is an empty line; null turns come first; repeated rows are lines of their own;
 rows without a conversation identifier form one conversation; an unknown marker counts as none; other columns are
@@ -26,9 +28,9 @@ from aerostrata.llm.common import held_out, kept_table, read
 
 ROLES = ("system", "user", "assistant")
 STATES = len(ROLES) * 2  # first lines of the roles, then further lines
-CHUNK_TURNS = 256
-#: Lines of a chunk at most.
+#: Lines of a chunk at most, and tables that are multiplied at a time.
 CHUNK_LINES = 4096
+FAN = 64
 #: Speaker markers and the role each stands for.
 MARKERS = {
     "system": "system", "instruction": "system", "user": "user", "human": "user", "question": "user",
@@ -106,9 +108,7 @@ def transcript_lines(turns: DataFrame, id_column: str, turn_column: str, text_co
         F.col(f"`{id_column}`").cast("bigint").alias("conv"), F.col(f"`{turn_column}`").cast("bigint").alias("turn"),
         F.posexplode(F.split(text, "\n")).alias("line", "text"), *[F.col(f"`{c}`") for c in more],
     )
-    # Both parts only grow along a conversation, so their sum is another one where either is.
-    turns_before = F.greatest(F.coalesce(F.floor(F.col("turn") / CHUNK_TURNS), F.lit(-1)), F.lit(-1))
-    placed = numbered(lines).withColumn("chunk", (turns_before + F.floor(F.col("at") / CHUNK_LINES)).cast("bigint"))
+    placed = numbered(lines).withColumn("chunk", F.floor(F.col("at") / CHUNK_LINES).cast("bigint"))
     return placed.select("conv", "chunk", "turn", "line", "text", "at", *more)
 
 
@@ -216,6 +216,71 @@ def by_chunk(names: list[str], f, schema: str, lines: DataFrame) -> DataFrame:
     return lines.repartition("conv", "chunk").sortWithinPartitions(*names).mapInPandas(run, schema)
 
 
+def product(tables: list[np.ndarray]) -> np.ndarray:
+    """Best scores through chunks that follow each other, by the state before the first and the last state."""
+    whole = tables[0]
+    for m in tables[1:]:
+        whole = (whole[:, :, None] + m[None]).max(axis=1)
+    return whole
+
+
+def states_between(tables: list[np.ndarray], before: int, end: int) -> list[int]:
+    """The last state of each of some chunks on the best way from a state (-1: the start) to the last state ``end``."""
+    value, back = tables[0][max(before, 0)], []
+    for m in tables[1:]:
+        through = value[:, None] + m
+        back.append(through.argmax(axis=0))
+        value = through.max(axis=0)
+    last = [end]
+    for b in reversed(back):
+        last.append(int(b[last[-1]]))
+    return last[::-1]
+
+
+TABLES = "conv bigint, chunk bigint, matrix binary"
+
+
+def chunk_ends(tables: DataFrame) -> DataFrame:
+    """(conv, chunk, before, end) of chunks from their tables (conv, chunk, matrix): the states they follow and end with; -1 opens."""
+
+    def matrices(chunks: pd.DataFrame) -> list[np.ndarray]:
+        return [np.frombuffer(m).reshape(STATES, STATES) for m in chunks["matrix"]]
+
+    def multiplied(chunks: pd.DataFrame) -> pd.DataFrame:
+        chunks = chunks.sort_values("chunk")
+        row = {"conv": [chunks["conv"].iloc[0]], "chunk": [chunks["range"].iloc[0]], "matrix": [product(matrices(chunks)).tobytes()]}
+        return pd.DataFrame(row).astype({"conv": "Int64"})
+
+    def divided(chunks: pd.DataFrame) -> pd.DataFrame:
+        chunks = chunks.sort_values("chunk")
+        before = int(chunks["before"].iloc[0])
+        last = states_between(matrices(chunks), before, int(chunks["end"].iloc[0]))
+        return pd.DataFrame({"conv": chunks["conv"], "chunk": chunks["chunk"], "before": [before, *last[:-1]], "end": last})
+
+    above = F.floor(F.col("chunk") / FAN).cast("bigint").alias("range")
+    levels = [kept_table(tables, "tables")]
+    longest = levels[0].agg(F.max("chunk")).first()[0] or 0
+    while longest:
+        ranges = levels[-1].withColumn("range", above)
+        levels.append(kept_table(ranges.groupBy("conv", "range").applyInPandas(multiplied, TABLES), "tables"))
+        longest //= FAN
+
+    def last_states(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for whole in frames:
+            end = [int(m[0].argmax()) for m in matrices(whole)]
+            yield pd.DataFrame({"conv": whole["conv"], "chunk": whole["chunk"], "before": -1, "end": end}).astype({"conv": "Int64"})
+
+    schema = "conv bigint, chunk bigint, before int, end int"
+    ends = levels[-1].mapInPandas(last_states, schema)
+    for below in reversed(levels[:-1]):
+        of = ends.toDF("owner", "part", "before", "end")
+        ranges = below.withColumn("range", above)
+        same = F.col("conv").eqNullSafe(F.col("owner")) & (F.col("range") == F.col("part"))
+        ranges = ranges.join(of, same).select("conv", "chunk", "matrix", "range", "before", "end")
+        ends = kept_table(ranges.groupBy("conv", "range").applyInPandas(divided, schema), "ends")
+    return ends
+
+
 def parse(lines: DataFrame, model: Model) -> DataFrame:
     """(conv, chunk, turn, role, first_turn, n_lines, continued, rendered): the recovered turns, rendered.
 
@@ -225,8 +290,7 @@ def parse(lines: DataFrame, model: Model) -> DataFrame:
     lines = lines.select("conv", "chunk", "turn", "line", "text", "at")
     same = F.col("conv").eqNullSafe(F.col("owner"))
     order = ["conv", "chunk", "turn", "line", "text"]
-    long = lines.groupBy("conv").agg(F.min("chunk").alias("first"), F.max("chunk").alias("last")).where("first < last")
-    long = long.select(F.col("conv").alias("owner"))
+    long = lines.groupBy("conv").agg(F.max("chunk").alias("last")).where("last > 0").select(F.col("conv").alias("owner"))
     cut = lines.join(long, same, "left_semi")
 
     def ends(chunk: pd.DataFrame) -> pd.DataFrame:
@@ -235,23 +299,7 @@ def parse(lines: DataFrame, model: Model) -> DataFrame:
         matrix = chain(model, scores, bool(row["at"] == 0))
         return pd.DataFrame({"conv": [row["conv"]], "chunk": [row["chunk"]], "matrix": [matrix.tobytes()]}).astype({"conv": "Int64"})
 
-    def link(conversation: pd.DataFrame) -> pd.DataFrame:
-        chunks = conversation.sort_values("chunk")
-        matrices = [np.frombuffer(m).reshape(STATES, STATES) for m in chunks["matrix"]]
-        value, back = matrices[0][0], []
-        for m in matrices[1:]:
-            through = value[:, None] + m
-            back.append(through.argmax(axis=0))
-            value = through.max(axis=0)
-        last = [int(value.argmax())]
-        for b in reversed(back):
-            last.append(int(b[last[-1]]))
-        last = last[::-1]
-        return pd.DataFrame({"conv": chunks["conv"], "chunk": chunks["chunk"], "before": [-1, *last[:-1]], "end": last})
-
-    joints = by_chunk(order, ends, "conv bigint, chunk bigint, matrix binary", cut)
-    joints = joints.groupBy("conv").applyInPandas(link, "conv bigint, chunk bigint, before int, end int")
-    joints = kept_table(joints, "joints").toDF("owner", "part", "before", "end")
+    joints = chunk_ends(by_chunk(order, ends, TABLES, cut)).toDF("owner", "part", "before", "end")
     whole = lines.join(joints, same & (F.col("chunk") == F.col("part")), "left").drop("owner", "part")
 
     def decode(chunk: pd.DataFrame) -> pd.DataFrame:

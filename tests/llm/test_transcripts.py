@@ -63,15 +63,16 @@ def parsed(frame, raw=True):
     return op.parse(lines.drop("role"), op.learn(lines, "role")).collect()
 
 
-@pytest.mark.parametrize("chunk", [op.CHUNK_TURNS, 2])
+@pytest.mark.parametrize("chunk", [op.CHUNK_LINES, 4])
 def test_roles_and_texts_are_recovered(spark, chunk, monkeypatch):
-    monkeypatch.setattr(op, "CHUNK_TURNS", chunk)
+    monkeypatch.setattr(op, "CHUNK_LINES", chunk)
     frame = conversations(spark)
     given = {(r.conv_id, r.turn): r for r in frame.collect()}
     found = parsed(frame)
     right = [r for r in found if not r.continued and given[(r.conv, r.first_turn)].role == r.role]
-    assert len(right) >= 0.97 * len(given) and len(found) <= 1.03 * len(given)
-    r = next(r for r in right if r.role == "assistant" and r.n_lines > 1)
+    assert len(right) >= 0.97 * len(given) and sum(not r.continued for r in found) <= 1.03 * len(given)
+    whole = lambda r: r.n_lines == given[(r.conv, r.first_turn)].text.count("\n") + 1
+    r = next(r for r in right if r.role == "assistant" and r.n_lines > 1 and whole(r))
     assert r.rendered == f"<|assistant|>\n{given[(r.conv, r.first_turn)].text}"
     assert sum(r.n_lines for r in found) == sum(g.text.count("\n") + 1 for g in given.values())
 
@@ -81,7 +82,8 @@ def test_chunks_do_not_change_the_turns(spark, monkeypatch):
     whole = sorted((r.conv, r.first_turn, r.role) for r in parsed(frame) if not r.continued)
     lines = op.transcript_lines(op.raw_transcripts(frame, "conv_id", "turn", "role", "text"), "conv_id", "turn", "text", "role")
     learnt = op.learn(lines, "role")
-    monkeypatch.setattr(op, "CHUNK_TURNS", 4)
+    monkeypatch.setattr(op, "CHUNK_LINES", 4)
+    monkeypatch.setattr(op, "FAN", 3)
     lines = op.transcript_lines(op.raw_transcripts(frame, "conv_id", "turn", "role", "text"), "conv_id", "turn", "text")
     cut = op.parse(lines, learnt).collect()
     assert sorted((r.conv, r.first_turn, r.role) for r in cut if not r.continued) == whole
@@ -104,6 +106,32 @@ def test_chunks_are_bounded_whatever_the_identifiers_and_turns(spark, monkeypatc
     assert sum(r.n_lines for r in found) == len(rows) and max(r.n_lines for r in found) <= 8
 
 
+def test_sparse_turns_are_one_chunk(spark):
+    turns = [(1, 300 * t, "user", f"User: {t}", "", "", "") for t in range(200)]
+    lines = op.transcript_lines(spark.createDataFrame(turns, SCHEMA), "conv_id", "turn", "text")
+    assert [r[0] for r in lines.select("chunk").distinct().collect()] == [0]
+
+
+@pytest.mark.parametrize("n", [1, 3, 4, 30, 100])
+def test_ends_of_many_chunks_lie_on_the_best_way(spark, model, monkeypatch, n):
+    """Products by ranges and back give each chunk the states of the whole conversation's best sequence; a group is FAN tables."""
+    monkeypatch.setattr(op, "FAN", 3)
+    sizes = []
+    real = op.states_between
+    monkeypatch.setattr(op, "states_between", lambda t, *rest: (sizes.append(len(t)), real(t, *rest))[1])
+    scores = model.scores(lines_of(np.random.default_rng(5), 3 * n))
+    parts = [scores[3 * k : 3 * k + 3] for k in range(n)]
+    rows = [(c, k, bytearray(op.chain(model, s, k == 0).tobytes())) for c in (None, 7) for k, s in enumerate(parts)]
+    found = op.chunk_ends(spark.createDataFrame(rows, op.TABLES)).collect()
+    best = value(model, scores, op.viterbi(model, scores, None, None))
+    for conv in (None, 7):
+        mine = sorted((r for r in found if r.conv == conv), key=lambda r: r.chunk)
+        assert [r.chunk for r in mine] == list(range(n)) and [r.before for r in mine] == [-1, *[r.end for r in mine[:-1]]]
+        states = [x for r, s in zip(mine, parts) for x in op.viterbi(model, s, r.before if r.before >= 0 else None, r.end)]
+        assert value(model, scores, states) == pytest.approx(best)
+    assert max(sizes, default=0) <= 3
+
+
 def test_odd_rows_and_empty_table(spark):
     rows = [(None, 0, "user", "User: hi", "", "", ""), (1, None, "user", None, "", "", ""), (1, 0, None, "Bot: a", "", "", ""),
             (1, 0, None, "Bot: a", "", "", ""), (2, 0, "judge", "word " * 50_000, "", "", "")]

@@ -14,7 +14,7 @@ columns are ignored, so they may have any name; an empty table gives an empty re
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from aerostrata.llm.common import kept_table, read
@@ -34,14 +34,20 @@ STATE_SETTINGS = {
 
 def located(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
     """(id, text, at) with the place of each row; frames that are no file scan are written first."""
-    place = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row"))
-    return scanned(docs).select(
+    docs = scanned(docs)
+    return docs.select(
         F.col(f"`{id_column}`").cast("bigint").alias("id"),
         F.coalesce(F.col(f"`{text_column}`"), F.lit("")).alias("text"),
-        place.alias("at"),
+        place(docs).alias("at"),
     )
 
 
+def place(docs: DataFrame) -> Column:
+    """File and row of a scanned row, also where a column of the data is named as the scan's metadata."""
+    metadata = docs.metadataColumn("_metadata")
+    return F.struct(metadata["file_path"].alias("file"), metadata["row_index"].alias("row"))
+
+
 def digest_feed(content: DataFrame, digest_bits: int = 256) -> DataFrame:
     """(digest, id, at) of every row, written once; ``digest_bits`` shorter than 256 is for tests."""
     digest = F.sha2(F.col("text"), 256)
@@ -149,7 +155,7 @@ def exact_dedup(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
 def scanned(docs: DataFrame) -> DataFrame:
     """``docs`` if its rows have a place in files, else a written copy that has."""
     try:
-        docs.select("_metadata.row_index")
+        docs.select(place(docs))
     except AnalysisException:  # no file metadata below this frame
         return kept_table(docs, "content")
     return docs
@@ -158,8 +164,7 @@ def scanned(docs: DataFrame) -> DataFrame:
 def without(docs: DataFrame, gone: DataFrame) -> DataFrame:
     """The rows of scanned ``docs`` at other places than those of ``gone`` (at), with all their columns."""
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
-    place = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row"))
-    return docs.select(row, place.alias("at")).join(gone, "at", "left_anti").select("row.*")
+    return docs.select(row, place(docs).alias("at")).join(gone, "at", "left_anti").select("row.*")
 
 
 def keep_first_copies(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:

@@ -4,6 +4,7 @@ from collections import defaultdict
 from hashlib import sha256
 
 from aerostrata.llm import exact_dedup as op
+from aerostrata.llm.near_dedup import keep_representatives
 from aerostrata.session import session_setting, working_path
 
 LONG = "wort " * 40_000
@@ -59,3 +60,17 @@ def test_kept_rows_have_all_columns(documents):
 def test_empty_table(documents):
     empty = documents((1, "a")).limit(0)
     assert op.exact_dedup(empty).count() == 0 and op.keep_first_copies(empty).count() == 0
+
+
+def test_a_column_named_as_the_files_metadata(spark, documents):
+    """In memory and as a file."""
+    docs = documents(*ROWS).withColumn("_metadata", op.F.lit("mine"))
+    path = working_path(spark, "named")
+    docs.write.parquet(path)
+    for frame in (docs, spark.read.parquet(path)):
+        found = op.exact_dedup(frame).collect()
+        assert sorted(str((r.doc_id, r.keep_id, r.group_size, r.text_sha256)) for r in found) == expected(ROWS)
+        kept = op.keep_first_copies(frame)
+        assert kept.columns == docs.columns and {r._metadata for r in kept.collect()} == {"mine"}
+        near = keep_representatives(frame)
+        assert near.columns == docs.columns and near.count() <= len(ROWS)

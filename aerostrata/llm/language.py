@@ -5,11 +5,13 @@ from its letters: the first's vector rotated by two places, the second's by one,
 as it is, multiplied. A text is the bundle (sum) of its trigrams; a language's prototype is the bundle
 of its training texts, each scaled to one. A text gets the language of the nearest prototype by
 cosine. All texts are read whole, all training rows count, and no row is shuffled: tasks send
-one sum per language.
+one sum per language. Bundles of few texts with common trigrams come from one table of counts, others from the trigrams of
+each text, a slice of vectors at a time, so memory is bounded whatever letters the texts hold.
 
 Defined cases: text that is null or holds no letter is ``und`` with score 0; where no language can be
 learnt every text is ``und``; ties go to the language that sorts first; other columns are ignored;
-an empty table gives an empty result.
+an empty table gives an empty result. As a filter (``keep_identified``) only texts without a letter go, also where no language
+can be learnt; how sure a prediction is plays no part.
 """
 
 from __future__ import annotations
@@ -30,7 +32,9 @@ UNKNOWN = "und"
 #: Sharpness of the score among the languages, in cosine.
 TEMPERATURE = 0.05
 SPACE = 32
+#: Cells of a table of counts, and vectors that are made at a time.
 TABLE = 1 << 22
+VECTORS = 1 << 13
 
 
 @lru_cache(maxsize=1)
@@ -45,36 +49,59 @@ def letter_vector(code: int, dimensions: int, seed: int) -> np.ndarray:
     return bits * np.int8(2) - np.int8(1)
 
 
-def trigram_counts(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(trigrams as rows of three code points, counts by text and trigram, whether a text has a letter)."""
-    lowered = [t.lower() for t in texts]
-    sizes = np.array([len(t) + 2 for t in lowered])
-    # A text stands between separators; a run of other characters counts as one separator.
-    codes = np.frombuffer("".join(f" {t} " for t in lowered).encode("utf-32-le", "surrogatepass"), "<u4")
-    doc = np.repeat(np.arange(len(texts)), sizes)
-    is_letter = letters()[codes]
-    keep = is_letter.copy()
-    keep[0] = True
-    keep[1:] |= is_letter[:-1] | (doc[1:] != doc[:-1])
-    has_letter = np.bincount(doc, weights=is_letter, minlength=len(texts)) > 0
-    codes, doc = np.where(is_letter, codes, SPACE)[keep], doc[keep]
-    alphabet, place = np.unique(codes, return_inverse=True)
-    a = len(alphabet)
-    if len(codes) < 3:
-        return np.zeros((0, 3), np.uint32), np.zeros((len(texts), 0), np.float32), has_letter
-    gram = (place[:-2] * a + place[1:-1]) * a + place[2:]
-    inside = (doc[:-2] == doc[2:]) & has_letter[doc[:-2]]
-    gram, doc = gram[inside], doc[:-2][inside]
-    if a**3 <= TABLE:
-        present = np.flatnonzero(np.bincount(gram, minlength=a**3))
-        rank = np.zeros(a**3, np.int64)
-        rank[present] = np.arange(len(present))
-        column = rank[gram]
-    else:
-        present, column = np.unique(gram, return_inverse=True)
-    counts = np.bincount(doc * len(present) + column, minlength=len(texts) * len(present))
-    grams = alphabet[np.stack([present // (a * a), present // a % a, present % a], axis=1)]
-    return grams, counts.reshape(len(texts), len(present)).astype(np.float32), has_letter
+class Trigrams:
+    """The trigrams of some texts in order: ``doc`` and ``gram`` of each, and whether a text has a letter."""
+
+    def __init__(self, texts: list[str]):
+        lowered = [t.lower() for t in texts]
+        sizes = np.array([len(t) + 2 for t in lowered])
+        # A text stands between separators; a run of other characters counts as one separator.
+        codes = np.frombuffer("".join(f" {t} " for t in lowered).encode("utf-32-le", "surrogatepass"), "<u4")
+        doc = np.repeat(np.arange(len(texts)), sizes)
+        is_letter = letters()[codes]
+        keep = is_letter.copy()
+        keep[0] = True
+        keep[1:] |= is_letter[:-1] | (doc[1:] != doc[:-1])
+        self.texts = len(texts)
+        self.has_letter = np.bincount(doc, weights=is_letter, minlength=len(texts)) > 0
+        codes, doc = np.where(is_letter, codes, SPACE)[keep], doc[keep]
+        self.alphabet, place = np.unique(codes, return_inverse=True)
+        a = len(self.alphabet)
+        gram = (place[:-2] * a + place[1:-1]) * a + place[2:]
+        inside = (doc[:-2] == doc[2:]) & self.has_letter[doc[:-2]]
+        self.doc, gram = doc[:-2][inside], gram[inside]
+        if a**3 <= TABLE:
+            self.present = np.flatnonzero(np.bincount(gram, minlength=a**3))
+            rank = np.zeros(a**3, np.int64)
+            rank[self.present] = np.arange(len(self.present))
+            self.gram = rank[gram]
+        else:
+            self.present, self.gram = np.unique(gram, return_inverse=True)
+
+    def codes(self, grams: np.ndarray) -> np.ndarray:
+        """Code points of trigrams, three a row."""
+        a, found = len(self.alphabet), self.present[grams]
+        return self.alphabet[np.stack([found // (a * a), found // a % a, found % a], axis=1)]
+
+    def bundles(self, group: np.ndarray, groups: int, weight: np.ndarray | None, dimensions: int, seed: int) -> np.ndarray:
+        """Sum of the trigrams' vectors by group; ``group`` and ``weight`` belong to the texts."""
+        of, n = group[self.doc], len(self.present)
+        weights = None if weight is None else weight[self.doc]
+        out = np.zeros((groups, dimensions), np.float32)
+        if groups * n <= TABLE:
+            counts = np.bincount(of * n + self.gram, weights, groups * n).reshape(groups, n).astype(np.float32)
+            for k in range(0, n, VECTORS):
+                out += counts[:, k : k + VECTORS] @ bind(self.codes(np.arange(k, min(n, k + VECTORS))), dimensions, seed)
+            return out
+        order = np.argsort(of, kind="stable")
+        for k in range(0, len(order), VECTORS):
+            part = order[k : k + VECTORS]
+            vectors = bind(self.codes(self.gram[part]), dimensions, seed)
+            if weights is not None:
+                vectors *= weights[part, None].astype(np.float32)
+            first = np.flatnonzero(np.diff(of[part], prepend=-1))
+            out[of[part[first]]] += np.add.reduceat(vectors, first, axis=0)
+        return out
 
 
 def bind(grams: np.ndarray, dimensions: int, seed: int) -> np.ndarray:
@@ -96,13 +123,10 @@ def prototypes(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}
         for batch in small_batches(batches, 0, 1 << 20):
-            langs = np.array(batch.column(1).to_pylist(), object)
-            grams, counts, _ = trigram_counts(texts_of(batch, 0))
-            total = counts.sum(axis=1, keepdims=True)
-            counts /= np.maximum(total, 1)
-            names = sorted(set(langs))
-            part = np.stack([counts[langs == n].sum(axis=0) for n in names]) @ bind(grams, dimensions, seed)
-            for n, v in zip(names, part):
+            grams = Trigrams(texts_of(batch, 0))
+            names, of = np.unique(np.array(batch.column(1).to_pylist(), object), return_inverse=True)
+            share = 1 / np.maximum(np.bincount(grams.doc, minlength=grams.texts), 1)
+            for n, v in zip(names, grams.bundles(of, len(names), share, dimensions, seed)):
                 sums[n] = sums.get(n, 0) + v.astype(np.float64)
         if sums:
             yield pa.RecordBatch.from_arrays(
@@ -129,10 +153,11 @@ class Identifier:
         self.langs, self.vectors, self.seed, self.temperature = langs, vectors.astype(np.float32), seed, temperature
 
     def __call__(self, texts: list[str]) -> tuple[list[str], np.ndarray]:
-        grams, counts, has_letter = trigram_counts(texts)
-        if not self.langs or not len(grams):
+        grams = Trigrams(texts)
+        has_letter = grams.has_letter
+        if not self.langs or not has_letter.any():
             return [UNKNOWN] * len(texts), np.zeros(len(texts))
-        bundles = counts @ bind(grams, self.vectors.shape[1], self.seed)
+        bundles = grams.bundles(np.arange(len(texts)), len(texts), None, self.vectors.shape[1], self.seed)
         norms = np.maximum(np.linalg.norm(bundles, axis=1, keepdims=True), 1e-30)
         cosine = (bundles @ self.vectors.T) / norms
         share = np.exp((cosine - cosine.max(axis=1, keepdims=True)).astype(np.float64) / self.temperature)
@@ -163,8 +188,14 @@ def identify(docs: DataFrame, identifier: Identifier, id_column: str = "doc_id",
 
 
 def keep_identified(docs: DataFrame, identifier: Identifier, text_column: str = "text") -> DataFrame:
-    """The rows of ``docs`` that have a language; texts without a letter go."""
-    return filter_rows(docs, text_column, lambda texts: np.array([x != UNKNOWN for x in identifier(texts)[0]]))
+    """The rows of ``docs`` that have a language; texts without a letter go, and no others, even if no language was learnt."""
+
+    def keep(texts: list[str]) -> np.ndarray:
+        if not identifier.langs:
+            return Trigrams(texts).has_letter
+        return np.array([x != UNKNOWN for x in identifier(texts)[0]])
+
+    return filter_rows(docs, text_column, keep)
 
 
 def op9_language_id(spark: SparkSession, folder: str) -> DataFrame:

@@ -65,7 +65,7 @@ def train_dictionary(texts: list[bytes], size: int = DICTIONARY_BYTES) -> bytes:
 
 
 def features(texts: list[bytes], dictionaries: tuple[bytes, bytes], level: int = LEVEL) -> np.ndarray:
-    """Per text: the normalised size difference, its mean over blocks weighted alike, the compressed share, log length."""
+    """Per text: the normalised size difference, its least value of a block, the compressed share, log length."""
     good, bad, plain = _compressors(dictionaries, level)
     rows = np.zeros((len(texts), 4))
     for i, text in enumerate(texts):

@@ -1,6 +1,7 @@
 """Held-out accuracy, plain versions of the scores, and defined results of odd rows."""
 
 import random
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -48,22 +49,67 @@ def test_language_of_held_out_texts(documents, rng):
     assert [pred[1000], pred[1001], pred[1002]] == ["und"] * 3 and pred[None] == "de" and pred[1003] != "und"
 
 
-def test_language_scores_equal_a_plain_version():
+def plain_trigrams(text):
+    plain = "".join(c if c.isalpha() else " " for c in f" {(text or '').lower()} ")
+    plain = f" {' '.join(plain.split())} "
+    return [plain[k : k + 3] for k in range(len(plain) - 2 if plain.strip() else 0)]
+
+
+def test_trigrams_equal_a_plain_version():
     texts = ["Straße, 12 nicht!", "", "a", "the thing", "ÀÉ x"]
-    grams, counts, has_letter = language.trigram_counts(texts)
-    assert has_letter.tolist() == [True, False, True, True, True]
-    for text, row in zip(texts, counts):
-        plain = "".join(c if c.isalpha() else " " for c in f" {text.lower()} ")
-        plain = f" {' '.join(plain.split())} "
-        want = {}
-        for k in range(len(plain) - 2 if plain.strip() else 0):
-            want[plain[k : k + 3]] = want.get(plain[k : k + 3], 0) + 1
-        assert {"".join(map(chr, g)): c for g, c in zip(grams, row) if c} == want
+    grams = language.Trigrams(texts)
+    assert grams.has_letter.tolist() == [True, False, True, True, True]
+    found = [[] for _ in texts]
+    for doc, codes in zip(grams.doc, grams.codes(grams.gram)):
+        found[doc].append("".join(map(chr, codes)))
+    assert found == [plain_trigrams(t) for t in texts]
     vector = language.bind(np.array([[97, 98, 99]]), 64, 1)[0]
     a, b, c = (language.letter_vector(x, 64, 1) for x in (97, 98, 99))
     assert (vector == np.roll(a, 2) * np.roll(b, 1) * c).all()
 
 
+@pytest.mark.parametrize("table", [1 << 22, 10])
+def test_languages_equal_those_by_cosine(documents, monkeypatch, rng, table):
+    """Prototypes, cosines and scores again, one trigram at a time; with a small table by slices of vectors."""
+    monkeypatch.setattr(language, "TABLE", table)
+    monkeypatch.setattr(language, "VECTORS", 7 if table == 10 else 1 << 13)
+    rows = [(i, sentence(rng, lang, 4), lang) for i, lang in enumerate(rng.choices(list(WORDS), k=25))]
+    rows += [(100, None, "en"), (101, "12", "de"), (102, "ñ", None), (103, "你好", "zh"), (108, "你", "zh")]
+    docs = documents(*rows)
+    known = {}
+
+    def vector(gram):
+        if gram not in known:
+            a, b, c = (language.letter_vector(ord(x), language.DIMENSIONS, language.SEED).astype(float) for x in gram)
+            known[gram] = np.roll(a, 2) * np.roll(b, 1) * c
+        return known[gram]
+
+    bundle = lambda text: sum(map(vector, plain_trigrams(text)), np.zeros(language.DIMENSIONS))
+    prototypes = {}
+    for i, text, lang in rows:
+        if not out(i) and lang and plain_trigrams(text):
+            prototypes[lang] = prototypes.get(lang, 0) + bundle(text) / len(plain_trigrams(text))
+    langs = sorted(prototypes)
+    unit = np.array([prototypes[x] / np.linalg.norm(prototypes[x]) for x in langs])
+    for r in language.identify(docs, language.learn(docs)).collect():
+        text = next(t for i, t, _ in rows if i == r.doc_id)
+        if not plain_trigrams(text):
+            assert (r.lang_pred, r.score) == ("und", 0)
+            continue
+        cosine = unit @ bundle(text) / np.linalg.norm(bundle(text))
+        share = np.exp((cosine - cosine.max()) / language.TEMPERATURE)
+        assert r.lang_pred == langs[cosine.argmax()] and abs(r.score - 1 / share.sum()) < 1e-4
+
+
+def test_many_texts_of_many_letters_need_little_memory():
+    texts = ["".join(chr(0x4E00 + (k * 33 + j) % 20_000) for j in range(33)) for k in range(4000)]
+    identifier = language.Identifier(["x"], np.ones((1, language.DIMENSIONS)))
+    tracemalloc.start()
+    langs, _ = identifier(texts)
+    assert set(langs) == {"x"} and tracemalloc.get_traced_memory()[1] < 250 << 20
+    tracemalloc.stop()
+
+
 def test_language_without_labels_or_rows(documents):
     docs = documents((1, "a b c"), (2, "d"))
     nothing = language.learn(docs.where("doc_id < 0"))
@@ -73,8 +119,9 @@ def test_language_without_labels_or_rows(documents):
 
 def test_texts_without_a_letter_go(documents):
     docs = documents((1, "the thing"), (2, "12"), (3, None), (4, "der"), (6, "there"))
-    kept = language.keep_identified(docs, language.learn(docs))
-    assert kept.schema == docs.schema and sorted(r.doc_id for r in kept.collect()) == [1, 4, 6]
+    for identifier in (language.learn(docs), language.learn(docs.where("doc_id < 0"))):
+        kept = language.keep_identified(docs, identifier)
+        assert kept.schema == docs.schema and sorted(r.doc_id for r in kept.collect()) == [1, 4, 6]
 
 
 def quality_rows(rng, n=400):

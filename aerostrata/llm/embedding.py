@@ -4,8 +4,9 @@ Vectors are scaled to one and rotated by a fixed random rotation, then cut into
 dimensions. Two vectors of cosine c differ by a squared distance of 2 - 2c, so in one block at
 least they differ by no more than that block's share of it. Each block is range-joined on a grid over its
 first coordinates: a vector stands at home in one cell and visits the later cells its range
-touches. A task compares the vectors of one cell by block distance, and
-verifies what is left on the original components in double precision. A pair counts in the first
+touches. What travels is a code, one byte per rotated component: a task finds the vectors of one cell that have another one
+within the block's and the whole budget as far as codes tell, whose rounding is allowed for. Only those travel again, with their
+original components, on which each pair is verified in double precision. A pair counts in the first
 block whose budget it meets, so links are counted once and pairs are never emitted: tasks send link
 counts by vector and the links of a spanning forest.
 
@@ -86,6 +87,20 @@ def vector_rows(vectors: DataFrame, id_column: str, vector_column: str, label_co
     return rows.mapInArrow(run, "id bigint, label string, digest binary, raw binary").withColumn("wide", F.lit(wide))
 
 
+def coded(turned: np.ndarray) -> np.ndarray:
+    """Rows of bytes: the largest component as four bytes, then each component in 127ths of it."""
+    top = np.abs(turned).max(axis=1).astype("<f4")
+    steps = np.rint(turned / np.maximum(top, 1e-30)[:, None] * 127).clip(-127, 127).astype(np.int8)
+    return np.concatenate([top.view(np.uint8).reshape(-1, 4), steps.view(np.uint8)], axis=1)
+
+
+def decoded(codes: pd.Series) -> tuple[np.ndarray, np.ndarray]:
+    """(about the rotated vectors, the most a component is off) of codes."""
+    raw = np.frombuffer(b"".join(codes), np.uint8).reshape(len(codes), -1)
+    top = np.ascontiguousarray(raw[:, :4]).view("<f4")[:, 0].astype(np.float64)
+    return raw[:, 4:].view(np.int8) * (top / 127)[:, None], top * (0.5 / 127) * (1 + 1e-6) + 1e-7
+
+
 def block_counts(dimensions: int) -> np.ndarray:
     """First dimension of each block, and the end."""
     return np.unique(np.append(np.arange(0, dimensions, BLOCK_DIMENSIONS), dimensions))
@@ -99,7 +114,7 @@ def grid_depth(rows: int, dimensions: int, side: float) -> int:
 
 
 def cells(classes: DataFrame, cosine: float) -> DataFrame:
-    """(key, home, cls, copies, raw): every class in its cell of each block and in the cells it visits."""
+    """(key, home, cls, block, code): every class in its cell of each block and in the cells it visits."""
     distance = 2 - 2 * cosine
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -107,6 +122,7 @@ def cells(classes: DataFrame, cosine: float) -> DataFrame:
             for (label, size, wide, rows), part in frame.groupby(["label", "size", "wide", "rows"]):
                 d = size // (8 if wide else 4)
                 turned = unit(part["raw"], wide) @ rotation(d)
+                code = np.array([c.tobytes() for c in coded(turned)], object)
                 edges = block_counts(d)
                 for block, (a, b) in enumerate(zip(edges, edges[1:])):
                     radius = np.sqrt(distance * (b - a) / d) + SLACK
@@ -126,12 +142,10 @@ def cells(classes: DataFrame, cosine: float) -> DataFrame:
                         if here.any():
                             keys = [f"{label}|{size}|{block}|{','.join(map(str, c))}" for c in home[here] + move]
                             yield pd.DataFrame(
-                                {"key": keys, "home": not move.any(), "cls": part["cls"].values[here],
-                                 "copies": part["copies"].values[here], "block": block, "wide": wide, "raw": part["raw"].values[here]}
+                                {"key": keys, "home": not move.any(), "cls": part["cls"].values[here], "block": block, "code": code[here]}
                             )
 
-    schema = "key string, home boolean, cls bigint, copies bigint, block int, wide boolean, raw binary"
-    return classes.mapInPandas(run, schema)
+    return classes.mapInPandas(run, "key string, home boolean, cls bigint, block int, code binary")
 
 
 def dealt(placed: DataFrame) -> DataFrame:
@@ -141,7 +155,7 @@ def dealt(placed: DataFrame) -> DataFrame:
     in task (i, p), which is there without visitors, too.
     """
     home = F.count(F.when(F.col("home"), 1))
-    n, size = F.count(F.lit(1)), F.sum(F.length("raw").cast("bigint"))
+    n, size = F.count(F.lit(1)), F.sum(F.length("code").cast("bigint"))
     room = F.greatest(F.lit(1), F.least(F.lit(STRIPE), F.floor(F.col("n") * STRIPE_BYTES / F.col("bytes"))))
     busy = (
         placed.groupBy("key").agg(n.alias("n"), home.alias("at_home"), size.alias("bytes")).where("n > 1 AND at_home > 0")
@@ -161,6 +175,29 @@ def dealt(placed: DataFrame) -> DataFrame:
     )
 
 
+def candidates(cell: pd.DataFrame, cosine: float) -> pd.DataFrame:
+    """The rows of two stripes of a cell, without codes, that may have a link there which counts in the cell's block."""
+    block, i, j, p = (int(cell[c].iloc[0]) for c in ("block", "i", "j", "p"))
+    cell = cell.sort_values(["stripe", "cls"])
+    mine = int((cell["stripe"] == i).sum())
+    x, off = decoded(cell["code"])
+    edges, d = block_counts(x.shape[1]), x.shape[1]
+    a, b = edges[block], edges[block + 1]
+    distance, found = 2 - 2 * cosine, np.zeros(len(cell), bool)
+    squares, inside = (x**2).sum(axis=1), (x[:, a:b] ** 2).sum(axis=1)
+    others = np.arange(0 if j == p else mine, len(cell))
+    for start in range(0, mine if len(others) else 0, 256):
+        rows = np.arange(start, min(start + 256, mine))
+        slack = off[rows, None] + off[None, others]
+        near = rows[:, None] < others[None, :]
+        for low, high, budget, square in ((a, b, distance * (b - a) / d, inside), (0, d, distance, squares)):
+            gap = square[rows, None] + square[None, others] - 2 * x[rows, low:high] @ x[others, low:high].T
+            near &= gap <= (np.sqrt(budget) + slack * np.sqrt(high - low) + 1e-6) ** 2 + 1e-9
+        found[rows] |= near.any(axis=1)
+        found[others] |= near.any(axis=0)
+    return cell.loc[found, ["key", "i", "j", "p", "stripe", "block", "cls"]]
+
+
 def compare(cell: pd.DataFrame, cosine: float) -> pd.DataFrame:
     """Rows (cls, links, other) of two stripes of a cell: link counts of each class in them, and a forest of their links."""
     block, i, j, p = (int(cell[c].iloc[0]) for c in ("block", "i", "j", "p"))
@@ -249,8 +286,12 @@ def near_vectors(
     )
     sizes = classes.groupBy("label", "size").agg(F.count(F.lit(1)).alias("rows"))
     placed = kept_table(cells(classes.join(sizes, ["label", "size"]), cosine), "cells")
+    likely = dealt(placed).select("key", "i", "j", "p", "stripe", "block", "cls", "code").groupBy("key", "i", "j").applyInPandas(
+        lambda cell: candidates(cell, cosine), "key string, i int, j int, p int, stripe int, block int, cls bigint"
+    )
+    likely = kept_table(likely, "likely").join(classes.select("cls", "copies", "wide", "raw"), "cls")
     found = kept_table(
-        dealt(placed).groupBy("key", "i", "j").applyInPandas(
+        likely.groupBy("key", "i", "j").applyInPandas(
             lambda cell: compare(cell, cosine), "cls bigint, links bigint, other bigint"
         ),
         "found",

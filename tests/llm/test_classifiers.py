@@ -6,6 +6,8 @@ import zlib
 
 import numpy as np
 import pytest
+import xxhash
+import zstandard
 
 from aerostrata.llm import language, quality, toxicity
 from aerostrata.llm.logistic import fit_logistic, fit_sparse, sigmoid
@@ -143,6 +145,48 @@ def test_quality_of_held_out_texts(spark, documents, rng):
     assert len(found) == len(rows) + len(odd)
 
 
+def test_quality_scores_equal_a_plain_version(spark, documents, rng):
+    """Dictionaries, sizes, curve and scores of all documents again, from the library's own calls."""
+    rows = quality_rows(rng, 300) + [(900, None, None), (901, "", None), (902, "the thing with " * 700, None)]
+    docs = documents(*[(i, t) for i, t, _ in rows])
+    labels = labels_of(spark, [(i, y, 0, "") for i, _, y in rows])
+    found = {r.doc_id: r.score for r in quality.score(docs, quality.learn(docs, labels)).collect()}
+
+    def signed(text):
+        h = xxhash.xxh64_intdigest(text, seed=42)
+        return h - (1 << 64) if h >> 63 else h
+
+    known = sorted(((t.encode(), y) for i, t, y in rows if y is not None and not out(i)), key=lambda r: signed(r[0]))
+    cut = lambda t: [t[k : k + 2048] for k in range(0, len(t), 2048)]
+    trained = []
+    for v in (1, 0):
+        samples = [b for k, (t, y) in enumerate(known) if k % 2 == 0 and y == v for b in cut(t)]
+        try:
+            raw = zstandard.train_dictionary(64 << 10, samples).as_bytes()
+        except zstandard.ZstdError:
+            raw = b"".join(samples)[-(64 << 10) :]
+        trained.append(zstandard.ZstdCompressionDict(raw))
+    options = {"level": 3, "write_content_size": False, "write_checksum": False, "write_dict_id": False}
+
+    def size(block, dictionary):
+        more = {} if dictionary is None else {"dict_data": dictionary}
+        return len(zstandard.ZstdCompressor(**more, **options).compress(block))
+
+    def of(text):
+        if not text:
+            return np.zeros(6)
+        good, bad, plain = (np.array([size(b, d) for b in cut(text)], float) for d in (*trained, None))
+        x = [(bad.sum() - good.sum()) / plain.sum(), min((bad - good) / plain), plain.sum() / len(text), np.log1p(len(text))]
+        return np.array([*x, x[0] ** 2, x[1] ** 2])
+
+    y = np.array([v for _, v in known][1::2])
+    share = np.mean([v for _, v in known])
+    weight = np.where(y == 1, share / y.mean(), (1 - share) / (1 - y.mean()))
+    w = fit_logistic(np.array([of(t) for t, _ in known][1::2]), y, weight)
+    for i, t, _ in rows:
+        assert abs(found[i] - sigmoid(of((t or "").encode()) @ w[:-1] + w[-1])) < 1e-6
+
+
 @pytest.mark.parametrize("module", [quality, toxicity])
 def test_without_labels_of_both_classes(spark, documents, module):
     docs = documents((1, "a"), (2, None))

@@ -74,6 +74,31 @@ def test_a_task_of_a_busy_cell_holds_two_stripes_at_most(spark, monkeypatch):
     assert sorted((r.vec_id, r.n_links, r.component_id) for r in found) == plain(rows)
 
 
+def test_codes_are_no_farther_off_than_they_say():
+    rng = np.random.default_rng(6)
+    turned = rng.standard_normal((200, 24))
+    turned[0] = 0
+    turned[0, 3] = 1.0
+    turned /= np.linalg.norm(turned, axis=1, keepdims=True)
+    about, off = op.decoded(op.pd.Series([c.tobytes() for c in op.coded(turned)]))
+    assert (np.abs(about - turned) <= off[:, None]).all() and off.max() < 0.005
+
+
+def test_only_vectors_with_a_likely_link_travel_with_their_components(spark, monkeypatch):
+    seen = []
+    real = op.kept_table
+    monkeypatch.setattr(op, "kept_table", lambda df, name: (seen.append((name, real(df, name))), seen[-1][1])[1])
+    apart = np.random.default_rng(7).standard_normal((200, 24))
+    rows = [(i, v.tolist(), 0) for i, v in enumerate(apart)] + [(300 + i, (v + 0.01).tolist(), 0) for i, v in enumerate(apart[:5])]
+    found = op.near_vectors(spark.createDataFrame([(*r, 0, "k") for r in rows], SCHEMA)).collect()
+    assert sorted((r.vec_id, r.n_links, r.component_id) for r in found) == plain(rows)
+    tables = dict(seen)
+    assert "raw" not in tables["cells"].columns + tables["likely"].columns
+    assert {r.cls for r in tables["likely"].select("cls").distinct().collect()} == {
+        r.cls for r in tables["classes"].where("first >= 300 OR first < 5").collect()
+    }
+
+
 def test_empty_table(spark):
     assert op.near_vectors(spark.createDataFrame([], SCHEMA)).count() == 0
 

@@ -55,44 +55,50 @@ def rows_of(df):
     return [(r.id, r.record) for r in df.collect()]
 
 
-def test_index_has_no_gaps(records):
-    found = op.index(records).collect()
+@pytest.fixture(scope="module")
+def primary(records):
+    return op.index(records)
+
+
+def test_index_has_no_gaps(records, primary):
+    found = primary.collect()
     assert {(r.id, r.copy): (r.start, r.end, r.digest) for r in found} == placed(rows_of(records))
     for file in {r.file for r in found}:
         assert sorted(r.n for r in found if r.file == file) == list(range(sum(r.file == file for r in found)))
 
 
+def mixed(r):
+    """Records that are lost, longer, repeated, added beyond all others, or moved to another identifier."""
+    text = F.when(F.col("id").isin(40, 299), F.concat("record", F.lit("x"))).otherwise(F.col("record"))
+    r = r.where("id IS NULL OR id NOT IN (11, 500, 7)").withColumn("record", text)
+    r = r.withColumn("id", F.when(F.col("id") == 20, 130).otherwise(F.col("id")))
+    return r.unionByName(r.where("id = 100 OR id IS NULL")).unionByName(r.limit(1).selectExpr("5000000000 AS id", "'new' AS record"))
+
+
 REPLICAS = {
     "equal": lambda r: r,
-    "changed in place": lambda r: r.withColumn("record", F.when(F.col("id") == 41, F.translate("record", "p", "q")).otherwise(F.col("record"))),
-    "longer": lambda r: r.withColumn("record", F.when(F.col("id").isin(40, 299), F.concat("record", F.lit("x"))).otherwise(F.col("record"))),
     "all lengths differ": lambda r: r.withColumn("record", F.concat("record", F.lit("1234567"))),
-    "lost": lambda r: r.where("id IS NULL OR id NOT IN (11, 500, 7)"),
-    "repeated": lambda r: r.unionByName(r.where("id = 100 OR id IS NULL")),
-    "added": lambda r: r.selectExpr("id", "record").unionByName(r.limit(1).selectExpr("5000000000 AS id", "'new' AS record")),
-    "moved": lambda r: r.withColumn("id", F.when(F.col("id") == 20, 130).otherwise(F.col("id"))),
+    "mixed": mixed,
     "damaged": op.damaged,
     "nothing left": lambda r: r.limit(0),
 }
 
 
-@pytest.mark.parametrize("bits", [6, 2])
-@pytest.mark.parametrize("name", REPLICAS)
-def test_damage_is_located(records, name, bits, monkeypatch):
-    if bits == 2 and name not in ("damaged", "added"):
-        pytest.skip("deep trees with two replicas")
+@pytest.mark.parametrize("bits, name", [*((6, n) for n in REPLICAS), (2, "mixed")])
+def test_damage_is_located(records, primary, name, bits, monkeypatch):
     monkeypatch.setattr(op, "FANOUT_BITS", bits)
     monkeypatch.setattr(op, "FANOUT", 1 << bits)
     replica = REPLICAS[name](records)
-    found = op.audit(op.index(records), op.index(replica))
+    found = op.audit(primary, op.index(replica))
     assert sorted(map(tuple, found.collect()), key=str) == plain(rows_of(records), rows_of(replica))
 
 
-def test_only_branches_that_differ_are_read(records):
-    """Two leaves of one file differ; no leaf of another file is compared."""
-    ours, theirs = op.index(records), op.index(REPLICAS["changed in place"](records))
-    levels = op.depth(ours, theirs)
-    found = op.differing_leaves(op.tree(ours, levels), op.tree(theirs, levels), levels).collect()
+def test_only_branches_that_differ_are_read(records, primary):
+    """One leaf differs; no leaf of another file is compared, and none beside it is found."""
+    changed = F.when(F.col("id") == 41, F.translate("record", "p", "q")).otherwise(F.col("record"))
+    theirs = op.index(records.withColumn("record", changed))
+    levels = op.depth(primary, theirs)
+    found = op.differing_leaves(op.tree(primary, levels), op.tree(theirs, levels), levels).collect()
     assert {r.file for r in found} == {0} and 1 <= len(found) <= 2
 
 

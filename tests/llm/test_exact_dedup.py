@@ -39,6 +39,21 @@ def test_unequal_texts_of_one_digest_stay_apart(documents):
     assert {(r.id, r.keep_id, r.group_size) for r in found} == {(i, i | 1, 2) for i in range(80)}
 
 
+def test_the_filter_of_hits_lets_go_of_single_texts_only(spark, documents):
+    rows = [(i, f"text {i}" if i % 10 else f"text {i // 100}") for i in range(2000)]
+    content = op.digested(op.located(documents(*rows), "doc_id", "text"), 256)
+    hits = content.groupBy("digest").count().where("count > 1")
+    members = {r.id for r in content.join(hits, "digest").collect()}
+    found = {r.id for r in op.among(content, hits).collect()}
+    assert members <= found and len(found) < len(members) + 20
+    assert op.among(content, hits.limit(0)).count() == 0
+    # A bitmap that is full lets all through, and the decisions are the same.
+    few = op.decide(documents(*rows), "doc_id", "text", filter_bits=3).collect()
+    many = op.decide(documents(*rows), "doc_id", "text").collect()
+    assert {(r.id, r.keep_id, r.group_size) for r in few} == {(r.id, r.keep_id, r.group_size) for r in many}
+    assert sum(r.keep_id == r.id for r in many) == len({t for _, t in rows})
+
+
 def test_state_grows_over_batches_and_restarts(spark, documents):
     rows = [(i, f"text {i % 7}") for i in range(60)]
     content = op.located(documents(*rows).repartition(6), "doc_id", "text")

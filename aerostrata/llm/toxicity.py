@@ -35,8 +35,8 @@ LEAST_TEXTS = 5
 LEAST_SAMPLED = 3
 #: Chi-square in the sample above which a feature is a candidate, that of a chance of one in ten.
 LEANING = 2.71
-#: Chi-square above which a feature is kept, that of a chance of one in a thousand.
-SIGNIFICANT = 10.83
+#: Chi-square above which a feature is kept, that of a chance of one in a hundred thousand: as many features are tried.
+SIGNIFICANT = 19.51
 PENALTY = 10.0
 THRESHOLD = 0.5
 MEMO = 150_000

@@ -308,7 +308,7 @@ def test_toxicity_scores_equal_a_plain_version(spark, documents, rng):
             a, b = (sum(f in of(t) for t, y in texts if y == v) for v in (1, 0))
             both, all_of = a + b, n[0] + n[1]
             return 0 if both < least else all_of * (a * (n[0] - b) - b * (n[1] - a)) ** 2 / (both * (all_of - both + 1e-9) * n[0] * n[1])
-        if square(known, n, 3) > 2.71 and square(labelled, total, 5) > 10.83:
+        if square(known, n, 3) > 2.71 and square(labelled, total, 5) > 19.51:
             features.append(f)
     terms = {t for g in toxicity.IDENTITY_TERMS for t in g}
     named = [t for t, _ in known if of(t) & terms]

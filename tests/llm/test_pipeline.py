@@ -77,7 +77,7 @@ def test_run_on_an_empty_table(spark, tmp_path):
 
 def test_queries_are_registered():
     names = [n.split("_")[0] for n in catalog.registered()]
-    assert names == [f"op{k}" for k in range(1, 11)]
+    assert names == [f"op{k}" for k in range(1, 14)]
     assert catalog.oracle_queries().keys() <= catalog.registered().keys()
 
 

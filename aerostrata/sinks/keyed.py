@@ -119,7 +119,12 @@ def _created(spark: SparkSession, path: str) -> bool:
     system, target = _files(spark, path)
     system.mkdirs(target.getParent())
     try:
+        if system.getUri().getScheme() == "file":  # Hadoop looks and creates in two steps there
+            open(target.toUri().getPath(), "x").close()
+            return True
         return system.createNewFile(target)
+    except FileExistsError:
+        return False
     except Exception as error:  # some file systems raise where others answer False
         if "FileAlreadyExists" in str(error):
             return False

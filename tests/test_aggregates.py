@@ -265,6 +265,29 @@ def test_only_hot_minutes_are_split(spark, rows):
     assert hot.groupBy(dealt).count().agg(F.max("count")).first()[0] < 200 * 30 / 4
 
 
+def test_the_chain_join_unfolds_arrays(spark, rows):
+    """More values than one array holds, nulls, a minute without weather: the rows of plain joins, minutes later."""
+    readings = air(spark, [("A", at(0, n), n, 1.0) for n in range(3)] + [("A", at(59), 7, None), ("B", "bad", 1, 1.0)])
+    wind = weather(spark, "wind_speed", [("A", at(0), float(n % 9) if n % 7 else None) for n in range(150)])
+    humidity = weather(spark, "humidity", [("A", at(0), 1.0), ("A", at(0), None), ("A", "bad", 2.0), ("B", "bad", 2.0)])
+    temperature = weather(spark, "temperature", [("A", at(0), 5.0)] * 2)
+    chain = join_weather_chain(readings, wind, temperature, humidity)
+    plain = readings
+    for metric, source in (("wind_speed", wind), ("temperature", temperature), ("humidity", humidity)):
+        plain = join_minute_left(with_minute(plain), source, metric)
+    assert rows(chain, *plain.columns) == rows(plain) and chain.count() == 3 * 150 * 2 * 2 + 2
+    plan = chain._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Generate explode") == 3 and plan.rindex("Generate explode") < plan.index("Join")
+
+
+def test_the_chain_query_rounds_ahead_of_its_join(spark):
+    from aerostrata.plans import catalog
+
+    df = catalog.registered()["join_weather_chain"](spark, "/root/testdata/sf0.001")
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Join") < plan.index("round(")
+
+
 def clean_source(spark, metric):
     data = [("A", f"2024-01-01T00:0{m}:0{s}", float(m + s)) for m in range(3) for s in range(5)]
     return spark.createDataFrame(data, f"city string, timestamp_utc string, {metric} double")

@@ -134,11 +134,15 @@ def raw_lines(events: DataFrame, kind: Kind) -> DataFrame:
     return as_lines(READINGS[kind.name](events), kind.schema.fieldNames(), kind.metric)
 
 
-def air_messages(events: DataFrame) -> DataFrame:
-    """Messages as the producer sends them, local and UTC text and epoch second, as bytes."""
+def air_message_lines(events: DataFrame) -> DataFrame:
+    """Event, second and text of the messages a producer sends: local and UTC time text and epoch second."""
     columns = [*AIR.schema.fieldNames(), "timestamp_local"]
-    lines = as_lines(air_readings(events), columns, AIR.metric)
-    return lines.select(F.encode("value", "UTF-8").alias("value"))
+    return as_lines(air_readings(events), columns, AIR.metric)
+
+
+def air_messages(events: DataFrame) -> DataFrame:
+    """The messages as bytes, in no order."""
+    return air_message_lines(events).select(F.encode("value", "UTF-8").alias("value"))
 
 
 def payloads(events: DataFrame, weather: bool) -> DataFrame:

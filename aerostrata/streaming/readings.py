@@ -38,7 +38,8 @@ def dedupe(readings: DataFrame) -> DataFrame:
     """One reading per (city, event time) among those the watermark still allows.
 
     The first stage keeps one copy per input partition and key, the second one per key, so a
-    reading that is sent over and over does not gather in one task. Readings without an event
+    reading that is sent over and over does not gather in one task. Of copies in one input partition the first stays, so a
+    topic keyed by what copies share decides which; between partitions there is no order. Readings without an event
     time reach no window and are left out before they can stay in the state for good.
     """
     timed = readings.filter(F.col("timestamp_utc").isNotNull())

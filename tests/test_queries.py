@@ -42,6 +42,22 @@ def test_query_equals_sql(spark, database, name):
     assert {n: TYPES[t] for n, t in df.dtypes} == declared
 
 
+@pytest.mark.parametrize("name", ["stream_upsert", "stream_losses", "stream_pivot", "stream_10min"])
+def test_streams_keep_the_first_of_many_copies(spark, tmp_path, name):
+    """Two cities send several readings a second, of which every file of the table holds some."""
+    spark.range(6000).selectExpr(
+        "id AS event_id", "timestamp_ntz'2024-01-01 00:00:00' + make_interval(0, 0, 0, 0, 0, 0, id * 7919 % 1500) AS ts",
+        "id AS user_id", "if(id % 2 = 0, 'view', 'click') AS event_type", "id * 37 % 300 / 1D AS value",
+        "concat('{\"k\": ', pmod(hash(id), 100), '}') AS props",
+    ).repartition(7).write.parquet(str(tmp_path / "events.parquet"))
+    database = duckdb.connect()
+    database.execute(f"CREATE VIEW events AS SELECT * FROM '{tmp_path}/events.parquet/*.parquet'")
+    result = database.execute(SQL[name])
+    expected = canonical([c[0] for c in result.description], result.fetchall())
+    df = QUERIES[name](spark, str(tmp_path))
+    assert canonical(df.columns, [tuple(r) for r in df.collect()]) == expected
+
+
 def test_entry(spark):
     df = entry_point.entry(spark)
     assert df.columns[0] == "city" and df.count() > 0

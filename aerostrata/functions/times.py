@@ -7,11 +7,14 @@ from pyspark.sql import functions as F
 
 # Fixed value: the pattern of event-time text, always UTC.
 EVENT_TIME_PATTERN = "yyyy-MM-dd'T'HH:mm:ss"
+#: Text of the pattern for which a cast, several times faster than the pattern's formatter, gives the same.
+PLAIN = r"^[1-9]\d{3}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}\z"
 
 
 def parse_event_time(text: Column) -> Column:
     """Timestamp of an event-time text, null if it does not follow the pattern."""
-    return F.try_to_timestamp(text, F.lit(EVENT_TIME_PATTERN))
+    by_pattern = F.try_to_timestamp(text, F.lit(EVENT_TIME_PATTERN))
+    return F.when(text.rlike(PLAIN), text.try_cast("timestamp")).otherwise(by_pattern)
 
 
 def hour_timestamp(year: Column, month: Column, day: Column, hour: Column) -> Column:

@@ -179,7 +179,7 @@ def clean_kind(
     return None if raw is None else _store_clean(raw, layout, kind, mode)
 
 
-def _side_by_side(spark: SparkSession, *tasks: Callable[[], object]) -> list:
+def side_by_side(spark: SparkSession, *tasks: Callable[[], object]) -> list:
     """Run independent jobs at a time; the cluster shares its cores among them."""
     with ThreadPoolExecutor(max_workers=len(tasks)) as pool:
         return [f.result() for f in [pool.submit(inheritable_thread_target(spark)(t)) for t in tasks]]
@@ -188,7 +188,7 @@ def _side_by_side(spark: SparkSession, *tasks: Callable[[], object]) -> list:
 def _clean_all(
     spark: SparkSession, layout: Layout, scope: HourScope | None, kinds: Sequence[Kind], mode: str
 ) -> dict[str, int | None]:
-    done = _side_by_side(spark, *[lambda k=k: clean_kind(spark, layout, k, scope, mode) for k in kinds])
+    done = side_by_side(spark, *[lambda k=k: clean_kind(spark, layout, k, scope, mode) for k in kinds])
     return {kind.name: rows for kind, rows in zip(kinds, done)}
 
 
@@ -326,7 +326,7 @@ def hourly_run(spark: SparkSession, layout: Layout, scope: HourScope | None = No
         hours = sorted({scope, *waiting}, key=_hour_text)
         days = sorted({(h.year, h.month, h.day) for h in hours})
     hourly = hourly_job(spark, layout, hours=hours)
-    exports = _side_by_side(
+    exports = side_by_side(
         spark, *[lambda n=n: export_job(spark, layout, n, days=days) for n in ("hourly", "weather_pairs")]
     )
     for mark in marks:

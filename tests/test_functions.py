@@ -61,6 +61,20 @@ def test_event_time(spark, text, expected):
     assert one(spark, parse_event_time(F.lit(text).cast("string"))) == expected
 
 
+def test_plain_time_text_is_cast_and_other_text_goes_by_the_pattern(spark):
+    texts = [
+        "2024-02-29T23:59:59", "2023-02-29T00:00:00", "2024-01-01T24:00:00", "2024-01-01T00:00:60", "0000-01-01T00:00:00",
+        "2024-01-01T00:00:0 ", " 2024-01-01T00:00:00", "2024-01-01T00:00:00\n", "2024-01-01T00:00:00Z", "2024-01-01 00:00:00",
+        "2024-01-01", "+12024-01-01T00:00:00", "1582-10-10T00:00:00", "0001-01-01T00:00:00", "bad", "", None,
+    ]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    by_pattern = F.try_to_timestamp("t", F.lit("yyyy-MM-dd'T'HH:mm:ss"))
+    differing = df.where(~parse_event_time(F.col("t")).eqNullSafe(by_pattern))
+    assert differing.count() == 0
+    plan = df.select(parse_event_time(F.col("t")))._jdf.queryExecution().analyzed().toString().lower()
+    assert "cast(t#" in plan and "rlike" in plan
+
+
 def test_hour_and_day_from_parts(spark):
     def parts(*values):
         return [F.lit(v) for v in values]

@@ -5,7 +5,8 @@ of the edges into a boundary that edge survives whose piece may stand after the
 survives at its start: two pieces may stand side by side if the merges of their joint text give the two.
 Each boundary so keeps one backpointer, the last piece of the text up to there, and the ids equal those of
 the model's own encoder. Only boundaries the next pieces can start at matter, as many as the longest piece
-has characters. Once their backpointer paths meet in one boundary, the ids before it are committed and
+has characters. Within a unit an automaton finds these pieces: its state is the longest end of the text read that some
+piece begins with, and knows the pieces that end there; states and their steps are made as texts need them. Once their backpointer paths meet in one boundary, the ids before it are committed and
 forgotten. Paths also meet where no piece crosses: before white space, and at characters without a piece,
 which are written as bytes. Units between white space are remembered, so repeated words cost a lookup.
 
@@ -87,23 +88,57 @@ class Pieces:
             node[""] = i
         return ends
 
+    @cached_property
+    def beginnings(self) -> set[str]:
+        """What pieces begin with, whole pieces included."""
+        return {t[:k] for t in self.id for k in range(1, len(t) + 1)}
+
 
 class StreamingViterbi:
     """Commits the ids of a stream of characters, keeping a window of boundaries."""
 
     def __init__(self, pieces: Pieces):
         self.pieces = pieces
-        self.beside: dict[int, bool] = {}
         self.widest = 0
+        self.forget()
+
+    def forget(self) -> None:
+        #: For a piece, by the piece before it: whether the two may stand side by side.
+        self.after: dict[int, dict[int, bool]] = {}
+        #: States by their text; a state has the next ones by character, and below "" the pieces that end there.
+        self.states: dict[str, dict] = {}
+        self.start: dict = {"": (), "text": ""}
+        self.learnt = 0
 
     def may_follow(self, left: int, right: int) -> bool:
         """Whether the merges of the joint text of two pieces give the two."""
-        found = self.beside.get(left << 32 | right)
+        after = self._after(right)
+        found = after.get(left)
         if found is None:
-            if len(self.beside) > PAIRS:
-                self.beside = {}
             a, b = self.pieces.text[left], self.pieces.text[right]
-            found = self.beside[left << 32 | right] = self._merged(a + b) == [a, b]
+            found = after[left] = self._merged(a + b) == [a, b]
+            self.learnt += 1
+        return found
+
+    def _after(self, piece: int) -> dict[int, bool]:
+        """At the start of a text, -1, any piece may stand."""
+        found = self.after.get(piece)
+        if found is None:
+            found = self.after[piece] = {-1: True}
+        return found
+
+    def _step(self, state: dict, c: str) -> dict:
+        """The state after one more character, which is a piece."""
+        text = state["text"] + c
+        while text not in self.pieces.beginnings:
+            text = text[1:]
+        found = self.states.get(text)
+        if found is None:
+            ends = ((len(text) - k, self.pieces.id.get(text[k:])) for k in range(len(text)))
+            found = {"": tuple((n, i, self._after(i)) for n, i in ends if i is not None), "text": text}
+            self.states[text] = found
+        state[c] = found
+        self.learnt += 1
         return found
 
     def _merged(self, text: str) -> list[str]:
@@ -118,22 +153,17 @@ class StreamingViterbi:
 
     def unit(self, text: str) -> list[int]:
         """The ids of a text no piece crosses the ends of; a short one fits the window as a whole."""
-        ends, beside = self.pieces.ends, self.beside
         if len(text) > 4 * self.pieces.longest or not self.pieces.single.issuperset(text):
             return list(self.ids(text))
-        back = [-1]
-        for end in range(1, len(text) + 1):
-            node, edges = ends, []
-            for start in range(end - 1, -1, -1):
-                node = node.get(text[start])
-                if node is None:
-                    break
-                piece = node.get("")
-                if piece is not None:
-                    left = back[start]
-                    edges.append((left, piece))
-            for left, piece in reversed(edges):
-                if left < 0 or beside.get(left << 32 | piece) or self.may_follow(left, piece):
+        if self.learnt > PAIRS:
+            self.forget()
+        back, state = [-1], self.start
+        for end, c in enumerate(text):
+            state = state.get(c) or self._step(state, c)
+            for size, piece, after in state[""]:  # the longest first
+                left = back[end + 1 - size]
+                follows = after.get(left)
+                if follows or follows is None and self.may_follow(left, piece):
                     back.append(piece)
                     break
         return self._path(back, len(text))

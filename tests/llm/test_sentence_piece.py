@@ -70,3 +70,25 @@ def test_null_ids_and_empty_table(spark, documents):
     nulls = encoded.withColumn("ids", F.when(F.lit(False), F.col("ids")))
     assert op.decode_documents(nulls, op.model_path()).first().decoded is None
     assert op.encode_documents(documents((1, "a")).limit(0), op.model_path()).count() == 0
+
+
+def test_a_unit_takes_one_step_a_character():
+    with open(op.model_path(), "rb") as file:
+        pieces = op.Pieces(file.read())
+    stream, steps = op.StreamingViterbi(pieces), []
+    step = stream._step
+    stream._step = lambda state, c: steps.append(c) or step(state, c)
+    word = "▁nationalisations"
+    ids = stream.unit(word)
+    assert "ends" not in pieces.__dict__ and len(steps) <= len(word)
+    steps.clear()
+    assert stream.unit(word) == ids and not steps  # known states are not looked for again
+    stream.forget()
+    assert stream.unit(word) == ids == pieces.processor.encode("nationalisations")
+
+
+def test_states_are_forgotten_beyond_their_bound(coder, monkeypatch):
+    monkeypatch.setattr(op, "PAIRS", 50)
+    fresh = op.Coder(coder.pieces.processor.serialized_model_proto())
+    texts = samples()[:300]
+    assert [x.tolist() for x in fresh.encode(texts)] == coder.pieces.processor.encode(texts)

@@ -34,7 +34,7 @@ TEMPERATURE = 0.05
 SPACE = 32
 #: Cells of a table of counts, and vectors that are made at a time.
 TABLE = 1 << 22
-VECTORS = 1 << 13
+VECTORS = 1 << 11
 
 
 @lru_cache(maxsize=1)

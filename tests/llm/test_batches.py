@@ -1,0 +1,43 @@
+"""Rows that are worked on together are bounded by their bytes."""
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import functions as F
+
+from aerostrata.llm import language
+from aerostrata.llm.common import BATCH_SETTINGS, workers_import
+
+LONG = 200_000
+
+
+def test_python_gets_long_texts_a_few_at_a_time(spark, tmp_path):
+    def batch_bytes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows]), pa.array([batch.nbytes])], ["rows", "bytes"])
+
+    texts = spark.range(0, 100, 1, 1).select("id", F.repeat(F.lit("x"), LONG).alias("text"))
+    texts.write.parquet(f"{tmp_path}/texts")
+    found = spark.read.parquet(f"{tmp_path}/texts").mapInArrow(batch_bytes, "rows bigint, bytes bigint").collect()
+    assert sum(r.rows for r in found) == 100
+    assert max(r.bytes for r in found) < int(BATCH_SETTINGS["spark.sql.execution.arrow.maxBytesPerBatch"]) + 2 * LONG
+
+
+def test_a_session_keeps_its_own_sizes(spark):
+    other = spark.newSession()
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    other.conf.set(key, "12345")
+    workers_import(other)
+    assert other.conf.get(key) == "12345"
+    assert other.conf.get("spark.sql.parquet.columnarReaderBatchSize") == BATCH_SETTINGS["spark.sql.parquet.columnarReaderBatchSize"]
+
+
+def test_bundles_are_the_same_in_small_parts(monkeypatch):
+    rng = np.random.default_rng(3)
+    texts = ["".join(rng.choice(list("abcdefg éß你 "), 300)) for _ in range(20)]
+    grams = language.Trigrams(texts)
+    whole = grams.bundles(np.arange(20), 20, None, 64, 7)
+    for table, vectors in ((1 << 20, 16), (0, 16)):
+        monkeypatch.setattr(language, "TABLE", table)
+        monkeypatch.setattr(language, "VECTORS", vectors)
+        assert (grams.bundles(np.arange(20), 20, None, 64, 7) == whole).all()
+    assert language.VECTORS * 4 * language.DIMENSIONS <= 8 << 20

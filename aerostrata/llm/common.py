@@ -54,6 +54,15 @@ def kept_table(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def shuffled(df: DataFrame) -> DataFrame:
+    """``df`` as a side of a join that shuffles and sorts, whatever size Spark takes it for.
+
+    For rows made by an explode and for tables of numbers that files hold in few bytes: Spark counts the rows before the
+    explode, or the bytes of the files, and copies to the driver and every executor what takes many times that memory.
+    """
+    return df.hint("merge")
+
+
 def texts_of(batch: pa.RecordBatch, column: int) -> list[str]:
     """A text column as a list; null counts as empty."""
     return ["" if t is None else t for t in batch.column(column).to_pylist()]

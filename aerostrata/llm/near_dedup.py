@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aerostrata.llm.common import kept_table, read, small_batches
+from aerostrata.llm.common import kept_table, read, shuffled, small_batches
 from aerostrata.llm.exact_dedup import LOCATOR, located, scanned, without
 from aerostrata.llm.graph import components
 from aerostrata.llm.shingles import BUCKETS, jaccard, registers, shingle_sets
@@ -153,12 +153,12 @@ def bucket_members(classes: DataFrame) -> DataFrame:
         bands.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("band").alias("band"), F.min("cls").alias("least"), *marks)
         .where("n > 1").groupBy("n", "mark0", "mark1").agg(F.min(F.struct("band", "key", "least")).alias("kept")).select("kept.*")
     )
-    return kept_table(bands.select("key", "cls").join(buckets, "key"), "members")
+    return kept_table(shuffled(bands.select("key", "cls")).join(buckets, "key"), "members")
 
 
 def open_buckets(members: DataFrame, labels: DataFrame, details: DataFrame, size: int) -> DataFrame:
     """The members of buckets with several components, dealt to tasks (key, i, j) as pairs of blocks of about ``size``."""
-    named = members.select("key", "band", "cls").join(labels, "cls")
+    named = members.select("key", "band", "cls").join(shuffled(labels), "cls")
     parts = named.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("n"))
     buckets = (
         parts.groupBy("key").agg(F.count(F.lit(1)).alias("parts"), F.sum("n").alias("n"), F.max(F.struct("n", "comp")).alias("major"))
@@ -323,7 +323,7 @@ def decide(docs: DataFrame, share: int) -> DataFrame:
     schema = "a bigint, b bigint, ca bigint, cb bigint, key bigint"
     found = kept_table(by_group(tasks, lambda frame, cuts: few_candidates(frame, cuts, share, CANDIDATES), schema), "candidates")
     pairs = found.where("key IS NULL").drop("key")
-    links = pairs.join(verify(pairs.select("a", "b"), sets, share), ["a", "b"])
+    links = shuffled(pairs).join(verify(pairs.select("a", "b"), sets, share), ["a", "b"])
     labels = relabel(labels, links.select(F.col("ca").alias("a"), F.col("cb").alias("b")))
     # Then those of the crowded buckets, inside their tasks.
     crowded = members.join(found.where("key IS NOT NULL").select("key").distinct(), "key", "left_semi")
@@ -331,7 +331,8 @@ def decide(docs: DataFrame, share: int) -> DataFrame:
     links = by_group(tasks, lambda frame, cuts: verified_links(frame, cuts, share), "a bigint, b bigint")
     labels = relabel(labels, links)
 
-    named = classes.select("digest", "cls", "id").join(labels, "cls", "left").withColumn("comp", F.coalesce("comp", "cls"))
+    named = classes.select("digest", "cls", "id").join(shuffled(labels), "cls", "left")
+    named = named.withColumn("comp", F.coalesce("comp", "cls"))
     least = named.groupBy("comp").agg(F.min("id").alias("component_id"))
     named = kept_table(named.join(least, "comp").select("digest", "component_id", "comp"), "named")
     columns = [c for c in signed.columns if c in ("id", "n_shingles", "at")]

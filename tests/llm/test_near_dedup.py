@@ -129,3 +129,32 @@ def test_estimate_is_near_the_share():
     a, b = np.unique(pool[:2200]), np.unique(pool[200:])
     estimate, used = sh.jaccard(sh.registers(a)[None], sh.registers(b)[None], np.array([len(a)]), np.array([len(b)]))
     assert used[0] == sh.BUCKETS and abs(estimate[0] - 2000 / 3000) < 0.17
+
+
+def test_band_rows_are_never_copied_to_executors(spark, monkeypatch):
+    """Spark sizes the exploded bands as the classes they come from, far below what they take."""
+    rows = spark.range(50).selectExpr("id AS cls", "cast(repeat(cast(id % 20 AS string), 256) AS binary) AS registers")
+    plans = []
+
+    def written(df, name):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return df
+
+    monkeypatch.setattr(op, "kept_table", written)
+    members = op.bucket_members(rows)
+    assert members.select("cls").distinct().count() == 50
+    [plan] = plans
+    assert "Generate explode" in plan and "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
+def test_labels_are_never_copied_to_executors(documents, corpus, monkeypatch):
+    """Files hold them in far fewer bytes than a copy in memory takes."""
+    kept, plans = op.kept_table, {}
+
+    def written(df, name):
+        plans[name] = df._jdf.queryExecution().optimizedPlan().toString()
+        return kept(df, name)
+
+    monkeypatch.setattr(op, "kept_table", written)
+    op.near_components(documents(*corpus)).collect()
+    assert all("strategy=merge" in plans[name] for name in ("members", "candidates", "named"))

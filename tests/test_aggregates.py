@@ -1,3 +1,5 @@
+import re
+from contextlib import ExitStack
 from datetime import date, datetime
 
 import pytest
@@ -16,6 +18,7 @@ from aerostrata.operators.joins import (
 )
 from aerostrata.operators.trends import in_period, with_trend
 from aerostrata.schemas import DIMENSION
+from aerostrata.session import session_setting
 
 AIR = "city string, timestamp_utc string, aqi int, pm25 double"
 
@@ -280,6 +283,31 @@ def test_the_chain_join_unfolds_arrays(spark, rows):
     assert plan.count("Generate explode") == 3 and plan.rindex("Generate explode") < plan.index("Join")
 
 
+def test_the_chain_join_unfolds_in_all_tasks(spark):
+    """Adaptive execution would make one task of a few hundred readings, however many rows they give."""
+    times = [f"2024-01-01T00:{n // 10 % 60:02d}:{n % 10:02d}" for n in range(600)]
+    air, wind, temperature = (
+        spark.createDataFrame([("A", t, float(n)) for n, t in enumerate(times)], f"city string, timestamp_utc string, {m} double")
+        for m in ("aqi", "wind_speed", "temperature")
+    )
+    chosen = {"spark.sql.shuffle.partitions": "8", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    with ExitStack() as stack:
+        for key, value in chosen.items():
+            stack.enter_context(session_setting(spark, key, value))
+        chain = join_weather_chain(air, wind, temperature)
+        sizes = [r["count"] for r in chain.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(sizes) == 600 * 10 * 10 and len(sizes) > 4
+
+
+def test_the_chain_join_unfolds_one_array_at_a_time(spark):
+    """Loops compiled together would hold all rows that a reading gives."""
+    chain = join_weather_chain(*(clean_source(spark, m) for m in ("aqi", "wind_speed", "temperature", "humidity")))
+    assert len(chain.collect()) == 3 * 5**4
+    plan = chain._jdf.queryExecution().executedPlan().toString()
+    loops = re.findall(r"\*\((\d+)\) Generate explode\(_\w+", plan.partition("Initial Plan")[0])
+    assert len(loops) == len(set(loops)) == 3
+
+
 def test_the_chain_query_rounds_ahead_of_its_join(spark):
     from aerostrata.plans import catalog
 
